@@ -1,0 +1,47 @@
+"""Every registered query against its SQL over the same tables."""
+
+from pathlib import Path
+
+import duckdb
+import pytest
+
+import __spark_entry__ as registry
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def tables():
+    if not Path(SF_DIR).exists():
+        pytest.skip("no test tables here")
+    connection = duckdb.connect()
+    for file in sorted(Path(SF_DIR).glob("*.parquet")):
+        connection.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM '{file}'")
+    return connection
+
+
+def test_every_query_has_sql():
+    assert registry.queries().keys() == registry.oracle_sql().keys()
+
+
+def test_entry(spark, tables):
+    assert registry.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("name", sorted(registry.queries()))
+def test_same_rows(spark, tables, name):
+    ours = registry.queries()[name](spark, SF_DIR).toArrow()
+    theirs = tables.sql(registry.oracle_sql()[name]).to_arrow_table()
+    columns = sorted(ours.column_names)
+    assert columns == sorted(theirs.column_names)
+    assert [str(ours.schema.field(c).type) for c in columns] == [
+        str(theirs.schema.field(c).type) for c in columns
+    ]
+    assert ours.num_rows == theirs.num_rows > 0
+    tables.register("ours", ours)
+    tables.register("theirs", theirs)
+    listed = ", ".join(columns)
+    differing = tables.sql(
+        f"SELECT {listed} FROM ours EXCEPT ALL SELECT {listed} FROM theirs"
+    ).fetchall()
+    assert differing == []

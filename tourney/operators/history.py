@@ -67,29 +67,22 @@ def _carried_rows(
 ) -> DataFrame:
     """One row per block but the first of a match: the last round before it and the totals so far.
 
-    The ``last`` columns are grouping keys first, so that rounds fold map-side in hash aggregates;
-    a few distinct move pairs per block remain to pick the last one from.
+    The ``last`` columns are grouping keys, so that rounds fold map-side in hash aggregates to a
+    few rows per block, one per distinct move pair. In order of their latest round, the final one
+    of a block holds its last moves, and the totals up to it cover the whole block.
     """
     per_block = source.groupBy(*MATCH, _BLOCK, *last).agg(
         F.max(order).alias(order), *[F.sum(c).alias(c) for c in total]
     )
-    if last:
-        newest = F.max_by(F.struct(*last), F.col(order))
-        per_block = (
-            per_block.groupBy(*MATCH, _BLOCK)
-            .agg(
-                newest.alias("_last"),
-                F.max(order).alias(order),
-                *[F.sum(c).alias(c) for c in total],
-            )
-            .select(*MATCH, _BLOCK, order, *[F.col(f"_last.{c}") for c in last], *total)
-        )
-    blocks = Window.partitionBy(*MATCH).orderBy(_BLOCK)
-    so_far = blocks.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return per_block.select(
+    in_order = Window.partitionBy(*MATCH).orderBy(_BLOCK, order)
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    followed = per_block.select(
         *MATCH,
-        F.lead(_BLOCK).over(blocks).alias(_BLOCK),
+        F.col(_BLOCK).alias("_own_block"),
+        F.lead(_BLOCK).over(in_order).alias(_BLOCK),
         order,
         *last,
         *[F.sum(c).over(so_far).alias(c) for c in total],
-    ).where(F.col(_BLOCK).isNotNull())
+    )
+    ends_block = ~F.col(_BLOCK).eqNullSafe(F.col("_own_block"))
+    return followed.where(F.col(_BLOCK).isNotNull() & ends_block).drop("_own_block")

@@ -9,13 +9,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tourney.functions.rounds import cooperated, defected, rate_pct, winner
+from tourney.functions.rounds import cooperated, defected, matchup_id, rate_pct, winner
 from tourney.operators.history import BLOCK_BITS, over_history
 from tourney.operators.sides import unpivot_sides
 from tourney.schema import GOLD, MATCH
 
-PER_MATCH = (*MATCH, "matchup_id")
-PER_BUCKET = (*PER_MATCH, "tour_bucket")
+# The match key in its one-column form follows from the players, so rounds are grouped without it.
+PER_MATCH = MATCH
+PER_BUCKET = (*MATCH, "tour_bucket")
 
 _SUMS = (
     "tours",
@@ -38,9 +39,10 @@ def totals(silver: DataFrame, keys: tuple[str, ...]) -> DataFrame:
 
 def roll_up(partial: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """Combine totals into coarser ones; column names stay the same."""
-    return partial.groupBy(*keys).agg(
+    rolled = partial.groupBy(*keys).agg(
         *[F.sum(c).alias(c) for c in _SUMS], *[F.max(c).alias(c) for c in _FINALS]
     )
+    return rolled.withColumn("matchup_id", matchup_id())
 
 
 def rank_in_run(score: str) -> Column:
@@ -94,7 +96,8 @@ def tournament_summary(match_totals: DataFrame) -> DataFrame:
 
 def matchup_matrix(match_totals: DataFrame) -> DataFrame:
     return match_totals.select(
-        *PER_MATCH,
+        *MATCH,
+        "matchup_id",
         F.col("cumul_a").alias("final_score_a"),
         F.col("cumul_b").alias("final_score_b"),
         rate_pct(F.col("cooperated_a"), F.col("tours")).alias("cooperation_rate_a_pct"),

@@ -5,17 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Sort columns of each table and whether they ascend.
 READ_ORDER = {
-    "gold_tournament_summary": ("ranking",),
-    "gold_matchup_matrix": ("run_id", F.desc("final_score_a")),
-    "gold_behavioral_drift": ("strategy", "matchup_id", "tour_bucket"),
-    "gold_forgiveness_index": ("forgiveness_rank",),
+    "gold_tournament_summary": {"ranking": True},
+    "gold_matchup_matrix": {"run_id": True, "final_score_a": False},
+    "gold_behavioral_drift": {"strategy": True, "matchup_id": True, "tour_bucket": True},
+    "gold_forgiveness_index": {"forgiveness_rank": True},
 }
 
 
 def in_read_order(name: str, table: DataFrame) -> DataFrame:
     """Rows of a gold table as its readers expect them; stored tables keep no order."""
-    return table.orderBy(*READ_ORDER[name])
+    order = READ_ORDER[name]
+    return table.orderBy(*order, ascending=list(order.values()))
 
 
 def final_ranking(summary: DataFrame) -> DataFrame:

@@ -22,43 +22,56 @@ TOURS_PER_BUCKET = 100.0
 # A match is every round two players play in one run; rounds are ordered by `tour`.
 MATCH = ("run_id", "player_a", "player_b")
 
-BRONZE = T.StructType.fromDDL(
-    "run_id string, tour bigint, player_a string, player_b string, "
-    "choice_a string, choice_b string, gain_a bigint, gain_b bigint, "
-    "cumul_a bigint, cumul_b bigint"
+
+def _fields(data_type: T.DataType, *names: str) -> list[T.StructField]:
+    return [T.StructField(name, data_type) for name in names]
+
+
+_text, _whole, _small, _real = T.StringType(), T.LongType(), T.IntegerType(), T.DoubleType()
+
+BRONZE = T.StructType(
+    _fields(_text, "run_id")
+    + _fields(_whole, "tour")
+    + _fields(_text, "player_a", "player_b", "choice_a", "choice_b")
+    + _fields(_whole, "gain_a", "gain_b", "cumul_a", "cumul_b")
 )
 
 SILVER = T.StructType(
     list(BRONZE)
-    + list(
-        T.StructType.fromDDL(
-            "matchup_id string, cooperated_a int, cooperated_b int, "
-            "defected_a int, defected_b int, mutual_cooperation int, mutual_defection int, "
-            "exploitation_by_a int, exploitation_by_b int, tour_bucket bigint, tour_winner string"
-        )
-    )
+    + _fields(_text, "matchup_id")
+    + _fields(_small, "cooperated_a", "cooperated_b", "defected_a", "defected_b")
+    + _fields(_small, "mutual_cooperation", "mutual_defection")
+    + _fields(_small, "exploitation_by_a", "exploitation_by_b")
+    + _fields(_whole, "tour_bucket")
+    + _fields(_text, "tour_winner")
 )
 
 GOLD = {
-    "gold_tournament_summary": T.StructType.fromDDL(
-        "run_id string, strategy string, total_score bigint, cooperation_rate_pct double, "
-        "total_cooperations bigint, total_defections bigint, total_exploitations bigint, "
-        "nb_matchups bigint, ranking bigint"
+    "gold_tournament_summary": T.StructType(
+        _fields(_text, "run_id", "strategy")
+        + _fields(_whole, "total_score")
+        + _fields(_real, "cooperation_rate_pct")
+        + _fields(_whole, "total_cooperations", "total_defections", "total_exploitations")
+        + _fields(_whole, "nb_matchups", "ranking")
     ),
-    "gold_matchup_matrix": T.StructType.fromDDL(
-        "run_id string, player_a string, player_b string, matchup_id string, "
-        "final_score_a bigint, final_score_b bigint, "
-        "cooperation_rate_a_pct double, cooperation_rate_b_pct double, "
-        "exploitations_by_a bigint, exploitations_by_b bigint, match_winner string"
+    "gold_matchup_matrix": T.StructType(
+        _fields(_text, "run_id", "player_a", "player_b", "matchup_id")
+        + _fields(_whole, "final_score_a", "final_score_b")
+        + _fields(_real, "cooperation_rate_a_pct", "cooperation_rate_b_pct")
+        + _fields(_whole, "exploitations_by_a", "exploitations_by_b")
+        + _fields(_text, "match_winner")
     ),
-    "gold_behavioral_drift": T.StructType.fromDDL(
-        "run_id string, strategy string, opponent string, matchup_id string, "
-        "tour_bucket bigint, cooperation_rate_pct double, total_gain bigint, "
-        "exploitations_done bigint, exploitations_received bigint"
+    "gold_behavioral_drift": T.StructType(
+        _fields(_text, "run_id", "strategy", "opponent", "matchup_id")
+        + _fields(_whole, "tour_bucket")
+        + _fields(_real, "cooperation_rate_pct")
+        + _fields(_whole, "total_gain", "exploitations_done", "exploitations_received")
     ),
-    "gold_forgiveness_index": T.StructType.fromDDL(
-        "run_id string, strategy string, total_betrayals_received bigint, "
-        "total_forgiven bigint, forgiveness_index_pct double, forgiveness_rank bigint"
+    "gold_forgiveness_index": T.StructType(
+        _fields(_text, "run_id", "strategy")
+        + _fields(_whole, "total_betrayals_received", "total_forgiven")
+        + _fields(_real, "forgiveness_index_pct")
+        + _fields(_whole, "forgiveness_rank")
     ),
 }
 

@@ -23,7 +23,7 @@ ROUND_ORDER = (
     "l_partkey",
     "l_suppkey",
     "l_extendedprice",
-    "file_name",
+    "file_hash",
     "file_row",
 )
 
@@ -59,7 +59,7 @@ def recorded_moves(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_returnflag") == "R", DEFECT).otherwise(COOPERATE).alias("choice_a"),
         F.when(F.col("l_discount") < 0.035, DEFECT).otherwise(COOPERATE).alias("choice_b"),
         *ROUND_ORDER[:-2],
-        F.col("_metadata.file_name").alias("file_name"),
+        F.xxhash64("_metadata.file_path").alias("file_hash"),
         F.col("_metadata.row_index").alias("file_row"),
     )
     return (
