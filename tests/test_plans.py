@@ -44,7 +44,7 @@ def test_history_jobs_never_sort_a_whole_match_of_rounds(bronze):
     ):
         plan = plan_of(df)
         for spec in re.findall(r"windowspecdefinition\((run_id[^)]*?player_b#\d+), ([^ ]+)", plan):
-            assert "_block" in spec[1]
+            assert "block" in spec[1]
 
 
 def test_gains_come_from_a_broadcast_join(bronze):

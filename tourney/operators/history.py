@@ -24,6 +24,11 @@ _BLOCK = "_block"
 _CARRIED = "_carried"
 
 
+def block_of(order: str, block_bits: int = BLOCK_BITS) -> Column:
+    """Number of the block a row belongs to; blocks follow each other in ``order``."""
+    return F.shiftright(F.col(order).cast("bigint"), block_bits)
+
+
 def over_history(
     rounds: DataFrame,
     expressions: Callable[[WindowSpec], dict[str, Column]],
@@ -59,7 +64,7 @@ def over_history(
 
 
 def _with_block(rounds: DataFrame, order: str, block_bits: int) -> DataFrame:
-    return rounds.withColumn(_BLOCK, F.shiftright(F.col(order).cast("bigint"), block_bits))
+    return rounds.withColumn(_BLOCK, block_of(order, block_bits))
 
 
 def _carried_rows(

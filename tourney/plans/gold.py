@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tourney.functions.rounds import cooperated, defected, matchup_id, rate_pct, winner
-from tourney.operators.history import BLOCK_BITS, over_history
+from tourney.functions.rounds import cooperated, defected, flag, matchup_id, rate_pct, winner
+from tourney.operators.history import BLOCK_BITS, block_of
 from tourney.operators.sides import unpivot_sides
 from tourney.schema import GOLD, MATCH
 
@@ -127,30 +127,85 @@ def behavioral_drift(bucket_totals: DataFrame) -> DataFrame:
     )
 
 
+# Moves as numbers, so that block summaries stay in hash aggregates; any other text is 1.
+_UNKNOWN, _COOPERATED, _DEFECTED = 0, 2, 3
+
+
+def _move_code(choice: str) -> Column:
+    return (
+        F.when(defected(choice), _DEFECTED)
+        .when(cooperated(choice), _COOPERATED)
+        .otherwise(flag(F.col(choice).isNotNull()))
+    )
+
+
+def _answers(faced: Column, move: Column) -> dict[str, Column]:
+    """What a move says about forgiveness, given the opponent move before it."""
+    betrayed = faced == _DEFECTED
+    return {
+        "answers": faced > _UNKNOWN,
+        "betrayals": betrayed,
+        "forgiven": betrayed & (move == _COOPERATED),
+    }
+
+
 def forgiveness_index(silver: DataFrame, block_bits: int = BLOCK_BITS) -> DataFrame:
     """Share of rounds right after an opponent's defection in which the strategy cooperates.
 
     The previous round is the previous recorded one, whatever its number. Rounds whose previous
     opponent move is unknown do not count, and a strategy with no other rounds has no row.
+
+    Matches are cut into blocks of rounds, so that a long one is not sorted in one task. Rounds are
+    read and shuffled once: each block is folded to its counts and its first and last moves, and
+    the blocks of a match then supply the pairs of rounds that span two blocks.
     """
-    moves = silver.select(*MATCH, "tour", "choice_a", "choice_b")
-    lagged = over_history(
-        moves,
-        lambda window: {
-            "faced_by_a": F.lag("choice_b").over(window),
-            "faced_by_b": F.lag("choice_a").over(window),
-        },
-        last=("choice_a", "choice_b"),
-        block_bits=block_bits,
+    moves = silver.select(
+        *MATCH,
+        "tour",
+        block_of("tour", block_bits).alias("block"),
+        _move_code("choice_a").alias("move_a"),
+        _move_code("choice_b").alias("move_b"),
+    )
+    within = Window.partitionBy(*MATCH, "block").orderBy("tour")
+    in_block = moves.select(
+        *MATCH,
+        "block",
+        "move_a",
+        "move_b",
+        F.lag("move_a").over(within).alias("before_a"),
+        F.lag("move_b").over(within).alias("before_b"),
+        F.lead("move_a").over(within).isNull().alias("is_last"),
     )
-    per_match = lagged.groupBy(*MATCH).agg(
-        F.count("faced_by_a").alias("answers_a"),
-        F.count("faced_by_b").alias("answers_b"),
-        F.count_if(defected("faced_by_a")).alias("betrayals_a"),
-        F.count_if(defected("faced_by_b")).alias("betrayals_b"),
-        F.count_if(defected("faced_by_a") & cooperated("choice_a")).alias("forgiven_a"),
-        F.count_if(defected("faced_by_b") & cooperated("choice_b")).alias("forgiven_b"),
+    sides = (("a", "b"), ("b", "a"))
+    blocks = in_block.groupBy(*MATCH, "block").agg(
+        *[
+            F.count_if(met).alias(f"{name}_{mine}")
+            for mine, theirs in sides
+            for name, met in _answers(F.col(f"before_{theirs}"), F.col(f"move_{mine}")).items()
+        ],
+        *[
+            F.max(F.when(edge, F.col(f"move_{side}"))).alias(f"{name}_{side}")
+            for name, edge in (("first", F.col("before_a").isNull()), ("last", F.col("is_last")))
+            for side in "ab"
+        ],
     )
+    across = Window.partitionBy(*MATCH).orderBy("block")
+    joined = blocks.select(
+        "*",
+        F.lag("last_a").over(across).alias("entered_a"),
+        F.lag("last_b").over(across).alias("entered_b"),
+    )
+    per_match = joined.groupBy(*MATCH).agg(
+        *[
+            F.sum(F.col(f"{name}_{mine}") + flag(met)).alias(f"{name}_{mine}")
+            for mine, theirs in sides
+            for name, met in _answers(F.col(f"entered_{theirs}"), F.col(f"first_{mine}")).items()
+        ]
+    )
+    return _index_of(per_match)
+
+
+def _index_of(per_match: DataFrame) -> DataFrame:
     sides = unpivot_sides(
         per_match,
         ["run_id"],

@@ -13,6 +13,7 @@ from tourney.operators.ordering import POSITION, store_in_order
 from tourney.operators.scoring import add_gains
 from tourney.schema import BRONZE, COOPERATE, DEFECT, MATCH
 from tourney.session import materialise
+from tourney.sources.files import broadcast_if_small, table_version
 
 # Order of the rounds of a match. The file row at the end only places exact copies of a line item,
 # which would otherwise be one unsplittable key.
@@ -27,32 +28,50 @@ ROUND_ORDER = (
     "file_row",
 )
 
-_stored: dict[tuple[str, str], DataFrame] = {}
+_stored: dict[tuple[str, ...], DataFrame] = {}
+
+
+_TABLES = ("lineitem", "orders", "customer", "supplier", "nation", "region")
+
+
+def _path(sf_dir: str, name: str) -> str:
+    return f"{sf_dir}/{name}.parquet"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.parquet(_path(sf_dir, name))
 
 
 def recorded_moves(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Players and moves of every line item, with the columns that order them.
 
-    No broadcast hints: Spark broadcasts the dimension tables while their size allows it, and
-    joins them by shuffle, splitting skewed keys at run time, when it does not.
+    Each lookup is broadcast only while the table that bounds it is small. Otherwise orders meet
+    customers before line items, so that the line items are shuffled once per key, and skewed keys
+    of these joins are split at run time.
     """
-    regions = _table(spark, sf_dir, "nation").join(
-        _table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
+    regions = broadcast_if_small(
+        _table(spark, sf_dir, "nation").join(
+            _table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
+        ),
+        _path(sf_dir, "nation"),
     )
-    buyers = (
+    customers = broadcast_if_small(
+        _table(spark, sf_dir, "customer").join(
+            regions, F.col("c_nationkey") == F.col("n_nationkey")
+        ),
+        _path(sf_dir, "customer"),
+    )
+    buyers = broadcast_if_small(
         _table(spark, sf_dir, "orders")
-        .join(_table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(regions, F.col("c_nationkey") == F.col("n_nationkey"))
-        .select("o_orderkey", F.col("r_name").alias("player_a"))
+        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
+        .select("o_orderkey", F.col("r_name").alias("player_a")),
+        _path(sf_dir, "orders"),
     )
-    sellers = (
+    sellers = broadcast_if_small(
         _table(spark, sf_dir, "supplier")
         .join(regions, F.col("s_nationkey") == F.col("n_nationkey"))
-        .select("s_suppkey", F.col("r_name").alias("player_b"))
+        .select("s_suppkey", F.col("r_name").alias("player_b")),
+        _path(sf_dir, "supplier"),
     )
     lines = _table(spark, sf_dir, "lineitem").select(
         F.year("l_shipdate").cast("string").alias("run_id"),
@@ -97,19 +116,8 @@ def stored_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     Rounds are the stored input of every model, so queries of one session share them. Changed
     input files (names, sizes or times) get a table of their own.
     """
-    key = (spark.sparkContext.applicationId, _fingerprint(spark, sf_dir))
+    versions = tuple(table_version(spark, _path(sf_dir, name)) for name in _TABLES)
+    key = (spark.sparkContext.applicationId, *versions)
     if key not in _stored:
         _stored[key] = materialise(rounds_from_tables(spark, sf_dir), "bronze")
     return _stored[key]
-
-
-def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
-    names = ("lineitem", "orders", "customer", "supplier", "nation", "region")
-    path_class = spark._jvm.org.apache.hadoop.fs.Path
-    conf = spark._jsc.hadoopConfiguration()
-    parts = [sf_dir]
-    for name in names:
-        path = path_class(f"{sf_dir}/{name}.parquet")
-        status = path.getFileSystem(conf).getFileStatus(path)
-        parts.append(f"{name}:{status.getLen()}:{status.getModificationTime()}")
-    return "|".join(parts)
