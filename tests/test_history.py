@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 from tests import naive
 from tests.rounds import MOVE, conformance_counts, forgiveness_counts, match_rows
 from tourney.operators.history import over_history
-from tourney.operators.ordering import store_in_order
+from tourney.operators.ordering import place_in_order
 from tourney.operators.scoring import add_gains, add_running_scores, score_rounds
 from tourney.plans import gold, policies, quality, replies
 from tourney.plans.silver import silver_rounds
 from tourney.schema import BRONZE, MATCH, PAYOFF
+from tourney.session import materialise
 
 few = settings(
     max_examples=6,
@@ -122,7 +123,7 @@ def test_positions_follow_the_order_and_are_stable(spark):
         F.when(F.col("id") % 3 == 0, "hot").otherwise("cold").alias("k"),
         (F.col("id") * 7919 % 5000).alias("v"),
     )
-    placed = store_in_order(df, ["k", "v"], ["k", "v"], "positions")
+    placed = materialise(place_in_order(df, ["k", "v"], ["k", "v"]), "positions")
     rows = sorted(placed.collect(), key=lambda r: r.position)
     assert [(r.k, r.v) for r in rows] == sorted((r.k, r.v) for r in df.collect())
     assert len({r.position for r in rows}) == 5000

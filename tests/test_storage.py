@@ -2,15 +2,17 @@
 
 import re
 from datetime import datetime, timezone
+from pathlib import Path
 
 import pytest
 
 from tests.rounds import FULL_MATCHES, match_rows
 from tourney.plans import gold, saved
-from tourney.plans.build import build, read_gold
+from tourney.plans import build as builder
+from tourney.plans.build import build, read_gold, register_gold, rounds_of
 from tourney.plans.silver import silver_rounds
 from tourney.schema import BRONZE, GOLD
-from tourney.session import scratch_dir
+from tourney.session import scratch_dir, scratch_table
 from tourney.sources import bronze as store
 from tourney.streaming.ingest import ingest_new_runs, read_ingested
 
@@ -134,3 +136,41 @@ def test_saved_queries(bronze_of):
 
 def test_scratch_folder_is_the_sessions(spark):
     assert scratch_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+
+
+def test_gold_tables_in_the_catalog(spark, bronze_of, tmp_path):
+    warehouse = str(tmp_path / "gold")
+    build(bronze_of(*FULL_MATCHES, ("0042", "x", "y", ["CD", "DD"])), warehouse)
+    register_gold(spark, warehouse)
+    ranking = spark.sql(
+        "SELECT strategy, total_score, cooperation_rate_pct, ranking "
+        "FROM gold_tournament_summary WHERE run_id = 'r' ORDER BY ranking"
+    )
+    assert [r.strategy for r in ranking.collect()] == ["D", "T", "C"]
+    for name in GOLD:
+        assert spark.table(name).count() == read_gold(spark, warehouse, name).count()
+    facts = spark.sql("DESCRIBE TABLE EXTENDED gold_tournament_summary").collect()
+    shown = {r.col_name: (r.data_type, r.comment) for r in facts}
+    assert shown["Comment"][0] == "Leaderboard of each run"
+    assert shown["ranking"][1].startswith("Rank by total score")
+    for name in GOLD:
+        spark.sql(f"DROP TABLE {name}")
+
+
+@pytest.mark.parametrize("limit", [0, 10])
+def test_rounds_of_named_runs(bronze_of, monkeypatch, limit):
+    monkeypatch.setattr(builder, "LISTED_RUNS", limit)
+    bronze = bronze_of(("a", "x", "y", ["CD"]), ("b", "x", "y", ["CC"]), (None, "x", "y", ["DD"]))
+    for wanted in ([("a",)], [("a",), (None,), ("a",)]):
+        runs = bronze.sparkSession.createDataFrame(wanted, "run_id string")
+        got = {r.run_id for r in rounds_of(bronze, runs).collect()}
+        assert got == {run for (run,) in wanted}
+
+
+def test_scratch_tables_are_removed(spark):
+    path = Path(scratch_dir(spark))
+    before = {p.name for p in path.iterdir()}
+    with scratch_table(spark.range(3).toDF("n"), "short-lived") as table:
+        assert table.count() == 3
+        assert {p.name for p in path.iterdir()} != before
+    assert {p.name for p in path.iterdir()} == before

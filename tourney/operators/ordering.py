@@ -7,22 +7,19 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tourney.session import materialise
-
 POSITION = "position"
 
 
-def store_in_order(df: DataFrame, order: Sequence[str], keep: Sequence[str], name: str) -> DataFrame:
-    """Store the ``keep`` columns with a ``position`` that increases along ``order``.
+def place_in_order(df: DataFrame, order: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    """The ``keep`` columns with a ``position`` that increases along ``order``.
 
     The rows are range-partitioned on the whole order, so a group of any size is spread over as
-    many tasks as its share of the data. Range bounds are sampled anew on each run; the result is
-    therefore written once and read back, so that all later readers see the same positions.
-    Positions are unique but not consecutive across partitions.
+    many tasks as its share of the data. Positions are unique but not consecutive across
+    partitions. Range bounds are sampled anew whenever the frame runs, so store the result before
+    reading it more than once.
     """
-    placed = (
+    return (
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .select(*keep, F.monotonically_increasing_id().alias(POSITION))
     )
-    return materialise(placed, name)

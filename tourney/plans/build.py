@@ -5,29 +5,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tourney.plans import gold
 from tourney.plans.silver import silver_rounds
-from tourney.schema import GOLD, describe
-from tourney.session import materialise
+from tourney.schema import COLUMN_COMMENTS, GOLD, TABLE_COMMENTS, describe
+from tourney.session import scratch_table
 
 LAYERS = ("silver", "gold")
 
-
-def gold_tables(silver: DataFrame) -> dict[str, DataFrame]:
-    """All gold tables of one build.
-
-    Leaderboard, matrix and drift share one stored table of per-bucket totals, so the rounds are
-    folded once for the three of them.
-    """
-    buckets = materialise(gold.totals(silver, gold.PER_BUCKET), "bucket-totals")
-    matches = gold.roll_up(buckets, gold.PER_MATCH)
-    return {
-        "gold_tournament_summary": gold.tournament_summary(matches),
-        "gold_matchup_matrix": gold.matchup_matrix(matches),
-        "gold_behavioral_drift": gold.behavioral_drift(buckets),
-        "gold_forgiveness_index": gold.forgiveness_index(silver),
-    }
+# Up to this many touched runs are named in a partition filter; more are joined.
+LISTED_RUNS = 10_000
 
 
 def build(bronze: DataFrame, warehouse: str, select: Sequence[str] = LAYERS) -> None:
@@ -39,18 +27,43 @@ def build(bronze: DataFrame, warehouse: str, select: Sequence[str] = LAYERS) ->
     if "silver" in select:
         describe(silver).createOrReplaceTempView("silver_rounds")
     if "gold" in select:
-        for name, table in gold_tables(silver).items():
-            write_gold(table, warehouse, name)
+        _write_gold_tables(silver, warehouse)
 
 
 def rebuild_runs(bronze: DataFrame, runs: DataFrame, warehouse: str) -> None:
-    """Rebuild the gold rows of ``runs`` (a frame of ``run_id``) and leave other runs alone.
+    """Rebuild the gold rows of ``runs`` (a frame of ``run_id``) and leave other runs alone."""
+    _write_gold_tables(
+        silver_rounds(rounds_of(bronze, runs)), warehouse, only_present_runs=True
+    )
 
-    The semi join on the partition column prunes bronze to the folders of those runs.
-    """
-    touched = bronze.join(runs.select("run_id").distinct(), "run_id", "left_semi")
-    for name, table in gold_tables(silver_rounds(touched)).items():
-        write_gold(table, warehouse, name, only_present_runs=True)
+
+def rounds_of(bronze: DataFrame, runs: DataFrame) -> DataFrame:
+    """Rounds of the given runs; a filter on the partition column reads only their folders."""
+    named = runs.select("run_id").distinct()
+    listed = [row.run_id for row in named.limit(LISTED_RUNS + 1).collect()]
+    if len(listed) > LISTED_RUNS:
+        named = named.withColumnRenamed("run_id", "named_run")
+        same_run = F.col("run_id").eqNullSafe(F.col("named_run"))
+        return bronze.join(named, same_run, "left_semi")
+    wanted = F.col("run_id").isin([run for run in listed if run is not None])
+    return bronze.where(wanted | F.col("run_id").isNull() if None in listed else wanted)
+
+
+def _write_gold_tables(
+    silver: DataFrame, warehouse: str, only_present_runs: bool = False
+) -> None:
+    """Leaderboard, matrix and drift share one stored table of per-bucket totals, so the rounds
+    are folded once for the three of them."""
+    with scratch_table(gold.totals(silver, gold.PER_BUCKET), "bucket-totals") as buckets:
+        matches = gold.roll_up(buckets, gold.PER_MATCH)
+        tables = {
+            "gold_tournament_summary": gold.tournament_summary(matches),
+            "gold_matchup_matrix": gold.matchup_matrix(matches),
+            "gold_behavioral_drift": gold.behavioral_drift(buckets),
+            "gold_forgiveness_index": gold.forgiveness_index(silver),
+        }
+        for name, table in tables.items():
+            write_gold(table, warehouse, name, only_present_runs)
 
 
 def write_gold(
@@ -70,3 +83,28 @@ def write_gold(
 def read_gold(spark: SparkSession, warehouse: str, name: str) -> DataFrame:
     schema = GOLD[name]
     return spark.read.schema(schema).parquet(f"{warehouse}/{name}").select(*schema.names)
+
+
+def register_gold(spark: SparkSession, warehouse: str) -> None:
+    """Put the stored gold tables, with their descriptions, into the session's current database.
+
+    They are external tables: dropping one leaves the files.
+    """
+    for name, schema in GOLD.items():
+        columns = ", ".join(
+            f"{field.name} {field.dataType.simpleString()} "
+            f"COMMENT {_quoted(COLUMN_COMMENTS.get(field.name, ''))}"
+            for field in schema
+        )
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(
+            f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY (run_id) "
+            f"COMMENT {_quoted(TABLE_COMMENTS[name])} LOCATION {_quoted(f'{warehouse}/{name}')}"
+        )
+        spark.catalog.recoverPartitions(name)
+
+
+def _quoted(text: str) -> str:
+    """SQL string literal."""
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"

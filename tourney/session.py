@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tourney.sources.files import remove_table
+
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 _local_scratch: dict[str, str] = {}
 
@@ -32,9 +36,25 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the scratch folder and read it back.
 
     Cuts the lineage like a checkpoint does, and later readers still get column pruning,
-    filter pushdown and real table sizes.
+    filter pushdown and real table sizes. The table stays until the scratch folder is cleaned.
     """
-    spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return _write(df, _new_path(df.sparkSession, name))
+
+
+@contextmanager
+def scratch_table(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """A materialised table for the jobs run inside the ``with`` block; removed afterwards."""
+    path = _new_path(df.sparkSession, name)
+    try:
+        yield _write(df, path)
+    finally:
+        remove_table(df.sparkSession, path)
+
+
+def _new_path(spark: SparkSession, name: str) -> str:
+    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _write(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

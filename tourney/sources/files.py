@@ -9,17 +9,26 @@ from pyspark.sql import functions as F
 BROADCAST_BYTES = 8 << 20
 
 
-def table_bytes(spark: SparkSession, path: str) -> int:
+def _locate(spark: SparkSession, path: str):
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    file_system = location.getFileSystem(spark._jsc.hadoopConfiguration())
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()), location
+
+
+def table_bytes(spark: SparkSession, path: str) -> int:
+    file_system, location = _locate(spark, path)
     return file_system.getContentSummary(location).getLength()
 
 
 def table_version(spark: SparkSession, path: str) -> str:
     """Changes when the file or folder at ``path`` is written again."""
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    status = location.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(location)
-    return f"{path}:{table_bytes(spark, path)}:{status.getModificationTime()}"
+    file_system, location = _locate(spark, path)
+    modified = file_system.getFileStatus(location).getModificationTime()
+    return f"{path}:{table_bytes(spark, path)}:{modified}"
+
+
+def remove_table(spark: SparkSession, path: str) -> None:
+    file_system, location = _locate(spark, path)
+    file_system.delete(location, True)
 
 
 def broadcast_if_small(df: DataFrame, base_path: str) -> DataFrame:

@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tourney.operators.history import over_history
-from tourney.operators.ordering import POSITION, store_in_order
+from tourney.operators.ordering import POSITION, place_in_order
 from tourney.operators.scoring import add_gains
 from tourney.schema import BRONZE, COOPERATE, DEFECT, MATCH
-from tourney.session import materialise
+from tourney.session import materialise, scratch_table
 from tourney.sources.files import broadcast_if_small, table_version
 
 # Order of the rounds of a match. The file row at the end only places exact copies of a line item,
@@ -88,14 +88,16 @@ def recorded_moves(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def rounds_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bronze rounds: moves numbered within their match, with gains and running scores."""
-    moves = store_in_order(
+def moves_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return place_in_order(
         recorded_moves(spark, sf_dir),
         order=(*MATCH, *ROUND_ORDER),
         keep=(*MATCH, "choice_a", "choice_b"),
-        name="moves",
     )
+
+
+def number_rounds(moves: DataFrame) -> DataFrame:
+    """Bronze rounds of stored moves in order: tours from 1 per match, gains, running scores."""
     counted = add_gains(moves).withColumn("rounds", F.lit(1).cast("bigint"))
 
     def running(window):
@@ -110,8 +112,14 @@ def rounds_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numbered.select(*BRONZE.names)
 
 
+def build_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Derive the rounds of ``sf_dir`` and store them in the scratch folder."""
+    with scratch_table(moves_in_order(spark, sf_dir), "moves") as moves:
+        return materialise(number_rounds(moves), "bronze")
+
+
 def stored_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The bronze table of ``sf_dir``, built and stored once per Spark application.
+    """The bronze table of ``sf_dir``, built once per Spark application.
 
     Rounds are the stored input of every model, so queries of one session share them. Changed
     input files (names, sizes or times) get a table of their own.
@@ -119,5 +127,5 @@ def stored_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     versions = tuple(table_version(spark, _path(sf_dir, name)) for name in _TABLES)
     key = (spark.sparkContext.applicationId, *versions)
     if key not in _stored:
-        _stored[key] = materialise(rounds_from_tables(spark, sf_dir), "bronze")
+        _stored[key] = build_rounds(spark, sf_dir)
     return _stored[key]
