@@ -6,6 +6,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as registry
+from tourney.session import materialise
+from tourney.sources import files
+from tourney.sources import tables as order_tables
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -45,3 +48,32 @@ def test_same_rows(spark, tables, name):
         f"SELECT {listed} FROM ours EXCEPT ALL SELECT {listed} FROM theirs"
     ).fetchall()
     assert differing == []
+
+
+def test_lookups_by_shuffle_give_the_same_rounds(spark, tables, monkeypatch):
+    small = order_tables.number_rounds(
+        materialise(order_tables.moves_in_order(spark, SF_DIR), "moves-broadcast")
+    )
+    monkeypatch.setattr(files, "BROADCAST_BYTES", 0)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        moves = order_tables.recorded_moves(spark, SF_DIR)
+        assert "SortMergeJoin" in moves._jdf.queryExecution().executedPlan().toString()
+        large = order_tables.number_rounds(
+            materialise(order_tables.moves_in_order(spark, SF_DIR), "moves-shuffled")
+        )
+        assert large.count() == small.count()
+        assert large.exceptAll(small).count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_changed_input_gets_its_own_rounds(spark, tables, tmp_path):
+    for file in Path(SF_DIR).glob("*.parquet"):
+        (tmp_path / file.name).write_bytes(file.read_bytes())
+    before = order_tables.stored_rounds(spark, str(tmp_path)).count()
+    half = spark.read.parquet(f"{SF_DIR}/lineitem.parquet").where("l_orderkey % 2 = 0").toPandas()
+    half.to_parquet(tmp_path / "lineitem.parquet", coerce_timestamps="us")
+    after = order_tables.stored_rounds(spark, str(tmp_path)).count()
+    assert after == len(half) < before

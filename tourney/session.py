@@ -32,29 +32,31 @@ def scratch_dir(spark: SparkSession) -> str:
     return _local_scratch[app]
 
 
+def store(df: DataFrame, name: str) -> str:
+    """Write ``df`` as a Parquet table in the scratch folder; returns its path.
+
+    The table stays until the scratch folder is cleaned.
+    """
+    path = f"{scratch_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return path
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a Parquet table in the scratch folder and read it back.
+    """Store ``df`` and read it back.
 
     Cuts the lineage like a checkpoint does, and later readers still get column pruning,
-    filter pushdown and real table sizes. The table stays until the scratch folder is cleaned.
+    filter pushdown and real table sizes.
     """
-    return _write(df, _new_path(df.sparkSession, name))
+    return df.sparkSession.read.schema(df.schema).parquet(store(df, name))
 
 
 @contextmanager
 def scratch_table(df: DataFrame, name: str) -> Iterator[DataFrame]:
-    """A materialised table for the jobs run inside the ``with`` block; removed afterwards."""
-    path = _new_path(df.sparkSession, name)
+    """A stored table for the jobs run inside the ``with`` block; removed afterwards."""
+    spark = df.sparkSession
+    path = store(df, name)
     try:
-        yield _write(df, path)
+        yield spark.read.schema(df.schema).parquet(path)
     finally:
-        remove_table(df.sparkSession, path)
-
-
-def _new_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def _write(df: DataFrame, path: str) -> DataFrame:
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+        remove_table(spark, path)

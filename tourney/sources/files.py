@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Most file bytes a table may have for anything no larger than it to be broadcast.
+# A table may bound a broadcast up to this many file bytes and rows.
 BROADCAST_BYTES = 8 << 20
+BROADCAST_ROWS = 1_000_000
 
 
 def _locate(spark: SparkSession, path: str):
@@ -31,11 +32,21 @@ def remove_table(spark: SparkSession, path: str) -> None:
     file_system.delete(location, True)
 
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    file_system, location = _locate(spark, path)
+    return file_system.exists(location)
+
+
 def broadcast_if_small(df: DataFrame, base_path: str) -> DataFrame:
     """Broadcast ``df`` if the table it has at most one row per row of is small.
 
     Spark's own estimate of a join's size multiplies the sides, so it would shuffle the large side
-    for a lookup of a few rows. Beyond the limit there is no hint and Spark joins by shuffle.
+    for a lookup of a few rows. The rows are only counted when the files are small. Beyond either
+    limit there is no hint and Spark joins by shuffle.
     """
-    small = table_bytes(df.sparkSession, base_path) <= BROADCAST_BYTES
-    return F.broadcast(df) if small else df
+    spark = df.sparkSession
+    if table_bytes(spark, base_path) > BROADCAST_BYTES:
+        return df
+    if spark.read.parquet(base_path).count() > BROADCAST_ROWS:
+        return df
+    return F.broadcast(df)

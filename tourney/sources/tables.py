@@ -12,8 +12,9 @@ from tourney.operators.history import over_history
 from tourney.operators.ordering import POSITION, place_in_order
 from tourney.operators.scoring import add_gains
 from tourney.schema import BRONZE, COOPERATE, DEFECT, MATCH
-from tourney.session import materialise, scratch_table
-from tourney.sources.files import broadcast_if_small, table_version
+from tourney.session import scratch_table, store
+from tourney.sources.bronze import read_bronze
+from tourney.sources.files import broadcast_if_small, table_exists, table_version
 
 # Order of the rounds of a match. The file row at the end only places exact copies of a line item,
 # which would otherwise be one unsplittable key.
@@ -28,11 +29,10 @@ ROUND_ORDER = (
     "file_row",
 )
 
-_stored: dict[tuple[str, ...], DataFrame] = {}
-
-
 _TABLES = ("lineitem", "orders", "customer", "supplier", "nation", "region")
 
+_stored: dict[tuple[str, ...], str] = {}
+
 
 def _path(sf_dir: str, name: str) -> str:
     return f"{sf_dir}/{name}.parquet"
@@ -112,10 +112,10 @@ def number_rounds(moves: DataFrame) -> DataFrame:
     return numbered.select(*BRONZE.names)
 
 
-def build_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Derive the rounds of ``sf_dir`` and store them in the scratch folder."""
+def build_rounds(spark: SparkSession, sf_dir: str) -> str:
+    """Derive the rounds of ``sf_dir`` and store them in the scratch folder; returns the path."""
     with scratch_table(moves_in_order(spark, sf_dir), "moves") as moves:
-        return materialise(number_rounds(moves), "bronze")
+        return store(number_rounds(moves), "bronze")
 
 
 def stored_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,6 +126,6 @@ def stored_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     versions = tuple(table_version(spark, _path(sf_dir, name)) for name in _TABLES)
     key = (spark.sparkContext.applicationId, *versions)
-    if key not in _stored:
+    if key not in _stored or not table_exists(spark, _stored[key]):
         _stored[key] = build_rounds(spark, sf_dir)
-    return _stored[key]
+    return read_bronze(spark, _stored[key])
