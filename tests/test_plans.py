@@ -29,6 +29,15 @@ def test_totals_read_rounds_once(bronze, table):
     assert "partial_sum" in plan.split("FileScan parquet")[0].rsplit("Exchange", 1)[1]
 
 
+def test_forgiveness_reads_and_shuffles_rounds_once(bronze):
+    plan = plan_of(gold.gold_forgiveness_index(silver_rounds(bronze)))
+    assert plan.count("FileScan parquet") == 1
+    # From the scan up to the fold per block there is one exchange, on match and block.
+    below_fold = plan.split("partial_count")[-1]
+    exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", below_fold)
+    assert len(exchanges) == 1 and "block" in exchanges[0]
+
+
 def test_matrix_reads_only_its_columns(bronze):
     plan = plan_of(gold.gold_matchup_matrix(silver_rounds(bronze)))
     (read,) = re.findall(r"FileScan parquet \[([^\]]*)\]", plan)

@@ -14,7 +14,7 @@ from tourney.plans.silver import silver_rounds
 from tourney.schema import BRONZE, GOLD
 from tourney.session import scratch_dir, scratch_table
 from tourney.sources import bronze as store
-from tourney.streaming.ingest import ingest_new_runs, read_ingested
+from tourney.streaming.ingest import ingest_new_runs
 
 
 def rows_of(df):
@@ -99,8 +99,16 @@ def test_ingest_reads_each_file_once_and_rebuilds_its_run(spark, bronze_of, tmp_
     store.write_run(two, landing, "run00002")
     pick_up()
     pick_up()  # nothing new
+    folders = [p.name for p in (tmp_path / "bronze").iterdir()]
+    assert sorted(f.rsplit("-", 1)[1] for f in folders) == ["0", "1"]
+    assert all(re.match(r"ingest=[0-9a-f-]{36}-\d$", f) for f in folders)
 
-    rounds = read_ingested(spark, bronze)
+    # A batch that failed before its commit runs again and replaces what it had stored.
+    for commit in (tmp_path / "checkpoint" / "commits").glob("*1*"):
+        commit.unlink()
+    pick_up()
+
+    rounds = store.read_bronze(spark, bronze)
     assert rounds.count() == 5
     silver = silver_rounds(store.stamp_run(one, "run00001").union(store.stamp_run(two, "run00002")))
     for name in GOLD:
@@ -112,7 +120,7 @@ def test_ingest_reads_each_file_once_and_rebuilds_its_run(spark, bronze_of, tmp_
     )
     store.write_run(later, landing, "run00002", datetime(2030, 1, 1, tzinfo=timezone.utc))
     pick_up()
-    silver = silver_rounds(read_ingested(spark, bronze))
+    silver = silver_rounds(store.read_bronze(spark, bronze))
     assert silver.count() == 7
     for name in GOLD:
         assert rows_of(read_gold(spark, warehouse, name)) == rows_of(getattr(gold, name)(silver))

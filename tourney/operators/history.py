@@ -46,9 +46,10 @@ def over_history(
     far (``sum`` or, for 0/1 flags, ``max`` of a column named in ``total``, frames starting at
     ``unboundedPreceding``).
 
-    ``order`` is a whole number, unique within a match. ``rounds`` is read twice, once for the
-    block summaries, so it should be a stored table or a narrow view of one; ``carry_from`` names a
-    cheaper frame holding the same history, when there is one.
+    ``order`` is a whole number, unique and fairly dense within a match, which bounds a block.
+    Rounds with many copies can be given such a number by ``place_in_order``. ``rounds`` is read
+    twice, once for the block summaries, so it should be a stored table or a narrow view of one;
+    ``carry_from`` names a cheaper frame holding the same history, when there is one.
     """
     in_blocks = _with_block(rounds, order, block_bits).withColumn(_CARRIED, F.lit(False))
     source = _with_block(rounds if carry_from is None else carry_from, order, block_bits)

@@ -8,7 +8,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tourney.schema import BRONZE, describe
+from tourney.schema import BRONZE, MATCH, describe
 
 
 def new_run_id() -> str:
@@ -34,15 +34,23 @@ def write_run(rounds: DataFrame, landing: str, run_id: str, when: datetime | Non
 
 
 def append_bronze(rounds: DataFrame, path: str) -> None:
-    """Add rounds to the bronze table, partitioned by run.
+    """Add rounds to the bronze table, partitioned by run."""
+    write_by_run(rounds, path, "append")
+
+
+def write_by_run(rounds: DataFrame, path: str, mode: str) -> None:
+    """Write rounds partitioned by run, those of a match next to each other.
 
     The rebalance hint gives each run's folder files of even size: small runs are not scattered
-    over all tasks, and a run holding most of the data is split over many.
+    over all tasks, and a run holding most of the data is split over many. In match order the
+    repeated names take no space, and readers fold a match's rounds before they shuffle.
     """
     (
         describe(rounds.select(*BRONZE.names))
         .hint("rebalance", "run_id")
-        .write.mode("append")
+        .sortWithinPartitions(*MATCH, "tour")
+        .write.mode(mode)
+        .option("partitionOverwriteMode", "static")
         .partitionBy("run_id")
         .parquet(path)
     )

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tourney.plans.build import rebuild_runs
-from tourney.schema import BRONZE, describe
+from tourney.schema import BRONZE
+from tourney.sources.bronze import read_bronze, write_by_run
 
 _QUERY_ID = "sql.streaming.queryId"
 
@@ -17,16 +18,16 @@ def ingest_new_runs(
     """Process every file the checkpoint has not seen, then stop.
 
     Window functions by row order do not run on a stream, so each batch is stored and the runs it
-    touches are rebuilt from the stored table.
+    touches are rebuilt from the stored table, which ``read_bronze`` reads as one.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         query_id = session.sparkContext.getLocalProperty(_QUERY_ID)
         stored = f"{bronze}/ingest={query_id}-{batch_id}"
-        _store_batch(batch, stored)
-        arrived = session.read.schema(BRONZE).parquet(stored)
-        rebuild_runs(read_ingested(session, bronze), arrived, warehouse)
+        # Each batch owns one folder, so a batch run again after a failure replaces its first try.
+        write_by_run(batch, stored, "overwrite")
+        rebuild_runs(read_bronze(session, bronze), read_bronze(session, stored), warehouse)
 
     return (
         spark.readStream.schema(BRONZE)
@@ -37,19 +38,3 @@ def ingest_new_runs(
         .trigger(availableNow=True)
         .start()
     )
-
-
-def _store_batch(batch: DataFrame, path: str) -> None:
-    """Each batch owns one folder, so a batch run again after a failure replaces its first try."""
-    (
-        describe(batch.select(*BRONZE.names))
-        .hint("rebalance", "run_id")
-        .write.mode("overwrite")
-        .partitionBy("run_id")
-        .parquet(path)
-    )
-
-
-def read_ingested(spark: SparkSession, bronze: str) -> DataFrame:
-    """All ingested batches as one bronze table."""
-    return spark.read.schema(BRONZE).parquet(bronze).select(*BRONZE.names)
