@@ -18,6 +18,8 @@ from tourney.schema import COOPERATE, DEFECT, MATCH
 HISTORY_POLICIES = ("always_cooperate", "always_defect", "tit_for_tat", "grim_trigger")
 REPLAY_POLICIES = (*HISTORY_POLICIES, "random")
 
+SIDES = (("a", "b"), ("b", "a"))
+
 # Multiplicative sequence behind the seeded random policy.
 _MODULUS = 65521
 _MULTIPLIER = 17364
@@ -47,14 +49,8 @@ def policy_moves(window: WindowSpec) -> dict[str, Column]:
     }
 
 
-def played_pairs(
-    rounds: DataFrame, policies: Sequence[str], seed: int = 0, block_bits: int = BLOCK_BITS
-) -> DataFrame:
-    """Rounds per run, strategy, policy and combination of moves.
-
-    Rounds are first counted per match and combination of recorded and policy moves, a few rows
-    per match however long it is; only those are expanded to one row per side and policy.
-    """
+def replay(rounds: DataFrame, seed: int = 0, block_bits: int = BLOCK_BITS) -> DataFrame:
+    """Rounds with the move of every policy for both sides, ``<policy>_a`` and ``<policy>_b``."""
     moves = rounds.select(
         *MATCH,
         "tour",
@@ -70,38 +66,57 @@ def played_pairs(
         total=("defected_a", "defected_b"),
         block_bits=block_bits,
     )
-    combination = ["choice_a", "choice_b"]
-    for policy in ("tit_for_tat", "grim_trigger"):
-        combination += [f"{policy}_a", f"{policy}_b"]
-    if "random" in policies:
-        replayed = replayed.withColumns(
-            {"random_a": seeded_move(seed), "random_b": seeded_move(seed + 1)}
-        )
-        combination += ["random_a", "random_b"]
-    counted = replayed.groupBy(*MATCH, *combination).agg(F.count(F.lit(1)).alias("rounds"))
+    return replayed.withColumns(
+        {
+            "always_cooperate_a": F.lit(COOPERATE),
+            "always_cooperate_b": F.lit(COOPERATE),
+            "always_defect_a": F.lit(DEFECT),
+            "always_defect_b": F.lit(DEFECT),
+            "random_a": seeded_move(seed),
+            "random_b": seeded_move(seed + 1),
+        }
+    )
+
 
-    fixed = {"always_cooperate": F.lit(COOPERATE), "always_defect": F.lit(DEFECT)}
+def _per_strategy(
+    per_match: DataFrame, policies: Sequence[str], measures: dict[str, str]
+) -> DataFrame:
+    """One row per match, side and policy; ``measures`` are column names by policy and side."""
     rows = [
         F.struct(
-            F.col(f"player_{mine}").alias("strategy"),
+            F.col(f"player_{side}").alias("strategy"),
             F.lit(policy).alias("policy"),
-            fixed.get(policy, F.col(f"{policy}_{mine}")).alias("policy_choice"),
-            F.col(f"choice_{mine}").alias("choice"),
-            F.col(f"choice_{theirs}").alias("opponent_choice"),
+            *[
+                F.col(column.format(policy=policy, side=side)).alias(name)
+                for name, column in measures.items()
+            ],
         )
         for policy in policies
-        for mine, theirs in (("a", "b"), ("b", "a"))
+        for side, _ in SIDES
     ]
-    return counted.select("run_id", "rounds", F.inline(F.array(*rows)))
+    return per_match.select("run_id", "rounds", F.inline(F.array(*rows)))
 
 
 def policy_conformance(rounds: DataFrame, block_bits: int = BLOCK_BITS) -> DataFrame:
     """Share of a strategy's recorded moves that equal the policy's move."""
-    pairs = played_pairs(rounds, HISTORY_POLICIES, block_bits=block_bits)
-    agreeing = F.when(F.col("choice") == F.col("policy_choice"), F.col("rounds")).otherwise(0)
+    per_match = (
+        replay(rounds, block_bits=block_bits)
+        .groupBy(*MATCH)
+        .agg(
+            F.count(F.lit(1)).alias("rounds"),
+            *[
+                F.count_if(F.col(f"{policy}_{side}") == F.col(f"choice_{side}")).alias(
+                    f"{policy}_{side}"
+                )
+                for policy in HISTORY_POLICIES
+                for side, _ in SIDES
+            ],
+        )
+    )
     return (
-        pairs.groupBy("run_id", "strategy", "policy")
-        .agg(F.sum("rounds").alias("rounds"), F.sum(agreeing).alias("conforming"))
+        _per_strategy(per_match, HISTORY_POLICIES, {"conforming": "{policy}_{side}"})
+        .groupBy("run_id", "strategy", "policy")
+        .agg(F.sum("rounds").alias("rounds"), F.sum("conforming").alias("conforming"))
         .withColumn("conformance_pct", rate_pct(F.col("conforming"), F.col("rounds")))
     )
 
@@ -110,15 +125,30 @@ def counterfactual_replay(
     rounds: DataFrame, seed: int = 0, block_bits: int = BLOCK_BITS
 ) -> DataFrame:
     """Score of each policy against the recorded opponent moves, next to the recorded score."""
-    pairs = played_pairs(rounds, REPLAY_POLICIES, seed, block_bits)
-    recorded = payoff(F.col("choice"), F.col("opponent_choice")) * F.col("rounds")
-    replayed = payoff(F.col("policy_choice"), F.col("opponent_choice")) * F.col("rounds")
+    won = {
+        f"{player}_{mine}": F.sum(payoff(F.col(f"{move}_{mine}"), F.col(f"choice_{theirs}")))
+        for player, move in (("recorded", "choice"), *((p, p) for p in REPLAY_POLICIES))
+        for mine, theirs in SIDES
+    }
+    per_match = (
+        replay(rounds, seed, block_bits)
+        .groupBy(*MATCH)
+        .agg(
+            F.count(F.lit(1)).alias("rounds"),
+            *[score.alias(name) for name, score in won.items()],
+        )
+    )
     return (
-        pairs.groupBy("run_id", "strategy", "policy")
+        _per_strategy(
+            per_match,
+            REPLAY_POLICIES,
+            {"recorded": "recorded_{side}", "replayed": "{policy}_{side}"},
+        )
+        .groupBy("run_id", "strategy", "policy")
         .agg(
             F.sum("rounds").alias("rounds"),
-            F.sum(recorded).alias("recorded_score"),
-            F.sum(replayed).alias("replayed_score"),
+            F.sum("recorded").alias("recorded_score"),
+            F.sum("replayed").alias("replayed_score"),
         )
         .withColumn("score_change", F.col("replayed_score") - F.col("recorded_score"))
     )
