@@ -8,6 +8,7 @@ import pytest
 
 from tests.rounds import FULL_MATCHES, match_rows
 from tourney.plans import gold, saved
+from tourney.__main__ import main
 from tourney.plans import build as builder
 from tourney.plans.build import build, read_gold, register_gold, rounds_of
 from tourney.plans.silver import silver_rounds
@@ -182,3 +183,21 @@ def test_scratch_tables_are_removed(spark):
         assert table.count() == 3
         assert {p.name for p in path.iterdir()} != before
     assert {p.name for p in path.iterdir()} == before
+
+
+def test_command_line(spark, bronze_of, tmp_path, capsys):
+    path, warehouse = str(tmp_path / "bronze"), str(tmp_path / "gold")
+    store.append_bronze(bronze_of(("a", "x", "y", ["CD", "CC"])), path)
+    assert main(["run", "--bronze", path, "--warehouse", warehouse]) == 0
+    assert read_gold(spark, warehouse, "gold_tournament_summary").count() == 2
+    assert main(["test", "--bronze", path]) == 0
+    assert "unique_round: 0 of 2" in capsys.readouterr().out
+    store.append_bronze(bronze_of(("a", "x", "y", ["CD"])), path)
+    assert main(["test", "--bronze", path]) == 1
+    assert "unique_round: 1 of 2" in capsys.readouterr().out
+    store.write_run(bronze_of(("?", "x", "y", ["CD"])), str(tmp_path / "landing"), "run00001")
+    folders = {name: str(tmp_path / name) for name in ("landing", "ingested", "rebuilt", "chk")}
+    arguments = ["--landing", folders["landing"], "--bronze", folders["ingested"]]
+    arguments += ["--warehouse", folders["rebuilt"], "--checkpoint", folders["chk"]]
+    assert main(["ingest", *arguments]) == 0
+    assert read_gold(spark, folders["rebuilt"], "gold_matchup_matrix").count() == 1
