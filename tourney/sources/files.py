@@ -37,16 +37,14 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return file_system.exists(location)
 
 
-def broadcast_if_small(df: DataFrame, base_path: str) -> DataFrame:
+def broadcast_if_small(df: DataFrame, base: DataFrame, base_path: str) -> DataFrame:
     """Broadcast ``df`` if the table it has at most one row per row of is small.
 
     Spark's own estimate of a join's size multiplies the sides, so it would shuffle the large side
     for a lookup of a few rows. The rows are only counted when the files are small. Beyond either
     limit there is no hint and Spark joins by shuffle.
     """
-    spark = df.sparkSession
-    if table_bytes(spark, base_path) > BROADCAST_BYTES:
-        return df
-    if spark.read.parquet(base_path).count() > BROADCAST_ROWS:
-        return df
-    return F.broadcast(df)
+    small = table_bytes(df.sparkSession, base_path) <= BROADCAST_BYTES
+    if small and base.count() <= BROADCAST_ROWS:
+        return F.broadcast(df)
+    return df

@@ -49,28 +49,28 @@ def recorded_moves(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers before line items, so that the line items are shuffled once per key, and skewed keys
     of these joins are split at run time.
     """
-    regions = broadcast_if_small(
-        _table(spark, sf_dir, "nation").join(
-            _table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
-        ),
-        _path(sf_dir, "nation"),
+    nation, region, customer, orders, supplier = (
+        _table(spark, sf_dir, name)
+        for name in ("nation", "region", "customer", "orders", "supplier")
     )
+    regions = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
     customers = broadcast_if_small(
-        _table(spark, sf_dir, "customer").join(
-            regions, F.col("c_nationkey") == F.col("n_nationkey")
-        ),
+        customer.join(regions, F.col("c_nationkey") == F.col("n_nationkey")),
+        customer,
         _path(sf_dir, "customer"),
     )
     buyers = broadcast_if_small(
-        _table(spark, sf_dir, "orders")
-        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
-        .select("o_orderkey", F.col("r_name").alias("player_a")),
+        orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).select(
+            "o_orderkey", F.col("r_name").alias("player_a")
+        ),
+        orders,
         _path(sf_dir, "orders"),
     )
     sellers = broadcast_if_small(
-        _table(spark, sf_dir, "supplier")
-        .join(regions, F.col("s_nationkey") == F.col("n_nationkey"))
-        .select("s_suppkey", F.col("r_name").alias("player_b")),
+        supplier.join(regions, F.col("s_nationkey") == F.col("n_nationkey")).select(
+            "s_suppkey", F.col("r_name").alias("player_b")
+        ),
+        supplier,
         _path(sf_dir, "supplier"),
     )
     lines = _table(spark, sf_dir, "lineitem").select(
