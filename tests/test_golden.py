@@ -46,7 +46,7 @@ def test_matrix(full):
 
 @pytest.mark.parametrize("block_bits", [3, 17])
 def test_forgiveness(full, block_bits):
-    rows = {tuple(r)[1:] for r in gold.gold_forgiveness_index(full, block_bits).collect()}
+    rows = {tuple(r)[1:] for r in gold.gold_forgiveness_index(full, block_bits=block_bits).collect()}
     assert rows == {
         ("C", 1999, 1999, 100.0, 1),
         ("D", 1998, 0, 0.0, 2),
@@ -118,7 +118,7 @@ def test_missing_choice(bronze_of, block_bits):
     silver = silver_rounds(bronze_of(("r", "X", "Y", ["CD", "-D", "CC"])))
     second = silver.where("tour = 2").first()
     assert (second.cooperated_a, second.defected_a, second.tour_winner) == (0, 0, "draw")
-    index = keyed(gold.gold_forgiveness_index(silver, block_bits), "strategy")
+    index = keyed(gold.gold_forgiveness_index(silver, block_bits=block_bits), "strategy")
     assert index["X",]["total_betrayals_received"] == 2
     assert index["X",]["total_forgiven"] == 1
     assert index["Y",]["total_betrayals_received"] == 0

@@ -15,6 +15,7 @@ from tourney.plans import gold, policies, quality, replies
 from tourney.plans.silver import silver_rounds
 from tourney.schema import BRONZE, MATCH, PAYOFF
 from tourney.session import materialise
+from tourney.sources.bronze import append_bronze, bronze_in_order
 
 few = settings(
     max_examples=6,
@@ -74,7 +75,7 @@ def test_models_equal_branch_by_branch_forms(spark, rows, block_bits):
         (gold.gold_tournament_summary(silver), naive.summary(silver)),
         (gold.gold_matchup_matrix(silver), naive.matrix(silver)),
         (gold.gold_behavioral_drift(silver), naive.drift(silver)),
-        (gold.gold_forgiveness_index(silver, block_bits), naive.forgiveness(silver)),
+        (gold.gold_forgiveness_index(silver, block_bits=block_bits), naive.forgiveness(silver)),
     ]
     for job, plain in pairs:
         assert as_set(job, job.columns) == as_set(plain, job.columns)
@@ -85,11 +86,11 @@ def test_models_equal_branch_by_branch_forms(spark, rows, block_bits):
 @given(rows=tournaments(), block_bits=st.integers(0, 4))
 def test_counts_equal_walking_through_rounds(spark, rows, block_bits):
     bronze = spark.createDataFrame(rows, BRONZE)
-    index = gold.gold_forgiveness_index(silver_rounds(bronze), block_bits).collect()
+    index = gold.gold_forgiveness_index(silver_rounds(bronze), block_bits=block_bits).collect()
     assert {
         (r.run_id, r.strategy): (r.total_betrayals_received, r.total_forgiven) for r in index
     } == forgiveness_counts(rows)
-    audit = policies.policy_conformance(bronze, block_bits).collect()
+    audit = policies.policy_conformance(bronze, block_bits=block_bits).collect()
     assert {
         (r.run_id, r.strategy, r.policy): r.conforming for r in audit
     } == conformance_counts(rows)
@@ -210,3 +211,33 @@ def test_stats_count_distinct_strategies(bronze_of):
         "r": (5, 3, 2),
         "s": (2, 1, 2),
     }
+
+
+def test_a_round_with_most_rows_as_copies(spark, tmp_path):
+    played = match_rows("r", "x", "y", ["CD", "DD", "CC", "DC", "CD"])
+    rows = played[:2] + [played[2]] * 300 + played[3:] + match_rows("r", "x", "z", ["DD", "CC"])
+    path = str(tmp_path / "copies")
+    append_bronze(spark.createDataFrame(rows, BRONZE).repartition(3), path)
+    bronze = materialise(bronze_in_order(spark, path), "copies")
+    assert bronze.select("position").distinct().count() == len(rows)
+
+    # Copies of a round are alike, so any order among them gives the counts of this one.
+    expected = [(*row[:1], i, *row[2:]) for i, row in enumerate(rows)]
+    index = gold.gold_forgiveness_index(bronze, order="position", block_bits=3).collect()
+    assert {
+        (r.run_id, r.strategy): (r.total_betrayals_received, r.total_forgiven) for r in index
+    } == forgiveness_counts(expected)
+    audit = policies.policy_conformance(bronze, order="position", block_bits=3).collect()
+    assert {(r.run_id, r.strategy, r.policy): r.conforming for r in audit} == conformance_counts(
+        expected
+    )
+    scored = add_running_scores(bronze.drop("cumul_a", "cumul_b"), "position", block_bits=3)
+    finals = scored.groupBy("player_b").agg(F.max("cumul_a").alias("a")).collect()
+    assert {r.player_b: r.a for r in finals} == {"y": 0 + 1 + 3 * 300 + 5 + 0, "z": 1 + 3}
+    prompts = replies.history_prompts(bronze, order="position", block_bits=3)
+    assert prompts.count() == 2 * len(rows)
+    openings = prompts.where(F.col("prompt").contains("premier tour"))
+    assert openings.count() == 4
+
+    report = {r.rule: (r.checked, r.violations) for r in quality.dq_report(bronze).collect()}
+    assert report["unique_round"] == (7, 1)

@@ -13,7 +13,7 @@ from tourney.plans import build as builder
 from tourney.plans.build import build, read_gold, register_gold, rounds_of
 from tourney.plans.silver import silver_rounds
 from tourney.schema import BRONZE, GOLD
-from tourney.session import scratch_dir, scratch_table
+from tourney.session import materialise, scratch_dir, scratch_table
 from tourney.sources import bronze as store
 from tourney.streaming.ingest import ingest_new_runs
 
@@ -69,6 +69,16 @@ def test_build_writes_every_gold_table(spark, bronze_of, tmp_path):
     assert ranks == sorted(ranks)
 
 
+def test_build_by_position(spark, bronze_of, tmp_path):
+    path, warehouse = str(tmp_path / "bronze"), str(tmp_path / "gold")
+    bronze = bronze_of(*FULL_MATCHES)
+    store.append_bronze(bronze, path)
+    build(materialise(store.bronze_in_order(spark, path), "b"), warehouse, order="position")
+    for name in GOLD:
+        expected = getattr(gold, name)(silver_rounds(bronze))
+        assert rows_of(read_gold(spark, warehouse, name)) == rows_of(expected)
+
+
 def test_layer_selection(spark, bronze_of, tmp_path):
     bronze = bronze_of(("r", "x", "y", ["CD"]))
     spark.catalog.dropTempView("silver_rounds")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 POSITION = "position"
@@ -23,3 +23,14 @@ def place_in_order(df: DataFrame, order: Sequence[str], keep: Sequence[str]) ->
         .sortWithinPartitions(*order)
         .select(*keep, F.monotonically_increasing_id().alias(POSITION))
     )
+
+
+def file_row_columns() -> dict[str, Column]:
+    """Columns that tell apart the rows of a Parquet table, exact copies included.
+
+    The same on every read of the same files, so a lost task places its rows where they were.
+    """
+    return {
+        "file_hash": F.xxhash64("_metadata.file_path"),
+        "file_row": F.col("_metadata.row_index"),
+    }

@@ -18,23 +18,26 @@ LAYERS = ("silver", "gold")
 LISTED_RUNS = 10_000
 
 
-def build(bronze: DataFrame, warehouse: str, select: Sequence[str] = LAYERS) -> None:
-    """Rebuild the selected layers: silver as a view, each gold table as one full write."""
+def build(
+    bronze: DataFrame, warehouse: str, select: Sequence[str] = LAYERS, order: str = "tour"
+) -> None:
+    """Rebuild the selected layers: silver as a view, each gold table as one full write.
+
+    ``order`` names the column that orders the rounds of a match, ``position`` for a stored
+    ``bronze_in_order``.
+    """
     unknown = set(select) - set(LAYERS)
     if unknown:
         raise ValueError(f"unknown layers: {sorted(unknown)}")
-    silver = silver_rounds(bronze)
     if "silver" in select:
-        describe(silver).createOrReplaceTempView("silver_rounds")
+        describe(silver_rounds(bronze)).createOrReplaceTempView("silver_rounds")
     if "gold" in select:
-        _write_gold_tables(silver, warehouse)
+        _write_gold_tables(bronze, warehouse, order)
 
 
 def rebuild_runs(bronze: DataFrame, runs: DataFrame, warehouse: str) -> None:
     """Rebuild the gold rows of ``runs`` (a frame of ``run_id``) and leave other runs alone."""
-    _write_gold_tables(
-        silver_rounds(rounds_of(bronze, runs)), warehouse, only_present_runs=True
-    )
+    _write_gold_tables(rounds_of(bronze, runs), warehouse, only_present_runs=True)
 
 
 def rounds_of(bronze: DataFrame, runs: DataFrame) -> DataFrame:
@@ -50,17 +53,18 @@ def rounds_of(bronze: DataFrame, runs: DataFrame) -> DataFrame:
 
 
 def _write_gold_tables(
-    silver: DataFrame, warehouse: str, only_present_runs: bool = False
+    bronze: DataFrame, warehouse: str, order: str = "tour", only_present_runs: bool = False
 ) -> None:
     """Leaderboard, matrix and drift share one stored table of per-bucket totals, so the rounds
     are folded once for the three of them."""
-    with scratch_table(gold.totals(silver, gold.PER_BUCKET), "bucket-totals") as buckets:
+    totals = gold.totals(silver_rounds(bronze), gold.PER_BUCKET)
+    with scratch_table(totals, "bucket-totals") as buckets:
         matches = gold.roll_up(buckets, gold.PER_MATCH)
         tables = {
             "gold_tournament_summary": gold.tournament_summary(matches),
             "gold_matchup_matrix": gold.matchup_matrix(matches),
             "gold_behavioral_drift": gold.behavioral_drift(buckets),
-            "gold_forgiveness_index": gold.forgiveness_index(silver),
+            "gold_forgiveness_index": gold.forgiveness_index(bronze, order),
         }
         for name, table in tables.items():
             write_gold(table, warehouse, name, only_present_runs)

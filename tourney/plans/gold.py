@@ -149,7 +149,9 @@ def _answers(faced: Column, move: Column) -> dict[str, Column]:
     }
 
 
-def forgiveness_index(silver: DataFrame, block_bits: int = BLOCK_BITS) -> DataFrame:
+def forgiveness_index(
+    silver: DataFrame, order: str = "tour", block_bits: int = BLOCK_BITS
+) -> DataFrame:
     """Share of rounds right after an opponent's defection in which the strategy cooperates.
 
     The previous round is the previous recorded one, whatever its number. Rounds whose previous
@@ -161,12 +163,12 @@ def forgiveness_index(silver: DataFrame, block_bits: int = BLOCK_BITS) -> DataFr
     """
     moves = silver.select(
         *MATCH,
-        "tour",
-        block_of("tour", block_bits).alias("block"),
+        order,
+        block_of(order, block_bits).alias("block"),
         _move_code("choice_a").alias("move_a"),
         _move_code("choice_b").alias("move_b"),
     )
-    within = Window.partitionBy(*MATCH, "block").orderBy("tour")
+    within = Window.partitionBy(*MATCH, "block").orderBy(order)
     in_block = moves.select(
         *MATCH,
         "block",

@@ -49,11 +49,13 @@ def policy_moves(window: WindowSpec) -> dict[str, Column]:
     }
 
 
-def replay(rounds: DataFrame, seed: int = 0, block_bits: int = BLOCK_BITS) -> DataFrame:
+def replay(
+    rounds: DataFrame, seed: int = 0, order: str = "tour", block_bits: int = BLOCK_BITS
+) -> DataFrame:
     """Rounds with the move of every policy for both sides, ``<policy>_a`` and ``<policy>_b``."""
     moves = rounds.select(
         *MATCH,
-        "tour",
+        *dict.fromkeys(("tour", order)),
         "choice_a",
         "choice_b",
         flag(defected("choice_a")).alias("defected_a"),
@@ -64,6 +66,7 @@ def replay(rounds: DataFrame, seed: int = 0, block_bits: int = BLOCK_BITS) -> Da
         policy_moves,
         last=("choice_a", "choice_b"),
         total=("defected_a", "defected_b"),
+        order=order,
         block_bits=block_bits,
     )
     return replayed.withColumns(
@@ -97,10 +100,12 @@ def _per_strategy(
     return per_match.select("run_id", "rounds", F.inline(F.array(*rows)))
 
 
-def policy_conformance(rounds: DataFrame, block_bits: int = BLOCK_BITS) -> DataFrame:
+def policy_conformance(
+    rounds: DataFrame, order: str = "tour", block_bits: int = BLOCK_BITS
+) -> DataFrame:
     """Share of a strategy's recorded moves that equal the policy's move."""
     per_match = (
-        replay(rounds, block_bits=block_bits)
+        replay(rounds, order=order, block_bits=block_bits)
         .groupBy(*MATCH)
         .agg(
             F.count(F.lit(1)).alias("rounds"),
@@ -122,7 +127,7 @@ def policy_conformance(rounds: DataFrame, block_bits: int = BLOCK_BITS) -> DataF
 
 
 def counterfactual_replay(
-    rounds: DataFrame, seed: int = 0, block_bits: int = BLOCK_BITS
+    rounds: DataFrame, seed: int = 0, order: str = "tour", block_bits: int = BLOCK_BITS
 ) -> DataFrame:
     """Score of each policy against the recorded opponent moves, next to the recorded score."""
     won = {
@@ -131,7 +136,7 @@ def counterfactual_replay(
         for mine, theirs in SIDES
     }
     per_match = (
-        replay(rounds, seed, block_bits)
+        replay(rounds, seed, order, block_bits)
         .groupBy(*MATCH)
         .agg(
             F.count(F.lit(1)).alias("rounds"),

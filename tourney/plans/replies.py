@@ -11,7 +11,9 @@ from tourney.operators.sides import unpivot_sides
 from tourney.schema import COOPERATE, DEFECT, MATCH
 
 
-def history_prompts(rounds: DataFrame, block_bits: int = BLOCK_BITS) -> DataFrame:
+def history_prompts(
+    rounds: DataFrame, order: str = "tour", block_bits: int = BLOCK_BITS
+) -> DataFrame:
     """Prompt of each side in each round, written from the rounds before it."""
 
     def look_back(window):
@@ -21,14 +23,17 @@ def history_prompts(rounds: DataFrame, block_bits: int = BLOCK_BITS) -> DataFram
             "last_b": F.lag("choice_b").over(window),
             "score_a": F.sum("gain_a").over(before),
             "score_b": F.sum("gain_b").over(before),
-            "opening": F.lag("tour").over(window).isNull(),
+            "opening": F.lag(order).over(window).isNull(),
         }
 
     seen = over_history(
-        rounds.select(*MATCH, "tour", "choice_a", "choice_b", "gain_a", "gain_b"),
+        rounds.select(
+            *MATCH, *dict.fromkeys(("tour", order)), "choice_a", "choice_b", "gain_a", "gain_b"
+        ),
         look_back,
         last=("choice_a", "choice_b"),
         total=("gain_a", "gain_b"),
+        order=order,
         block_bits=block_bits,
     )
     sides = unpivot_sides(

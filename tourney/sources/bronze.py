@@ -8,6 +8,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tourney.operators.ordering import file_row_columns, place_in_order
 from tourney.schema import BRONZE, MATCH, describe
 
 
@@ -64,3 +65,19 @@ def read_bronze(spark: SparkSession, path: str) -> DataFrame:
 def read_landing(spark: SparkSession, landing: str) -> DataFrame:
     """All run files of a landing folder, without loading them into the bronze table first."""
     return spark.read.schema(BRONZE).option("recursiveFileLookup", "true").parquet(landing)
+
+
+def bronze_in_order(spark: SparkSession, path: str) -> DataFrame:
+    """Bronze rounds with a ``position`` in match order that copies of a round do not share.
+
+    For tables that hold many copies of a round: store it, then give the jobs over the history of a
+    match ``order="position"``, and copies spread over blocks like any other rounds. Where they
+    stand among each other follows their place in the files.
+    """
+    by_file = file_row_columns()
+    rows = spark.read.schema(BRONZE).parquet(path)
+    return place_in_order(
+        rows.select(*BRONZE.names, *[c.alias(n) for n, c in by_file.items()]),
+        order=(*MATCH, "tour", *by_file),
+        keep=BRONZE.names,
+    )

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tourney.operators.history import over_history
-from tourney.operators.ordering import POSITION, place_in_order
+from tourney.operators.ordering import POSITION, file_row_columns, place_in_order
 from tourney.operators.scoring import add_gains
 from tourney.schema import BRONZE, COOPERATE, DEFECT, MATCH
 from tourney.session import scratch_table, store
@@ -78,8 +78,7 @@ def recorded_moves(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_returnflag") == "R", DEFECT).otherwise(COOPERATE).alias("choice_a"),
         F.when(F.col("l_discount") < 0.035, DEFECT).otherwise(COOPERATE).alias("choice_b"),
         *ROUND_ORDER[:-2],
-        F.xxhash64("_metadata.file_path").alias("file_hash"),
-        F.col("_metadata.row_index").alias("file_row"),
+        *[column.alias(name) for name, column in file_row_columns().items()],
     )
     return (
         lines.join(buyers, F.col("l_orderkey") == F.col("o_orderkey"))
