@@ -56,6 +56,12 @@ def test_history_jobs_never_sort_a_whole_match_of_rounds(bronze):
             assert "block" in spec[1]
 
 
+def test_run_filter_reaches_both_reads_of_the_history(bronze):
+    plan = plan_of(replies.history_prompts(bronze).where("run_id = 'r'"))
+    assert plan.count("FileScan parquet") == 2
+    assert plan.count("EqualTo(run_id,r)") == 2
+
+
 def test_gains_come_from_a_broadcast_join(bronze):
     plan = plan_of(add_gains(bronze.drop("gain_a", "gain_b")))
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
