@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tourney.llm import bpe
+from tourney.llm import bpe, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,8 +21,14 @@ def _bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"), vocabulary)
 
 
+def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    )
+
+
 def queries() -> dict[str, Query]:
-    return {"op10_bpe": _bpe}
+    return {"op8_toxicity": _toxicity, "op10_bpe": _bpe}
 
 
 def oracle_sql() -> dict[str, str]:
