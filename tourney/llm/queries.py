@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tourney.llm import bpe, toxicity
+from tourney.llm import bpe, chat, toxicity, warc
+from tourney.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +23,23 @@ def _bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"), vocabulary)
 
 
+def _warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    warc.register(spark)
+    path = f"{scratch_dir(spark)}/archive-{uuid.uuid4().hex}"
+    records = warc.archive_records(_table(spark, sf_dir, "pages"))
+    records.write.format("warc").mode("append").save(path)
+    return warc.archived_pages(spark, path)
+
+
+def _chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    extra = [(-7, turn, role, said) for turn, role in enumerate(("user", "assistant"))]
+    return chat.read_back(
+        chat.format_windows(rows.unionByName(spark.createDataFrame(extra, rows.schema)))
+    )
+
+
 def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
@@ -28,7 +47,8 @@ def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op8_toxicity": _toxicity, "op10_bpe": _bpe}
+    return {"op4_warc": _warc, "op8_toxicity": _toxicity,
+        "op9_chat": _chat, "op10_bpe": _bpe}
 
 
 def oracle_sql() -> dict[str, str]:
