@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tourney.llm import bpe, chat, toxicity, warc
+from tourney.llm import bpe, chat, mixing, toxicity, warc
 from tourney.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,10 @@ def _bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"), vocabulary)
 
 
+def _mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(_table(spark, sf_dir, "documents"))
+
+
 def _warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     warc.register(spark)
     path = f"{scratch_dir(spark)}/archive-{uuid.uuid4().hex}"
@@ -47,9 +51,11 @@ def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op4_warc": _warc, "op8_toxicity": _toxicity,
+    return {
+        "op1_mixing": _mixing,
+        "op4_warc": _warc, "op8_toxicity": _toxicity,
         "op9_chat": _chat, "op10_bpe": _bpe}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_mixing": mixing.ORACLE_SQL}
