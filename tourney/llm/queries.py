@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tourney.llm import bpe, chat, mixing, toxicity, warc
+from tourney.llm import bpe, chat, minhash, mixing, toxicity, warc
 from tourney.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,10 @@ def _mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(_table(spark, sf_dir, "documents"))
 
 
+def _minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"), words=4, percent=80)
+
+
 def _warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     warc.register(spark)
     path = f"{scratch_dir(spark)}/archive-{uuid.uuid4().hex}"
@@ -53,6 +57,7 @@ def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_mixing": _mixing,
+        "op2_minhash": _minhash,
         "op4_warc": _warc, "op8_toxicity": _toxicity,
         "op9_chat": _chat, "op10_bpe": _bpe}
 
