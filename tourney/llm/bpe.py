@@ -10,24 +10,28 @@ The vocabulary is read on the driver and broadcast; its file size is checked fir
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import json
 import os
 import unicodedata
 from collections.abc import Iterator
 
-import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # A vocabulary file may be broadcast up to this size.
 MAX_VOCABULARY_BYTES = 64 << 20
-# Words kept with their ids per worker process; beyond that they are encoded anew.
-CACHED_WORDS = 400_000
-CACHED_WORD_CHARS = 64
+# Words, and pieces between white space, kept with their ids per worker process; beyond that they
+# are encoded anew.
+CACHED_WORDS = 150_000
+CACHED_PIECES = 300_000
+CACHED_CHARS = 64
+# Rows turned into Python objects at a time.
+SLICE_ROWS = 200
 
 
 def byte_symbols() -> list[str]:
@@ -60,7 +64,13 @@ class Bpe:
         self.steps = spec["normalizer"]["normalizers"]
         split = spec["pre_tokenizer"]["pretokenizers"][0]
         self.pattern: str = split["pattern"]["Regex"]
-        self.cache: dict[str, list[int]] = {}
+        # Characters that only one of str.split() and the white space of the pattern takes for space.
+        space = regex.compile(r"\s")
+        self.odd_spaces = "".join(
+            c for c in map(chr, range(0x3100)) if c.isspace() != bool(space.match(c))
+        )
+        self.words: dict[str, list[int]] = {}
+        self.pieces: dict[str, list[int]] = {}
         self._prepared = False
 
     def _prepare(self) -> None:
@@ -79,6 +89,7 @@ class Bpe:
         symbols = byte_symbols()
         self._byte_ids = [self.vocab.get(s) for s in symbols]
         self._last_ids = [self.vocab.get(s + self.suffix) for s in symbols]
+        self._odd = regex.compile(f"[{regex.escape(self.odd_spaces)}]") if self.odd_spaces else None
         self._prepared = True
 
     def normalise(self, text: str) -> str:
@@ -130,14 +141,29 @@ class Bpe:
                         heapq.heappush(queue, entry)
         return [i for i in ids if i != gone]
 
-    def _encode_plain(self, text: str, out: list[int]) -> None:
-        cache = self.cache
+    def _encode_piece(self, text: str) -> list[int]:
+        known, out = self.words, []
         for word in self._words.findall(self.normalise(text)):
-            ids = cache.get(word)
+            ids = known.get(word)
             if ids is None:
                 ids = self.merge(word)
-                if len(word) <= CACHED_WORD_CHARS and len(cache) < CACHED_WORDS:
-                    cache[word] = ids
+                if len(word) <= CACHED_CHARS and len(known) < CACHED_WORDS:
+                    known[word] = ids
+            out += ids
+        return out
+
+    def _encode_plain(self, text: str, out: list[int]) -> None:
+        """No word, and no composition of characters, reaches over white space."""
+        if self._odd is not None and self._odd.search(text):
+            out += self._encode_piece(text)
+            return
+        known = self.pieces
+        for piece in text.split():
+            ids = known.get(piece)
+            if ids is None:
+                ids = self._encode_piece(piece)
+                if len(piece) <= CACHED_CHARS and len(known) < CACHED_PIECES:
+                    known[piece] = ids
             out += ids
 
     def encode(self, text: str | None) -> list[int]:
@@ -165,38 +191,52 @@ def load_bpe(path: str) -> Bpe:
         return Bpe(json.load(file))
 
 
-class BpeColumns:
-    """Column functions over one broadcast vocabulary."""
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    for start in range(0, batch.num_rows, SLICE_ROWS):
+        yield batch.slice(start, SLICE_ROWS)
 
-    def __init__(self, spark: SparkSession, path: str) -> None:
-        shared = spark.sparkContext.broadcast(load_bpe(path))
 
-        @F.pandas_udf(T.ArrayType(T.IntegerType()))
-        def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            bpe = shared.value
-            for texts in batches:
-                yield pd.Series([np.array(bpe.encode(t), dtype=np.int32) for t in texts])
+def encode_documents(
+    docs: DataFrame, path: str, text: str = "text", ids: str = "token_ids"
+) -> DataFrame:
+    """``docs`` with the token ids of each text in the column ``ids``, which replaces one of that
+    name. A null or empty text has no tokens."""
+    shared = docs.sparkSession.sparkContext.broadcast(load_bpe(path))
+    plain = docs.drop(ids)
+    schema = T.StructType([*plain.schema, T.StructField(ids, T.ArrayType(T.IntegerType()))])
 
-        @F.pandas_udf(T.StringType())
-        def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            bpe = shared.value
-            for lists in batches:
-                yield pd.Series([None if x is None else bpe.decode(x.tolist()) for x in lists])
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = shared.value
+        for batch in batches:
+            for part in _slices(batch):
+                found = [bpe.encode(t) for t in part.column(text).to_pylist()]
+                column = pa.array(found, pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, column], [*part.schema.names, ids]
+                )
 
-        self._encode, self._decode = encode, decode
+    return plain.mapInArrow(encode, schema)
 
-    def encode(self, text: str | Column) -> Column:
-        """Array of token ids; a null or empty text has none."""
-        return self._encode(text)
 
-    def decode(self, ids: str | Column) -> Column:
-        """Text of an array of ids, null for a null array."""
-        return self._decode(ids)
+def decode_documents(
+    docs: DataFrame, path: str, ids: str = "token_ids", text: str = "decoded"
+) -> DataFrame:
+    """``docs`` with the text of each array of ids in the column ``text``; null for a null array."""
+    shared = docs.sparkSession.sparkContext.broadcast(load_bpe(path))
+    plain = docs.drop(text)
+    schema = T.StructType([*plain.schema, T.StructField(text, T.StringType())])
 
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = shared.value
+        for batch in batches:
+            for part in _slices(batch):
+                lists = part.column(ids).to_pylist()
+                found = [None if x is None else bpe.decode(x) for x in lists]
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(found, pa.string())], [*part.schema.names, text]
+                )
 
-def encode_documents(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
-    """``docs`` with ``token_ids`` added, replacing a column of that name."""
-    return docs.withColumn("token_ids", BpeColumns(docs.sparkSession, path).encode(text))
+    return plain.mapInArrow(decode, schema)
 
 
 def round_trip(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -205,12 +245,36 @@ def round_trip(docs: DataFrame, path: str, key: str = "doc_id", text: str = "tex
     Whole texts are encoded, whatever their length. Null and empty texts have no tokens and the
     digests of the empty string; rows with the same key stay separate rows.
     """
-    columns = BpeColumns(docs.sparkSession, path)
-    ids = docs.select(F.col(key).alias(key), columns.encode(text).alias("ids"))
-    read = ids.select(key, "ids", columns.decode("ids").alias("decoded"))
-    return read.select(
-        key,
-        F.size("ids").cast("bigint").alias("n_tokens"),
-        F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+    shared = docs.sparkSession.sparkContext.broadcast(load_bpe(path))
+    kept = docs.select(F.col(key).alias(key), F.col(text).alias("text"))
+    schema = T.StructType(
+        [
+            kept.schema[key],
+            T.StructField("n_tokens", T.LongType()),
+            T.StructField("ids_sha256", T.StringType()),
+            T.StructField("decoded_sha256", T.StringType()),
+        ]
     )
+
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = shared.value
+        for batch in batches:
+            for part in _slices(batch):
+                rows = []
+                for given in part.column("text").to_pylist():
+                    ids = bpe.encode(given)
+                    listed = " ".join(map(str, ids)).encode()
+                    decoded = bpe.decode(ids).encode()
+                    rows.append(
+                        (
+                            len(ids),
+                            hashlib.sha256(listed).hexdigest(),
+                            hashlib.sha256(decoded).hexdigest(),
+                        )
+                    )
+                columns = list(zip(*rows, strict=True))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(key), *map(pa.array, columns)], schema.names
+                )
+
+    return kept.mapInArrow(digests, schema)
