@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tourney.llm import bpe, chat, minhash, mixing, toxicity, warc
+from tourney.llm import bpe, chat, minhash, mixing, suffixes, toxicity, warc
 from tourney.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,10 @@ def _minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), words=4, percent=80)
 
 
+def _suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(_table(spark, sf_dir, "documents"), length=400).drop("kept")
+
+
 def _warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     warc.register(spark)
     path = f"{scratch_dir(spark)}/archive-{uuid.uuid4().hex}"
@@ -58,7 +62,8 @@ def queries() -> dict[str, Query]:
     return {
         "op1_mixing": _mixing,
         "op2_minhash": _minhash,
-        "op4_warc": _warc, "op8_toxicity": _toxicity,
+        "op4_warc": _warc, "op6_suffixes": _suffixes,
+        "op8_toxicity": _toxicity,
         "op9_chat": _chat, "op10_bpe": _bpe}
 
 
