@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tourney.llm import bpe, chat, minhash, mixing, suffixes, toxicity, warc
+from tourney.llm import bpe, chat, minhash, mixing, quantised, suffixes, toxicity, warc
 from tourney.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,10 @@ def _suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeats(_table(spark, sf_dir, "documents"), length=400).drop("kept")
 
 
+def _quantised(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quantised.linked_vectors(_table(spark, sf_dir, "embeddings"), cosine=0.95)
+
+
 def _warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     warc.register(spark)
     path = f"{scratch_dir(spark)}/archive-{uuid.uuid4().hex}"
@@ -62,9 +66,13 @@ def queries() -> dict[str, Query]:
     return {
         "op1_mixing": _mixing,
         "op2_minhash": _minhash,
-        "op4_warc": _warc, "op6_suffixes": _suffixes,
+        "op3_quantised": _quantised,
+        "op4_warc": _warc,
+        "op6_suffixes": _suffixes,
         "op8_toxicity": _toxicity,
-        "op9_chat": _chat, "op10_bpe": _bpe}
+        "op9_chat": _chat,
+        "op10_bpe": _bpe,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
