@@ -7,8 +7,19 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-
-from tourney.llm import bpe, chat, minhash, mixing, quantised, suffixes, toxicity, warc
+from pyspark.sql import functions as F
+
+from tourney.llm import (
+    bpe,
+    chat,
+    graph_search,
+    minhash,
+    mixing,
+    quantised,
+    suffixes,
+    toxicity,
+    warc,
+)
 from tourney.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +50,12 @@ def _quantised(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quantised.linked_vectors(_table(spark, sf_dir, "embeddings"), cosine=0.95)
 
 
+def _graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph_search.nearest(
+        _table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20
+    )
+
+
 def _warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     warc.register(spark)
     path = f"{scratch_dir(spark)}/archive-{uuid.uuid4().hex}"
@@ -69,6 +86,7 @@ def queries() -> dict[str, Query]:
         "op3_quantised": _quantised,
         "op4_warc": _warc,
         "op6_suffixes": _suffixes,
+        "op7_graph_search": _graph_search,
         "op8_toxicity": _toxicity,
         "op9_chat": _chat,
         "op10_bpe": _bpe,
