@@ -13,6 +13,7 @@ from tourney.llm import (
     bpe,
     chat,
     graph_search,
+    licenses,
     minhash,
     mixing,
     quantised,
@@ -56,6 +57,10 @@ def _graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_summary(_table(spark, sf_dir, "documents"))
+
+
 def _warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     warc.register(spark)
     path = f"{scratch_dir(spark)}/archive-{uuid.uuid4().hex}"
@@ -85,6 +90,7 @@ def queries() -> dict[str, Query]:
         "op2_minhash": _minhash,
         "op3_quantised": _quantised,
         "op4_warc": _warc,
+        "op5_licenses": _licenses,
         "op6_suffixes": _suffixes,
         "op7_graph_search": _graph_search,
         "op8_toxicity": _toxicity,
@@ -94,4 +100,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mixing": mixing.ORACLE_SQL}
+    return {"op1_mixing": mixing.ORACLE_SQL, "op5_licenses": licenses.ORACLE_SQL}
