@@ -256,7 +256,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
 
 
 def without_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that are kept, one document of each group, columns unchanged."""
+    """The rows of ``docs`` whose id is kept, one document of each group, columns unchanged.
+
+    Rows that share an id stay or go together; they stay if one of them is kept.
+    """
     judged = near_duplicates(docs, words, percent)
-    dropped = judged.where("NOT kept").select(F.col("doc_id").alias("_dropped")).distinct()
+    by_id = judged.groupBy(F.col("doc_id").alias("_dropped")).agg(F.bool_or("kept").alias("_kept"))
+    dropped = materialise(by_id.where("NOT _kept").select("_dropped"), "dropped-documents")
     return docs.join(dropped, F.col("doc_id") == F.col("_dropped"), "left_anti")

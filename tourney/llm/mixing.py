@@ -156,6 +156,12 @@ def mix(
     )
 
 
+def sampled_documents(docs: DataFrame, token_share: float = TOKEN_SHARE) -> DataFrame:
+    """The rows of ``docs`` that the draw picks, columns unchanged."""
+    packed = docs.select(F.struct("*").alias("_row"), "doc_id", "text", "source", "lang")
+    return mix(packed, token_share=token_share).where("sampled").select("_row.*")
+
+
 def mixture(docs: DataFrame) -> DataFrame:
     """The draw of every document, without its text."""
     return mix(docs).select(

@@ -44,7 +44,7 @@ def _minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffixes.remove_repeats(_table(spark, sf_dir, "documents"), length=400).drop("kept")
+    return suffixes.remove_repeats(_table(spark, sf_dir, "documents"), length=400)
 
 
 def _quantised(spark: SparkSession, sf_dir: str) -> DataFrame:
