@@ -54,13 +54,13 @@ silver AS (
          CAST(coalesce(choice_b = 'COOPERATE', false) AS INTEGER) AS cooperated_b,
          CAST(coalesce(choice_a = 'DEFECT', false) AS INTEGER) AS defected_a,
          CAST(coalesce(choice_b = 'DEFECT', false) AS INTEGER) AS defected_b,
-         CAST(coalesce(choice_a || choice_b = 'COOPERATECOOPERATE', false) AS INTEGER)
+         CASE WHEN choice_a = 'COOPERATE' AND choice_b = 'COOPERATE' THEN 1 ELSE 0 END
            AS mutual_cooperation,
-         CAST(coalesce(choice_a || choice_b = 'DEFECTDEFECT', false) AS INTEGER)
+         CASE WHEN choice_a = 'DEFECT' AND choice_b = 'DEFECT' THEN 1 ELSE 0 END
            AS mutual_defection,
-         CAST(coalesce(choice_a || choice_b = 'DEFECTCOOPERATE', false) AS INTEGER)
+         CASE WHEN choice_a = 'DEFECT' AND choice_b = 'COOPERATE' THEN 1 ELSE 0 END
            AS exploitation_by_a,
-         CAST(coalesce(choice_a || choice_b = 'COOPERATEDEFECT', false) AS INTEGER)
+         CASE WHEN choice_b = 'DEFECT' AND choice_a = 'COOPERATE' THEN 1 ELSE 0 END
            AS exploitation_by_b,
          CAST((tour + 99) // 100 * 100 AS BIGINT) AS tour_bucket,
          CASE sign(gain_a - gain_b) WHEN 1 THEN player_a WHEN -1 THEN player_b ELSE 'draw' END
@@ -147,7 +147,7 @@ forgiveness AS (
 # Every side of every round with what each policy would have played there.
 REPLAY = """
 seen AS (
-  SELECT run_id, strategy, side, tour, choice, opponent_choice,
+  SELECT run_id, strategy, opponent, side, tour, choice, opponent_choice,
          lag(opponent_choice) OVER m AS faced,
          count(*) FILTER (opponent_choice = 'DEFECT') OVER (
            m ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS betrayals_before
@@ -161,7 +161,10 @@ replay AS (
            WHEN 'always_defect' THEN 'DEFECT'
            WHEN 'tit_for_tat' THEN coalesce(s.faced, 'COOPERATE')
            WHEN 'grim_trigger' THEN if(s.betrayals_before > 0, 'DEFECT', 'COOPERATE')
-           ELSE if((s.tour % 65521 + if(s.side = 'A', 0, 1)) * 17364 % 65521 < 32760,
+           ELSE if(substr(md5(concat_ws('|', '0', s.run_id,
+                                       if(s.side = 'A', s.strategy, s.opponent),
+                                       if(s.side = 'A', s.opponent, s.strategy),
+                                       CAST(s.tour AS VARCHAR), lower(s.side))), 1, 1) < '8',
                    'COOPERATE', 'DEFECT')
          END AS policy_choice
   FROM seen s
@@ -169,11 +172,125 @@ replay AS (
                      ('random')) AS p(policy)
 )"""
 
+# Faults that follow from the round number; the names of the clean and the faulty rounds are such
+# that what follows reads the faulty ones.
+FAULTS = """
+bronze AS (
+  SELECT * REPLACE (CASE WHEN tour % 11 = 3 THEN NULL ELSE choice_a END AS choice_a,
+                    CASE WHEN tour % 13 = 5 THEN 'MAYBE' ELSE choice_b END AS choice_b)
+  FROM recorded WHERE tour % 17 <> 9
+)"""
+
+BROKEN = """
+bronze AS (
+  SELECT * REPLACE (CASE WHEN tour % 23 = 6 THEN 7 ELSE gain_a END AS gain_a,
+                    CASE WHEN tour % 29 = 8 THEN cumul_b + 1 ELSE cumul_b END AS cumul_b,
+                    CASE WHEN tour % 31 = 10 THEN NULL ELSE player_b END AS player_b)
+  FROM faulty JOIN (VALUES (1), (2)) AS c(copy) ON copy = 1 OR tour % 19 = 4
+)"""
+
+
+def _renamed(part: str, name: str) -> str:
+    return part.replace("bronze AS (", f"{name} AS (", 1)
+
+
 _TO_SCORED = (PAYOFF, MOVES, SCORED)
 _TO_BRONZE = (*_TO_SCORED, BRONZE)
 _TO_SILVER = (*_TO_BRONZE, SILVER)
 _TO_SIDES = (*_TO_SILVER, SIDES)
 
+_TO_FAULTY = (*_TO_SCORED, _renamed(BRONZE, "recorded"), FAULTS)
+_FAULTY_SIDES = (*_TO_FAULTY, SILVER, SIDES)
+_TO_BROKEN = (*_TO_FAULTY[:-1], _renamed(FAULTS, "faulty"), BROKEN)
+
+CONFORMANCE = """
+SELECT run_id, strategy, policy, count(*) AS rounds,
+       count(*) FILTER (choice = policy_choice) AS conforming,
+       round(count(*) FILTER (choice = policy_choice) / count(*) * 100, 2) AS conformance_pct
+FROM replay WHERE policy <> 'random'
+GROUP BY run_id, strategy, policy"""
+
+COUNTERFACTUAL = """
+SELECT r.run_id, r.strategy, r.policy, count(*) AS rounds,
+       count(played.gain) AS scored_rounds,
+       CAST(sum(played.gain) AS BIGINT) AS recorded_score,
+       CAST(sum(replayed.gain) FILTER (played.gain IS NOT NULL) AS BIGINT) AS replayed_score,
+       CAST(sum(replayed.gain) FILTER (played.gain IS NOT NULL) - sum(played.gain) AS BIGINT)
+         AS score_change
+FROM replay r
+LEFT JOIN payoff played ON played.mine = r.choice AND played.theirs = r.opponent_choice
+LEFT JOIN payoff replayed ON replayed.mine = r.policy_choice
+                         AND replayed.theirs = r.opponent_choice
+GROUP BY r.run_id, r.strategy, r.policy"""
+
+PROMPTS = """
+SELECT run_id, player_a, player_b, side, tour, strategy,
+       'Tu joues au dilemme du prisonnier itératif.' || chr(10) ||
+       CASE WHEN opening THEN 'C''est le premier tour.'
+            ELSE 'Tour précédent : tu as joué ' || coalesce(my_last, 'None')
+                 || ', l''adversaire a joué ' || coalesce(their_last, 'None')
+                 || '. Ton score cumulé : ' || CAST(coalesce(score, 0) AS VARCHAR) || '.' END
+       || chr(10) || 'Réponds UNIQUEMENT par COOPERATE ou DEFECT, rien d''autre.' AS prompt
+FROM (
+  SELECT run_id, player_a, player_b, 'A' AS side, tour, player_a AS strategy,
+         lag(choice_a) OVER m AS my_last, lag(choice_b) OVER m AS their_last,
+         lag(tour) OVER m IS NULL AS opening,
+         CAST(sum(gain_a) OVER (m ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS BIGINT)
+           AS score
+  FROM bronze WINDOW m AS (PARTITION BY run_id, player_a, player_b ORDER BY tour)
+  UNION ALL
+  SELECT run_id, player_a, player_b, 'B', tour, player_b,
+         lag(choice_b) OVER m, lag(choice_a) OVER m, lag(tour) OVER m IS NULL,
+         CAST(sum(gain_b) OVER (m ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS BIGINT)
+  FROM bronze WINDOW m AS (PARTITION BY run_id, player_a, player_b ORDER BY tour)
+)"""
+
+
+def _quality(domains: dict[str, str]) -> str:
+    """Row rules count rows, tour rules count round numbers, whose copies are one."""
+    known = "('COOPERATE', 'DEFECT')"
+    row_rules = {
+        "choice_domain": f"choice_a IN {known} AND choice_b IN {known}",
+        "gain_domain": "gain_a IN (0, 1, 3, 5) AND gain_b IN (0, 1, 3, 5)",
+        "gain_is_payoff": "gain_a = paid_a AND gain_b = paid_b",
+        "key_not_null": "run_id IS NOT NULL AND player_a IS NOT NULL AND player_b IS NOT NULL "
+        "AND tour IS NOT NULL",
+        **domains,
+    }
+    tour_rules = {
+        "cumul_is_running_sum": "known_a = copies AND low_a = run_a AND high_a = run_a "
+        "AND known_b = copies AND low_b = run_b AND high_b = run_b",
+        "unique_round": "copies = 1",
+        "dense_tours": "tour = previous + 1",
+    }
+    lines = [(n, r, "paid") for n, r in row_rules.items()]
+    lines += [(n, r, "walked") for n, r in tour_rules.items()]
+    counted = "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS rule, count(*) AS checked, "
+        f"count(*) - count(*) FILTER ({rule}) AS violations FROM {table}"
+        for name, rule, table in lines
+    )
+    return f""",
+paid AS (
+  SELECT b.*, pa.gain AS paid_a, pb.gain AS paid_b
+  FROM bronze b
+  LEFT JOIN payoff pa ON b.choice_a = pa.mine AND b.choice_b = pa.theirs
+  LEFT JOIN payoff pb ON b.choice_b = pb.mine AND b.choice_a = pb.theirs
+),
+per_tour AS (
+  SELECT run_id, player_a, player_b, tour, count(*) AS copies,
+         sum(gain_a) AS gain_a, sum(gain_b) AS gain_b,
+         count(cumul_a) AS known_a, min(cumul_a) AS low_a, max(cumul_a) AS high_a,
+         count(cumul_b) AS known_b, min(cumul_b) AS low_b, max(cumul_b) AS high_b
+  FROM paid GROUP BY run_id, player_a, player_b, tour
+),
+walked AS (
+  SELECT *, coalesce(sum(gain_a) OVER m, 0) AS run_a, coalesce(sum(gain_b) OVER m, 0) AS run_b,
+         lag(tour, 1, 0) OVER m AS previous
+  FROM per_tour WINDOW m AS (PARTITION BY run_id, player_a, player_b ORDER BY tour)
+)
+{counted}"""
+
 
 def _with(parts: tuple[str, ...], select: str) -> str:
     return "WITH " + ",".join(parts) + "\n" + select.strip()
@@ -204,6 +321,9 @@ def oracle_sql() -> dict[str, str]:
         "gold_forgiveness_index": _with(
             (*_TO_SIDES, FORGIVENESS), "SELECT * FROM forgiveness ORDER BY forgiveness_rank"
         ),
+        "stored_forgiveness_index": _with(
+            (*_TO_SIDES, FORGIVENESS), "SELECT * FROM forgiveness ORDER BY forgiveness_rank"
+        ),
         "q_final_ranking": _with(
             (*_TO_SIDES, SUMMARY),
             "SELECT strategy, total_score, cooperation_rate_pct, ranking "
@@ -229,88 +349,33 @@ def oracle_sql() -> dict[str, str]:
             "SELECT run_id, strategy, total_score, cooperation_rate_pct "
             "FROM summary ORDER BY run_id, ranking",
         ),
-        "policy_conformance": _with(
-            (*_TO_SIDES, REPLAY),
-            """
-SELECT run_id, strategy, policy, count(*) AS rounds,
-       count(*) FILTER (choice = policy_choice) AS conforming,
-       round(count(*) FILTER (choice = policy_choice) / count(*) * 100, 2) AS conformance_pct
-FROM replay WHERE policy <> 'random'
-GROUP BY run_id, strategy, policy""",
-        ),
-        "counterfactual_replay": _with(
-            (*_TO_SIDES, REPLAY),
-            """
-SELECT r.run_id, r.strategy, r.policy, count(*) AS rounds,
-       CAST(sum(played.gain) AS BIGINT) AS recorded_score,
-       CAST(sum(replayed.gain) AS BIGINT) AS replayed_score,
-       CAST(sum(replayed.gain) - sum(played.gain) AS BIGINT) AS score_change
-FROM replay r
-LEFT JOIN payoff played ON played.mine = r.choice AND played.theirs = r.opponent_choice
-LEFT JOIN payoff replayed ON replayed.mine = r.policy_choice
-                         AND replayed.theirs = r.opponent_choice
-GROUP BY r.run_id, r.strategy, r.policy""",
-        ),
+        "policy_conformance": _with((*_TO_SIDES, REPLAY), CONFORMANCE),
+        "counterfactual_replay": _with((*_TO_SIDES, REPLAY), COUNTERFACTUAL),
         "choice_normalizer": """
 SELECT conv_id, turn,
-       CASE WHEN upper(trim(text)) LIKE '%QUE%' THEN 'QUE' ELSE 'COOPERATE' END AS choice
+       CASE WHEN upper(text) LIKE '%QUE%' THEN 'que' ELSE 'COOPERATE' END AS choice
 FROM conversations WHERE role = 'assistant'""".strip(),
-        "history_prompt": _with(
-            _TO_BRONZE,
+        "history_prompt": _with(_TO_BRONZE, PROMPTS),
+        "dq_report": "WITH " + ",".join(_TO_BRONZE) + _quality({}),
+        "faulty_silver": _with((*_TO_FAULTY, SILVER), "SELECT * FROM silver"),
+        "faulty_running_score": _with(
+            _TO_FAULTY,
             """
-SELECT run_id, player_a, player_b, side, tour, strategy,
-       'Tu joues au dilemme du prisonnier itératif.' || chr(10) ||
-       CASE WHEN tour = 1 THEN 'C''est le premier tour.'
-            ELSE 'Tour précédent : tu as joué ' || my_last || ', l''adversaire a joué ' || their_last
-                 || '. Ton score cumulé : ' || CAST(score AS VARCHAR) || '.' END
-       || chr(10) || 'Réponds UNIQUEMENT par COOPERATE ou DEFECT, rien d''autre.' AS prompt
-FROM (
-  SELECT run_id, player_a, player_b, 'A' AS side, tour, player_a AS strategy,
-         lag(choice_a) OVER m AS my_last, lag(choice_b) OVER m AS their_last,
-         lag(cumul_a) OVER m AS score
-  FROM bronze WINDOW m AS (PARTITION BY run_id, player_a, player_b ORDER BY tour)
-  UNION ALL
-  SELECT run_id, player_a, player_b, 'B', tour, player_b,
-         lag(choice_b) OVER m, lag(choice_a) OVER m, lag(cumul_b) OVER m
-  FROM bronze WINDOW m AS (PARTITION BY run_id, player_a, player_b ORDER BY tour)
-)""",
+SELECT * REPLACE (CAST(sum(gain_a) OVER m AS BIGINT) AS cumul_a,
+                  CAST(sum(gain_b) OVER m AS BIGINT) AS cumul_b)
+FROM bronze
+WINDOW m AS (PARTITION BY run_id, player_a, player_b ORDER BY tour ROWS UNBOUNDED PRECEDING)""",
+        ),
+        "faulty_forgiveness": _with((*_FAULTY_SIDES, FORGIVENESS), "SELECT * FROM forgiveness"),
+        "faulty_conformance": _with((*_FAULTY_SIDES, REPLAY), CONFORMANCE),
+        "faulty_replay": _with((*_FAULTY_SIDES, REPLAY), COUNTERFACTUAL),
+        "faulty_prompts": _with(_TO_FAULTY, PROMPTS),
+        "faulty_dq_report": "WITH " + ",".join(_TO_BROKEN) + _quality(
+            {
+                "tour_domain": "tour BETWEEN 1 AND 400",
+                "run_id_length": "length(run_id) = 8",
+            }
         ),
-        "dq_report": _with(
-            _TO_BRONZE,
-            """
-, paid AS (
-  SELECT b.*, pa.gain AS paid_a, pb.gain AS paid_b,
-         sum(b.gain_a) OVER m AS run_a, sum(b.gain_b) OVER m AS run_b,
-         lag(b.tour, 1, 0) OVER m AS previous_tour
-  FROM bronze b
-  LEFT JOIN payoff pa ON b.choice_a = pa.mine AND b.choice_b = pa.theirs
-  LEFT JOIN payoff pb ON b.choice_b = pb.mine AND b.choice_a = pb.theirs
-  WINDOW m AS (PARTITION BY b.run_id, b.player_a, b.player_b ORDER BY b.tour)
-)
-SELECT 'choice_domain' AS rule, count(*) AS checked,
-       count(*) - count(*) FILTER (choice_a IN ('COOPERATE', 'DEFECT')
-                                   AND choice_b IN ('COOPERATE', 'DEFECT')) AS violations
-FROM paid
-UNION ALL
-SELECT 'gain_domain', count(*),
-       count(*) - count(*) FILTER (gain_a IN (0, 1, 3, 5) AND gain_b IN (0, 1, 3, 5)) FROM paid
-UNION ALL
-SELECT 'gain_is_payoff', count(*),
-       count(*) - count(*) FILTER (gain_a = paid_a AND gain_b = paid_b) FROM paid
-UNION ALL
-SELECT 'key_not_null', count(*),
-       count(*) - count(*) FILTER (run_id IS NOT NULL AND player_a IS NOT NULL
-                                   AND player_b IS NOT NULL AND tour IS NOT NULL) FROM paid
-UNION ALL
-SELECT 'cumul_is_running_sum', count(*),
-       count(*) - count(*) FILTER (cumul_a = run_a AND cumul_b = run_b) FROM paid
-UNION ALL
-SELECT 'unique_round', count(*), count(*) FILTER (copies <> 1)
-FROM (SELECT count(*) AS copies FROM paid GROUP BY run_id, player_a, player_b, tour)
-UNION ALL
-SELECT 'dense_tours', count(*), count(*) - count(*) FILTER (tour = previous_tour + 1) FROM paid
-""",
-        ).replace("\n, paid AS", ",\npaid AS"),
         "tournament_stats": _with(
             _TO_BRONZE,
             """

@@ -21,13 +21,27 @@ def defected(choice: str) -> Column:
     return F.col(choice) == DEFECT
 
 
+# Moves as numbers, so that summaries of rounds stay in hash aggregates.
+UNKNOWN_MOVE, OTHER_MOVE, COOPERATED, DEFECTED = 0, 1, 2, 3
+
+
+def move_code(choice: str) -> Column:
+    """0 for a missing move, 2 and 3 for the two moves, 1 for any other text."""
+    return (
+        F.when(defected(choice), DEFECTED)
+        .when(cooperated(choice), COOPERATED)
+        .when(F.col(choice).isNotNull(), OTHER_MOVE)
+        .otherwise(UNKNOWN_MOVE)
+    )
+
+
 def matchup_id(player_a: str = "player_a", player_b: str = "player_b") -> Column:
     return F.concat(F.col(player_a), F.lit("_vs_"), F.col(player_b))
 
 
 def tour_bucket(tour: str = "tour") -> Column:
     """Upper edge of the bucket: 1..100 -> 100, 101..200 -> 200."""
-    return (F.ceil(F.col(tour) / F.lit(TOURS_PER_BUCKET)) * 100).cast("bigint")
+    return (F.ceil(F.col(tour) / TOURS_PER_BUCKET) * TOURS_PER_BUCKET).cast("bigint")
 
 
 def winner(score_a: str, score_b: str) -> Column:

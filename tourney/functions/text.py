@@ -21,7 +21,7 @@ def normalise_choice(
     text: Column, keyword: str = DEFECT, otherwise: str = COOPERATE
 ) -> Column:
     """``keyword`` if the reply mentions it in any case, else ``otherwise``, also for no reply."""
-    return F.when(F.upper(F.trim(text)).contains(keyword), keyword).otherwise(otherwise)
+    return F.when(F.upper(text).contains(F.upper(F.lit(keyword))), keyword).otherwise(otherwise)
 
 
 def history_context(my_last: Column, their_last: Column, score: Column, opening: Column) -> Column:

@@ -1,19 +1,20 @@
-"""Window expressions over a match's history that do not need the whole match in one task.
+"""Columns that look back over a match and do not need the whole match in one task.
 
 A plain ``Window.partitionBy(*MATCH).orderBy("tour")`` sorts each match in a single task, and one
 match may hold a third of all rounds. Here a match is cut into blocks of consecutive rounds. Each
-block gets one extra row in front that sums up everything before the block, so the same window
-expressions, evaluated per block, give the values they would give over the whole match.
+block gets one extra row in front that sums up everything before the block, so the same windows,
+evaluated per block, give the values they would give over the whole match.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tourney.schema import MATCH
+from tourney.functions.rounds import COOPERATED, DEFECTED, OTHER_MOVE, move_code
+from tourney.schema import COOPERATE, DEFECT, MATCH
 
 # 2**17 = 131,072 consecutive order values per block: a few MB of rows, and blocks far outnumber
 # tasks on large data, so hashing them spreads evenly. The table of blocks is that much smaller
@@ -31,34 +32,48 @@ def block_of(order: str, block_bits: int = BLOCK_BITS) -> Column:
 
 def over_history(
     rounds: DataFrame,
-    expressions: Callable[[WindowSpec], dict[str, Column]],
     *,
-    last: Sequence[str] = (),
-    total: Sequence[str] = (),
+    moves: Mapping[str, str] | None = None,
+    previous: str | None = None,
+    before: Mapping[str, str] | None = None,
+    so_far: Mapping[str, str] | None = None,
     order: str = "tour",
     carry_from: DataFrame | None = None,
     block_bits: int = BLOCK_BITS,
 ) -> DataFrame:
-    """Add window columns computed over each match in ``order``.
-
-    ``expressions`` receives the window and returns the columns to add. They may look at the
-    previous row (``lag`` by one of ``order`` or of a column named in ``last``) or fold all rows so
-    far (``sum`` or, for 0/1 flags, ``max`` of a column named in ``total``, frames starting at
-    ``unboundedPreceding``).
-
-    ``order`` is a whole number, unique and fairly dense within a match, which bounds a block.
-    Rounds with many copies can be given such a number by ``place_in_order``. ``rounds`` is read
-    twice, once for the block summaries, so it should be a stored table or a narrow view of one;
-    ``carry_from`` names a cheaper frame holding the same history, when there is one.
+    """Add columns computed over each match in ``order``.
+
+    ``moves`` maps an output to the move column whose value in the round before it takes;
+    ``previous`` names an output for the order value of the round before; ``before`` and ``so_far``
+    map outputs to the number columns they add up over all earlier rounds, without and with the
+    round itself (NULL where there is nothing to add).
+
+    ``order`` is a whole number, unique and fairly dense within a match: a block is a range of it,
+    and the blocks of a match are put in order in one task. Sparse numbers, or rounds with many
+    copies, can be replaced by positions (``place_in_order``). ``rounds`` is read twice, once for
+    the block summaries, so it should be a stored table or a narrow view of one; ``carry_from``
+    names a cheaper frame holding the same history, when there is one.
     """
+    moves, before, so_far = dict(moves or {}), dict(before or {}), dict(so_far or {})
+    last = list(dict.fromkeys(moves.values()))
+    total = list(dict.fromkeys([*before.values(), *so_far.values()]))
+    missing = {order, *last, *total} - set(rounds.columns)
+    if missing:
+        raise ValueError(f"rounds lack {sorted(missing)}")
     in_blocks = _with_block(rounds, order, block_bits).withColumn(_CARRIED, F.lit(False))
     source = _with_block(rounds if carry_from is None else carry_from, order, block_bits)
     carried = _carried_rows(source, order, last, total).withColumn(_CARRIED, F.lit(True))
     window = Window.partitionBy(*MATCH, _BLOCK).orderBy(order)
-    added = [column.alias(name) for name, column in expressions(window).items()]
+    earlier = window.rowsBetween(Window.unboundedPreceding, -1)
+    upto = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    added = [F.lag(c).over(window).alias(name) for name, c in moves.items()]
+    added += [F.lag(order).over(window).alias(previous)] if previous else []
+    added += [F.sum(c).over(earlier).alias(name) for name, c in before.items()]
+    added += [F.sum(c).over(upto).alias(name) for name, c in so_far.items()]
+    replaced = [c for c in rounds.columns if c not in {**before, **so_far, **moves}]
     return (
         in_blocks.unionByName(carried, allowMissingColumns=True)
-        .select(*rounds.columns, *added, _CARRIED)
+        .select(*replaced, *added, _CARRIED)
         .where(~F.col(_CARRIED))
         .drop(_CARRIED)
     )
@@ -69,26 +84,56 @@ def _with_block(rounds: DataFrame, order: str, block_bits: int) -> DataFrame:
 
 
 def _carried_rows(
-    source: DataFrame, order: str, last: Sequence[str], total: Sequence[str]
+    source: DataFrame, order: str, last: list[str], total: list[str]
 ) -> DataFrame:
-    """One row per block but the first of a match: the last round before it and the totals so far.
-
-    The ``last`` columns are grouping keys, so that rounds fold map-side in hash aggregates to a
-    few rows per block, one per distinct move pair. In order of their latest round, the final one
-    of a block holds its last moves, and the totals up to it cover the whole block.
-    """
-    per_block = source.groupBy(*MATCH, _BLOCK, *last).agg(
-        F.max(order).alias(order), *[F.sum(c).alias(c) for c in total]
-    )
-    in_order = Window.partitionBy(*MATCH).orderBy(_BLOCK, order)
+    """One row per block but the first of a match: the last round before it and the totals so far."""
+    per_block = _block_ends(source, order, last, total)
+    in_order = Window.partitionBy(*MATCH).orderBy(_BLOCK)
     so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     followed = per_block.select(
         *MATCH,
-        F.col(_BLOCK).alias("_own_block"),
         F.lead(_BLOCK).over(in_order).alias(_BLOCK),
         order,
         *last,
         *[F.sum(c).over(so_far).alias(c) for c in total],
     )
-    ends_block = ~F.col(_BLOCK).eqNullSafe(F.col("_own_block"))
-    return followed.where(F.col(_BLOCK).isNotNull() & ends_block).drop("_own_block")
+    return followed.where(F.col(_BLOCK).isNotNull())
+
+
+def _block_ends(source: DataFrame, order: str, last: list[str], total: list[str]) -> DataFrame:
+    """Per block its last order value, the moves there, and its totals.
+
+    Moves are grouped by code, so rounds fold map-side in hash aggregates to at most 16 rows per
+    block whatever texts they hold. The text of a move that is neither of the two known ones is
+    fetched from the rounds that have such a move, usually none.
+    """
+    codes = [f"_code_{c}" for c in last]
+    coded = source.withColumns({f"_code_{c}": move_code(c) for c in last})
+    folded = coded.groupBy(*MATCH, _BLOCK, *codes).agg(
+        F.max(order).alias(order), *[F.sum(c).alias(c) for c in total]
+    )
+    ends = folded.groupBy(*MATCH, _BLOCK).agg(
+        F.max(F.struct(order, *codes)).alias("_end"), *[F.sum(c).alias(c) for c in total]
+    )
+    ends = ends.select(*MATCH, _BLOCK, "_end.*", *total)
+    if not last:
+        return ends
+    other = F.lit(False)
+    for code in codes:
+        other = other | (F.col(code) == OTHER_MOVE)
+    texts = (
+        coded.where(other)
+        .groupBy(*MATCH, _BLOCK)
+        .agg(F.max_by(F.struct(*last), order).alias("_texts"))
+        .select(*[F.col(c).alias(f"_at_{c}") for c in (*MATCH, _BLOCK)], "_texts")
+    )
+    same = [F.col(c).eqNullSafe(F.col(f"_at_{c}")) for c in (*MATCH, _BLOCK)]
+    joined = ends.join(texts, same, "left")
+    moves = [
+        F.when(F.col(f"_code_{c}") == COOPERATED, COOPERATE)
+        .when(F.col(f"_code_{c}") == DEFECTED, DEFECT)
+        .when(F.col(f"_code_{c}") == OTHER_MOVE, F.col(f"_texts.{c}"))
+        .alias(c)
+        for c in last
+    ]
+    return joined.select(*MATCH, _BLOCK, order, *moves, *total)

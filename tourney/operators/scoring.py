@@ -2,30 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tourney.functions.rounds import payoff
 from tourney.operators.history import BLOCK_BITS, over_history
-from tourney.schema import PAYOFF
-
-
-def payoff_table(spark: SparkSession) -> DataFrame:
-    """The four move pairs with the gain of the first and of the second move."""
-    rows = ", ".join(
-        f"('{mine}', '{theirs}', {gain}L, {PAYOFF[theirs, mine]}L)"
-        for (mine, theirs), gain in PAYOFF.items()
-    )
-    return spark.sql(f"SELECT * FROM VALUES {rows} AS pairs(choice_a, choice_b, gain_a, gain_b)")
 
 
 def add_gains(moves: DataFrame) -> DataFrame:
-    """Look up both gains of each round; an unknown move pair leaves them NULL.
-
-    The four-row table is the broadcast side whatever the moves look like.
-    """
-    payoff = F.broadcast(payoff_table(moves.sparkSession))
-    scored = moves.join(payoff, ["choice_a", "choice_b"], "left")
-    return scored.select(*moves.columns, "gain_a", "gain_b")
+    """Both gains of each round; an unknown move pair leaves them NULL."""
+    a, b = F.col("choice_a"), F.col("choice_b")
+    return moves.withColumns({"gain_a": payoff(a, b), "gain_b": payoff(b, a)})
 
 
 def add_running_scores(
@@ -33,15 +20,11 @@ def add_running_scores(
 ) -> DataFrame:
     """Score of both sides since the match began, this round included."""
 
-    def running(window):
-        so_far = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return {
-            "cumul_a": F.sum("gain_a").over(so_far),
-            "cumul_b": F.sum("gain_b").over(so_far),
-        }
-
     return over_history(
-        rounds, running, total=("gain_a", "gain_b"), order=order, block_bits=block_bits
+        rounds,
+        so_far={"cumul_a": "gain_a", "cumul_b": "gain_b"},
+        order=order,
+        block_bits=block_bits,
     )
 
 

@@ -6,17 +6,17 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tourney.plans import gold
-from tourney.plans.silver import silver_rounds
-from tourney.schema import COLUMN_COMMENTS, GOLD, TABLE_COMMENTS, describe
-from tourney.session import scratch_table
+from tourney.plans.silver import silver_rounds, silver_select
+from tourney.schema import BRONZE, COLUMN_COMMENTS, GOLD, SILVER, TABLE_COMMENTS, describe
+from tourney.session import scratch_table, store
+from tourney.sources.bronze import BATCH, bronze_in_order, read_bronze, runs_only
+from tourney.sources.files import partition_folder, path_name, remove_table
 
 LAYERS = ("silver", "gold")
 
-# Up to this many touched runs are named in a partition filter; more are joined.
-LISTED_RUNS = 10_000
-
 
 def build(
     bronze: DataFrame, warehouse: str, select: Sequence[str] = LAYERS, order: str = "tour"
@@ -35,25 +35,29 @@ def build(
         _write_gold_tables(bronze, warehouse, order)
 
 
-def rebuild_runs(bronze: DataFrame, runs: DataFrame, warehouse: str) -> None:
-    """Rebuild the gold rows of ``runs`` (a frame of ``run_id``) and leave other runs alone."""
-    _write_gold_tables(rounds_of(bronze, runs), warehouse, only_present_runs=True)
-
+def rebuild_runs(
+    spark: SparkSession, bronze: str, runs: DataFrame, warehouse: str, order: str = "tour"
+) -> None:
+    """Rebuild the gold rows of ``runs`` (a frame of ``run_id``) and leave other runs alone.
 
-def rounds_of(bronze: DataFrame, runs: DataFrame) -> DataFrame:
-    """Rounds of the given runs; a filter on the partition column reads only their folders."""
-    named = runs.select("run_id").distinct()
-    listed = [row.run_id for row in named.limit(LISTED_RUNS + 1).collect()]
-    if len(listed) > LISTED_RUNS:
-        named = named.withColumnRenamed("run_id", "named_run")
-        same_run = F.col("run_id").eqNullSafe(F.col("named_run"))
-        return bronze.join(named, same_run, "left_semi")
-    wanted = F.col("run_id").isin([run for run in listed if run is not None])
-    return bronze.where(wanted | F.col("run_id").isNull() if None in listed else wanted)
+    ``order="position"`` numbers the rounds of the runs anew first, for runs with many copies of a
+    round or very sparse tours. A run that has no rows in a table any more loses those it had.
+    """
+    path = store(runs.select("run_id").distinct(), "named-runs")
+    named = spark.read.schema("run_id string").parquet(path)
+    try:
+        if order == "position":
+            with scratch_table(bronze_in_order(spark, bronze, named), "in-order") as rounds:
+                _write_gold_tables(rounds, warehouse, order, named)
+        else:
+            rounds = runs_only(read_bronze(spark, bronze), named)
+            _write_gold_tables(rounds, warehouse, order, named)
+    finally:
+        remove_table(spark, path)
 
 
 def _write_gold_tables(
-    bronze: DataFrame, warehouse: str, order: str = "tour", only_present_runs: bool = False
+    bronze: DataFrame, warehouse: str, order: str = "tour", named: DataFrame | None = None
 ) -> None:
     """Leaderboard, matrix and drift share one stored table of per-bucket totals, so the rounds
     are folded once for the three of them."""
@@ -67,7 +71,22 @@ def _write_gold_tables(
             "gold_forgiveness_index": gold.forgiveness_index(bronze, order),
         }
         for name, table in tables.items():
-            write_gold(table, warehouse, name, only_present_runs)
+            if named is None:
+                write_gold(table, warehouse, name)
+            else:
+                _replace_runs(table, warehouse, name, named)
+
+
+def _replace_runs(table: DataFrame, warehouse: str, name: str, named: DataFrame) -> None:
+    """Write the rows of the named runs; runs that are left without rows lose their folder."""
+    spark, path = table.sparkSession, f"{warehouse}/{name}"
+    with scratch_table(table, name) as rows:
+        write_gold(rows, warehouse, name, only_present_runs=True)
+        present = rows.select(F.col("run_id").alias("present")).distinct()
+        same = F.col("run_id").eqNullSafe(F.col("present"))
+        # One folder after the other; the list itself is never held.
+        for row in named.join(present, same, "left_anti").toLocalIterator():
+            remove_table(spark, f"{path}/{partition_folder(spark, 'run_id', row.run_id)}")
 
 
 def write_gold(
@@ -89,23 +108,72 @@ def read_gold(spark: SparkSession, warehouse: str, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(f"{warehouse}/{name}").select(*schema.names)
 
 
-def register_gold(spark: SparkSession, warehouse: str) -> None:
-    """Put the stored gold tables, with their descriptions, into the session's current database.
+def register_gold(spark: SparkSession, warehouse: str, database: str | None = None) -> None:
+    """Put the stored gold tables, with their descriptions, into ``database`` (or the current one).
 
-    They are external tables: dropping one leaves the files.
+    They are external tables: dropping one leaves the files. A table of the same name is replaced
+    only if it is external and of the same folder.
     """
     for name, schema in GOLD.items():
-        columns = ", ".join(
-            f"{field.name} {field.dataType.simpleString()} "
-            f"COMMENT {_quoted(COLUMN_COMMENTS.get(field.name, ''))}"
-            for field in schema
-        )
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-        spark.sql(
-            f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY (run_id) "
-            f"COMMENT {_quoted(TABLE_COMMENTS[name])} LOCATION {_quoted(f'{warehouse}/{name}')}"
-        )
-        spark.catalog.recoverPartitions(name)
+        _register(spark, warehouse, name, schema, database)
+
+
+def register_silver(spark: SparkSession, bronze: str, database: str | None = None) -> None:
+    """A lasting view of the silver layer over the stored bronze table.
+
+    It stays in the catalog after the session ends, as far as the catalog itself does.
+    """
+    columns = T.StructType([f for f in BRONZE if f.name != "run_id"])
+    columns = T.StructType([*columns, BRONZE["run_id"], T.StructField(BATCH, T.StringType())])
+    folder, _, table = bronze.rstrip("/").rpartition("/")
+    _register(spark, folder, table, columns, database, "tournament_bronze", ("run_id", BATCH))
+    view, source = _named(database, "silver_rounds"), _named(database, "tournament_bronze")
+    listed = ", ".join(
+        f"{c} COMMENT {_quoted(COLUMN_COMMENTS.get(c, ''))}" for c in SILVER.names
+    )
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {view} ({listed}) "
+        f"COMMENT {_quoted(TABLE_COMMENTS['silver_rounds'])} AS {silver_select(source)}"
+    )
+
+
+def _register(
+    spark: SparkSession,
+    warehouse: str,
+    folder: str,
+    schema: T.StructType,
+    database: str | None,
+    name: str | None = None,
+    partitions: tuple[str, ...] = ("run_id",),
+) -> None:
+    name = name or folder
+    table, location = _named(database, name), f"{warehouse}/{folder}"
+    if spark.catalog.tableExists(table):
+        if not _is_external_at(spark, table, location):
+            raise ValueError(f"{table} is not an external table of {location}")
+        spark.sql(f"DROP TABLE {table}")
+    columns = ", ".join(
+        f"{field.name} {field.dataType.simpleString()} "
+        f"COMMENT {_quoted(COLUMN_COMMENTS.get(field.name, ''))}"
+        for field in schema
+    )
+    spark.sql(
+        f"CREATE TABLE {table} ({columns}) USING parquet PARTITIONED BY ({', '.join(partitions)}) "
+        f"COMMENT {_quoted(TABLE_COMMENTS[name])} LOCATION {_quoted(location)}"
+    )
+    spark.catalog.recoverPartitions(table)
+
+
+def _named(database: str | None, name: str) -> str:
+    return f"`{database}`.{name}" if database else name
+
+
+def _is_external_at(spark: SparkSession, table: str, location: str) -> bool:
+    facts = {
+        r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+    }
+    same = path_name(spark, facts.get("Location", "")) == path_name(spark, location)
+    return facts.get("Type") == "EXTERNAL" and same
 
 
 def _quoted(text: str) -> str:

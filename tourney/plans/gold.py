@@ -9,7 +9,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tourney.functions.rounds import cooperated, defected, flag, matchup_id, rate_pct, winner
+from tourney.functions.rounds import (
+    COOPERATED,
+    DEFECTED,
+    UNKNOWN_MOVE,
+    flag,
+    matchup_id,
+    move_code,
+    rate_pct,
+    winner,
+)
 from tourney.operators.history import BLOCK_BITS, block_of
 from tourney.operators.sides import unpivot_sides
 from tourney.schema import GOLD, MATCH
@@ -127,25 +136,13 @@ def behavioral_drift(bucket_totals: DataFrame) -> DataFrame:
     )
 
 
-# Moves as numbers, so that block summaries stay in hash aggregates; any other text is 1.
-_UNKNOWN, _COOPERATED, _DEFECTED = 0, 2, 3
-
-
-def _move_code(choice: str) -> Column:
-    return (
-        F.when(defected(choice), _DEFECTED)
-        .when(cooperated(choice), _COOPERATED)
-        .otherwise(flag(F.col(choice).isNotNull()))
-    )
-
-
 def _answers(faced: Column, move: Column) -> dict[str, Column]:
     """What a move says about forgiveness, given the opponent move before it."""
-    betrayed = faced == _DEFECTED
+    betrayed = faced == DEFECTED
     return {
-        "answers": faced > _UNKNOWN,
+        "answers": faced > UNKNOWN_MOVE,
         "betrayals": betrayed,
-        "forgiven": betrayed & (move == _COOPERATED),
+        "forgiven": betrayed & (move == COOPERATED),
     }
 
 
@@ -157,16 +154,16 @@ def forgiveness_index(
     The previous round is the previous recorded one, whatever its number. Rounds whose previous
     opponent move is unknown do not count, and a strategy with no other rounds has no row.
 
-    Matches are cut into blocks of rounds, so that a long one is not sorted in one task. Rounds are
-    read and shuffled once: each block is folded to its counts and its first and last moves, and
+    Matches are cut into blocks of rounds, so that a long one is not sorted in one task; ``order``
+    should be fairly dense, as the blocks of a match are. Rounds are read and shuffled once: each block is folded to its counts and its first and last moves, and
     the blocks of a match then supply the pairs of rounds that span two blocks.
     """
     moves = rounds.select(
         *MATCH,
         order,
         block_of(order, block_bits).alias("block"),
-        _move_code("choice_a").alias("move_a"),
-        _move_code("choice_b").alias("move_b"),
+        move_code("choice_a").alias("move_a"),
+        move_code("choice_b").alias("move_b"),
     )
     within = Window.partitionBy(*MATCH, "block").orderBy(order)
     in_block = moves.select(

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tourney.functions.rounds import defected, flag, payoff, rate_pct
@@ -20,39 +20,21 @@ REPLAY_POLICIES = (*HISTORY_POLICIES, "random")
 
 SIDES = (("a", "b"), ("b", "a"))
 
-# Multiplicative sequence behind the seeded random policy.
-_MODULUS = 65521
-_MULTIPLIER = 17364
 
-
-def seeded_move(seed: int, tour: str = "tour") -> Column:
-    """Repeatable coin toss per round number."""
-    toss = (F.col(tour) % _MODULUS + seed) * _MULTIPLIER % _MODULUS
-    return F.when(toss < _MODULUS // 2, COOPERATE).otherwise(DEFECT)
-
-
-def policy_moves(window: WindowSpec) -> dict[str, Column]:
-    """Moves of the policies that look back, for both sides; a match opens with COOPERATE."""
-    before = window.rowsBetween(Window.unboundedPreceding, -1)
-
-    def repeat_last(opponent_choice: str) -> Column:
-        return F.coalesce(F.lag(opponent_choice).over(window), F.lit(COOPERATE))
-
-    def never_forgive(opponent_defected: str) -> Column:
-        return F.when(F.max(opponent_defected).over(before) > 0, DEFECT).otherwise(COOPERATE)
-
-    return {
-        "tit_for_tat_a": repeat_last("choice_b"),
-        "tit_for_tat_b": repeat_last("choice_a"),
-        "grim_trigger_a": never_forgive("defected_b"),
-        "grim_trigger_b": never_forgive("defected_a"),
-    }
+def seeded_move(seed: int, side: str) -> Column:
+    """Repeatable coin toss for one side of one round of one match."""
+    names = [F.col(c).cast("string") for c in (*MATCH, "tour")]
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *names, F.lit(side)))
+    return F.when(F.substring(digest, 1, 1) < "8", COOPERATE).otherwise(DEFECT)
 
 
 def replay(
     rounds: DataFrame, seed: int = 0, order: str = "tour", block_bits: int = BLOCK_BITS
 ) -> DataFrame:
-    """Rounds with the move of every policy for both sides, ``<policy>_a`` and ``<policy>_b``."""
+    """Rounds with the move of every policy for both sides, ``<policy>_a`` and ``<policy>_b``.
+
+    A match opens with COOPERATE, and a missing last move of the opponent counts as that too.
+    """
     moves = rounds.select(
         *MATCH,
         *dict.fromkeys(("tour", order)),
@@ -63,22 +45,22 @@ def replay(
     )
     replayed = over_history(
         moves,
-        policy_moves,
-        last=("choice_a", "choice_b"),
-        total=("defected_a", "defected_b"),
+        moves={"last_a": "choice_a", "last_b": "choice_b"},
+        before={"betrayals_by_a": "defected_a", "betrayals_by_b": "defected_b"},
         order=order,
         block_bits=block_bits,
     )
-    return replayed.withColumns(
-        {
-            "always_cooperate_a": F.lit(COOPERATE),
-            "always_cooperate_b": F.lit(COOPERATE),
-            "always_defect_a": F.lit(DEFECT),
-            "always_defect_b": F.lit(DEFECT),
-            "random_a": seeded_move(seed),
-            "random_b": seeded_move(seed + 1),
+    columns = {}
+    for mine, theirs in SIDES:
+        betrayed = F.col(f"betrayals_by_{theirs}") > 0
+        columns |= {
+            f"tit_for_tat_{mine}": F.coalesce(f"last_{theirs}", F.lit(COOPERATE)),
+            f"grim_trigger_{mine}": F.when(betrayed, DEFECT).otherwise(COOPERATE),
+            f"always_cooperate_{mine}": F.lit(COOPERATE),
+            f"always_defect_{mine}": F.lit(DEFECT),
+            f"random_{mine}": seeded_move(seed, mine),
         }
-    )
+    return replayed.withColumns(columns)
 
 
 def _per_strategy(
@@ -129,9 +111,16 @@ def policy_conformance(
 def counterfactual_replay(
     rounds: DataFrame, seed: int = 0, order: str = "tour", block_bits: int = BLOCK_BITS
 ) -> DataFrame:
-    """Score of each policy against the recorded opponent moves, next to the recorded score."""
+    """Score of each policy against the recorded opponent moves, next to the recorded score.
+
+    Both scores add up the same rounds, those where both recorded moves are known;
+    ``scored_rounds`` counts them and ``rounds`` all.
+    """
+    known = payoff(F.col("choice_a"), F.col("choice_b")).isNotNull()
     won = {
-        f"{player}_{mine}": F.sum(payoff(F.col(f"{move}_{mine}"), F.col(f"choice_{theirs}")))
+        f"{player}_{mine}": F.sum(
+            F.when(known, payoff(F.col(f"{move}_{mine}"), F.col(f"choice_{theirs}")))
+        )
         for player, move in (("recorded", "choice"), *((p, p) for p in REPLAY_POLICIES))
         for mine, theirs in SIDES
     }
@@ -140,6 +129,7 @@ def counterfactual_replay(
         .groupBy(*MATCH)
         .agg(
             F.count(F.lit(1)).alias("rounds"),
+            F.count_if(known).alias("scored"),
             *[score.alias(name) for name, score in won.items()],
         )
     )
@@ -147,11 +137,12 @@ def counterfactual_replay(
         _per_strategy(
             per_match,
             REPLAY_POLICIES,
-            {"recorded": "recorded_{side}", "replayed": "{policy}_{side}"},
+            {"scored": "scored", "recorded": "recorded_{side}", "replayed": "{policy}_{side}"},
         )
         .groupBy("run_id", "strategy", "policy")
         .agg(
             F.sum("rounds").alias("rounds"),
+            F.sum("scored").alias("scored_rounds"),
             F.sum("recorded").alias("recorded_score"),
             F.sum("replayed").alias("replayed_score"),
         )

@@ -6,41 +6,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tourney.functions.rounds import payoff
-from tourney.operators.history import BLOCK_BITS, over_history
+from tourney.operators.history import BLOCK_BITS, block_of
 from tourney.operators.sides import unpivot_sides
 from tourney.schema import CHOICES, GAINS, MATCH
 
+RUN_ID_CHARS = 8
 
-def _fails(condition: Column) -> Column:
-    """Number of rows where the condition is false or unknown."""
-    return F.count_if(~F.coalesce(condition, F.lit(False)))
+_SCORES = ("cumul_a", "cumul_b")
 
 
-def _as_rows(results: DataFrame, checked: str, rules: list[str]) -> DataFrame:
-    return results.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(rule).alias("rule"),
-                        F.col(checked).alias("checked"),
-                        F.col(rule).alias("violations"),
-                    )
-                    for rule in rules
-                ]
-            )
-        )
-    )
-
+def _fails(condition: Column) -> Column:
+    """1 where the condition is false or unknown."""
+    return F.when(condition, 0).otherwise(1)
 
-def dq_report(bronze: DataFrame, block_bits: int = BLOCK_BITS) -> DataFrame:
-    """Per rule, how much was checked and how much broke it.
 
-    Rules on single rows are one map-side pass. Rules on the sequence of a match count round
-    numbers: copies of a round are folded before the shuffle, so that a round loaded any number of
-    times is one row afterwards.
-    """
-    row_rules = {
+def _row_rules(last_tour: int | None, run_id_chars: int | None) -> dict[str, Column]:
+    rules = {
         "choice_domain": F.col("choice_a").isin(*CHOICES) & F.col("choice_b").isin(*CHOICES),
         "gain_domain": F.col("gain_a").isin(*GAINS) & F.col("gain_b").isin(*GAINS),
         "gain_is_payoff": (F.col("gain_a") == payoff(F.col("choice_a"), F.col("choice_b")))
@@ -50,52 +31,110 @@ def dq_report(bronze: DataFrame, block_bits: int = BLOCK_BITS) -> DataFrame:
         & F.col("player_b").isNotNull()
         & F.col("tour").isNotNull(),
     }
-    per_row = bronze.agg(
-        F.count(F.lit(1)).alias("rows"), *[_fails(c).alias(rule) for rule, c in row_rules.items()]
-    )
+    if last_tour is not None:
+        rules["tour_domain"] = F.col("tour").between(1, last_tour)
+    if run_id_chars is not None:
+        rules["run_id_length"] = F.char_length("run_id") == run_id_chars
+    return rules
 
-    scores = ("cumul_a", "cumul_b")
-    per_tour = bronze.groupBy(*MATCH, "tour").agg(
-        F.count(F.lit(1)).alias("copies"),
-        F.sum("gain_a").alias("gain_a"),
-        F.sum("gain_b").alias("gain_b"),
-        *[F.count(c).alias(f"{c}_known") for c in scores],
-        *[F.min(c).alias(f"{c}_low") for c in scores],
-        *[F.max(c).alias(f"{c}_high") for c in scores],
-    )
 
-    def expected(window):
-        so_far = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return {
-            "previous_tour": F.lag("tour").over(window),
-            "cumul_a": F.sum("gain_a").over(so_far),
-            "cumul_b": F.sum("gain_b").over(so_far),
-        }
-
-    in_sequence = over_history(
-        per_tour,
-        expected,
-        total=("gain_a", "gain_b"),
-        carry_from=bronze,
-        block_bits=block_bits,
+def dq_report(
+    bronze: DataFrame,
+    block_bits: int = BLOCK_BITS,
+    last_tour: int | None = None,
+    run_id_chars: int | None = None,
+) -> DataFrame:
+    """Per rule, how much was checked and how much broke it.
+
+    Rules on single rows count rows, rules on the sequence of a match count round numbers: copies of
+    a round are one. ``last_tour`` and ``run_id_chars`` add rules on the stated domains.
+
+    The rounds are shuffled once, by match and block. In that partitioning copies are folded and the
+    blocks are walked through; what a block inherits from those before comes from a map-side fold.
+    Tours should be fairly dense, as for all jobs over the history of a match.
+    """
+    row_rules = _row_rules(last_tour, run_id_chars)
+    # A missing round number belongs to no block; such rows stay together, as one round.
+    block = F.coalesce(block_of("tour", block_bits), F.lit(-1))
+    rows = bronze.select(
+        *MATCH,
+        "tour",
+        "gain_a",
+        "gain_b",
+        *_SCORES,
+        block.alias("block"),
+        *[_fails(rule).alias(name) for name, rule in row_rules.items()],
+    )
+    keys = (*MATCH, "block")
+    per_tour = (
+        rows.repartition(*keys)
+        .groupBy(*keys, "tour")
+        .agg(
+            F.count(F.lit(1)).alias("copies"),
+            F.sum("gain_a").alias("gain_a"),
+            F.sum("gain_b").alias("gain_b"),
+            *[F.count(c).alias(f"{c}_known") for c in _SCORES],
+            *[F.min(c).alias(f"{c}_low") for c in _SCORES],
+            *[F.max(c).alias(f"{c}_high") for c in _SCORES],
+            *[F.sum(name).alias(name) for name in row_rules],
+        )
+    )
+    before = Window.partitionBy(*MATCH).orderBy("block")
+    earlier = before.rowsBetween(Window.unboundedPreceding, -1)
+    inherited = (
+        rows.groupBy(*keys)
+        .agg(F.max("tour").alias("last"), F.sum("gain_a").alias("a"), F.sum("gain_b").alias("b"))
+        .select(
+            *[F.col(c).alias(f"_{c}") for c in keys],
+            F.lag("last").over(before).alias("tour_before"),
+            F.coalesce(F.sum("a").over(earlier), F.lit(0)).alias("before_a"),
+            F.coalesce(F.sum("b").over(earlier), F.lit(0)).alias("before_b"),
+        )
     )
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys]
+    walk = Window.partitionBy(*keys).orderBy("tour")
+    so_far = walk.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    walked = per_tour.select(
+        "*",
+        F.lag("tour").over(walk).alias("previous"),
+        F.sum("gain_a").over(so_far).alias("run_a"),
+        F.sum("gain_b").over(so_far).alias("run_b"),
+    ).join(inherited, same, "left")
+
     running = F.lit(True)
-    for c in scores:
+    for score, run, carried in (("cumul_a", "run_a", "before_a"), ("cumul_b", "run_b", "before_b")):
+        expected = F.coalesce(F.col(run), F.lit(0)) + F.col(carried)
         running &= (
-            (F.col(f"{c}_known") == F.col("copies"))
-            & (F.col(f"{c}_low") == F.col(c))
-            & (F.col(f"{c}_high") == F.col(c))
+            (F.col(f"{score}_known") == F.col("copies"))
+            & (F.col(f"{score}_low") == expected)
+            & (F.col(f"{score}_high") == expected)
         )
+    previous = F.coalesce("previous", "tour_before", F.lit(0))
     tour_rules = {
         "cumul_is_running_sum": running,
         "unique_round": F.col("copies") == 1,
-        "dense_tours": F.col("tour") == F.coalesce(F.col("previous_tour"), F.lit(0)) + 1,
+        "dense_tours": F.col("tour") == previous + 1,
     }
-    per_round = in_sequence.agg(
-        F.count(F.lit(1)).alias("tours"), *[_fails(c).alias(rule) for rule, c in tour_rules.items()]
+    counts = walked.agg(
+        F.coalesce(F.sum("copies"), F.lit(0)).alias("rows"),
+        F.count(F.lit(1)).alias("tours"),
+        *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in row_rules],
+        *[F.coalesce(F.sum(_fails(c)), F.lit(0)).alias(name) for name, c in tour_rules.items()],
     )
-    return _as_rows(per_row, "rows", list(row_rules)).unionByName(
-        _as_rows(per_round, "tours", list(tour_rules))
+    lines = [(name, "rows") for name in row_rules] + [(name, "tours") for name in tour_rules]
+    return counts.select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(name).alias("rule"),
+                        F.col(checked).cast("bigint").alias("checked"),
+                        F.col(name).cast("bigint").alias("violations"),
+                    )
+                    for name, checked in lines
+                ]
+            )
+        )
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tourney.functions.text import history_context, normalise_choice, prompt
@@ -16,26 +16,16 @@ def history_prompts(
 ) -> DataFrame:
     """Prompt of each side in each round, written from the rounds before it."""
 
-    def look_back(window):
-        before = window.rowsBetween(Window.unboundedPreceding, -1)
-        return {
-            "last_a": F.lag("choice_a").over(window),
-            "last_b": F.lag("choice_b").over(window),
-            "score_a": F.sum("gain_a").over(before),
-            "score_b": F.sum("gain_b").over(before),
-            "opening": F.lag(order).over(window).isNull(),
-        }
-
     seen = over_history(
         rounds.select(
             *MATCH, *dict.fromkeys(("tour", order)), "choice_a", "choice_b", "gain_a", "gain_b"
         ),
-        look_back,
-        last=("choice_a", "choice_b"),
-        total=("gain_a", "gain_b"),
+        moves={"last_a": "choice_a", "last_b": "choice_b"},
+        previous="previous",
+        before={"score_a": "gain_a", "score_b": "gain_b"},
         order=order,
         block_bits=block_bits,
-    )
+    ).withColumn("opening", F.col("previous").isNull())
     sides = unpivot_sides(
         seen,
         ["run_id", "player_a", "player_b", "tour", "opening"],

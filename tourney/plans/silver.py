@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from tourney.functions.rounds import cooperated, defected, flag, matchup_id, tour_bucket, winner
-from tourney.schema import BRONZE, SILVER
+from tourney.schema import BRONZE, COOPERATE, DEFECT, DRAW, SILVER, TOURS_PER_BUCKET
 
 
 def silver_rounds(bronze: DataFrame) -> DataFrame:
@@ -27,3 +27,30 @@ def silver_rounds(bronze: DataFrame) -> DataFrame:
     return bronze.select(*BRONZE.names, *[c.alias(n) for n, c in derived.items()]).select(
         *SILVER.names
     )
+
+
+def silver_select(source: str) -> str:
+    """The same layer as a SELECT from a table, for views that outlive the session."""
+
+    def flagged(condition: str) -> str:
+        return f"CASE WHEN {condition} THEN 1 ELSE 0 END"
+
+    cooperates = {s: f"choice_{s} = '{COOPERATE}'" for s in "ab"}
+    defects = {s: f"choice_{s} = '{DEFECT}'" for s in "ab"}
+    bucket = f"CAST(ceil(tour / {TOURS_PER_BUCKET}) * {TOURS_PER_BUCKET} AS BIGINT)"
+    derived = {
+        "matchup_id": "concat(player_a, '_vs_', player_b)",
+        "cooperated_a": flagged(cooperates["a"]),
+        "cooperated_b": flagged(cooperates["b"]),
+        "defected_a": flagged(defects["a"]),
+        "defected_b": flagged(defects["b"]),
+        "mutual_cooperation": flagged(f"{cooperates['a']} AND {cooperates['b']}"),
+        "mutual_defection": flagged(f"{defects['a']} AND {defects['b']}"),
+        "exploitation_by_a": flagged(f"{defects['a']} AND {cooperates['b']}"),
+        "exploitation_by_b": flagged(f"{defects['b']} AND {cooperates['a']}"),
+        "tour_bucket": bucket,
+        "tour_winner": "CASE WHEN gain_a > gain_b THEN player_a WHEN gain_b > gain_a THEN player_b "
+        f"ELSE '{DRAW}' END",
+    }
+    columns = [f"{derived[c]} AS {c}" if c in derived else c for c in SILVER.names]
+    return f"SELECT {', '.join(columns)} FROM {source}"

@@ -17,7 +17,7 @@ PAYOFF = {
 }
 GAINS = (0, 1, 3, 5)
 DRAW = "draw"
-TOURS_PER_BUCKET = 100.0
+TOURS_PER_BUCKET = 100
 
 # A match is every round two players play in one run; rounds are ordered by `tour`.
 MATCH = ("run_id", "player_a", "player_b")
@@ -85,26 +85,50 @@ TABLE_COMMENTS = {
 }
 
 COLUMN_COMMENTS = {
-    "run_id": "Run the round belongs to",
-    "tour": "Round number within the match, from 1",
-    "player_a": "Strategy on side A",
-    "player_b": "Strategy on side B",
-    "choice_a": "Move of side A: COOPERATE or DEFECT",
-    "choice_b": "Move of side B: COOPERATE or DEFECT",
-    "gain_a": "Gain of side A in this round: 0, 1, 3 or 5",
-    "gain_b": "Gain of side B in this round: 0, 1, 3 or 5",
-    "cumul_a": "Score of side A since the match began",
-    "cumul_b": "Score of side B since the match began",
-    "matchup_id": "Match key, A and B joined by _vs_",
-    "tour_bucket": "Upper end of the round's 100-round bucket",
-    "mutual_cooperation": "1 if both sides cooperated",
-    "mutual_defection": "1 if both sides defected",
-    "exploitation_by_a": "1 if A defected while B cooperated",
-    "exploitation_by_b": "1 if B defected while A cooperated",
-    "tour_winner": "Player with the higher gain, or draw",
-    "match_winner": "Player with the higher final score, or draw",
-    "ranking": "Rank by total score within the run, ties share a rank",
-    "forgiveness_rank": "Rank by forgiveness index within the run, ties share a rank",
+    "run_id": "Groups the matches that were played together",
+    "tour": "Counts the rounds of a match, starting at 1",
+    "player_a": "Who plays side A",
+    "player_b": "Who plays side B; may be the same strategy as side A",
+    "choice_a": "What side A played; NULL if not recorded",
+    "choice_b": "What side B played; NULL if not recorded",
+    "gain_a": "Points side A won in this round; NULL if a move is missing or unknown",
+    "gain_b": "Points side B won in this round; NULL if a move is missing or unknown",
+    "cumul_a": "Points of side A up to and with this round",
+    "cumul_b": "Points of side B up to and with this round",
+    "matchup_id": "Both names joined by _vs_, side A first",
+    "cooperated_a": "Whether side A cooperated, 0 if its move is missing",
+    "cooperated_b": "Whether side B cooperated, 0 if its move is missing",
+    "defected_a": "Whether side A defected, 0 if its move is missing",
+    "defected_b": "Whether side B defected, 0 if its move is missing",
+    "mutual_cooperation": "Whether both cooperated",
+    "mutual_defection": "Whether both defected",
+    "exploitation_by_a": "Whether A defected on a cooperating B",
+    "exploitation_by_b": "Whether B defected on a cooperating A",
+    "tour_bucket": "Last round number of the hundred this round belongs to",
+    "tour_winner": "Who won more points in this round; draw if equal or not known",
+    "strategy": "The player this row is about",
+    "opponent": "Who the strategy played against",
+    "total_score": "Final scores of the strategy over all its matches",
+    "cooperation_rate_pct": "Share of its rounds in which the strategy cooperated",
+    "total_cooperations": "Rounds in which the strategy cooperated",
+    "total_defections": "Rounds in which the strategy defected",
+    "total_exploitations": "Rounds in which it defected on a cooperating opponent",
+    "nb_matchups": "Different match keys the strategy appears in",
+    "ranking": "Place by total score in its run; equal scores share the better place",
+    "final_score_a": "Points of side A at the end of the match",
+    "final_score_b": "Points of side B at the end of the match",
+    "cooperation_rate_a_pct": "Share of the match's rounds in which A cooperated",
+    "cooperation_rate_b_pct": "Share of the match's rounds in which B cooperated",
+    "exploitations_by_a": "Rounds of the match in which A exploited B",
+    "exploitations_by_b": "Rounds of the match in which B exploited A",
+    "match_winner": "Who has the higher final score; draw if equal or not known",
+    "total_gain": "Points the side won within the bucket",
+    "exploitations_done": "Rounds of the bucket in which the side exploited the other",
+    "exploitations_received": "Rounds of the bucket in which it was exploited",
+    "total_betrayals_received": "Rounds that follow a defection of the opponent",
+    "total_forgiven": "Those of them in which the strategy cooperated",
+    "forgiveness_index_pct": "Forgiven share of the betrayals; NULL if it was never betrayed",
+    "forgiveness_rank": "Place by that share in its run, NULL last, ties share a place",
 }
 
 

@@ -7,10 +7,14 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tourney.operators.ordering import file_row_columns, place_in_order
 from tourney.schema import BRONZE, MATCH, describe
 
+# Partition column of the bronze table that tells apart what different loads have added to a run.
+BATCH = "batch"
+
 
 def new_run_id() -> str:
     """Eight-character run id, drawn once on the driver, never per row."""
@@ -34,13 +38,17 @@ def write_run(rounds: DataFrame, landing: str, run_id: str, when: datetime | Non
     return path
 
 
-def append_bronze(rounds: DataFrame, path: str) -> None:
-    """Add rounds to the bronze table, partitioned by run."""
-    write_by_run(rounds, path, "append")
+def append_bronze(rounds: DataFrame, path: str, batch: str | None = None) -> None:
+    """Add rounds to the bronze table, partitioned by run and batch.
+
+    Every call writes a batch of its own. A caller that may repeat itself after a failure names its
+    batch, and the repetition replaces what the first try has stored of it.
+    """
+    write_by_run(rounds, path, batch or uuid.uuid4().hex)
 
 
-def write_by_run(rounds: DataFrame, path: str, mode: str) -> None:
-    """Write rounds partitioned by run, those of a match next to each other.
+def write_by_run(rounds: DataFrame, path: str, batch: str) -> None:
+    """Write one batch, partitioned by run, rounds of a match next to each other.
 
     The rebalance hint gives each run's folder files of even size: small runs are not scattered
     over all tasks, and a run holding most of the data is split over many. In match order the
@@ -50,16 +58,44 @@ def write_by_run(rounds: DataFrame, path: str, mode: str) -> None:
         describe(rounds.select(*BRONZE.names))
         .hint("rebalance", "run_id")
         .sortWithinPartitions(*MATCH, "tour")
-        .write.mode(mode)
-        .option("partitionOverwriteMode", "static")
-        .partitionBy("run_id")
+        .withColumn(BATCH, F.lit(batch))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("run_id", BATCH)
         .parquet(path)
     )
 
 
+def _stored(spark: SparkSession, path: str) -> DataFrame:
+    # The explicit schema keeps run ids such as ``1995`` strings.
+    return spark.read.schema(T.StructType([*BRONZE, T.StructField(BATCH, T.StringType())])).parquet(
+        path
+    )
+
+
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    """All runs of a bronze table. The explicit schema keeps run ids such as ``1995`` strings."""
-    return spark.read.schema(BRONZE).parquet(path).select(*BRONZE.names)
+    """All runs of a bronze table."""
+    return _stored(spark, path).select(*BRONZE.names)
+
+
+def runs_of_batch(spark: SparkSession, path: str, batch: str) -> DataFrame:
+    """The runs that a batch holds rounds of; reads its folders only."""
+    return _stored(spark, path).where(F.col(BATCH) == batch).select("run_id").distinct()
+
+
+def runs_only(bronze: DataFrame, runs: DataFrame) -> DataFrame:
+    """Rounds of the given runs (a stored frame of distinct ``run_id``).
+
+    The comparison on the runs' side lets Spark prune the folders of other runs when it broadcasts
+    the list, which it does by size. Rounds without a run id are compared apart, as no join on
+    equality finds them.
+    """
+    listed = runs.select(F.col("run_id").alias("named_run")).where(F.col("named_run") >= "")
+    named = bronze.join(listed, F.col("run_id") == F.col("named_run"), "left_semi")
+    nameless = runs.where(F.col("run_id").isNull()).select(F.lit(1).alias("nameless"))
+    without = bronze.where(F.col("run_id").isNull()).withColumn("wanted", F.lit(1))
+    without = without.join(nameless, F.col("wanted") == F.col("nameless"), "left_semi")
+    return named.unionByName(without.drop("wanted"))
 
 
 def read_landing(spark: SparkSession, landing: str) -> DataFrame:
@@ -67,17 +103,19 @@ def read_landing(spark: SparkSession, landing: str) -> DataFrame:
     return spark.read.schema(BRONZE).option("recursiveFileLookup", "true").parquet(landing)
 
 
-def bronze_in_order(spark: SparkSession, path: str) -> DataFrame:
+def bronze_in_order(
+    spark: SparkSession, path: str, runs: DataFrame | None = None
+) -> DataFrame:
     """Bronze rounds with a ``position`` in match order that copies of a round do not share.
 
     For tables that hold many copies of a round: store it, then give the jobs over the history of a
     match ``order="position"``, and copies spread over blocks like any other rounds. Where they
-    stand among each other follows their place in the files.
+    stand among each other follows their place in the files. ``runs`` limits it to some runs.
     """
     by_file = file_row_columns()
-    rows = spark.read.schema(BRONZE).parquet(path)
+    rows = _stored(spark, path).select(*BRONZE.names, *[c.alias(n) for n, c in by_file.items()])
     return place_in_order(
-        rows.select(*BRONZE.names, *[c.alias(n) for n, c in by_file.items()]),
+        rows if runs is None else runs_only(rows, runs),
         order=(*MATCH, "tour", *by_file),
         keep=BRONZE.names,
     )

@@ -37,6 +37,32 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return file_system.exists(location)
 
 
+def path_name(spark: SparkSession, path: str) -> str:
+    """The path as its file system writes it, to compare two spellings of it."""
+    if not path:
+        return ""
+    file_system, location = _locate(spark, path)
+    return file_system.makeQualified(location).toString().rstrip("/")
+
+
+def mark_done(spark: SparkSession, path: str) -> None:
+    file_system, location = _locate(spark, f"{path}/_DONE")
+    file_system.create(location, True).close()
+
+
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    file_system, location = _locate(spark, path)
+    if not file_system.exists(location):
+        return []
+    return [status.getPath().toString() for status in file_system.listStatus(location)]
+
+
+def partition_folder(spark: SparkSession, column: str, value: str | None) -> str:
+    """Name of the folder that holds one value of a partition column."""
+    names = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return names.getPartitionPathString(column, value)
+
+
 def broadcast_if_small(df: DataFrame, base: DataFrame, base_path: str) -> DataFrame:
     """Broadcast ``df`` if the table it has at most one row per row of is small.
 

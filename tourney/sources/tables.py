@@ -5,16 +5,28 @@ Side A is the customer's region, side B the supplier's; the run is the shipping
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import hashlib
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tourney.operators.history import over_history
+from tourney.operators.history import BLOCK_BITS, over_history
 from tourney.operators.ordering import POSITION, file_row_columns, place_in_order
 from tourney.operators.scoring import add_gains
 from tourney.schema import BRONZE, COOPERATE, DEFECT, MATCH
-from tourney.session import scratch_table, store
-from tourney.sources.bronze import read_bronze
-from tourney.sources.files import broadcast_if_small, table_exists, table_version
+from tourney.plans.build import build, read_gold
+from tourney.session import scratch_dir, scratch_table
+from tourney.sources.bronze import append_bronze, read_bronze
+from tourney.sources.files import (
+    broadcast_if_small,
+    list_folders,
+    mark_done,
+    remove_table,
+    table_exists,
+    table_version,
+)
 
 # Order of the rounds of a match. The file row at the end only places exact copies of a line item,
 # which would otherwise be one unsplittable key.
@@ -31,8 +43,6 @@ ROUND_ORDER = (
 
 _TABLES = ("lineitem", "orders", "customer", "supplier", "nation", "region")
 
-_stored: dict[tuple[str, ...], str] = {}
-
 
 def _path(sf_dir: str, name: str) -> str:
     return f"{sf_dir}/{name}.parquet"
@@ -87,44 +97,104 @@ def recorded_moves(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def moves_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+def moves_in_order(recorded: DataFrame) -> DataFrame:
+    """Stored moves in the order of the rounds.
+
+    The range bounds are sampled by running the frame once more than it is read, so the joins behind
+    ``recorded`` are stored first.
+    """
     return place_in_order(
-        recorded_moves(spark, sf_dir),
-        order=(*MATCH, *ROUND_ORDER),
-        keep=(*MATCH, "choice_a", "choice_b"),
+        recorded, order=(*MATCH, *ROUND_ORDER), keep=(*MATCH, "choice_a", "choice_b")
     )
 
 
-def number_rounds(moves: DataFrame) -> DataFrame:
+def number_rounds(moves: DataFrame, block_bits: int = BLOCK_BITS) -> DataFrame:
     """Bronze rounds of stored moves in order: tours from 1 per match, gains, running scores."""
     counted = add_gains(moves).withColumn("rounds", F.lit(1).cast("bigint"))
+    numbered = over_history(
+        counted,
+        so_far={"tour": "rounds", "cumul_a": "gain_a", "cumul_b": "gain_b"},
+        order=POSITION,
+        block_bits=block_bits,
+    )
+    return numbered.select(*BRONZE.names)
 
-    def running(window):
-        so_far = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return {
-            "tour": F.sum("rounds").over(so_far),
-            "cumul_a": F.sum("gain_a").over(so_far),
-            "cumul_b": F.sum("gain_b").over(so_far),
-        }
 
-    numbered = over_history(counted, running, total=("rounds", "gain_a", "gain_b"), order=POSITION)
-    return numbered.select(*BRONZE.names)
+def build_rounds(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Derive the rounds of ``sf_dir`` and store them as a bronze table."""
+    with scratch_table(recorded_moves(spark, sf_dir), "recorded") as recorded:
+        with scratch_table(moves_in_order(recorded), "moves") as moves:
+            append_bronze(number_rounds(moves), path, "derived")
+
+
+def input_version(spark: SparkSession, sf_dir: str) -> str:
+    """Changes with the names, sizes and times of the input files."""
+    versions = [table_version(spark, _path(sf_dir, name)) for name in _TABLES]
+    return hashlib.sha256("|".join(versions).encode()).hexdigest()[:24]
 
 
-def build_rounds(spark: SparkSession, sf_dir: str) -> str:
-    """Derive the rounds of ``sf_dir`` and store them in the scratch folder; returns the path."""
-    with scratch_table(moves_in_order(spark, sf_dir), "moves") as moves:
-        return store(number_rounds(moves), "bronze")
+def stored_once(
+    spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]
+) -> str:
+    """Folder of a table derived from the inputs, written on first use and kept for later ones.
+
+    Applications share it through the scratch folder. Once a new version of the inputs is stored,
+    the tables of older ones are removed. Two applications may write the same version at a time:
+    each writes its own folder and marks it when complete.
+    """
+    version = input_version(spark, sf_dir)
+    of_input = hashlib.sha256(sf_dir.encode()).hexdigest()[:16]
+    home = f"{scratch_dir(spark)}/derived/{of_input}/{name}"
+    folders = sorted(list_folders(spark, home))
+    for folder in folders:
+        if folder.rsplit("/", 1)[-1].startswith(version) and table_exists(spark, f"{folder}/_DONE"):
+            return folder
+    path = f"{home}/{version}-{uuid.uuid4().hex}"
+    write(path)
+    mark_done(spark, path)
+    for folder in folders:
+        if not folder.rsplit("/", 1)[-1].startswith(version):
+            remove_table(spark, folder)
+    return path
 
 
 def stored_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The bronze table of ``sf_dir``, built once per Spark application.
+    """The bronze table of ``sf_dir``, the stored input of every model."""
+    path = stored_once(
+        spark, sf_dir, "bronze", lambda path: build_rounds(spark, sf_dir, path)
+    )
+    return read_bronze(spark, path)
+
+
+def stored_gold(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A gold table that ``build`` has written from the rounds of ``sf_dir``."""
+
+    def write(path: str) -> None:
+        build(stored_rounds(spark, sf_dir), path, select=("gold",))
 
-    Rounds are the stored input of every model, so queries of one session share them. Changed
-    input files (names, sizes or times) get a table of their own.
+    return read_gold(spark, stored_once(spark, sf_dir, "gold", write), name)
+
+
+def faulty_rounds(bronze: DataFrame) -> DataFrame:
+    """Rounds with faults that follow from the round number: missing and unknown moves, gaps.
+
+    Gains and running scores stay as recorded, so they no longer follow from the moves.
     """
-    versions = tuple(table_version(spark, _path(sf_dir, name)) for name in _TABLES)
-    key = (spark.sparkContext.applicationId, *versions)
-    if key not in _stored or not table_exists(spark, _stored[key]):
-        _stored[key] = build_rounds(spark, sf_dir)
-    return read_bronze(spark, _stored[key])
+    tour = F.col("tour")
+    choice_a = F.when(tour % 11 == 3, F.lit(None)).otherwise(F.col("choice_a"))
+    choice_b = F.when(tour % 13 == 5, "MAYBE").otherwise(F.col("choice_b"))
+    return bronze.where(tour % 17 != 9).withColumns({"choice_a": choice_a, "choice_b": choice_b})
+
+
+def rounds_breaking_rules(bronze: DataFrame) -> DataFrame:
+    """``faulty_rounds`` with copies, impossible gains, wrong running scores and missing names."""
+    tour = F.col("tour")
+    wrong = faulty_rounds(bronze).withColumns(
+        {
+            "gain_a": F.when(tour % 23 == 6, F.lit(7).cast("bigint")).otherwise(F.col("gain_a")),
+            "cumul_b": F.when(tour % 29 == 8, F.col("cumul_b") + 1).otherwise(F.col("cumul_b")),
+            "player_b": F.when(tour % 31 == 10, F.lit(None)).otherwise(F.col("player_b")),
+        }
+    )
+    copies = F.when(tour % 19 == 4, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return wrong.withColumn("_copy", F.explode(copies)).drop("_copy")

@@ -7,27 +7,33 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tourney.plans.build import rebuild_runs
 from tourney.schema import BRONZE
-from tourney.sources.bronze import read_bronze, write_by_run
+from tourney.sources.bronze import append_bronze, runs_of_batch
 
 _QUERY_ID = "sql.streaming.queryId"
 
 
 def ingest_new_runs(
-    spark: SparkSession, landing: str, bronze: str, warehouse: str, checkpoint: str
+    spark: SparkSession,
+    landing: str,
+    bronze: str,
+    warehouse: str,
+    checkpoint: str,
+    order: str = "tour",
 ) -> StreamingQuery:
     """Process every file the checkpoint has not seen, then stop.
 
-    Window functions by row order do not run on a stream, so each batch is stored and the runs it
-    touches are rebuilt from the stored table, which ``read_bronze`` reads as one.
+    ``bronze`` may hold rounds that were appended otherwise. Window functions by row order do not
+    run on a stream, so each batch is stored and the runs it touches are rebuilt from the whole
+    table. ``order`` is that of ``rebuild_runs``.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         query_id = session.sparkContext.getLocalProperty(_QUERY_ID)
-        stored = f"{bronze}/ingest={query_id}-{batch_id}"
-        # Each batch owns one folder, so a batch run again after a failure replaces its first try.
-        write_by_run(batch, stored, "overwrite")
-        rebuild_runs(read_bronze(session, bronze), read_bronze(session, stored), warehouse)
+        # A batch run again after a failure replaces its first try.
+        name = f"{query_id}-{batch_id}"
+        append_bronze(batch, bronze, name)
+        rebuild_runs(session, bronze, runs_of_batch(session, bronze, name), warehouse, order)
 
     return (
         spark.readStream.schema(BRONZE)
