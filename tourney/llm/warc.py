@@ -43,6 +43,8 @@ from pyspark.sql.datasource import (
 )
 from pyspark.sql.types import StructType
 
+from tourney.session import materialise
+
 FILE_BYTES = 64 << 20
 RANGE_BYTES = 8 << 20
 BATCH_ROWS = 500
@@ -359,8 +361,9 @@ def archive_records(
     key are all responses. A null text is an empty payload. A null key has the record id
     ``urn:page:`` and is a response only if no row with a key has its payload.
 
-    Payload groups are aggregated before the shuffle, and only groups of several rows take part in
-    the join; adaptive execution splits a payload that very many rows share.
+    Payload groups are aggregated before the shuffle, and only groups of several rows are stored and
+    joined. While that table is small, Spark broadcasts it and the payloads stay where they are;
+    beyond, the join shuffles, and a payload that very many rows share is split.
     """
     payload = F.coalesce(F.encode(F.col(text).cast("string"), "UTF-8"), F.lit(b""))
     rows = pages.select(
@@ -373,6 +376,7 @@ def archive_records(
         .agg(F.max("page").alias("first"), F.count(F.lit(1)).alias("copies"))
         .where("copies > 1")
     )
+    copied = materialise(copied.select("same", "first"), "copied-payloads")
     joined = rows.join(copied, (F.col("digest") == F.col("same")), "left")
     revisit = F.col("first").isNotNull() & ~F.col("page").eqNullSafe(F.col("first"))
     revisit &= F.length("payload") >= least
