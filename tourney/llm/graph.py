@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +16,21 @@ def _fingerprint(edges: DataFrame) -> tuple:
     return tuple(row)
 
 
+def local_roots(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every node of the links with the smallest one it reaches through them."""
+    nodes, places = np.unique(np.concatenate((a, b)), return_inverse=True)
+    a, b = places[: len(a)], places[len(a) :]
+    root = np.arange(len(nodes))
+    while True:
+        before = root.copy()
+        low = np.minimum(root[a], root[b])
+        np.minimum.at(root, a, low)
+        np.minimum.at(root, b, low)
+        root = root[root]
+        if (root == before).all():
+            return nodes, nodes[root]
+
+
 def components(links: DataFrame, a: str, b: str) -> DataFrame:
     """``node`` and ``root``, the smallest node it reaches, for every node of a link.
 

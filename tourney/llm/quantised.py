@@ -2,10 +2,13 @@
 
 A coarse quantiser sorts the vectors into inverted lists, and the residual of each vector is coded
 by subspace. A query probes every list whose cell may hold a linked vector, reads approximate
-distances from tables, and compares exactly only where the table distance allows a link. Both tests
-are bounds: a cell is skipped only if it lies farther than the linking distance, a vector only if its
-table distance exceeds that by more than its own coding error. So no link is lost, however the
-quantisers were fitted; the fit, on a bounded sample, decides the speed alone.
+distances from tables, and compares exactly only where the table distance allows a link.
+
+A vector is skipped only if its table distance exceeds the linking distance by more than its own
+coding error, which loses nothing. A list is skipped if the difference to the query would have to
+point to its cell more than ``DEVIATIONS`` standard deviations beyond a random direction; a pair is
+lost only if that holds from both of its ends. With few components the bound is exact. The
+quantisers are fitted on a bounded sample, which decides the speed and hardly the result.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tourney.llm.graph import components
+from tourney.llm.graph import components, local_roots
 from tourney.llm.vectors import common_size, k_means, squared_distances, stacked, usable
 from tourney.session import materialise
 
@@ -35,6 +38,7 @@ MEMBERS = 8_192
 QUERIES = 32_768
 PAIRS_AT_ONCE = 1 << 21
 SLACK = 1e-6
+DEVIATIONS = 2.5
 
 
 @dataclass
@@ -58,11 +62,12 @@ class Quantiser:
         return np.split(_padded(vectors, len(self.codebooks)), len(self.codebooks), axis=1)
 
     def probes(self, units: np.ndarray, lists: np.ndarray, reach: float) -> np.ndarray:
-        """Which lists may hold a vector within ``reach``: distance to the edge of their cell."""
+        """Which lists to search for vectors within ``reach`` of each unit vector."""
         distance = squared_distances(units, self.centres)
         own = distance[np.arange(len(units)), lists][:, None]
         apart = np.sqrt(squared_distances(self.centres, self.centres))[lists]
-        return distance - own <= 2 * apart * reach + SLACK
+        turned = min(1.0, DEVIATIONS / np.sqrt(units.shape[1]))
+        return distance - own <= 2 * apart * reach * turned + SLACK
 
     def tables(self, units: np.ndarray, which: int) -> np.ndarray:
         """Squared distances of each query's residual to every code: subspace, query, code."""
@@ -93,21 +98,6 @@ def _units(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.sqrt((vectors * vectors).sum(axis=1))[:, None]
 
 
-def _local_roots(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Every node of the links with the smallest one it reaches through them."""
-    nodes, places = np.unique(np.concatenate((a, b)), return_inverse=True)
-    a, b = places[: len(a)], places[len(a) :]
-    root = np.arange(len(nodes))
-    while True:
-        before = root.copy()
-        low = np.minimum(root[a], root[b])
-        np.minimum.at(root, a, low)
-        np.minimum.at(root, b, low)
-        root = root[root]
-        if (root == before).all():
-            return nodes, nodes[root]
-
-
 def _compare(
     quantiser: Quantiser, queries: pd.DataFrame, members: pd.DataFrame, cosine: float
 ) -> pd.DataFrame:
@@ -121,9 +111,11 @@ def _compare(
     copies = members["copies"].to_numpy()
     codes = np.frombuffer(b"".join(members["codes"]), np.uint8).reshape(len(members), -1)
     limit = ((reach + members["error"].to_numpy()) ** 2 + SLACK).astype(np.float32)
-    count = np.zeros(len(q), np.int64)
+    count, m_count = np.zeros(len(q), np.int64), np.zeros(len(m), np.int64)
+    q_copies = queries["copies"].to_numpy()
     found_a, found_b = [], []
     probed = quantiser.probes(q_unit, q_list, reach)
+    answers = quantiser.probes(m_unit, m_list, reach)
     for which in np.unique(m_list).tolist():
         asking, own = np.flatnonzero(probed[:, which]), np.flatnonzero(m_list == which)
         step = max(1, PAIRS_AT_ONCE // len(own))
@@ -141,17 +133,21 @@ def _compare(
                 linked = (exact >= cosine) & (q_node[x] != m_node[y])
                 x, y = x[linked], y[linked]
                 np.add.at(count, x, copies[y])
+                # A member that does not search the query's list learns of the link here.
+                silent = ~answers[y, q_list[x]]
+                np.add.at(m_count, y[silent], q_copies[x[silent]])
                 found_a.append(q_node[x])
                 found_b.append(m_node[y])
     a = np.concatenate(found_a) if found_a else np.empty(0, np.int64)
     b = np.concatenate(found_b) if found_b else np.empty(0, np.int64)
-    nodes, roots = _local_roots(a, b) if len(a) else (a, b)
-    hit = np.flatnonzero(count)
+    nodes, roots = local_roots(a, b) if len(a) else (a, b)
+    hit, heard = np.flatnonzero(count), np.flatnonzero(m_count)
+    none = np.zeros(len(nodes), np.int64)
     return pd.DataFrame(
         {
-            "node": np.concatenate((q_node[hit], nodes)),
-            "links": np.concatenate((count[hit], np.zeros(len(nodes), np.int64))),
-            "root": np.concatenate((q_node[hit], roots)),
+            "node": np.concatenate((q_node[hit], m_node[heard], nodes)),
+            "links": np.concatenate((count[hit], m_count[heard], none)),
+            "root": np.concatenate((q_node[hit], m_node[heard], roots)),
         }
     )
 
