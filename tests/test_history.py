@@ -1,13 +1,17 @@
 """Block-wise windows against plain ones, and the jobs built on them against brute force."""
 
+import re
+
+import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tests import naive
+import naive
 from tests.rounds import MOVE, conformance_counts, forgiveness_counts, match_rows
+from tourney.operators import history
 from tourney.operators.history import over_history
 from tourney.operators.ordering import place_in_order
 from tourney.operators.scoring import add_gains, add_running_scores, score_rounds
@@ -48,25 +52,62 @@ def as_set(df, columns):
 def test_blocks_equal_whole_match(spark, rows, block_bits):
     bronze = spark.createDataFrame(rows, BRONZE)
 
-    def look(window):
-        so_far = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        before = window.rowsBetween(Window.unboundedPreceding, -1)
-        return {
-            "last_a": F.lag("choice_a").over(window),
-            "last_tour": F.lag("tour").over(window),
-            "score": F.sum("gain_b").over(so_far),
-            "score_before": F.sum("gain_b").over(before),
-        }
-
     blocked = over_history(
-        bronze, look, last=("choice_a",), total=("gain_b",), block_bits=block_bits
+        bronze,
+        moves={"last_a": "choice_a"},
+        previous="last_tour",
+        before={"score_before": "gain_b"},
+        so_far={"score": "gain_b"},
+        block_bits=block_bits,
     )
     whole = Window.partitionBy(*MATCH).orderBy("tour")
-    plain = bronze.select("*", *[c.alias(n) for n, c in look(whole).items()])
+    plain = bronze.select(
+        "*",
+        F.lag("choice_a").over(whole).alias("last_a"),
+        F.lag("tour").over(whole).alias("last_tour"),
+        F.sum("gain_b").over(whole.rowsBetween(Window.unboundedPreceding, -1)).alias("score_before"),
+        F.sum("gain_b").over(whole.rowsBetween(Window.unboundedPreceding, 0)).alias("score"),
+    )
     assert blocked.columns == plain.columns
     assert as_set(blocked, plain.columns) == as_set(plain, plain.columns)
 
 
+def test_columns_that_are_not_there_are_refused(bronze_of):
+    with pytest.raises(ValueError, match="gain_c"):
+        over_history(bronze_of(("r", "x", "y", ["CD"])), so_far={"sum": "gain_c"})
+
+
+def test_any_text_is_carried_and_summaries_stay_small(spark):
+    """200,000 different texts in one match: 16 rows per block at most come out of the fold."""
+    rounds = spark.range(1, 200_001).select(
+        F.lit("r").alias("run_id"),
+        F.lit("x").alias("player_a"),
+        F.lit("y").alias("player_b"),
+        F.col("id").alias("tour"),
+        F.concat(F.lit("text "), F.col("id")).alias("choice_a"),
+        F.when(F.col("id") % 2 == 0, "DEFECT").otherwise("COOPERATE").alias("choice_b"),
+    )
+    blocked = rounds.withColumn("_block", history.block_of("tour", 12))
+    ends = history._block_ends(blocked, "tour", ["choice_a", "choice_b"], [])
+    assert ends.count() == len(range(0, 200_001, 1 << 12))
+    found = over_history(rounds, moves={"before": "choice_a"}, block_bits=12)
+    expected = F.when(F.col("tour") > 1, F.concat(F.lit("text "), F.col("tour") - 1))
+    assert found.where(~F.col("before").eqNullSafe(expected)).count() == 0
+    plan = ends._jdf.queryExecution().executedPlan().toString()
+    folds = re.findall(r"HashAggregate\(keys=\[([^\]]*)\], functions=\[partial_max\(tour", plan)
+    assert folds and all("_code_choice_a" in f for f in folds)
+
+
+def test_sparse_tours_by_position(spark):
+    rows = match_rows("r", "x", "y", ["CD", "DD", "CC", "DC"] * 5)
+    sparse = [(r[0], r[1] * 1_000_000, *r[2:]) for r in rows]
+    frame = spark.createDataFrame(sparse, BRONZE)
+    placed = materialise(place_in_order(frame, [*MATCH, "tour"], BRONZE.names), "sparse")
+    for job in (policies.policy_conformance, gold.gold_forgiveness_index):
+        by_position, by_tour = job(placed, order="position"), job(frame)
+        assert as_set(by_position, by_tour.columns) == as_set(by_tour, by_tour.columns)
+
+
 @few
 @given(rows=tournaments(), block_bits=st.integers(0, 4))
 def test_models_equal_branch_by_branch_forms(spark, rows, block_bits):
@@ -154,10 +195,21 @@ def test_replies(spark):
     assert got == {i: "DEFECT" if i in (0, 1, 2, 6) else "COOPERATE" for i in range(7)}
 
 
+def test_keyword_in_any_case(spark):
+    talks = spark.createDataFrame(
+        [(1, 1, "assistant", "We Que here"), (2, 1, "assistant", "no")],
+        "conv_id bigint, turn bigint, role string, text string",
+    )
+    found = replies.reply_choices(talks, keyword="que", otherwise="-").collect()
+    assert [r.choice for r in found] == ["que", "-"]
+
+
 def test_replay_scores(bronze_of):
     bronze = bronze_of(("r", "x", "y", ["CD", "CC", "CD"]))
     rows = {
-        (r.strategy, r.policy): (r.rounds, r.recorded_score, r.replayed_score, r.score_change)
+        (r.strategy, r.policy): (
+            r.scored_rounds, r.recorded_score, r.replayed_score, r.score_change
+        )
         for r in policies.counterfactual_replay(bronze, block_bits=1).collect()
     }
     assert rows["x", "always_cooperate"] == (3, 3, 3, 0)
@@ -171,6 +223,36 @@ def test_replay_scores(bronze_of):
     }
 
 
+def test_a_missing_own_move_counts_for_neither_score(bronze_of):
+    bronze = bronze_of(("r", "x", "y", ["CC", "-C", "CC"]))
+    rows = {(r.strategy, r.policy): r for r in policies.counterfactual_replay(bronze).collect()}
+    found = rows["x", "always_cooperate"]
+    assert (found.rounds, found.scored_rounds, found.score_change) == (3, 2, 0)
+
+
+def test_random_moves_are_independent(spark):
+    def moves(side, **key):
+        names = {"run_id": "r", "player_a": "x", "player_b": "y"} | key
+        tours = spark.range(1, 20_001).withColumnRenamed("id", "tour")
+        frame = tours.withColumns({n: F.lit(v) for n, v in names.items()})
+        move = (policies.seeded_move(0, side) == "DEFECT").cast("int").alias("move")
+        return np.array([r.move for r in frame.orderBy("tour").select(move).collect()])
+
+    first = moves("a")
+    assert abs(first.mean() - 0.5) < 0.02
+    others = [moves("b"), moves("a", run_id="s"), moves("a", player_b="z")]
+    pairs = [(first[k:], first[:-k]) for k in range(1, 9)] + [(first, o) for o in others]
+    pairs += [(others[0][k:], first[:-k]) for k in range(1, 4)]
+    assert all(abs(np.corrcoef(a, b)[0, 1]) < 0.05 for a, b in pairs)
+
+
+def test_domains_are_optional_rules(bronze_of):
+    bronze = bronze_of(("run00001", "x", "y", ["CC"] * 5), ("r", "x", "y", ["CC"]))
+    report = quality.dq_report(bronze, last_tour=3, run_id_chars=8).collect()
+    found = {r.rule: r.violations for r in report}
+    assert (found["tour_domain"], found["run_id_length"], len(found)) == (2, 1, 9)
+
+
 def test_quality_report_counts_each_fault(spark):
     good = match_rows("r", "x", "y", ["CD", "CC", "DD", "DC"])
     clean = {r.rule: r.violations for r in quality.dq_report(spark.createDataFrame(good, BRONZE)).collect()}

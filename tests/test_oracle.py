@@ -1,12 +1,14 @@
 """Every registered query against its SQL over the same tables."""
 
+import hashlib
+import re
 from pathlib import Path
 
 import duckdb
 import pytest
 
 import __spark_entry__ as registry
-from tourney.session import materialise
+from tourney.session import materialise, scratch_dir
 from tourney.sources import files
 from tourney.sources import tables as order_tables
 
@@ -24,14 +26,17 @@ def tables():
 
 
 def test_every_query_has_sql():
-    assert registry.queries().keys() == registry.oracle_sql().keys()
+    """But for the training-data operators, some of which SQL cannot express."""
+    without = registry.queries().keys() - registry.oracle_sql().keys()
+    assert registry.oracle_sql().keys() <= registry.queries().keys()
+    assert all(re.match(r"op\d+_|pipeline$", name) for name in without)
 
 
 def test_entry(spark, tables):
     assert registry.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(registry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
 def test_same_rows(spark, tables, name):
     ours = registry.queries()[name](spark, SF_DIR).toArrow()
     theirs = tables.sql(registry.oracle_sql()[name]).to_arrow_table()
@@ -51,18 +56,19 @@ def test_same_rows(spark, tables, name):
 
 
 def test_lookups_by_shuffle_give_the_same_rounds(spark, tables, monkeypatch):
-    small = order_tables.number_rounds(
-        materialise(order_tables.moves_in_order(spark, SF_DIR), "moves-broadcast")
-    )
+    def rounds(name):
+        recorded = materialise(order_tables.recorded_moves(spark, SF_DIR), f"recorded-{name}")
+        moves = materialise(order_tables.moves_in_order(recorded), f"moves-{name}")
+        return order_tables.number_rounds(moves)
+
+    small = rounds("broadcast")
     monkeypatch.setattr(files, "BROADCAST_BYTES", 0)
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         moves = order_tables.recorded_moves(spark, SF_DIR)
         assert "SortMergeJoin" in moves._jdf.queryExecution().executedPlan().toString()
-        large = order_tables.number_rounds(
-            materialise(order_tables.moves_in_order(spark, SF_DIR), "moves-shuffled")
-        )
+        large = rounds("shuffled")
         assert large.count() == small.count()
         assert large.exceptAll(small).count() == 0
     finally:
@@ -77,3 +83,9 @@ def test_changed_input_gets_its_own_rounds(spark, tables, tmp_path):
     half.to_parquet(tmp_path / "lineitem.parquet", coerce_timestamps="us")
     after = order_tables.stored_rounds(spark, str(tmp_path)).count()
     assert after == len(half) < before
+    # The rounds of the older files are gone, and those of the newer ones are not built twice.
+    home = Path(scratch_dir(spark)) / "derived"
+    of_input = hashlib.sha256(str(tmp_path).encode()).hexdigest()[:16]
+    (kept,) = (home / of_input / "bronze").iterdir()
+    order_tables.stored_rounds(spark, str(tmp_path))
+    assert list((home / of_input / "bronze").iterdir()) == [kept]

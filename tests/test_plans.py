@@ -5,9 +5,11 @@ import re
 import pytest
 
 from tourney.operators.scoring import add_gains
-from tourney.plans import gold, policies, quality, replies
+from tourney.plans import gold, policies, quality, replies, saved
+from tourney.plans.build import build, read_gold
 from tourney.plans.silver import silver_rounds
 from tourney.session import materialise
+from tourney.sources.bronze import append_bronze, read_bronze, runs_only
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +18,7 @@ def bronze(bronze_of):
 
 
 def plan_of(df):
+    df.sparkSession.conf.set("spark.sql.maxMetadataStringLength", "2000")
     return df._jdf.queryExecution().executedPlan().toString()
 
 
@@ -56,15 +59,43 @@ def test_history_jobs_never_sort_a_whole_match_of_rounds(bronze):
             assert "block" in spec[1]
 
 
-def test_run_filter_reaches_both_reads_of_the_history(bronze):
+def test_run_filter_reaches_every_read_of_the_history(bronze):
     plan = plan_of(replies.history_prompts(bronze).where("run_id = 'r'"))
-    assert plan.count("FileScan parquet") == 2
-    assert plan.count("EqualTo(run_id,r)") == 2
+    # The third read is for texts that are neither of the two moves.
+    assert plan.count("FileScan parquet") == 3
+    assert plan.count("EqualTo(run_id,r)") == 3
+    assert plan.count("Not(In(choice_a") == 1
 
 
-def test_gains_come_from_a_broadcast_join(bronze):
+def test_gains_need_no_join(bronze):
     plan = plan_of(add_gains(bronze.drop("gain_a", "gain_b")))
-    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    assert "Join" not in plan and "Exchange" not in plan
+
+
+def test_quality_report_shuffles_rounds_once(bronze):
+    plan = plan_of(quality.dq_report(bronze))
+    assert plan.count("FileScan parquet") == 2
+    # Of the exchanges on match and block, one moves rounds; the others move folded blocks.
+    assert plan.count("REPARTITION_BY_COL") == 1
+    by_tour = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    assert not any("tour" in keys for keys in by_tour)
+
+
+def test_saved_queries_filter_in_the_scan(spark, bronze, tmp_path):
+    build(bronze, str(tmp_path), select=("gold",))
+    drift = read_gold(spark, str(tmp_path), "gold_behavioral_drift")
+    matrix = read_gold(spark, str(tmp_path), "gold_matchup_matrix")
+    assert "EqualTo(strategy,x)" in plan_of(saved.strategy_drift(drift, "x"))
+    assert "EqualTo(player_a,x)" in plan_of(saved.matchup_lookup(matrix, "x"))
+
+
+def test_rebuild_reads_only_the_folders_of_named_runs(spark, bronze_of, tmp_path):
+    path = str(tmp_path / "bronze")
+    append_bronze(bronze_of(*[(f"run{i}", "x", "y", ["CD"] * 5) for i in range(20)]), path)
+    runs = materialise(spark.createDataFrame([("run3",), ("run7",)], "run_id string"), "runs")
+    rounds = runs_only(read_bronze(spark, path), runs)
+    assert {r.run_id for r in rounds.collect()} == {"run3", "run7"}
+    assert "dynamicpruning" in plan_of(rounds)
 
 
 def test_no_python_and_no_cross_join(bronze):

@@ -9,10 +9,15 @@ import pytest
 from tests.rounds import FULL_MATCHES, match_rows
 from tourney.plans import gold, saved
 from tourney.__main__ import main
-from tourney.plans import build as builder
-from tourney.plans.build import build, read_gold, register_gold, rounds_of
+from tourney.plans.build import (
+    build,
+    read_gold,
+    rebuild_runs,
+    register_gold,
+    register_silver,
+)
 from tourney.plans.silver import silver_rounds
-from tourney.schema import BRONZE, GOLD
+from tourney.schema import BRONZE, COLUMN_COMMENTS, GOLD, SILVER
 from tourney.session import materialise, scratch_dir, scratch_table
 from tourney.sources import bronze as store
 from tourney.streaming.ingest import ingest_new_runs
@@ -51,7 +56,7 @@ def test_run_files(spark, bronze_of, tmp_path):
     loaded = store.read_landing(spark, str(tmp_path))
     assert {r.run_id for r in loaded.collect()} == {run}
     comments = {f.name: f.metadata.get("comment") for f in spark.read.parquet(path).schema}
-    assert comments["tour"] == "Round number within the match, from 1"
+    assert comments["tour"].startswith("Counts the rounds of a match")
 
 
 def test_build_writes_every_gold_table(spark, bronze_of, tmp_path):
@@ -110,9 +115,9 @@ def test_ingest_reads_each_file_once_and_rebuilds_its_run(spark, bronze_of, tmp_
     store.write_run(two, landing, "run00002")
     pick_up()
     pick_up()  # nothing new
-    folders = [p.name for p in (tmp_path / "bronze").iterdir()]
+    folders = [str(p.relative_to(bronze)) for p in Path(bronze).glob("*/*") if p.is_dir()]
+    assert all(re.match(r"run_id=run0000[12]/batch=[0-9a-f-]{36}-\d$", f) for f in folders)
     assert sorted(f.rsplit("-", 1)[1] for f in folders) == ["0", "1"]
-    assert all(re.match(r"ingest=[0-9a-f-]{36}-\d$", f) for f in folders)
 
     # A batch that failed before its commit runs again and replaces what it had stored.
     for commit in (tmp_path / "checkpoint" / "commits").glob("*1*"):
@@ -137,6 +142,39 @@ def test_ingest_reads_each_file_once_and_rebuilds_its_run(spark, bronze_of, tmp_
         assert rows_of(read_gold(spark, warehouse, name)) == rows_of(getattr(gold, name)(silver))
 
 
+def test_appended_and_ingested_runs_share_a_table(spark, bronze_of, tmp_path):
+    landing, bronze, warehouse, checkpoint = (
+        str(tmp_path / name) for name in ("landing", "bronze", "gold", "checkpoint")
+    )
+    store.append_bronze(bronze_of(("a", "x", "y", ["CD", "DD"])), bronze)
+    build(store.read_bronze(spark, bronze), warehouse, select=("gold",))
+    store.write_run(bronze_of(("?", "x", "y", ["CC"])), landing, "run00001")
+    ingest_new_runs(spark, landing, bronze, warehouse, checkpoint).awaitTermination()
+    store.append_bronze(bronze_of(("c", "x", "y", ["DD"])), bronze)
+    summary = read_gold(spark, warehouse, "gold_tournament_summary")
+    assert {r.run_id for r in summary.collect()} == {"a", "run00001"}
+    build(store.read_bronze(spark, bronze), warehouse, select=("gold",))
+    for name in ("gold_tournament_summary", "gold_matchup_matrix"):
+        found = {r.run_id for r in read_gold(spark, warehouse, name).collect()}
+        assert found == {"a", "run00001", "c"}
+
+
+@pytest.mark.parametrize("order", ["tour", "position"])
+def test_a_rebuilt_run_leaves_no_stale_rows(spark, bronze_of, tmp_path, order):
+    bronze, warehouse = str(tmp_path / "bronze"), str(tmp_path / "gold")
+    store.append_bronze(bronze_of(("a b=c", "x", "y", ["CD", "CC"])), bronze, "first")
+    store.append_bronze(bronze_of(("k", "x", "y", ["CD", "CC"])), bronze, "second")
+    build(store.read_bronze(spark, bronze), warehouse, select=("gold",))
+    # The batch comes again with one round only, which no round follows.
+    store.append_bronze(bronze_of(("a b=c", "x", "y", ["CD"])), bronze, "first")
+    runs = store.runs_of_batch(spark, bronze, "first")
+    rebuild_runs(spark, bronze, runs, warehouse, order)
+    index = read_gold(spark, warehouse, "gold_forgiveness_index")
+    assert {r.run_id for r in index.collect()} == {"k"}
+    matrix = read_gold(spark, warehouse, "gold_matchup_matrix")
+    assert {r.run_id for r in matrix.collect()} == {"a b=c", "k"}
+
+
 def test_saved_queries(bronze_of):
     silver = silver_rounds(bronze_of(("a", "x", "y", ["CD", "CC"]), ("b", "y", "x", ["DD"])))
     summary, matrix = gold.gold_tournament_summary(silver), gold.gold_matchup_matrix(silver)
@@ -171,18 +209,51 @@ def test_gold_tables_in_the_catalog(spark, bronze_of, tmp_path):
     facts = spark.sql("DESCRIBE TABLE EXTENDED gold_tournament_summary").collect()
     shown = {r.col_name: (r.data_type, r.comment) for r in facts}
     assert shown["Comment"][0] == "Leaderboard of each run"
-    assert shown["ranking"][1].startswith("Rank by total score")
+    assert shown["ranking"][1].startswith("Place by total score")
     for name in GOLD:
         spark.sql(f"DROP TABLE {name}")
 
 
-@pytest.mark.parametrize("limit", [0, 10])
-def test_rounds_of_named_runs(bronze_of, monkeypatch, limit):
-    monkeypatch.setattr(builder, "LISTED_RUNS", limit)
+def test_other_tables_of_the_same_name_survive(spark, bronze_of, tmp_path):
+    build(bronze_of(("r", "x", "y", ["CD"])), str(tmp_path / "gold"), select=("gold",))
+    spark.sql("CREATE DATABASE IF NOT EXISTS mine")
+    spark.range(3).write.mode("overwrite").saveAsTable("mine.gold_matchup_matrix")
+    with pytest.raises(ValueError):
+        register_gold(spark, str(tmp_path / "gold"), "mine")
+    assert spark.table("mine.gold_matchup_matrix").count() == 3
+    spark.sql("DROP TABLE mine.gold_matchup_matrix")
+    for _ in range(2):
+        register_gold(spark, str(tmp_path / "gold"), "mine")
+    assert spark.table("mine.gold_matchup_matrix").count() == 1
+    with pytest.raises(ValueError):
+        register_gold(spark, str(tmp_path / "elsewhere"), "mine")
+    spark.sql("DROP DATABASE mine CASCADE")
+
+
+def test_lasting_silver_view(spark, bronze_of, tmp_path):
+    path = str(tmp_path / "bronze")
+    bronze = bronze_of(*FULL_MATCHES[:1], ("1999", "x", "x", ["CD", "-D", "C-"]))
+    store.append_bronze(bronze, path)
+    spark.catalog.dropTempView("silver_rounds")
+    spark.sql("CREATE DATABASE IF NOT EXISTS lasting")
+    register_silver(spark, path, "lasting")
+    assert not spark.catalog.getTable("lasting.silver_rounds").isTemporary
+    view = spark.table("lasting.silver_rounds")
+    assert view.columns == SILVER.names
+    assert rows_of(view) == rows_of(silver_rounds(bronze))
+    spark.sql("DROP DATABASE lasting CASCADE")
+
+
+def test_every_column_is_described():
+    for schema in (BRONZE, SILVER, *GOLD.values()):
+        assert all(COLUMN_COMMENTS[name] for name in schema.names)
+
+
+def test_rounds_of_named_runs(bronze_of):
     bronze = bronze_of(("a", "x", "y", ["CD"]), ("b", "x", "y", ["CC"]), (None, "x", "y", ["DD"]))
-    for wanted in ([("a",)], [("a",), (None,), ("a",)]):
+    for wanted in ([("a",)], [("a",), (None,)], [(None,)], []):
         runs = bronze.sparkSession.createDataFrame(wanted, "run_id string")
-        got = {r.run_id for r in rounds_of(bronze, runs).collect()}
+        got = {r.run_id for r in store.runs_only(bronze, runs).collect()}
         assert got == {run for (run,) in wanted}
 
 
@@ -198,7 +269,15 @@ def test_scratch_tables_are_removed(spark):
 def test_command_line(spark, bronze_of, tmp_path, capsys):
     path, warehouse = str(tmp_path / "bronze"), str(tmp_path / "gold")
     store.append_bronze(bronze_of(("a", "x", "y", ["CD", "CC"])), path)
-    assert main(["run", "--bronze", path, "--warehouse", warehouse]) == 0
+    assert main(["run", "--bronze", path, "--warehouse", warehouse, "--select", "gold"]) == 0
+    assert not spark.catalog.tableExists("tournament_bronze")
+    spark.catalog.dropTempView("silver_rounds")
+    assert main(["run", "--bronze", path, "--warehouse", "-", "--select", "silver"]) == 0
+    assert spark.table("silver_rounds").count() == 2
+    spark.sql("DROP VIEW silver_rounds")
+    spark.sql("DROP TABLE tournament_bronze")
+    assert main(["test", "--bronze", path, "--run-id-chars", "8"]) == 1
+    capsys.readouterr()
     assert read_gold(spark, warehouse, "gold_tournament_summary").count() == 2
     assert main(["test", "--bronze", path]) == 0
     assert "unique_round: 0 of 2" in capsys.readouterr().out

@@ -112,28 +112,27 @@ def _block_ends(source: DataFrame, order: str, last: list[str], total: list[str]
     folded = coded.groupBy(*MATCH, _BLOCK, *codes).agg(
         F.max(order).alias(order), *[F.sum(c).alias(c) for c in total]
     )
-    ends = folded.groupBy(*MATCH, _BLOCK).agg(
-        F.max(F.struct(order, *codes)).alias("_end"), *[F.sum(c).alias(c) for c in total]
+    parts = folded.withColumn("_end", F.struct(order, *codes)).drop(order, *codes)
+    if last:
+        # Written out so that the scan can skip rounds by it.
+        other = F.lit(False)
+        for c in last:
+            other = other | (F.col(c).isNotNull() & ~F.col(c).isin(COOPERATE, DEFECT))
+        texts = (
+            source.where(other)
+            .groupBy(*MATCH, _BLOCK)
+            .agg(F.max_by(F.struct(*last), order).alias("_texts"))
+        )
+        parts = parts.unionByName(texts, allowMissingColumns=True)
+    known = [F.first("_texts", ignorenulls=True).alias("_texts")] if last else []
+    ends = parts.groupBy(*MATCH, _BLOCK).agg(
+        F.max("_end").alias("_end"), *known, *[F.sum(c).alias(c) for c in total]
     )
-    ends = ends.select(*MATCH, _BLOCK, "_end.*", *total)
-    if not last:
-        return ends
-    other = F.lit(False)
-    for code in codes:
-        other = other | (F.col(code) == OTHER_MOVE)
-    texts = (
-        coded.where(other)
-        .groupBy(*MATCH, _BLOCK)
-        .agg(F.max_by(F.struct(*last), order).alias("_texts"))
-        .select(*[F.col(c).alias(f"_at_{c}") for c in (*MATCH, _BLOCK)], "_texts")
-    )
-    same = [F.col(c).eqNullSafe(F.col(f"_at_{c}")) for c in (*MATCH, _BLOCK)]
-    joined = ends.join(texts, same, "left")
     moves = [
-        F.when(F.col(f"_code_{c}") == COOPERATED, COOPERATE)
-        .when(F.col(f"_code_{c}") == DEFECTED, DEFECT)
-        .when(F.col(f"_code_{c}") == OTHER_MOVE, F.col(f"_texts.{c}"))
+        F.when(F.col(f"_end._code_{c}") == COOPERATED, COOPERATE)
+        .when(F.col(f"_end._code_{c}") == DEFECTED, DEFECT)
+        .when(F.col(f"_end._code_{c}") == OTHER_MOVE, F.col(f"_texts.{c}"))
         .alias(c)
         for c in last
     ]
-    return joined.select(*MATCH, _BLOCK, order, *moves, *total)
+    return ends.select(*MATCH, _BLOCK, F.col(f"_end.{order}").alias(order), *moves, *total)
