@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tourney.session import materialise
+from tourney.llm.scratch import materialise
 
 
 def _fingerprint(edges: DataFrame) -> tuple:

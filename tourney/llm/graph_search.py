@@ -16,8 +16,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tourney.llm.scratch import cleaned, materialise
 from tourney.llm.vectors import common_size, usable
-from tourney.session import materialise
 
 # Vectors per graph, and queries that search a graph in one task.
 SHARD_ROWS = 4_096
@@ -174,6 +174,7 @@ def _distinct(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first, number.ravel()
 
 
+@cleaned
 def nearest(
     rows: DataFrame, is_query: Column, k: int = 20, shard_rows: int = SHARD_ROWS
 ) -> DataFrame:

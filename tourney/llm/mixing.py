@@ -14,7 +14,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tourney.session import materialise
+from tourney.llm.scratch import materialise
+
 
 ROUNDS = 10
 # Steps that hand the tokens of exhausted cells to the others.

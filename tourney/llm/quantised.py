@@ -23,8 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tourney.llm.graph import components, local_roots
+from tourney.llm.scratch import cleaned, materialise
 from tourney.llm.vectors import common_size, k_means, squared_distances, stacked, usable
-from tourney.session import materialise
 
 # Bound of the sample that the quantisers are fitted on.
 TRAINING_VECTORS = 10_000
@@ -152,6 +152,7 @@ def _compare(
     )
 
 
+@cleaned
 def linked_vectors(rows: DataFrame, cosine: float = 0.95) -> DataFrame:
     """Per row of ``rows`` (``vec_id``, ``embedding``): ``n_links``, ``component_id``, ``kept``.
 
