@@ -59,6 +59,7 @@ def corpus(seed):
 @pytest.mark.parametrize(("seed", "words"), [(1, 4), (2, 5)])
 def test_components_of_brute_force(spark, monkeypatch, seed, words):
     monkeypatch.setattr(minhash, "HUBS", 2)
+    monkeypatch.setattr(minhash, "BLOCK", 3)
     rows = corpus(seed)
     frame = spark.createDataFrame([(*r, 1, "x") for r in rows], SCHEMA).repartition(4)
     found = {

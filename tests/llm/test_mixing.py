@@ -1,0 +1,102 @@
+import math
+from collections import defaultdict
+
+import pytest
+
+from tourney.llm import mixing
+from tourney.llm.mixing import Margin
+
+SCHEMA = "doc_id long, text string, lang string, source string, tokens string, probability int"
+
+
+def corpus():
+    rows = [(1, None, "en", "a"), (2, "", None, None), (3, " \n\t", "xx", "a")]
+    for i in range(4, 900):
+        words = 1 + i * i % 700
+        text = "License " * (i % 9 == 0) + "word " * words + (" | cell" if i % 7 == 0 else "")
+        rows.append((i, text, ("en", "de", None)[i % 3], "hot" if i % 3 else f"s{i % 5}"))
+    rows += [(5, "same id", "en", "hot"), (5, "same id", "en", "hot"), (None, "no id", "en", "hot")]
+    return [(*r, "?", 0) for r in rows]
+
+
+def rake(cells, targets, rounds):
+    total = sum(cells.values())
+    share = {c: t / total for c, t in cells.items()}
+    for _ in range(rounds):
+        for place, target in enumerate(targets):
+            reached = defaultdict(float)
+            for c, s in share.items():
+                reached[c[place]] += s
+            share = {
+                c: s * target[c[place]] / reached[c[place]] if reached[c[place]] else 0.0
+                for c, s in share.items()
+            }
+    return share
+
+
+@pytest.fixture(scope="module")
+def frame(spark):
+    return spark.createDataFrame(corpus(), SCHEMA).repartition(5)
+
+
+def test_raked_shares_and_probabilities(frame):
+    margins = (
+        Margin("source", temperature=0.5),
+        Margin("lang", weights={"en": 0.7, "de": 0.2}),
+        Margin("topic", temperature=0.0),
+    )
+    rows = mixing.mix(frame, margins, token_share=0.4).collect()
+    assert len(rows) == len(corpus())
+    cells = defaultdict(int)
+    for r in rows:
+        cells[r.source, r.lang, r.topic] += r.tokens
+    total = sum(cells.values())
+    targets = []
+    for place, margin in enumerate(margins):
+        tokens = defaultdict(int)
+        for c, t in cells.items():
+            tokens[c[place]] += t
+        weight = {
+            v: margin.weights.get(v, (t / total) ** margin.temperature) if t else 0.0
+            for v, t in tokens.items()
+        }
+        targets.append({v: w / sum(weight.values()) for v, w in weight.items()})
+    share = rake(cells, targets, mixing.ROUNDS)
+    reached = defaultdict(float)
+    for c, s in share.items():
+        reached[c[1]] += s
+    assert all(math.isclose(reached[v], t, rel_tol=1e-3) for v, t in targets[1].items())
+
+    probability = {(r.source, r.lang, r.topic): r.probability for r in rows if r.tokens}
+    expected = sum(p * cells[c] for c, p in probability.items())
+    assert math.isclose(expected, 0.4 * total, rel_tol=1e-6)
+    open_cells = [c for c, p in probability.items() if p < 1]
+    scale = {round(probability[c] * cells[c] / share[c], 3) for c in open_cells}
+    assert len(scale) == 1
+    assert all(r.probability == 1 and r.sampled for r in rows if not r.tokens)
+
+
+def test_drawn_tokens_follow_the_probabilities(frame):
+    rows = mixing.mix(frame, token_share=0.5).collect()
+    drawn = sum(r.tokens for r in rows if r.sampled)
+    assert abs(drawn / sum(r.tokens for r in rows) - 0.5) < 0.06
+    again = mixing.mix(frame, token_share=0.5).collect()
+    assert sorted(map(repr, rows)) == sorted(map(repr, again))
+    assert len({r.sampled for r in rows if r.doc_id == 5 and r.text == "same id"}) == 1
+
+
+def test_stage_keeps_the_columns(frame):
+    kept = mixing.sampled_documents(frame, 0.9)
+    assert kept.columns == frame.columns
+    assert 0 < kept.count() < frame.count()
+
+
+def test_empty_and_wordless_tables(frame):
+    assert mixing.mix(frame.limit(0)).count() == 0
+    wordless = mixing.mix(frame.where("doc_id < 4"))
+    assert [r.sampled for r in wordless.collect()] == [True] * 3
+
+
+def test_plan_has_no_python(frame):
+    plan = mixing.mix(frame)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan

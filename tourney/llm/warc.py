@@ -43,7 +43,8 @@ from pyspark.sql.datasource import (
 )
 from pyspark.sql.types import StructType
 
-from tourney.session import materialise
+from tourney.llm.scratch import materialise
+
 
 FILE_BYTES = 64 << 20
 RANGE_BYTES = 8 << 20
@@ -200,14 +201,13 @@ class _Records:
 
     def header(self) -> dict[str, str] | None:
         """Headers of the next record by lower-case name; None at the end of the range."""
-        if self.end is not None and self.at >= self.end:
-            return None
-        while True:
+        text = b""
+        while not text.strip():  # the blank lines that end a record still belong to its range
+            if self.end is not None and self.at >= self.end:
+                return None
             text = self.until(b"\r\n\r\n")
             if text is None:
                 return None
-            if text.strip():
-                break
         lines = text.decode("utf-8", "replace").strip("\r\n").split("\r\n")
         if not lines[0].startswith("WARC/"):
             raise ValueError(f"no WARC record at byte {self.at - len(text)}")
