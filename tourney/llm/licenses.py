@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 THRESHOLD = 0.8
+ROUNDING = 1e-6
 
 # The wording of notices and of short licences.
 TEMPLATES = (
@@ -89,9 +90,9 @@ def bigrams(words: list[str]) -> set[tuple[str, str]]:
 
 
 def size_bounds(size: int, threshold: float) -> tuple[float, float]:
-    """Sizes that a set may have to reach ``threshold`` with one of ``size``."""
+    """Sizes that a set may have to reach ``threshold`` with one of ``size``, rounded outwards."""
     factor = threshold / (2 - threshold)
-    return size * factor, size / factor
+    return size * factor - ROUNDING, size / factor + ROUNDING
 
 
 def parts(text: str) -> Iterator[tuple[int, int]]:
@@ -280,7 +281,8 @@ scored AS (
   SELECT r, n, name, 2 * len(list_intersect(s.grams, t.grams))
          / CAST(len(s.grams) + len(t.grams) AS DOUBLE) AS score
   FROM sized s JOIN templates t
-    ON len(s.grams) BETWEEN len(t.grams) * {factor!r} AND len(t.grams) / {factor!r}
+    ON len(s.grams) BETWEEN len(t.grams) * {factor!r} - {ROUNDING}
+       AND len(t.grams) / {factor!r} + {ROUNDING}
 ),
 best AS (
   SELECT r, count(DISTINCT n) AS n_found, max(score) AS score,
