@@ -5,10 +5,11 @@ Bands of minima pick candidates; the low bits of the minima, packed into words,
 similarity of a candidate pair by counting equal digits, corrected for those equal by chance; the
 full sets decide.
 
-Texts with equal sets are one node. Within a bucket of candidates nobody meets everybody: all
+Texts with equal sets are one node. Within a bucket of candidates not everybody meets everybody: all
 members meet one hub first, and what it links is one component already. Only members that are
-still apart become hubs in later rounds, so a large group of near copies costs its size, and yet no
-pair that a bucket suggests is left out that could join two components.
+still apart meet the others, in blocks, so a large group of near copies costs its size times those
+that are no copies of its hub, and no pair that a bucket suggests is left out that could join two
+components.
 """
 
 from __future__ import annotations
@@ -22,8 +23,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tourney.llm.graph import components
+from tourney.llm.scratch import cleaned, materialise
 from tourney.llm.shingles import shingle_sets, slices
-from tourney.session import materialise
 
 # 32 bands of 5: a pair of similarity 0.8 is missed by all of them once in 300,000 times.
 BANDS, ROWS = 32, 5
@@ -33,8 +34,10 @@ PER_WORD = 64 // BITS
 WORDS_PER_SIGNATURE = HASHES // PER_WORD
 # Estimates this far below the threshold (six standard deviations) rule a pair out.
 MARGIN = 0.2
-# Hubs per bucket in the rounds after the first.
-HUBS, MORE_HUBS = 64, 4
+# Nodes of one chief that meet in a task, on either side.
+BLOCK = 512
+# Hubs per bucket in the last rounds.
+HUBS, MORE_HUBS = 16, 4
 
 _RANDOM = np.random.default_rng(7)
 _FACTOR = _RANDOM.integers(1, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -163,50 +166,153 @@ def _confirm(pairs: DataFrame, reps: DataFrame, sets: DataFrame, percent: int) -
     return both.mapInArrow(compare, "node bigint, hub bigint")
 
 
-def links(docs: DataFrame, reps: DataFrame, words: int, percent: int) -> DataFrame:
-    """Confirmed pairs of nodes that join all similar ones into components."""
+def similar_roots(docs: DataFrame, reps: DataFrame, words: int, percent: int) -> DataFrame:
+    """``node`` and ``root`` of its component for every node with a confirmed link.
+
+    First every member of a bucket meets the bucket's hub, its smallest node. Then members that are
+    still apart from the rest meet the members that have the same chief, the smallest of all hubs a
+    node has met; copies of one text mostly share one. Last come pairs of different chiefs.
+    """
     exploded = reps.select("node", F.explode("bands").alias("bucket"))
     hubs = exploded.groupBy("bucket").agg(
         F.min("node").alias("hub"), F.max("node").alias("largest")
     )
     hubs = hubs.where("hub != largest").select("bucket", "hub")
     members = materialise(exploded.join(hubs, "bucket"), "buckets")
+    chiefs = materialise(members.groupBy("node").agg(F.min("hub").alias("chief")), "chiefs")
     sets = materialise(
-        _sets_of(docs, members.select("node").distinct(), words).dropDuplicates(["node"]), "sets"
+        _sets_of(docs, chiefs.select("node"), words).dropDuplicates(["node"]), "sets"
     )
     pairs = members.where("node != hub").select("node", "hub").distinct()
     found = materialise(_confirm(pairs, reps, sets, percent), "links")
-    members = members.where("node != hub").select("bucket", "node", "hub")
+
+    roots = materialise(components(found, "node", "hub"), "roots")
+    found = found.unionByName(_within_chiefs(_rooted(chiefs, roots), sets, percent))
+    found = materialise(found, "links")
+    members = members.join(chiefs, "node").where("node != hub")
+    members = materialise(members.select("bucket", "node", "hub", "chief"), "members")
+    return _across_chiefs(members, found, reps, sets, percent)
+
+
+def _rooted(nodes: DataFrame, roots: DataFrame, node: str = "node", root: str = "root") -> DataFrame:
+    known = roots.select(F.col("node").alias("_node"), F.col("root").alias("_root"))
+    joined = nodes.join(known, F.col(node) == F.col("_node"), "left")
+    return joined.withColumn(root, F.coalesce("_root", node)).drop("_node", "_root")
+
+
+def _within_chiefs(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links that join those apart from their chief to nodes of the same chief.
+
+    A group is compared in blocks of at most ``BLOCK`` by ``BLOCK`` nodes, whose full sets meet in
+    one task; what comes back is a forest of each block's links, never its pairs.
+    """
+    nodes = _rooted(nodes, nodes.select("node", "root"), "chief", "chief_root")
+    nodes = nodes.withColumn("apart", F.col("root") != F.col("chief_root"))
+    sizes = nodes.groupBy(F.col("chief").alias("_chief")).agg(
+        F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("all_blocks"),
+        F.ceil(F.count_if("apart") / BLOCK).cast("int").alias("apart_blocks"),
+    )
+    sizes = sizes.where("apart_blocks > 0")
+    known = materialise(
+        nodes.join(sizes, F.col("chief") == F.col("_chief")).join(sets, "node"), "chief-groups"
+    )
+    salt = F.xxhash64("node")
+    every = {
+        b: F.explode(F.sequence(F.lit(0), F.col(f"{b}_blocks") - 1)) for b in ("all", "apart")
+    }
+    own = {b: F.pmod(salt, F.col(f"{b}_blocks")).cast("int") for b in ("all", "apart")}
+    columns = ("chief", "node", "root", "hashes")
+    asked = known.withColumn("of", own["all"]).withColumn("by", every["apart"])
+    asking = known.where("apart").withColumn("by", own["apart"]).withColumn("of", every["all"])
+    rows = asked.select(*columns, "of", "by", F.lit(False).alias("asks")).unionByName(
+        asking.select(*columns, "of", "by", F.lit(True).alias("asks"))
+    )
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, name = [], None
+        for batch in batches:
+            for row in batch.to_pylist():
+                key = (row["chief"], row["of"], row["by"])
+                if key != name and block:
+                    yield _block_links(block, percent)
+                    block = []
+                name = key
+                block.append(row)
+        if block:
+            yield _block_links(block, percent)
+
+    keys = ("chief", "of", "by")
+    return (
+        rows.repartition(*keys)
+        .sortWithinPartitions(*keys)
+        .mapInArrow(meet, "node bigint, hub bigint")
+    )
+
+
+def _block_links(block: list[dict], percent: int) -> pa.RecordBatch:
+    """A forest of the links between the asking and the asked nodes of a block."""
+    asked = [r for r in block if not r["asks"]]
+    sets = [np.frombuffer(r["hashes"], np.uint64) for r in asked]
+    a: list[int] = []
+    b: list[int] = []
+    if asked:
+        vocabulary, places = np.unique(np.concatenate(sets), return_inverse=True)
+        size = np.array([len(s) for s in sets])
+        first = np.concatenate(([0], np.cumsum(size)[:-1]))
+        nodes = np.array([r["node"] for r in asked])
+        roots = np.array([r["root"] for r in asked])
+        for row in block:
+            if row["asks"]:
+                own = np.frombuffer(row["hashes"], np.uint64)
+                at = np.minimum(np.searchsorted(vocabulary, own), len(vocabulary) - 1)
+                marks = np.zeros(len(vocabulary), np.int32)
+                marks[at[vocabulary[at] == own]] = 1
+                common = np.add.reduceat(marks[places], first)
+                linked = 100 * common >= percent * (len(own) + size - common)
+                # One link to each component that is not its own joins them all.
+                other = np.flatnonzero(linked & (roots != row["root"]))
+                _, one = np.unique(roots[other], return_index=True)
+                b += nodes[other[one]].tolist()
+                a += [row["node"]] * len(one)
+    found, roots = np.array(a, np.int64), np.array(b, np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(found), pa.array(roots)], ["node", "hub"])
+
+
+def _across_chiefs(
+    members: DataFrame, found: DataFrame, reps: DataFrame, sets: DataFrame, percent: int
+) -> DataFrame:
+    """Roots of all nodes, with the links between members of a bucket of different chiefs.
+
+    Only members apart from their hub become hubs in turn, a few per bucket and round, and only of
+    buckets with several components and several chiefs.
+    """
     limit = HUBS
     while True:
-        roots = components(found, "node", "hub")
-        labelled = (
-            members.join(roots, "node", "left")
-            .withColumn("root", F.coalesce("root", "node"))
-            .join(
-                roots.select(F.col("node").alias("hub"), F.col("root").alias("hub_root")),
-                "hub",
-                "left",
-            )
-            .withColumn("hub_root", F.coalesce("hub_root", "hub"))
-        )
+        roots = materialise(components(found, "node", "hub"), "roots")
+        labelled = _rooted(_rooted(members, roots), roots, "hub", "hub_root")
         labelled = materialise(labelled, "labelled-members")
-        # Where all members are of one component there is nothing left to join.
-        apart = labelled.groupBy("bucket").agg(
-            F.min("root").alias("low"), F.max("root").alias("high")
+        mixed = labelled.groupBy("bucket").agg(
+            F.min("root").alias("low"),
+            F.max("root").alias("high"),
+            F.min("chief").alias("first"),
+            F.max("chief").alias("last"),
         )
-        open_members = labelled.join(apart.where("low != high").select("bucket"), "bucket")
+        mixed = mixed.where("low != high AND first != last").select("bucket")
+        open_members = materialise(labelled.join(mixed, "bucket"), "open-members")
         outside = open_members.where("root != hub_root").select(
-            "bucket", F.col("node").alias("next"), F.col("root").alias("next_root")
+            "bucket",
+            F.col("node").alias("next"),
+            F.col("root").alias("next_root"),
+            F.col("chief").alias("next_chief"),
         )
         rank = F.row_number().over(Window.partitionBy("bucket").orderBy("next"))
         chosen = outside.withColumn("rank", rank).where(F.col("rank") <= limit).drop("rank")
         chosen = materialise(chosen, "hubs")
         if chosen.isEmpty():
-            return found
+            return roots
         pairs = (
             open_members.join(chosen, "bucket")
-            .where("root != next_root")
+            .where("root != next_root AND chief != next_chief")
             .select(F.greatest("node", "next").alias("node"), F.least("node", "next").alias("hub"))
             .distinct()
         )
@@ -214,13 +320,12 @@ def links(docs: DataFrame, reps: DataFrame, words: int, percent: int) -> DataFra
         found = materialise(found.unionByName(more), "links")
         # A hub has met its whole bucket and needs no other hub there.
         met = chosen.select("bucket", F.col("next").alias("node"))
-        members = materialise(
-            open_members.select("bucket", "node", "hub").join(met, ["bucket", "node"], "left_anti"),
-            "open-members",
-        )
+        left = open_members.select("bucket", "node", "hub", "chief")
+        members = left.join(met, ["bucket", "node"], "left_anti")
         limit *= MORE_HUBS
 
 
+@cleaned
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """Per row of ``docs`` (``doc_id``, ``text``): ``doc_id``, ``n_shingles``, ``component_id`` and
     ``kept``.
@@ -240,8 +345,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         F.first("bands").alias("bands"),
     )
     reps = materialise(reps, "representatives")
-    found = links(docs, reps, words, percent)
-    roots = components(found, "node", "hub")
+    roots = similar_roots(docs, reps, words, percent)
     of_set = reps.select("set_id", "node").join(roots, "node", "left")
     of_set = of_set.select("set_id", F.coalesce("root", "node").alias("component"))
     rows = signed.select("doc_id", "n_shingles", "set_id")
