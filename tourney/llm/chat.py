@@ -280,3 +280,78 @@ def read_back(windows: DataFrame) -> DataFrame:
         F.sha2("loss", 256).alias("loss_sha256"),
         "formatted_chars",
     )
+
+
+def _oracle() -> str:
+    """What ``read_back`` returns, computed from the turns without formatting them."""
+    escaped = rf"regexp_replace(text, '{_ESCAPE}', '\1\\\2\3', 'g')"
+    role = rf"regexp_replace(replace(replace(role, '%', '%25'), chr(10), '%0A'), '{_ESCAPE}', '\1\\\2\3', 'g')"
+    system_tokens = "CASE WHEN system IS NULL THEN 0 ELSE greatest(1, ceil(system / 4)) END"
+    repeats = " UNION ALL ".join(
+        f"""
+  SELECT conv_id, place, rendered, lead_{n} AS shown FROM led
+  WHERE opens_{n} AND lead_{n} <> win AND before_{n} - before <= {HISTORY_TOKENS} AND NOT leads"""
+        for n in range(1, HISTORY_TURNS + 1)
+    )
+    led = ", ".join(
+        f"lead(win, {n}) OVER o AS lead_{n}, lead(opens, {n}) OVER o AS opens_{n}, "
+        f"lead(before, {n}) OVER o AS before_{n}"
+        for n in range(1, HISTORY_TURNS + 1)
+    )
+    return f"""
+WITH said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL
+  SELECT -7, turn, role, '</s>[INST] ok [/INST]'
+  FROM (VALUES (0, 'user'), (1, 'assistant')) AS v(turn, role)
+),
+turns AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place,
+         length({escaped}) + CASE role WHEN 'system' THEN 18 WHEN 'user' THEN 15
+           WHEN 'assistant' THEN 9 ELSE 17 + length({role}) END AS rendered
+  FROM said
+),
+counted AS (
+  SELECT *, place = 1 AND role = 'system' AS leads,
+         CASE WHEN place = 1 AND role = 'system' THEN 0
+              ELSE greatest(1, ceil(rendered / 4)) END AS tokens
+  FROM turns
+),
+summed AS (
+  SELECT *, coalesce(sum(tokens) OVER (PARTITION BY conv_id ORDER BY place
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+         max(rendered) FILTER (leads) OVER w AS system, max(tokens) OVER w AS longest
+  FROM counted WINDOW w AS (PARTITION BY conv_id)
+),
+placed AS (
+  SELECT *, CASE WHEN leads THEN 0 ELSE floor(before / greatest(1,
+           {BUDGET} - {system_tokens} - {HISTORY_TOKENS} - (longest - 1))) END AS win
+  FROM summed
+),
+opened AS (
+  SELECT *, win <> lag(win, 1, -1) OVER (PARTITION BY conv_id ORDER BY place) AND NOT leads AS opens
+  FROM placed
+),
+led AS (
+  SELECT *, {led} FROM opened WINDOW o AS (PARTITION BY conv_id ORDER BY place)
+),
+shown AS (
+  SELECT conv_id, place, rendered, win AS shown FROM led
+  UNION SELECT conv_id, place, rendered, shown FROM ({repeats})
+),
+chars AS (
+  SELECT conv_id, sum(rendered) AS chars, count(DISTINCT shown) FILTER (shown > 0) AS later
+  FROM shown GROUP BY conv_id
+)
+SELECT t.conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY t.place)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY t.place) FILTER (role = 'assistant'), ''))
+         AS loss_sha256,
+       CAST(any_value(c.chars) + any_value(c.later) * coalesce(any_value(t.system), 0) AS BIGINT)
+         AS formatted_chars
+FROM led t JOIN chars c ON t.conv_id IS NOT DISTINCT FROM c.conv_id
+GROUP BY t.conv_id""".strip()
+
+
+ORACLE_SQL = _oracle()

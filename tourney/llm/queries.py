@@ -100,4 +100,8 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mixing": mixing.ORACLE_SQL, "op5_licenses": licenses.ORACLE_SQL}
+    return {
+        "op1_mixing": mixing.ORACLE_SQL,
+        "op5_licenses": licenses.ORACLE_SQL,
+        "op9_chat": chat.ORACLE_SQL,
+    }
