@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -24,7 +25,7 @@ def scratch_dir(spark: SparkSession) -> str:
     if configured:
         return configured.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
         raise ValueError(f"set {_CHECKPOINT_DIR} to a folder every executor can reach")
     app = context.applicationId
     if app not in _local_scratch:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A table may bound a broadcast up to this many file bytes and rows.
+# A lookup is broadcast up to this many bytes of its table and rows of its own.
 BROADCAST_BYTES = 8 << 20
 BROADCAST_ROWS = 1_000_000
 
@@ -63,14 +63,14 @@ def partition_folder(spark: SparkSession, column: str, value: str | None) -> str
     return names.getPartitionPathString(column, value)
 
 
-def broadcast_if_small(df: DataFrame, base: DataFrame, base_path: str) -> DataFrame:
-    """Broadcast ``df`` if the table it has at most one row per row of is small.
+def broadcast_if_small(df: DataFrame, base_path: str) -> DataFrame:
+    """Broadcast ``df``, derived from the table at ``base_path``, if both are small.
 
     Spark's own estimate of a join's size multiplies the sides, so it would shuffle the large side
-    for a lookup of a few rows. The rows are only counted when the files are small. Beyond either
-    limit there is no hint and Spark joins by shuffle.
+    for a lookup of a few rows. The rows of ``df`` are only counted when the files are small. Beyond
+    either limit there is no hint and Spark joins by shuffle.
     """
     small = table_bytes(df.sparkSession, base_path) <= BROADCAST_BYTES
-    if small and base.count() <= BROADCAST_ROWS:
+    if small and df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         return F.broadcast(df)
     return df

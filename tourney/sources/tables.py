@@ -66,21 +66,18 @@ def recorded_moves(spark: SparkSession, sf_dir: str) -> DataFrame:
     regions = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
     customers = broadcast_if_small(
         customer.join(regions, F.col("c_nationkey") == F.col("n_nationkey")),
-        customer,
         _path(sf_dir, "customer"),
     )
     buyers = broadcast_if_small(
         orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).select(
             "o_orderkey", F.col("r_name").alias("player_a")
         ),
-        orders,
         _path(sf_dir, "orders"),
     )
     sellers = broadcast_if_small(
         supplier.join(regions, F.col("s_nationkey") == F.col("n_nationkey")).select(
             "s_suppkey", F.col("r_name").alias("player_b")
         ),
-        supplier,
         _path(sf_dir, "supplier"),
     )
     lines = _table(spark, sf_dir, "lineitem").select(
