@@ -55,7 +55,7 @@ def test_held_out_labels_teach_nothing(spark):
     hidden = [(i, 0, 1 - y if zlib.crc32(str(i).encode()) % 3 == 1 else y) for i, _, y, _ in docs]
     plain = toxicity.train(frame, spark.createDataFrame([(i, 0, y) for i, _, y, _ in docs], LABELS))
     other = toxicity.train(frame, spark.createDataFrame(hidden, LABELS))
-    assert plain.bias == other.bias and (plain.weights == other.weights).all()
+    assert plain.bias == other.bias and plain.weights == other.weights
 
 
 def test_edge_rows(spark):

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tourney.llm.graph import components
 from tourney.llm.scratch import cleaned, materialise
-from tourney.llm.shingles import shingle_sets, slices
+from tourney.llm.shingles import shingle_sets, sliced, slices
 
 # 32 bands of 5: a pair of similarity 0.8 is missed by all of them once in 300,000 times.
 BANDS, ROWS = 32, 5
@@ -77,7 +77,7 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
     """Per row: size and digest of its shingle set, packed digits and band keys (null if empty)."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             texts = batch.column("text").to_pylist()
             for part in slices([len(t or "") for t in texts]):
                 sets = list(shingle_sets(texts[part], words))
@@ -121,7 +121,7 @@ def _sets_of(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
     """``node`` and its packed shingle hashes for the named documents."""
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             texts = batch.column("text").to_pylist()
             for part in slices([len(t or "") for t in texts]):
                 sets = [s.tobytes() for s in shingle_sets(texts[part], words)]
@@ -230,7 +230,7 @@ def _within_chiefs(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, name = [], None
-        for batch in batches:
+        for batch in sliced(batches):
             for row in batch.to_pylist():
                 key = (row["chief"], row["of"], row["by"])
                 if key != name and block:

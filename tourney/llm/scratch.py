@@ -11,7 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from tourney.session import store
 from tourney.sources.files import remove_table
 
-_SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# Settings while an operator is at work: shuffle files go with the query they belong to, and rows
+# that hold whole texts or sets go to Python in small batches.
+_SETTINGS = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+}
 
 # Paths of the tables of the operators at work, the innermost last.
 _open: list[list[str]] = []
@@ -19,17 +24,16 @@ _open: list[list[str]] = []
 
 @contextmanager
 def workspace(spark: SparkSession) -> Iterator[None]:
-    """Tables that ``materialise`` writes inside are removed at the end.
-
-    Each of them is the end of a query, so the shuffle files behind it go at once as well.
-    """
-    before = spark.conf.get(_SHUFFLE_CLEANUP, "false")
-    spark.conf.set(_SHUFFLE_CLEANUP, "true")
+    """Tables that ``materialise`` writes inside are removed at the end."""
+    before = {name: spark.conf.get(name) for name in _SETTINGS}
+    for name, value in _SETTINGS.items():
+        spark.conf.set(name, value)
     _open.append([])
     try:
         yield
     finally:
-        spark.conf.set(_SHUFFLE_CLEANUP, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
         for path in _open.pop():
             remove_table(spark, path)
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 
 _SEED = np.random.default_rng(20240229)
 # One number per byte; capital letters have that of their small ones.
@@ -78,3 +79,10 @@ def slices(lengths: Sequence[int], most: int = 1 << 20) -> Iterator[slice]:
             first, held = at + 1, 0
     if first < len(lengths):
         yield slice(first, len(lengths))
+
+
+def sliced(batches: Iterable[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of at most ``rows``, to hold fewer Python objects at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)

@@ -18,7 +18,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,7 +36,9 @@ PENALTY = 1e-5
 SHRINK = 0.02
 THRESHOLD = 0.7
 OFFENDING = 0.5
-CACHED_WORDS = 400_000
+# Words kept with their weight per worker process, and rows turned into Python objects at a time.
+CACHED_WORDS = 200_000
+SLICE_ROWS = 200
 
 _SENTENCE = r"[^.!?\n]+"
 _WORD = r"[^\W_]+"
@@ -50,14 +52,17 @@ def word_features(word: str) -> list[int]:
 
 @dataclass
 class SentenceModel:
-    weights: np.ndarray
+    """``weights`` holds the hashed features whose weight is not zero."""
+
+    weights: dict[int, float]
     bias: float
     cache: dict[str, float] = field(default_factory=dict)
 
     def word_weight(self, word: str) -> float:
         found = self.cache.get(word)
         if found is None:
-            found = float(self.weights[word_features(word)].sum())
+            get = self.weights.get
+            found = sum([get(feature, 0.0) for feature in word_features(word)])
             if len(self.cache) < CACHED_WORDS:
                 self.cache[word] = found
         return found
@@ -104,7 +109,7 @@ def fit(texts: list[str], labels: np.ndarray) -> SentenceModel:
                 sentence_of += [len(document_of)] * len(found)
                 document_of.append(document)
     size = 1 << FEATURE_BITS
-    model = SentenceModel(np.zeros(size, np.float32), -8.0)
+    model = SentenceModel({}, -8.0)
     if not words or labels.min() == labels.max():
         return model
     words, sentence_of = np.array(words, np.int32), np.array(sentence_of, np.int32)
@@ -140,8 +145,8 @@ def fit(texts: list[str], labels: np.ndarray) -> SentenceModel:
         move = slope / (1 - 0.9**step) / (np.sqrt(curve / (1 - 0.99**step)) + 1e-8)
         weights = np.maximum(weights - LEARNING_RATE * (move[:size] + SHRINK), 0.0)
         bias -= LEARNING_RATE * move[size]
-    model.weights, model.bias = weights.astype(np.float32), float(bias)
-    return model
+    used = np.flatnonzero(weights)
+    return SentenceModel(dict(zip(used.tolist(), weights[used].tolist(), strict=True)), float(bias))
 
 
 def held_out(key: str | Column = "doc_id") -> Column:
@@ -179,43 +184,40 @@ def train(docs: DataFrame, labels: DataFrame) -> SentenceModel:
     return fit(rows["text"].tolist(), (rows["_toxic"] > 0).to_numpy())
 
 
-_SCORED = T.StructType(
-    [
-        T.StructField("score", T.DoubleType()),
-        T.StructField(
-            "offending",
-            T.ArrayType(
-                T.StructType(
-                    [
-                        T.StructField("start", T.IntegerType()),
-                        T.StructField("end", T.IntegerType()),
-                        T.StructField("score", T.DoubleType()),
-                    ]
-                )
-            ),
-        ),
-    ]
+_OFFENDING = pa.list_(
+    pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())])
 )
 
 
+def _scored(
+    batches: Iterator[pa.RecordBatch], model: SentenceModel, text: str
+) -> Iterator[tuple[pa.RecordBatch, list[tuple[float, list[dict]]]]]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, SLICE_ROWS):
+            part = batch.slice(start, SLICE_ROWS)
+            yield part, [model.score(t) for t in part.column(text).to_pylist()]
+
+
 def score_documents(docs: DataFrame, model: SentenceModel, text: str = "text") -> DataFrame:
     """``docs`` with ``score`` and ``offending`` (character spans), replacing such columns.
 
     Whole texts are read. Null, empty and wordless texts score 0 and have no offending sentence.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    plain = docs.drop("score", "offending")
+    spans = "array<struct<start:int,end:int,score:double>>"
+    schema = T.StructType(
+        [*plain.schema, *T.StructType.fromDDL(f"score double, offending {spans}")]
+    )
 
-    @F.pandas_udf(_SCORED)
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        sentence_model = shared.value
-        for texts in batches:
-            rows = [sentence_model.score(t) for t in texts]
-            yield pd.DataFrame(rows, columns=["score", "offending"])
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, found in _scored(batches, shared.value, text):
+            columns = [pa.array([f[0] for f in found], pa.float64())]
+            columns.append(pa.array([f[1] for f in found], _OFFENDING))
+            names = [*part.schema.names, "score", "offending"]
+            yield pa.RecordBatch.from_arrays([*part.columns, *columns], names)
 
-    scored = docs.withColumn("_scored", score(F.col(text)))
-    return scored.withColumns(
-        {"score": F.col("_scored.score"), "offending": F.col("_scored.offending")}
-    ).drop("_scored")
+    return plain.mapInArrow(score, schema)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -232,6 +234,10 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not rejected, with their columns unchanged."""
-    scored = score_documents(docs.select(F.struct("*").alias("_doc"), F.col("text").alias("text")),
-                             train(docs, labels))
-    return scored.where(F.col("score") < THRESHOLD).select("_doc.*")
+    shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels))
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, found in _scored(batches, shared.value, "text"):
+            yield part.filter(pa.array([score < THRESHOLD for score, _ in found], pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
