@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Bound of the sample of labelled documents that the driver fits the model on.
-MAX_TRAINING_ROWS = 6_000
+MAX_TRAINING_ROWS = 5_000
 # A longer training text is cut into pieces that inherit nothing: it counts up to this length.
 MAX_TRAINING_CHARS = 200_000
 FEATURE_BITS = 18
@@ -96,46 +97,63 @@ class SentenceModel:
         return float(-np.expm1(-doubt.sum())), found
 
 
-def fit(texts: list[str], labels: np.ndarray) -> SentenceModel:
-    """Noisy-or likelihood of the document labels, by full-batch Adam steps."""
+def _occurrences(texts: list[str]) -> tuple[np.ndarray, ...]:
+    """Word and sentence of every occurrence, document of every sentence, and the features of each
+    word with the word they belong to; numbers in compact arrays, as the driver holds them."""
     vocabulary: dict[str, int] = {}
-    words, sentence_of, document_of = [], [], []
+    words, sentence_of, document_of = array("i"), array("i"), array("i")
     find_words, find_sentences = re.compile(_WORD).findall, re.compile(_SENTENCE).findall
     for document, text in enumerate(texts):
         for sentence in find_sentences(text[:MAX_TRAINING_CHARS].lower()):
             found = find_words(sentence)
             if found:
-                words += [vocabulary.setdefault(w, len(vocabulary)) for w in found]
-                sentence_of += [len(document_of)] * len(found)
+                words.extend([vocabulary.setdefault(w, len(vocabulary)) for w in found])
+                sentence_of.extend([len(document_of)] * len(found))
                 document_of.append(document)
+    feature, owner = array("i"), array("i")
+    for number, word in enumerate(vocabulary):
+        found = word_features(word)
+        feature.extend(found)
+        owner.extend([number] * len(found))
+    return tuple(
+        np.frombuffer(x, np.int32) if x else np.empty(0, np.int32)
+        for x in (words, sentence_of, document_of, feature, owner)
+    )
+
+
+def fit(texts: list[str], labels: np.ndarray) -> SentenceModel:
+    """Noisy-or likelihood of the document labels, by full-batch Adam steps."""
     size = 1 << FEATURE_BITS
-    model = SentenceModel({}, -8.0)
-    if not words or labels.min() == labels.max():
-        return model
-    words, sentence_of = np.array(words, np.int32), np.array(sentence_of, np.int32)
-    document_of = np.array(document_of, np.int32)
-    hashed = [word_features(w) for w in vocabulary]
-    feature = np.array([f for fs in hashed for f in fs], np.int32)
-    owner = np.repeat(np.arange(len(hashed), dtype=np.int32), [len(fs) for fs in hashed])
-
-    # Features seen in few documents tell nothing about others.
+    words, sentence_of, document_of, feature, owner = _occurrences(texts)
+    if not len(words) or labels.min() == labels.max():
+        return SentenceModel({}, -8.0)
+    count = int(owner[-1]) + 1
+
+    # Features seen in few documents tell nothing about others, nor do words without any other.
     pairs = np.unique(words.astype(np.int64) * len(texts) + document_of[sentence_of])
-    documents_per_word = np.bincount(pairs // len(texts), minlength=len(hashed))
+    documents_per_word = np.bincount(pairs // len(texts), minlength=count)
+    del pairs
     seen = np.bincount(feature, documents_per_word[owner], minlength=size)
     kept = seen[feature] >= MIN_TRAINING_DOCUMENTS
     feature, owner = feature[kept], owner[kept]
+    useful = np.zeros(count, bool)
+    useful[owner] = True
+    renamed = (np.cumsum(useful) - 1).astype(np.int32)
+    kept = useful[words]
+    words, sentence_of = renamed[words[kept]], sentence_of[kept]
+    owner, count = renamed[owner], int(useful.sum())
 
     weights, bias = np.zeros(size), -6.0
     slope, curve = np.zeros(size + 1), np.zeros(size + 1)
     y = labels.astype(bool)[document_of]
     for step in range(1, EPOCHS + 1):
-        per_word = np.bincount(owner, weights[feature], minlength=len(hashed))
+        per_word = np.bincount(owner, weights[feature], minlength=count)
         logit = bias + np.bincount(sentence_of, per_word[words], minlength=len(document_of))
         logit = np.clip(logit, -30, 30)
         total = np.bincount(document_of, np.logaddexp(0.0, logit), minlength=len(texts))
         toxic = 1 / (1 + np.exp(-logit))
         push = np.where(y, -toxic / np.expm1(np.clip(total, 1e-6, 500))[document_of], toxic)
-        by_word = np.bincount(words, push[sentence_of], minlength=len(hashed))
+        by_word = np.bincount(words, push[sentence_of], minlength=count)
         gradient = np.empty(size + 1)
         gradient[:size] = np.bincount(feature, by_word[owner], minlength=size)
         gradient[:size] = gradient[:size] / len(texts) + PENALTY * weights
