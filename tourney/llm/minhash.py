@@ -37,7 +37,7 @@ MARGIN = 0.2
 # Nodes of one chief that meet in a task, on either side.
 BLOCK = 512
 # Hubs per bucket in the last rounds.
-HUBS, MORE_HUBS = 16, 4
+HUBS, MORE_HUBS = 64, 8
 
 _RANDOM = np.random.default_rng(7)
 _FACTOR = _RANDOM.integers(1, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -187,11 +187,19 @@ def similar_roots(docs: DataFrame, reps: DataFrame, words: int, percent: int) ->
     found = materialise(_confirm(pairs, reps, sets, percent), "links")
 
     roots = materialise(components(found, "node", "hub"), "roots")
-    found = found.unionByName(_within_chiefs(_rooted(chiefs, roots), sets, percent))
-    found = materialise(found, "links")
+    more = _within_chiefs(_rooted(chiefs, roots), sets, percent)
+    roots = _joined(roots, materialise(more, "links"))
     members = members.join(chiefs, "node").where("node != hub")
     members = materialise(members.select("bucket", "node", "hub", "chief"), "members")
-    return _across_chiefs(members, found, reps, sets, percent)
+    return _across_chiefs(members, roots, reps, sets, percent)
+
+
+def _joined(roots: DataFrame, more: DataFrame) -> DataFrame:
+    """The roots once ``more`` links are added to the components they stand for."""
+    if more.isEmpty():
+        return roots
+    known = roots.select("node", F.col("root").alias("hub"))
+    return materialise(components(known.unionByName(more), "node", "hub"), "roots")
 
 
 def _rooted(nodes: DataFrame, roots: DataFrame, node: str = "node", root: str = "root") -> DataFrame:
@@ -279,16 +287,15 @@ def _block_links(block: list[dict], percent: int) -> pa.RecordBatch:
 
 
 def _across_chiefs(
-    members: DataFrame, found: DataFrame, reps: DataFrame, sets: DataFrame, percent: int
+    members: DataFrame, roots: DataFrame, reps: DataFrame, sets: DataFrame, percent: int
 ) -> DataFrame:
-    """Roots of all nodes, with the links between members of a bucket of different chiefs.
+    """The roots with the links between members of a bucket of different chiefs.
 
     Only members apart from their hub become hubs in turn, a few per bucket and round, and only of
     buckets with several components and several chiefs.
     """
     limit = HUBS
     while True:
-        roots = materialise(components(found, "node", "hub"), "roots")
         labelled = _rooted(_rooted(members, roots), roots, "hub", "hub_root")
         labelled = materialise(labelled, "labelled-members")
         mixed = labelled.groupBy("bucket").agg(
@@ -316,8 +323,7 @@ def _across_chiefs(
             .select(F.greatest("node", "next").alias("node"), F.least("node", "next").alias("hub"))
             .distinct()
         )
-        more = _confirm(pairs, reps, sets, percent)
-        found = materialise(found.unionByName(more), "links")
+        roots = _joined(roots, materialise(_confirm(pairs, reps, sets, percent), "links"))
         # A hub has met its whole bucket and needs no other hub there.
         met = chosen.select("bucket", F.col("next").alias("node"))
         left = open_members.select("bucket", "node", "hub", "chief")
