@@ -9,8 +9,12 @@ SCHEMA = "vec_id long, embedding array<float>, label string, score int, rank int
 
 def rows_of(vectors, ids=None):
     ids = range(len(vectors)) if ids is None else ids
+
+    def numbers(vector):
+        return None if vector is None else [None if x is None else float(x) for x in vector]
+
     return [
-        (None if i is None else int(i), None if v is None else [None if x is None else float(x) for x in v], "x", 1, 2)
+        (None if i is None else int(i), numbers(v), "x", 1, 2)
         for i, v in zip(ids, vectors, strict=True)
     ]
 

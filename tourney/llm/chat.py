@@ -285,7 +285,8 @@ def read_back(windows: DataFrame) -> DataFrame:
 def _oracle() -> str:
     """What ``read_back`` returns, computed from the turns without formatting them."""
     escaped = rf"regexp_replace(text, '{_ESCAPE}', '\1\\\2\3', 'g')"
-    role = rf"regexp_replace(replace(replace(role, '%', '%25'), chr(10), '%0A'), '{_ESCAPE}', '\1\\\2\3', 'g')"
+    one_line = "replace(replace(role, '%', '%25'), chr(10), '%0A')"
+    role = rf"regexp_replace({one_line}, '{_ESCAPE}', '\1\\\2\3', 'g')"
     system_tokens = "CASE WHEN system IS NULL THEN 0 ELSE greatest(1, ceil(system / 4)) END"
     repeats = " UNION ALL ".join(
         f"""

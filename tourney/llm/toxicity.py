@@ -6,8 +6,9 @@ clean: ``1 - prod(1 - p)`` (noisy-or). Fitting that to the document labels teach
 model, which then scores all texts and names the offending sentences.
 
 Weights are never negative: a harmless word adds nothing, but it cannot excuse an offensive one in a
-long sentence either. Features of a word are itself and its first three to six letters, hashed into a table of fixed
-size. The fit uses a bounded sample of the labelled rows; everything else covers all rows.
+long sentence either. Features of a word are itself and its first three to six letters, hashed into
+a table of fixed size. The fit uses a bounded sample of the labelled rows; everything else covers
+all rows.
 """
 
 from __future__ import annotations
