@@ -155,8 +155,9 @@ def forgiveness_index(
     opponent move is unknown do not count, and a strategy with no other rounds has no row.
 
     Matches are cut into blocks of rounds, so that a long one is not sorted in one task; ``order``
-    should be fairly dense, as the blocks of a match are. Rounds are read and shuffled once: each block is folded to its counts and its first and last moves, and
-    the blocks of a match then supply the pairs of rounds that span two blocks.
+    should be fairly dense, as the blocks of a match are. Rounds are read and shuffled once: each
+    block is folded to its counts and its first and last moves, and the blocks of a match then supply
+    the pairs of rounds that span two blocks.
     """
     moves = rounds.select(
         *MATCH,
