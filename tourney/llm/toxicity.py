@@ -20,6 +20,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -255,8 +256,10 @@ def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not rejected, with their columns unchanged."""
     shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels))
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, found in _scored(batches, shared.value, "text"):
-            yield part.filter(pa.array([score < THRESHOLD for score, _ in found], pa.bool_()))
+    @F.pandas_udf("boolean")
+    def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        model = shared.value
+        for texts in batches:
+            yield pd.Series([model.score(text)[0] < THRESHOLD for text in texts], dtype=bool)
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.where(clean("text"))
