@@ -68,6 +68,18 @@ def test_links_of_brute_force(spark, monkeypatch, seed):
         assert found[i] == (0, i, True)
 
 
+def test_links_of_low_rank_vectors(spark, monkeypatch):
+    """Differences in few directions point to other lists more often than random ones."""
+    monkeypatch.setattr(quantised, "VECTORS_PER_LIST", 50)
+    rng = np.random.default_rng(5)
+    vectors = (rng.normal(size=(3000, 6)) @ rng.normal(size=(6, 256))).astype(np.float32)
+    ids = list(range(3000))
+    frame = spark.createDataFrame(rows_of(vectors), SCHEMA).repartition(4)
+    found = {r.vec_id: (r.n_links, r.component_id) for r in
+             quantised.linked_vectors(frame, 0.95).collect()}
+    assert found == links_by_brute_force(vectors, ids, 0.95)
+
+
 def test_link_tables_of_few_and_repeated_rows(spark):
     same = [1.0, 2.0, 3.0]
     rows = rows_of([same, same, same, [-1.0, 0, 0], same], [5, 5, 3, 9, None])

@@ -1,14 +1,13 @@
 """Near-duplicate embeddings by product quantisation.
 
 A coarse quantiser sorts the vectors into inverted lists, and the residual of each vector is coded
-by subspace. A query probes every list whose cell may hold a linked vector, reads approximate
-distances from tables, and compares exactly only where the table distance allows a link.
-
-A vector is skipped only if its table distance exceeds the linking distance by more than its own
-coding error, which loses nothing. A list is skipped if the difference to the query would have to
-point to its cell more than ``DEVIATIONS`` standard deviations beyond a random direction; a pair is
-lost only if that holds from both of its ends. With few components the bound is exact. The
-quantisers are fitted on a bounded sample, which decides the speed and hardly the result.
+by subspace. A query probes every list whose cell may hold a linked vector, takes the distances of
+the coded vectors by matrix products, and compares exactly only where these allow a link.
+
+Both tests are bounds: a list is skipped only if its cell lies farther than the linking distance, a
+vector only if its approximate distance exceeds that by more than its own coding error. So no link
+is lost, however the quantisers were fitted; the fit, on a bounded sample, decides the speed alone.
+Vectors of two lists meet from one side only, and the link counts for both.
 """
 
 from __future__ import annotations
@@ -38,7 +37,8 @@ MEMBERS = 8_192
 QUERIES = 32_768
 PAIRS_AT_ONCE = 1 << 21
 SLACK = 1e-6
-DEVIATIONS = 2.5
+# Rounding of a single-precision product of two vectors of length one, for each component.
+ROUNDING = 2e-7
 
 
 @dataclass
@@ -62,19 +62,22 @@ class Quantiser:
         return np.split(_padded(vectors, len(self.codebooks)), len(self.codebooks), axis=1)
 
     def probes(self, units: np.ndarray, lists: np.ndarray, reach: float) -> np.ndarray:
-        """Which lists to search for vectors within ``reach`` of each unit vector."""
+        """Which lists may hold a vector within ``reach``: distance to the edge of their cell."""
         distance = squared_distances(units, self.centres)
         own = distance[np.arange(len(units)), lists][:, None]
         apart = np.sqrt(squared_distances(self.centres, self.centres))[lists]
-        turned = min(1.0, DEVIATIONS / np.sqrt(units.shape[1]))
-        return distance - own <= 2 * apart * reach * turned + SLACK
+        return distance - own <= 2 * apart * reach + SLACK
+
+    def asked(self, units: np.ndarray, lists: np.ndarray, reach: float) -> np.ndarray:
+        """The lists of ``probes`` but those whose own vectors ask the list of this one."""
+        own, other = lists[:, None], np.arange(len(self.centres))[None]
+        ours = ((own + other) % 2 == 1) == (own < other)
+        return self.probes(units, lists, reach) & (ours | (own == other))
 
-    def tables(self, units: np.ndarray, which: int) -> np.ndarray:
-        """Squared distances of each query's residual to every code: subspace, query, code."""
-        parts = self.split(units - self.centres[which])
-        return np.stack(
-            [squared_distances(p, b) for p, b in zip(parts, self.codebooks, strict=True)]
-        ).astype(np.float32)
+    def decode(self, lists: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """The vectors that lists and codes stand for."""
+        coded = np.concatenate([b[codes[:, m]] for m, b in enumerate(self.codebooks)], axis=1)
+        return self.centres[lists] + coded[:, : self.centres.shape[1]]
 
 
 def _padded(vectors: np.ndarray, parts: int) -> np.ndarray:
@@ -110,22 +113,22 @@ def _compare(
     q_list, m_list = queries["list"].to_numpy(), members["list"].to_numpy()
     copies = members["copies"].to_numpy()
     codes = np.frombuffer(b"".join(members["codes"]), np.uint8).reshape(len(members), -1)
-    limit = ((reach + members["error"].to_numpy()) ** 2 + SLACK).astype(np.float32)
+    coded = quantiser.decode(m_list, codes)
+    limit = (reach + members["error"].to_numpy()) ** 2 + SLACK
+    # Squared distance of a unit vector to the coded one within the limit, as a product of both.
+    norm = (coded * coded).sum(axis=1)
+    least = (1 + norm - limit) / 2 - ROUNDING * q.shape[1] * np.sqrt(np.maximum(norm, 1))
+    coded, least, q_single = (x.astype(np.float32) for x in (coded, least - SLACK, q_unit))
     count, m_count = np.zeros(len(q), np.int64), np.zeros(len(m), np.int64)
     q_copies = queries["copies"].to_numpy()
     found_a, found_b = [], []
-    probed = quantiser.probes(q_unit, q_list, reach)
-    answers = quantiser.probes(m_unit, m_list, reach)
+    probed = quantiser.asked(q_unit, q_list, reach)
     for which in np.unique(m_list).tolist():
         asking, own = np.flatnonzero(probed[:, which]), np.flatnonzero(m_list == which)
         step = max(1, PAIRS_AT_ONCE // len(own))
         for start in range(0, len(asking), step):
             some = asking[start : start + step]
-            tables = quantiser.tables(q_unit[some], which)
-            near = np.zeros((len(some), len(own)), np.float32)
-            for s in range(codes.shape[1]):
-                near += np.take(tables[s], codes[own, s], axis=1)
-            a, b = np.nonzero(near <= limit[own][None])
+            a, b = np.nonzero(q_single[some] @ coded[own].T >= least[own][None])
             a, b = some[a], own[b]
             for at in range(0, len(a), 1 << 16):
                 x, y = a[at : at + (1 << 16)], b[at : at + (1 << 16)]
@@ -133,8 +136,8 @@ def _compare(
                 linked = (exact >= cosine) & (q_node[x] != m_node[y])
                 x, y = x[linked], y[linked]
                 np.add.at(count, x, copies[y])
-                # A member that does not search the query's list learns of the link here.
-                silent = ~answers[y, q_list[x]]
+                # A member of another list does not ask the query's list and learns of it here.
+                silent = m_list[y] != q_list[x]
                 np.add.at(m_count, y[silent], q_copies[x[silent]])
                 found_a.append(q_node[x])
                 found_b.append(m_node[y])
@@ -252,7 +255,7 @@ def _links_of(distinct: DataFrame, total: int, cosine: float) -> DataFrame:
             if not batch.num_rows:
                 continue
             units = _units(stacked(batch.column("vector")))
-            probed = q.probes(units, batch.column("list").to_numpy(), reach)
+            probed = q.asked(units, batch.column("list").to_numpy(), reach)
             wanted = []
             for row in probed:
                 goes = set()
