@@ -1,4 +1,6 @@
+import random
 import re
+import textwrap
 
 from tourney.llm import licenses
 
@@ -49,3 +51,58 @@ def test_size_bounds_lose_nothing():
 
 def test_empty_table(spark):
     assert licenses.license_summary(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def long_document(notice):
+    """The notice between sentences that share nothing with it."""
+    filler = " ".join(f"word{i} other{i} thing{i}." for i in range(400))
+    return f"{filler}\n\n{notice}\n\n{filler}"
+
+
+def test_notices_in_any_layout():
+    scanner = licenses.Scanner(licenses.TEMPLATES + licenses.MORE_TEMPLATES, licenses.THRESHOLD)
+    bodies = {}
+    for name, body in licenses.TEMPLATES + licenses.MORE_TEMPLATES:
+        flat = re.sub(r"\s+", " ", body)
+        bodies[name] = max(bodies.get(name, ""), flat, key=len)
+    mit = bodies["MIT"].replace(" The above", "\n\nThe above").replace(
+        " THE SOFTWARE IS", "\n\nTHE SOFTWARE IS")
+    isc = bodies["ISC"].replace(" THE SOFTWARE IS", "\n\nTHE SOFTWARE IS")
+    layouts = [("MIT", mit), ("ISC", isc)]
+    for name in ("MIT", "ISC", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "MPL-2.0", "LGPL-2.1",
+                 "LGPL-3.0", "AGPL-3.0", "GPL-2.0", "GPL-3.0", "Unlicense"):
+        lines = textwrap.wrap(bodies[name], 60)
+        layouts.append((name, "some words before it\n" + "\n".join(lines) + "\nand some after"))
+        layouts.append((name, "/*\n * Copyright of us.\n * " + "\n * ".join(lines) + "\n *\n */"))
+        layouts.append((name, "Words before it. " + bodies[name] + " Words " + "after it " * 5))
+    for name, notice in layouts:
+        text = long_document(notice)
+        found = scanner.scan(text)
+        best = min(found, key=lambda f: (-f["score"], f["license"]))
+        assert best["license"] == name and best["score"] > 0.9, (name, notice, found)
+        assert text[best["start"] : best["end"]] in text and best["start"] >= text.index(notice[:9])
+    assert [f["license"] for f in scanner.scan(long_document(f"{mit}\nx y z\n{isc}"))] == ["ISC", "MIT", "ISC"]
+
+
+def test_runs_of_brute_force():
+    """Every run of words against one template."""
+    rng = random.Random(4)
+    body = "a b c d e f g h"
+    grams = licenses.bigrams(body.split())
+    for _ in range(300):
+        words = [rng.choice("abcdefghx") for _ in range(8)]
+        words[rng.randrange(8):0] = body.split()[rng.randrange(3) : rng.randrange(5, 9)]
+        words += rng.choice([[], ["a", "b"] * 6])
+        text = " ".join(words)
+        best = 0.0
+        for start in range(len(words)):
+            for end in range(start + 2, len(words) + 1):
+                run = licenses.bigrams(words[start:end])
+                best = max(best, 2 * len(run & grams) / (len(run) + len(grams)))
+        found = licenses.Scanner([("x", body)], 0.7)._runs(text, [0], [])
+        assert max((f["score"] for f in found), default=0.0) == (best if best >= 0.7 else 0.0)
+
+
+def test_sql_keeps_its_templates():
+    assert all(body.replace("'", "''") in licenses.ORACLE_SQL for _, body in licenses.TEMPLATES)
+    assert "Redistribution" not in licenses.ORACLE_SQL

@@ -1,14 +1,15 @@
 """Finds licence notices and texts by the Dice coefficient over word bigrams.
 
-A document is compared as a whole, by paragraph, by line and by sentence. A part and a template of
-very different size cannot reach the threshold, so only templates within the size bounds of a part
-are candidates, and of these only templates that share a bigram with it are scored.
+A document is compared as a whole, by paragraph, by line and by sentence, and by every run of words
+wherever it starts and ends, so that a notice is found in any layout. A part and a template of very
+different size cannot reach the threshold, and neither can one that lacks too many bigrams of the
+template: a text whose bigrams as a whole do not suffice for a template is not searched for it.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import Counter, OrderedDict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -73,6 +74,89 @@ TEMPLATES = (
     ("proprietary", "All rights reserved."),
 )
 
+_WARRANTY = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY
+    EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF
+    MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE
+    COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL,
+    EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE
+    GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND
+    ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE
+    OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE
+    POSSIBILITY OF SUCH DAMAGE."""
+_BSD = """Redistribution and use in source and binary forms, with or without modification, are
+    permitted provided that the following conditions are met: 1. Redistributions of source code must
+    retain the above copyright notice, this list of conditions and the following disclaimer.
+    2. Redistributions in binary form must reproduce the above copyright notice, this list of
+    conditions and the following disclaimer in the documentation and/or other materials provided
+    with the distribution."""
+
+# Further licences; the SQL states the result for the templates above.
+MORE_TEMPLATES = (
+    ("BSD-2-Clause", f"{_BSD} {_WARRANTY}"),
+    (
+        "BSD-3-Clause",
+        f"""{_BSD} 3. Neither the name of the copyright holder nor the names of its contributors may
+        be used to endorse or promote products derived from this software without specific prior
+        written permission. {_WARRANTY}""",
+    ),
+    ("BSD-2-Clause", "This software is released under the BSD 2-Clause License."),
+    ("BSD-3-Clause", "This software is released under the BSD 3-Clause License."),
+    (
+        "BSD-3-Clause",
+        """Use of this source code is governed by a BSD-style license that can be found in the
+        LICENSE file.""",
+    ),
+    (
+        "MPL-2.0",
+        """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a
+        copy of the MPL was not distributed with this file, You can obtain one at
+        http://mozilla.org/MPL/2.0/.""",
+    ),
+    ("MPL-2.0", "Licensed under the Mozilla Public License, version 2.0."),
+    (
+        "GPL-2.0",
+        """This program is free software; you can redistribute it and/or modify it under the terms
+        of the GNU General Public License as published by the Free Software Foundation; either
+        version 2 of the License, or (at your option) any later version.""",
+    ),
+    (
+        "LGPL-2.1",
+        """This library is free software; you can redistribute it and/or modify it under the terms
+        of the GNU Lesser General Public License as published by the Free Software Foundation;
+        either version 2.1 of the License, or (at your option) any later version.""",
+    ),
+    (
+        "LGPL-3.0",
+        """This program is free software: you can redistribute it and/or modify it under the terms
+        of the GNU Lesser General Public License as published by the Free Software Foundation,
+        either version 3 of the License, or (at your option) any later version.""",
+    ),
+    ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
+    (
+        "AGPL-3.0",
+        """This program is free software: you can redistribute it and/or modify it under the terms
+        of the GNU Affero General Public License as published by the Free Software Foundation,
+        either version 3 of the License, or (at your option) any later version.""",
+    ),
+    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
+    (
+        "Unlicense",
+        """This is free and unencumbered software released into the public domain. Anyone is free to
+        copy, modify, publish, use, compile, sell, or distribute this software, either in source
+        code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any
+        means. In jurisdictions that recognize copyright laws, the author or authors of this
+        software dedicate any and all copyright interest in the software to the public domain. We
+        make this dedication for the benefit of the public at large and to the detriment of our
+        heirs and successors. We intend this dedication to be an overt act of relinquishment in
+        perpetuity of all present and future rights to this software under copyright law. THE
+        SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING
+        BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND
+        NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+        LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN
+        CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
+    ),
+)
+
 _OTHER = r"[^a-z0-9]+"
 # Parts end at blank lines, line ends, and white space after the end of a sentence.
 _PARAGRAPH = r"\n[ \t]*\n"
@@ -127,7 +211,7 @@ class Scanner:
     def __init__(self, templates, threshold: float) -> None:
         self.threshold = threshold
         self.names = [name for name, _ in templates]
-        sets = [bigrams(normalised(text)) for _, text in templates]
+        self.sets = sets = [bigrams(normalised(text)) for _, text in templates]
         self.sizes = [len(s) for s in sets]
         self.bounds = [size_bounds(n, threshold) for n in self.sizes]
         self.least = min(low for low, _ in self.bounds)
@@ -138,11 +222,23 @@ class Scanner:
                 self.holders.setdefault(pair, []).append(i)
 
     def scan(self, text: str | None) -> list[dict]:
-        """Parts that reach the threshold, with the best template of each; ties by name."""
+        """Parts that reach the threshold, with the best template of each; ties by name.
+
+        After them, the runs of words that no part accounts for: see ``_runs``.
+        """
         out = []
         words_of, holders = re.compile(r"[a-z0-9]+").findall, self.holders
         text = text or ""
         lower = text.translate({c: c + 32 for c in range(ord("A"), ord("Z") + 1)})
+        every = words_of(lower)
+        held = Counter(
+            i for pair in holders.keys() & set(zip(every, every[1:], strict=False))
+            for i in holders[pair]
+        )
+        likely = [i for i, common in held.items() if common >= self.bounds[i][0]]
+        if not likely:
+            return out
+        matched = []
         for start, end in parts(text):
             words = words_of(lower, start, end)
             if len(words) <= self.least:
@@ -167,15 +263,66 @@ class Scanner:
                         best = (-score, self.names[i])
             if best:
                 out.append({"license": best[1], "score": -best[0], "start": start, "end": end})
-        return out
+                matched.append((start, end, -best[0]))
+        return out + self._runs(lower, sorted(likely), matched)
+
+    def _runs(self, lower: str, likely: list[int], matched: list[tuple]) -> list[dict]:
+        """The best runs of words that reach the threshold and do not overlap each other.
+
+        Left out are runs that a matching part accounts for: they lie within it, or overlap it and
+        score no better.
+        """
+        places = [m.span() for m in re.compile(r"[a-z0-9]+").finditer(lower)]
+        words = [lower[start:end] for start, end in places]
+        held: dict[tuple[str, str], list[int]] = {}
+        for i in likely:
+            for pair in self.sets[i]:
+                held.setdefault(pair, []).append(i)
+        # Distinct bigrams by their last occurrence: the runs that end here differ at these only.
+        recent: OrderedDict[tuple[str, str], int] = OrderedDict()
+        found = []
+        for at, pair in enumerate(zip(words, words[1:], strict=False)):
+            recent[pair] = at
+            recent.move_to_end(pair)
+            for i in held.get(pair, ()):
+                best = self._run_to_here(recent, i)
+                if best:
+                    span = places[best[1]][0], places[at + 1][1]
+                    found.append((-best[0], self.names[i], span[1] - span[0], *span))
+        out, taken = [], []
+        for less, name, _, start, end in sorted(found):
+            accounted = any(
+                (a <= start and end <= b) or (a < end and start < b and score >= -less)
+                for a, b, score in matched
+            )
+            if not accounted and all(end <= a or b <= start for a, b in taken):
+                taken.append((start, end))
+                out.append({"license": name, "score": -less, "start": start, "end": end})
+        return sorted(out, key=lambda x: x["start"])
+
+    def _run_to_here(self, recent: OrderedDict, i: int) -> tuple[float, int] | None:
+        """Score and first word of the best run for a template that ends with the latest bigram."""
+        grams, full = self.sets[i], self.sizes[i]
+        best, least, common = None, self.threshold, 0
+        for size, pair in enumerate(reversed(recent), 1):
+            if pair in grams:
+                common += 1
+                score = 2 * common / (size + full)
+                if score >= self.threshold and (best is None or score > best[0]):
+                    best, least = (score, recent[pair]), score
+            # All that is missing, without a bigram of another kind, would not do better.
+            if common == full or 2 * full / (size - common + 2 * full) < least:
+                break
+        return best
 
 
 def scan_licenses(
-    docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD
+    docs: DataFrame, templates=TEMPLATES + MORE_TEMPLATES, threshold: float = THRESHOLD
 ) -> DataFrame:
     """Per row of ``docs`` (``doc_id``, ``text``): ``license``, ``score`` and ``found``.
 
-    ``found`` lists the parts that match (licence, score, start, end in characters); ``license`` is
+    ``found`` lists the parts that match (licence, score, start, end in characters), then the runs
+    of words that match, lie in no such part and score better than any they overlap; ``license`` is
     the one of the highest score, by name among equals, null where nothing matches (score 0). Whole
     texts are read; null and empty texts match nothing. Rows that share an id stay separate.
     """
