@@ -77,3 +77,37 @@ def test_without_both_labels_nothing_is_toxic(spark, labelled):
     assert toxicity.without_toxic(frame, labels).columns == frame.columns
     assert toxicity.without_toxic(frame, labels).count() == 1
     assert toxicity.toxicity(frame.limit(0), labels).count() == 0
+
+
+def late_corpus(count, length):
+    """Every third document is toxic, by its last sentence only."""
+    return [
+        (3 * i, f"calm{i % 5} words here. " * (length // 18) + ("a vile end." if i % 3 else "an end."))
+        for i in range(1, count)
+    ]
+
+
+def test_whole_training_texts_are_read(spark):
+    docs = late_corpus(24, 210_000)
+    frame = spark.createDataFrame([(*d, 7, "x") for d in docs], DOCS)
+    labels = spark.createDataFrame([(i, 0, int("vile" in t)) for i, t in docs], LABELS)
+    model = toxicity.train(frame, labels)
+    assert model.score("a vile end.")[0] > 0.7 > model.score("calm1 words here. an end.")[0]
+
+
+def test_sample_is_bounded_by_whole_documents(spark, monkeypatch):
+    docs = late_corpus(40, 900)
+    docs += [(docs[0][0], docs[0][1])] * 3
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda texts, labels: seen.append((texts, labels)))
+    frame = spark.createDataFrame([(*d, 7, "x") for d in docs], DOCS).repartition(3)
+    labels = spark.createDataFrame([(i, 0, int("vile" in t)) for i, t in docs], LABELS)
+    usable = [t for i, t in docs if zlib.crc32(str(i).encode()) % 3 != 1]
+    for chars in (50_000_000, 8_000, 500):
+        monkeypatch.setattr(toxicity, "MAX_TRAINING_CHARS", chars)
+        toxicity.train(frame, labels)
+        texts, toxic = seen.pop()
+        assert set(texts) <= set(usable) and sum(map(len, texts)) <= chars
+        assert toxic.tolist() == ["vile" in t for t in texts]
+        assert (len(texts) == len(usable)) == (chars == 50_000_000)
+        assert (chars - sum(map(len, texts)) < 1_000) or chars == 50_000_000

@@ -26,10 +26,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Bound of the sample of labelled documents that the driver fits the model on.
+# Bounds of the sample of labelled documents that the driver fits the model on: rows, and characters
+# of all of them together. Texts are taken whole or not at all.
 MAX_TRAINING_ROWS = 5_000
-# A longer training text is cut into pieces that inherit nothing: it counts up to this length.
-MAX_TRAINING_CHARS = 200_000
+MAX_TRAINING_CHARS = 50_000_000
 FEATURE_BITS = 18
 MIN_TRAINING_DOCUMENTS = 4
 PREFIX_CHARS = (3, 4, 5, 6)
@@ -106,7 +106,7 @@ def _occurrences(texts: list[str]) -> tuple[np.ndarray, ...]:
     words, sentence_of, document_of = array("i"), array("i"), array("i")
     find_words, find_sentences = re.compile(_WORD).findall, re.compile(_SENTENCE).findall
     for document, text in enumerate(texts):
-        for sentence in find_sentences(text[:MAX_TRAINING_CHARS].lower()):
+        for sentence in find_sentences(text.lower()):
             found = find_words(sentence)
             if found:
                 words.extend([vocabulary.setdefault(w, len(vocabulary)) for w in found])
@@ -179,7 +179,8 @@ def train(docs: DataFrame, labels: DataFrame) -> SentenceModel:
     """Fit on at most ``MAX_TRAINING_ROWS`` labelled documents that are not held out.
 
     The rows are those with the smallest key hashes, so the sample does not depend on how the
-    tables are stored. Null keys, labels and texts teach nothing; of several labels of one key the
+    tables are stored. Of these, one that would bring the sample over ``MAX_TRAINING_CHARS`` is left
+    out; whole texts are read of the others. Null keys, labels and texts teach nothing; of several labels of one key the
     largest counts. Copies of a document count once per row. Without both labels every document
     scores close to 0.
     """
@@ -196,12 +197,34 @@ def train(docs: DataFrame, labels: DataFrame) -> SentenceModel:
         docs.select("doc_id", "text")
         .where(F.col("text").isNotNull())
         .join(F.broadcast(chosen), F.col("doc_id") == F.col("_labelled"))
-        .select("doc_id", F.substring("text", 1, MAX_TRAINING_CHARS).alias("text"), "_toxic")
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "text")
+        .withColumn("_digest", F.xxhash64("text"))
+    )
+    sizes = (
+        rows.groupBy("doc_id", "_digest")
+        .agg(F.max(F.length("text")).alias("chars"), F.count(F.lit(1)).alias("copies"))
+        .orderBy(F.xxhash64("doc_id"), "doc_id", "_digest")
         .limit(MAX_TRAINING_ROWS)
-        .toPandas()
+        .collect()
+    )
+    counts, left, room = {}, MAX_TRAINING_ROWS, MAX_TRAINING_CHARS
+    for row in sizes:
+        taken = min(row["copies"], left, room // max(1, row["chars"]))
+        if taken:
+            counts[row["doc_id"], row["_digest"]] = taken
+            left, room = left - taken, room - taken * row["chars"]
+    if not counts:
+        return fit([], np.empty(0, bool))
+    spark, keys = docs.sparkSession, rows.select("doc_id", "_digest").schema
+    wanted = F.broadcast(spark.createDataFrame(list(counts), keys))
+    fetched = (
+        rows.join(wanted, ["doc_id", "_digest"], "left_semi")
+        .groupBy("doc_id", "_digest")
+        .agg(F.first("text").alias("text"), F.first("_toxic").alias("_toxic"))
+        .collect()
     )
-    return fit(rows["text"].tolist(), (rows["_toxic"] > 0).to_numpy())
+    found = {(row["doc_id"], row["_digest"]): row for row in fetched}
+    sample = [found[key] for key, copies in counts.items() for _ in range(copies)]
+    return fit([row["text"] for row in sample], np.array([row["_toxic"] > 0 for row in sample]))
 
 
 _OFFENDING = pa.list_(
