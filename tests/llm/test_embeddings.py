@@ -139,3 +139,38 @@ def test_pruned_edges_are_diverse():
     points = np.array([[0, 0], [1, 0], [1.1, 0], [0, 1], [-1, 0]], np.float32)
     kept = graph_search.prune(points, np.array([0]), np.array([[1, 2, 3, 4, -1, 1]]))[0]
     assert set(kept[kept >= 0].tolist()) == {1, 3, 4}
+
+
+def mixed_lengths():
+    """Vectors of 16 and of 24 components, ids in turn; one id occurs in both lengths."""
+    long, short = clusters(6, 300), clusters(7, 200, size=24)
+    short[9] = short[10]
+    return (long, [2 * i for i in range(300)]), (short, [2 * i + 1 for i in range(199)] + [0])
+
+
+def test_links_within_every_length(spark):
+    parts = mixed_lengths()
+    rows = [row for vectors, ids in parts for row in rows_of(vectors, ids)]
+    found = quantised.linked_vectors(spark.createDataFrame(rows, SCHEMA).repartition(4)).collect()
+    expected = [
+        (i, *pair) for v, ids in parts for i, pair in links_by_brute_force(v, ids, 0.95).items()
+    ]
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in found) == sorted(expected)
+
+
+def test_nearest_within_every_length(spark):
+    parts = mixed_lengths()
+    rows = [row for vectors, ids in parts for row in rows_of(vectors, ids)]
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    asks = F.col("vec_id").between(1, 40)
+    by_query = {}
+    for r in graph_search.nearest(frame, asks, k=20).collect():
+        by_query.setdefault(r.query_id, set()).add(r.vec_id)
+    assert by_query.keys() == set(range(1, 41))
+    hits = 0
+    for vectors, ids in parts:
+        queries = [i for i in ids if 1 <= i <= 40]
+        for q, best in nearest_by_brute_force(vectors, ids, queries, 20).items():
+            assert len(by_query[q]) == 20 and by_query[q] <= set(ids)
+            hits += len(by_query[q] & {i for i, _ in best})
+    assert hits / (20 * 40) > 0.95

@@ -13,11 +13,11 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from tourney.llm.scratch import cleaned, materialise
-from tourney.llm.vectors import common_size, usable
+from tourney.llm.vectors import usable
 
 # Vectors per graph, and queries that search a graph in one task.
 SHARD_ROWS = 4_096
@@ -183,31 +183,44 @@ def nearest(
     ``rows`` has ``vec_id`` and ``embedding``; ``is_query`` marks the queries among them. Every row
     but those with the query's id is a candidate. Columns: ``query_id``, ``rank`` from 1, ``vec_id``
     and ``score``; equal scores by smaller id. Null, empty and zero vectors, those with null or
-    non-finite components, those of another length than most, and null ids take no part. Equal
-    vectors are one node of a graph and all found with it.
+    non-finite components, and null ids take no part; others meet those of their length. Equal
+    vectors are one node of a graph and all found with it. Each length has shards and jobs of its
+    own, one after the other.
 
     Every row is in one shard of about ``shard_rows``, and every block of queries searches every
     shard, so a task holds one graph and one block.
     """
     good = rows.select(F.col("vec_id").cast("bigint").alias("vec_id"), "embedding", is_query.alias("asks"))
     good = good.where(usable("embedding") & F.col("vec_id").isNotNull())
-    size = common_size(good, "embedding")
     squared = F.aggregate(
         "embedding", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")
     )
-    good = materialise(
-        good.where(F.size("embedding") == size).withColumn("norm", squared), "vectors"
-    )
-    stats = good.agg(
+    good = good.withColumns({"norm": squared, "size": F.size("embedding")})
+    good = materialise(good, "vectors")
+    lengths = good.groupBy("size").agg(
         F.count(F.lit(1)).alias("rows"),
         F.sum(F.col("asks").cast("int")).alias("queries"),
         F.max("norm").alias("largest"),
-    ).first()
+    )
+    found = good.sparkSession.createDataFrame([], "query_id bigint, vec_id bigint, score double")
+    for stats in lengths.where("queries > 0").orderBy("size").collect():
+        alike = good.where(F.col("size") == stats["size"])
+        found = found.unionByName(_nearest_alike(alike, stats, k, shard_rows))
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return (
+        found.withColumn("rank", F.row_number().over(best))
+        .where(F.col("rank") <= k)
+        .select("query_id", "rank", "vec_id", "score")
+    )
+
+
+def _nearest_alike(good: DataFrame, stats: Row, k: int, shard_rows: int) -> DataFrame:
+    """The best of every shard for every query, among vectors of one length."""
     shards = max(1, -(-stats["rows"] // shard_rows))
-    lanes = max(1, -(-(stats["queries"] or 0) // LANE_QUERIES))
-    largest = float(stats["largest"] or 0.0)
+    lanes = max(1, -(-stats["queries"] // LANE_QUERIES))
+    largest = float(stats["largest"])
 
-    kind = rows.schema["embedding"].dataType.simpleString()
+    kind = good.schema["embedding"].dataType.simpleString()
     shard = F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int")
 
     def connect(group: pd.DataFrame) -> pd.DataFrame:
@@ -281,14 +294,8 @@ def nearest(
         )
         .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
     )
-    found = (
+    return (
         members.groupBy("shard", "lane")
         .cogroup(asking.groupBy("shard", "lane"))
         .applyInPandas(search, "query_id bigint, vec_id bigint, score double")
     )
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (
-        found.withColumn("rank", F.row_number().over(best))
-        .where(F.col("rank") <= k)
-        .select("query_id", "rank", "vec_id", "score")
-    )

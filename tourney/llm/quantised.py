@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tourney.llm.graph import components, local_roots
 from tourney.llm.scratch import cleaned, materialise
-from tourney.llm.vectors import common_size, k_means, squared_distances, stacked, usable
+from tourney.llm.vectors import k_means, squared_distances, stacked, usable
 
 # Bound of the sample that the quantisers are fitted on.
 TRAINING_VECTORS = 10_000
@@ -161,26 +162,31 @@ def linked_vectors(rows: DataFrame, cosine: float = 0.95) -> DataFrame:
 
     Two vectors are linked if their cosine, in double precision, is at least ``cosine``. ``n_links``
     counts the other rows linked directly, ``component_id`` is the smallest id reachable by links,
-    and ``kept`` marks the rows with that id. Null, empty and zero vectors, those with null or
-    non-finite components, and those of another length than most link with nothing. Equal vectors
-    are compared once and counted as often as they occur. A row with a null id takes part in
-    nothing and is kept.
+    and ``kept`` marks the rows with that id. Null, empty and zero vectors and those with null or
+    non-finite components link with nothing, others with those of their length. Equal vectors are
+    compared once and counted as often as they occur. A row with a null id takes part in nothing and
+    is kept. Each length has quantisers and jobs of its own, one after the other.
     """
     ids = rows.select(F.col("vec_id").cast("bigint").alias("vec_id"), "embedding")
     good = ids.where(usable("embedding") & F.col("vec_id").isNotNull())
-    size = common_size(good, "embedding")
     distinct = (
-        good.where(F.size("embedding") == size)
-        .groupBy("embedding")
+        good.groupBy("embedding")
         .agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies"))
     )
     distinct = materialise(distinct, "distinct-vectors")
-    total = distinct.count()
-    of_node = _links_of(distinct, total, cosine) if total else None
-    if of_node is None:
+    distinct = distinct.withColumn("size", F.size("embedding"))
+    totals = distinct.groupBy("size").count().orderBy("size").collect()
+    of_node = [
+        _links_of(distinct.where(F.col("size") == size).drop("size"), total, cosine).withColumn(
+            "size", F.lit(size)
+        )
+        for size, total in totals
+    ]
+    if not of_node:
         found = ids.withColumns({"n_links": F.lit(0).cast("bigint"), "component_id": "vec_id"})
     else:
-        of_vector = distinct.join(of_node, "node", "left").select(
+        of_node = reduce(DataFrame.unionByName, of_node)
+        of_vector = distinct.join(of_node, ["node", "size"], "left").select(
             "embedding",
             (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
             F.coalesce("root", "node").alias("component_id"),
