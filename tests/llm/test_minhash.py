@@ -143,3 +143,16 @@ def test_slices_cover_everything_once():
     lengths = [5, 0, 900, 3, 3, 2000]
     cut = list(shingles.slices(lengths, most=1000))
     assert [x for s in cut for x in range(s.start, s.stop)] == list(range(len(lengths)))
+
+
+def test_two_texts_under_one_id(spark):
+    """Each has a near copy of its own."""
+    rng = random.Random(8)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(200)) for _ in range(4)]
+    rows = [(1, texts[0]), (1, texts[1]), (1, texts[2]), (1, texts[3])]
+    rows += [(10 + i, f"{text} more") for i, text in enumerate(texts)]
+    rows += [(20, "apart from all of them by far")]
+    frame = spark.createDataFrame([(*r, 0, "x") for r in rows], SCHEMA).repartition(3)
+    found = minhash.near_duplicates(frame, words=5, percent=80).collect()
+    got = sorted((r.doc_id, r.component_id, r.kept) for r in found)
+    assert got == [(1, 1, True)] * 4 + [(10 + i, 1, False) for i in range(4)] + [(20, 20, True)]

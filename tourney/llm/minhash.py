@@ -87,7 +87,7 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
                     lowest = minima([sets[i] for i in full])
                     for i, d, b in zip(full, pack(lowest), band_keys(lowest), strict=True):
                         digits[i], bands[i] = d, b
-                ids = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
+                ids = [_set_digest(s.tobytes()) for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(part.start, part.stop - part.start),
@@ -117,21 +117,31 @@ def estimated_similarity(a: Column, b: Column) -> Column:
     return (1 - different / HASHES - chance) / (1 - chance)
 
 
+def _set_digest(packed: bytes) -> bytes:
+    return hashlib.blake2b(packed, digest_size=16).digest()
+
+
 def _sets_of(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
-    """``node`` and its packed shingle hashes for the named documents."""
+    """``node`` and its packed shingle hashes, read from the document ``first_doc`` of the node.
+
+    Other texts under the id of that document have other nodes.
+    """
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
             texts = batch.column("text").to_pylist()
             for part in slices([len(t or "") for t in texts]):
                 sets = [s.tobytes() for s in shingle_sets(texts[part], words)]
-                ids = batch.column("node").slice(part.start, part.stop - part.start)
+                ids = [_set_digest(s) for s in sets]
                 yield pa.RecordBatch.from_arrays(
-                    [ids, pa.array(sets, pa.binary())], ["node", "hashes"]
+                    [pa.array(ids, pa.binary()), pa.array(sets, pa.binary())], ["set_id", "hashes"]
                 )
 
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("node"), "text")
-    return rows.join(nodes, "node", "left_semi").mapInArrow(pick, "node bigint, hashes binary")
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("first_doc"), "text")
+    rows = rows.join(nodes.select("first_doc"), "first_doc", "left_semi")
+    sets = rows.mapInArrow(pick, "set_id binary, hashes binary")
+    sets = sets.select(F.xxhash64("set_id").alias("node"), "hashes")
+    return sets.join(nodes.select("node"), "node", "left_semi")
 
 
 def _confirm(pairs: DataFrame, reps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -169,6 +179,8 @@ def _confirm(pairs: DataFrame, reps: DataFrame, sets: DataFrame, percent: int) -
 def similar_roots(docs: DataFrame, reps: DataFrame, words: int, percent: int) -> DataFrame:
     """``node`` and ``root`` of its component for every node with a confirmed link.
 
+    A node stands for one shingle set; its number is a digest of the set, not the id of a document.
+
     First every member of a bucket meets the bucket's hub, its smallest node. Then members that are
     still apart from the rest meet the members that have the same chief, the smallest of all hubs a
     node has met; copies of one text mostly share one. Last come pairs of different chiefs.
@@ -180,9 +192,8 @@ def similar_roots(docs: DataFrame, reps: DataFrame, words: int, percent: int) ->
     hubs = hubs.where("hub != largest").select("bucket", "hub")
     members = materialise(exploded.join(hubs, "bucket"), "buckets")
     chiefs = materialise(members.groupBy("node").agg(F.min("hub").alias("chief")), "chiefs")
-    sets = materialise(
-        _sets_of(docs, chiefs.select("node"), words).dropDuplicates(["node"]), "sets"
-    )
+    named = chiefs.select("node").join(reps.select("node", "first_doc"), "node")
+    sets = materialise(_sets_of(docs, named, words).dropDuplicates(["node"]), "sets")
     pairs = members.where("node != hub").select("node", "hub").distinct()
     found = materialise(_confirm(pairs, reps, sets, percent), "links")
 
@@ -346,14 +357,17 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     signed = materialise(signatures(docs, words), "signatures")
     known = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
     reps = known.groupBy("set_id").agg(
-        F.min("doc_id").alias("node"),
+        F.min("doc_id").alias("first_doc"),
         F.first("digits").alias("digits"),
         F.first("bands").alias("bands"),
     )
-    reps = materialise(reps, "representatives")
+    reps = materialise(reps.withColumn("node", F.xxhash64("set_id")), "representatives")
     roots = similar_roots(docs, reps, words, percent)
-    of_set = reps.select("set_id", "node").join(roots, "node", "left")
-    of_set = of_set.select("set_id", F.coalesce("root", "node").alias("component"))
+    linked = reps.select("node", "first_doc").join(roots, "node")
+    first = linked.groupBy("root").agg(F.min("first_doc").alias("first_of_root"))
+    of_set = reps.select("set_id", "node", "first_doc").join(roots, "node", "left")
+    of_set = of_set.join(first, "root", "left")
+    of_set = of_set.select("set_id", F.coalesce("first_of_root", "first_doc").alias("component"))
     rows = signed.select("doc_id", "n_shingles", "set_id")
     joined = rows.join(of_set, "set_id", "left")
     component = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component"))
