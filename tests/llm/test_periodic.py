@@ -1,0 +1,127 @@
+"""Periodic runs against a search of every stretch."""
+
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from tourney.llm.periodic import collapse_runs, lag_scan, planted, run_digests, runs_of
+
+
+def plain_runs(words):
+    """Every lag over every word; the smallest period of the same words wins."""
+    n, runs = len(words), {}
+    for q in range(1, n // 2 + 1):
+        i = 0
+        while i < n - q:
+            if words[i] != words[i + q]:
+                i += 1
+                continue
+            end = i
+            while end < n - q and words[end] == words[end + q]:
+                end += 1
+            if end - i + q >= max(12, 2 * q):
+                runs.setdefault((i, end - i + q), q)
+            i = end
+    return sorted((s, n, q) for (s, n), q in runs.items())
+
+
+def plain_row(doc_id, text):
+    words = (text or "").encode().split()
+    h = zlib.crc32(str(doc_id).encode())
+    if h % 10 == 0 and words:
+        g, n = h // 10, len(words)
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+    runs = sorted(plain_runs(words), key=lambda r: (r[0], r[2]))
+    dropped = {i for s, n, q in runs for i in range(s + q, s + n)}
+    kept = b" ".join(w for i, w in enumerate(words) if i not in dropped)
+    best = min(runs, key=lambda r: (-r[1], r[0], r[2]), default=None)
+    lines = "".join(f"{s},{n},{q}\n" for s, n, q in runs)
+    return (
+        doc_id,
+        len(runs),
+        *(best or (None, None, None)),
+        best and 1000 * best[1] // best[2],
+        hashlib.sha256(lines.encode()).hexdigest(),
+        hashlib.sha256(kept).hexdigest(),
+    )
+
+
+def test_lag_scan_of_few_words():
+    draw = random.Random(5)
+    for _ in range(400):
+        n = draw.randrange(0, 120)
+        words = [draw.randrange(draw.choice([1, 2, 2, 3, 8])) for _ in range(n)]
+        if draw.random() < 0.7 and n:
+            p = draw.randrange(1, n + 1)
+            words = [words[i % p] if draw.random() < 0.99 else 9 for i in range(n)]
+        assert lag_scan(np.array(words, dtype=np.int64)) == sorted(
+            plain_runs(words), key=lambda r: (r[0], r[2])
+        )
+
+
+def test_splitting_keeps_every_run():
+    draw = random.Random(6)
+    documents = []
+    for _ in range(300):
+        words = [b"%d" % int(draw.paretovariate(0.7)) for _ in range(draw.randrange(0, 200))]
+        if words and draw.random() < 0.5:
+            a = draw.randrange(len(words))
+            words[a:a] = words[max(0, a - 9) : a] * draw.randrange(1, 6)
+        documents.append(words)
+    assert runs_of(documents) == [
+        sorted(plain_runs(words), key=lambda r: (r[0], r[2])) for words in documents
+    ]
+
+
+@pytest.mark.parametrize("word", [b"a", b"b"])
+def test_one_word_many_times(word):
+    assert runs_of([[word] * 30000, [], [word] * 11]) == [[(0, 30000, 1)], [], []]
+
+
+def test_words_that_never_repeat_cubes():
+    words = [b"%d" % (bin(i).count("1") % 2) for i in range(4096)]
+    got = runs_of([words])[0]
+    assert got == sorted(plain_runs(words[:4096]), key=lambda r: (r[0], r[2]))
+
+
+def test_rows_of_all_kinds(spark):
+    rows = [
+        (1, None, "x"),
+        (2, "", "x"),
+        (3, "a b " * 6, "x"),
+        (3, "a b " * 6, "x"),
+        (4, " a \t b\x0bc\x1cd\n" * 9, "x"),
+        (5, "one two three four five six seven eight nine ten eleven twelve", "x"),
+        (6, "z " * 11, "x"),
+        (7, " ".join(str(i % 700) for i in range(5000)), "x"),
+    ]
+    rows += [(i, " ".join(str(j * i % 13) for j in range(i)), "x") for i in range(8, 80)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, runs string")
+    got = run_digests(collapse_runs(docs, planted)).collect()
+    key = lambda row: tuple(str(v) for v in row)
+    assert sorted(map(tuple, got), key=key) == sorted(
+        (plain_row(*row[:2]) for row in rows), key=key
+    )
+    nobody = spark.createDataFrame([(None, "q " * 20)], "doc_id bigint, text string")
+    assert run_digests(collapse_runs(nobody, planted)).first().doc_id is None
+    assert run_digests(collapse_runs(docs.limit(0), planted)).count() == 0
+
+
+def test_test_table_against_plain(spark):
+    path = "/root/testdata/sf0.001/documents.parquet"
+    docs = spark.read.parquet(path)
+    got = {row.doc_id: tuple(row) for row in run_digests(collapse_runs(docs, planted)).collect()}
+    for row in docs.where("length(text) < 6000").collect():
+        assert got[row.doc_id] == plain_row(row.doc_id, row.text)
+
+
+def test_collapsed_text_and_spans(spark):
+    docs = spark.createDataFrame([(1, "x " + "la li lu " * 5 + "y")], "doc_id bigint, text string")
+    row = collapse_runs(docs).first()
+    assert (row.n_words, row.collapsed) == (17, "x la li lu y")
+    assert [tuple(run) for run in row.runs] == [(1, 15, 3)]

@@ -16,9 +16,12 @@ from tourney.llm import (
     licenses,
     minhash,
     mixing,
+    periodic,
     quantised,
+    spelling,
     suffixes,
     toxicity,
+    url_rules,
     warc,
 )
 from tourney.session import scratch_dir
@@ -84,6 +87,22 @@ def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = url_rules.rules_table(spark, url_rules.RULES)
+    return url_rules.judge_urls(_table(spark, sf_dir, "pages"), rules)
+
+
+def _spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    counts = spelling.word_counts(documents, rewrite=spelling.misspelled)
+    return spelling.spelling_variants(counts, ratio=10)
+
+
+def _periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    return periodic.run_digests(periodic.collapse_runs(documents, periodic.planted))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_mixing": _mixing,
@@ -96,6 +115,9 @@ def queries() -> dict[str, Query]:
         "op8_toxicity": _toxicity,
         "op9_chat": _chat,
         "op10_bpe": _bpe,
+        "op11_url_rules": _url_rules,
+        "op12_spelling": _spelling,
+        "op13_periodic": _periodic,
     }
 
 
@@ -104,4 +126,5 @@ def oracle_sql() -> dict[str, str]:
         "op1_mixing": mixing.ORACLE_SQL,
         "op5_licenses": licenses.ORACLE_SQL,
         "op9_chat": chat.ORACLE_SQL,
+        "op11_url_rules": url_rules.ORACLE_SQL,
     }
