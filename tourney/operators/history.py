@@ -3,17 +3,19 @@
 A plain ``Window.partitionBy(*MATCH).orderBy("tour")`` sorts each match in a single task, and one
 match may hold a third of all rounds. Here a match is cut into blocks of consecutive rounds. Each
 block gets one extra row in front that sums up everything before the block, so the same windows,
-evaluated per block, give the values they would give over the whole match.
+evaluated per block, give the values they would give over the whole match. The blocks themselves are
+put in order level by level (``blocks``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tourney.functions.rounds import COOPERATED, DEFECTED, OTHER_MOVE, move_code
+from tourney.operators.blocks import BLOCK, block_of, carried
 from tourney.schema import COOPERATE, DEFECT, MATCH
 
 # 2**17 = 131,072 consecutive order values per block: a few MB of rows, and blocks far outnumber
@@ -21,15 +23,9 @@ from tourney.schema import COOPERATE, DEFECT, MATCH
 # than the rounds.
 BLOCK_BITS = 17
 
-_BLOCK = "_block"
 _CARRIED = "_carried"
 
 
-def block_of(order: str, block_bits: int = BLOCK_BITS) -> Column:
-    """Number of the block a row belongs to; blocks follow each other in ``order``."""
-    return F.shiftright(F.col(order).cast("bigint"), block_bits)
-
-
 def over_history(
     rounds: DataFrame,
     *,
@@ -40,16 +36,17 @@ def over_history(
     order: str = "tour",
     carry_from: DataFrame | None = None,
     block_bits: int = BLOCK_BITS,
+    keys: Sequence[str] = MATCH,
 ) -> DataFrame:
-    """Add columns computed over each match in ``order``.
+    """Add columns computed over each match, or other sequence by ``keys``, in ``order``.
 
     ``moves`` maps an output to the move column whose value in the round before it takes;
     ``previous`` names an output for the order value of the round before; ``before`` and ``so_far``
     map outputs to the number columns they add up over all earlier rounds, without and with the
     round itself (NULL where there is nothing to add).
 
-    ``order`` is a whole number, unique and fairly dense within a match: a block is a range of it,
-    and the blocks of a match are put in order in one task. Sparse numbers, or rounds with many
+    ``order`` is a whole number, unique within a match: a block is a range of it. Sparse numbers make
+    small blocks, whose summaries are then nearly as many as the rounds; they, and rounds with many
     copies, can be replaced by positions (``place_in_order``). ``rounds`` is read twice, once for
     the block summaries, so it should be a stored table or a narrow view of one; ``carry_from``
     names a cheaper frame holding the same history, when there is one.
@@ -62,8 +59,10 @@ def over_history(
         raise ValueError(f"rounds lack {sorted(missing)}")
     in_blocks = _with_block(rounds, order, block_bits).withColumn(_CARRIED, F.lit(False))
     source = _with_block(rounds if carry_from is None else carry_from, order, block_bits)
-    carried = _carried_rows(source, order, last, total).withColumn(_CARRIED, F.lit(True))
-    window = Window.partitionBy(*MATCH, _BLOCK).orderBy(order)
+    ends = _block_ends(source, order, last, total, keys)
+    before_blocks = carried(ends, keys, [order, *last], total, block_bits)
+    before_blocks = before_blocks.withColumn(_CARRIED, F.lit(True))
+    window = Window.partitionBy(*keys, BLOCK).orderBy(order)
     earlier = window.rowsBetween(Window.unboundedPreceding, -1)
     upto = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     added = [F.lag(c).over(window).alias(name) for name, c in moves.items()]
@@ -72,7 +71,7 @@ def over_history(
     added += [F.sum(c).over(upto).alias(name) for name, c in so_far.items()]
     replaced = [c for c in rounds.columns if c not in {**before, **so_far, **moves}]
     return (
-        in_blocks.unionByName(carried, allowMissingColumns=True)
+        in_blocks.unionByName(before_blocks, allowMissingColumns=True)
         .select(*replaced, *added, _CARRIED)
         .where(~F.col(_CARRIED))
         .drop(_CARRIED)
@@ -80,27 +79,16 @@ def over_history(
 
 
 def _with_block(rounds: DataFrame, order: str, block_bits: int) -> DataFrame:
-    return rounds.withColumn(_BLOCK, block_of(order, block_bits))
+    return rounds.withColumn(BLOCK, block_of(order, block_bits))
 
 
-def _carried_rows(
-    source: DataFrame, order: str, last: list[str], total: list[str]
+def _block_ends(
+    source: DataFrame,
+    order: str,
+    last: list[str],
+    total: list[str],
+    keys: Sequence[str] = MATCH,
 ) -> DataFrame:
-    """One row per block but the first of a match: the last round before it and the totals so far."""
-    per_block = _block_ends(source, order, last, total)
-    in_order = Window.partitionBy(*MATCH).orderBy(_BLOCK)
-    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    followed = per_block.select(
-        *MATCH,
-        F.lead(_BLOCK).over(in_order).alias(_BLOCK),
-        order,
-        *last,
-        *[F.sum(c).over(so_far).alias(c) for c in total],
-    )
-    return followed.where(F.col(_BLOCK).isNotNull())
-
-
-def _block_ends(source: DataFrame, order: str, last: list[str], total: list[str]) -> DataFrame:
     """Per block its last order value, the moves there, and its totals.
 
     Moves are grouped by code, so rounds fold map-side in hash aggregates to at most 16 rows per
@@ -109,7 +97,7 @@ def _block_ends(source: DataFrame, order: str, last: list[str], total: list[str]
     """
     codes = [f"_code_{c}" for c in last]
     coded = source.withColumns({f"_code_{c}": move_code(c) for c in last})
-    folded = coded.groupBy(*MATCH, _BLOCK, *codes).agg(
+    folded = coded.groupBy(*keys, BLOCK, *codes).agg(
         F.max(order).alias(order), *[F.sum(c).alias(c) for c in total]
     )
     parts = folded.withColumn("_end", F.struct(order, *codes)).drop(order, *codes)
@@ -120,12 +108,12 @@ def _block_ends(source: DataFrame, order: str, last: list[str], total: list[str]
             other = other | (F.col(c).isNotNull() & ~F.col(c).isin(COOPERATE, DEFECT))
         texts = (
             source.where(other)
-            .groupBy(*MATCH, _BLOCK)
+            .groupBy(*keys, BLOCK)
             .agg(F.max_by(F.struct(*last), order).alias("_texts"))
         )
         parts = parts.unionByName(texts, allowMissingColumns=True)
     known = [F.first("_texts", ignorenulls=True).alias("_texts")] if last else []
-    ends = parts.groupBy(*MATCH, _BLOCK).agg(
+    ends = parts.groupBy(*keys, BLOCK).agg(
         F.max("_end").alias("_end"), *known, *[F.sum(c).alias(c) for c in total]
     )
     moves = [
@@ -135,4 +123,4 @@ def _block_ends(source: DataFrame, order: str, last: list[str], total: list[str]
         .alias(c)
         for c in last
     ]
-    return ends.select(*MATCH, _BLOCK, F.col(f"_end.{order}").alias(order), *moves, *total)
+    return ends.select(*keys, BLOCK, F.col(f"_end.{order}").alias(order), *moves, *total)

@@ -6,6 +6,8 @@ both sides; only those small totals are turned into one row per side.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,7 +21,9 @@ from tourney.functions.rounds import (
     rate_pct,
     winner,
 )
-from tourney.operators.history import BLOCK_BITS, block_of
+from tourney.operators.blocks import FAN_BITS, block_of, levels_above
+from tourney.operators.history import BLOCK_BITS
+from tourney.operators.ordering import rank_by_window
 from tourney.operators.sides import unpivot_sides
 from tourney.schema import GOLD, MATCH
 
@@ -54,19 +58,13 @@ def roll_up(partial: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     return rolled.withColumn("matchup_id", matchup_id())
 
 
-def rank_in_run(score: str) -> Column:
-    """Rank with gaps, highest first, unknown scores last.
-
-    Ranks the strategies of a run, one row each, not its rounds.
-    """
-    return (
-        F.rank()
-        .over(Window.partitionBy("run_id").orderBy(F.desc_nulls_last(score)))
-        .cast("bigint")
-    )
+def tournament_summary(match_totals: DataFrame) -> DataFrame:
+    ranked = rank_by_window(strategy_scores(match_totals), "run_id", "total_score", "ranking")
+    return ranked.select(*GOLD["gold_tournament_summary"].names)
 
 
-def tournament_summary(match_totals: DataFrame) -> DataFrame:
+def strategy_scores(match_totals: DataFrame) -> DataFrame:
+    """The leaderboard without ranks."""
     sides = unpivot_sides(
         match_totals,
         ["run_id", "matchup_id", "tours"],
@@ -98,8 +96,6 @@ def tournament_summary(match_totals: DataFrame) -> DataFrame:
             F.sum("exploitations").alias("total_exploitations"),
             F.count("matchup_id").alias("nb_matchups"),
         )
-        .withColumn("ranking", rank_in_run("total_score"))
-        .select(*GOLD["gold_tournament_summary"].names)
     )
 
 
@@ -146,66 +142,108 @@ def _answers(faced: Column, move: Column) -> dict[str, Column]:
     }
 
 
-def forgiveness_index(
+_SIDES = (("a", "b"), ("b", "a"))
+_COUNTS = [f"{name}_{side}" for name in ("answers", "betrayals", "forgiven") for side in "ab"]
+
+# What is kept of a stretch of rounds: its counts and its ends.
+SEGMENT = ("first_order", "last_order", "first_a", "first_b", "last_a", "last_b", *_COUNTS)
+
+
+def answers_in_blocks(
     rounds: DataFrame, order: str = "tour", block_bits: int = BLOCK_BITS
 ) -> DataFrame:
-    """Share of rounds right after an opponent's defection in which the strategy cooperates.
+    """One segment per match and block: counts of the answers within it, first and last moves.
 
-    The previous round is the previous recorded one, whatever its number. Rounds whose previous
-    opponent move is unknown do not count, and a strategy with no other rounds has no row.
-
-    Matches are cut into blocks of rounds, so that a long one is not sorted in one task; ``order``
-    should be fairly dense, as the blocks of a match are. Rounds are read and shuffled once: each
-    block is folded to its counts and its first and last moves, and the blocks of a match then supply
-    the pairs of rounds that span two blocks.
+    Rounds are read and shuffled once. The previous round is the previous recorded one, whatever its
+    number, so the pairs of rounds that span two segments are added when they are put together.
     """
     moves = rounds.select(
         *MATCH,
-        order,
         block_of(order, block_bits).alias("block"),
+        F.col(order).cast("bigint").alias("order"),
         move_code("choice_a").alias("move_a"),
         move_code("choice_b").alias("move_b"),
     )
-    within = Window.partitionBy(*MATCH, "block").orderBy(order)
+    within = Window.partitionBy(*MATCH, "block").orderBy("order")
     in_block = moves.select(
         *MATCH,
         "block",
+        "order",
         "move_a",
         "move_b",
         F.lag("move_a").over(within).alias("before_a"),
         F.lag("move_b").over(within).alias("before_b"),
         F.lead("move_a").over(within).isNull().alias("is_last"),
     )
-    sides = (("a", "b"), ("b", "a"))
-    blocks = in_block.groupBy(*MATCH, "block").agg(
-        *[
-            F.count_if(met).alias(f"{name}_{mine}")
-            for mine, theirs in sides
-            for name, met in _answers(F.col(f"before_{theirs}"), F.col(f"move_{mine}")).items()
-        ],
+    return in_block.groupBy(*MATCH, "block").agg(
+        F.min("order").alias("first_order"),
+        F.max("order").alias("last_order"),
         *[
             F.max(F.when(edge, F.col(f"move_{side}"))).alias(f"{name}_{side}")
             for name, edge in (("first", F.col("before_a").isNull()), ("last", F.col("is_last")))
             for side in "ab"
         ],
+        *[
+            F.count_if(met).alias(f"{name}_{mine}")
+            for mine, theirs in _SIDES
+            for name, met in _answers(F.col(f"before_{theirs}"), F.col(f"move_{mine}")).items()
+        ],
     )
-    across = Window.partitionBy(*MATCH).orderBy("block")
-    joined = blocks.select(
+
+
+def joined_segments(segments: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """One segment per ``keys`` of those that follow each other in ``order`` without overlap."""
+    across = Window.partitionBy(*keys).orderBy(order)
+    met = segments.select(
         "*",
         F.lag("last_a").over(across).alias("entered_a"),
         F.lag("last_b").over(across).alias("entered_b"),
+        F.lead("last_a").over(across).isNull().alias("is_last"),
     )
-    per_match = joined.groupBy(*MATCH).agg(
+    return met.groupBy(*keys).agg(
+        F.min("first_order").alias("first_order"),
+        F.max("last_order").alias("last_order"),
         *[
-            F.sum(F.col(f"{name}_{mine}") + flag(met)).alias(f"{name}_{mine}")
-            for mine, theirs in sides
-            for name, met in _answers(F.col(f"entered_{theirs}"), F.col(f"first_{mine}")).items()
-        ]
+            F.max(F.when(F.col("entered_a").isNull(), F.col(f"first_{s}"))).alias(f"first_{s}")
+            for s in "ab"
+        ],
+        *[F.max(F.when(F.col("is_last"), F.col(f"last_{s}"))).alias(f"last_{s}") for s in "ab"],
+        *[
+            F.sum(F.col(f"{name}_{mine}") + flag(found)).alias(f"{name}_{mine}")
+            for mine, theirs in _SIDES
+            for name, found in _answers(
+                F.col(f"entered_{theirs}"), F.col(f"first_{mine}")
+            ).items()
+        ],
     )
-    return _index_of(per_match)
 
 
-def _index_of(per_match: DataFrame) -> DataFrame:
+def answers_per_match(blocks: DataFrame, block_bits: int = BLOCK_BITS) -> DataFrame:
+    """The segments of each match put together, a range of blocks at a time."""
+    for _ in range(levels_above(block_bits)):
+        groups = blocks.withColumn("block_group", F.shiftright("block", FAN_BITS))
+        blocks = joined_segments(groups, (*MATCH, "block_group"), "block")
+        blocks = blocks.withColumnRenamed("block_group", "block")
+    return joined_segments(blocks, MATCH, "block")
+
+
+def forgiveness_index(
+    rounds: DataFrame, order: str = "tour", block_bits: int = BLOCK_BITS
+) -> DataFrame:
+    """Share of rounds right after an opponent's defection in which the strategy cooperates.
+
+    Rounds whose previous opponent move is unknown do not count, and a strategy with no other rounds
+    has no row. Matches are cut into blocks of rounds, so that a long one is not sorted in one task,
+    and the blocks are put together level by level.
+    """
+    blocks = answers_in_blocks(rounds, order, block_bits)
+    scores = forgiveness_scores(answers_per_match(blocks, block_bits))
+    ranked = rank_by_window(scores, "run_id", "forgiveness_index_pct", "forgiveness_rank")
+    return ranked.select(*GOLD["gold_forgiveness_index"].names)
+
+
+def forgiveness_scores(per_match: DataFrame) -> DataFrame:
+    """The index of every strategy without ranks."""
     sides = unpivot_sides(
         per_match,
         ["run_id"],
@@ -224,8 +262,6 @@ def _index_of(per_match: DataFrame) -> DataFrame:
             F.sum("forgiven").alias("total_forgiven"),
             rate_pct(F.sum("forgiven"), F.sum("betrayals")).alias("forgiveness_index_pct"),
         )
-        .withColumn("forgiveness_rank", rank_in_run("forgiveness_index_pct"))
-        .select(*GOLD["gold_forgiveness_index"].names)
     )
 
 

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tourney.functions.rounds import payoff
-from tourney.operators.history import BLOCK_BITS, block_of
+from tourney.operators.blocks import BLOCK, block_of, carried
+from tourney.operators.history import BLOCK_BITS
 from tourney.operators.sides import unpivot_sides
 from tourney.schema import CHOICES, GAINS, MATCH
 
@@ -79,18 +80,13 @@ def dq_report(
             *[F.sum(name).alias(name) for name in row_rules],
         )
     )
-    before = Window.partitionBy(*MATCH).orderBy("block")
-    earlier = before.rowsBetween(Window.unboundedPreceding, -1)
-    inherited = (
-        rows.groupBy(*keys)
-        .agg(F.max("tour").alias("last"), F.sum("gain_a").alias("a"), F.sum("gain_b").alias("b"))
-        .select(
-            *[F.col(c).alias(f"_{c}") for c in keys],
-            F.lag("last").over(before).alias("tour_before"),
-            F.coalesce(F.sum("a").over(earlier), F.lit(0)).alias("before_a"),
-            F.coalesce(F.sum("b").over(earlier), F.lit(0)).alias("before_b"),
-        )
+    ends = rows.groupBy(*MATCH, F.col("block").alias(BLOCK)).agg(
+        F.max("tour").alias("tour_before"),
+        F.sum("gain_a").alias("before_a"),
+        F.sum("gain_b").alias("before_b"),
     )
+    inherited = carried(ends, MATCH, ["tour_before"], ["before_a", "before_b"], block_bits)
+    inherited = inherited.withColumnsRenamed({BLOCK: "_block", **{c: f"_{c}" for c in MATCH}})
     same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys]
     walk = Window.partitionBy(*keys).orderBy("tour")
     so_far = walk.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -102,8 +98,8 @@ def dq_report(
     ).join(inherited, same, "left")
 
     running = F.lit(True)
-    for score, run, carried in (("cumul_a", "run_a", "before_a"), ("cumul_b", "run_b", "before_b")):
-        expected = F.coalesce(F.col(run), F.lit(0)) + F.col(carried)
+    for score, run, before in (("cumul_a", "run_a", "before_a"), ("cumul_b", "run_b", "before_b")):
+        expected = F.coalesce(F.col(run), F.lit(0)) + F.coalesce(F.col(before), F.lit(0))
         running &= (
             (F.col(f"{score}_known") == F.col("copies"))
             & (F.col(f"{score}_low") == expected)
