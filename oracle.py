@@ -161,10 +161,14 @@ replay AS (
            WHEN 'always_defect' THEN 'DEFECT'
            WHEN 'tit_for_tat' THEN coalesce(s.faced, 'COOPERATE')
            WHEN 'grim_trigger' THEN if(s.betrayals_before > 0, 'DEFECT', 'COOPERATE')
-           ELSE if(substr(md5(concat_ws('|', '0', s.run_id,
-                                       if(s.side = 'A', s.strategy, s.opponent),
-                                       if(s.side = 'A', s.opponent, s.strategy),
-                                       CAST(s.tour AS VARCHAR), lower(s.side))), 1, 1) < '8',
+           ELSE if(substr(md5(concat_ws('|', '0',
+             coalesce(length(s.run_id) || ':' || s.run_id, '-'),
+             coalesce(length(if(s.side = 'A', s.strategy, s.opponent)) || ':'
+                      || if(s.side = 'A', s.strategy, s.opponent), '-'),
+             coalesce(length(if(s.side = 'A', s.opponent, s.strategy)) || ':'
+                      || if(s.side = 'A', s.opponent, s.strategy), '-'),
+             coalesce(length(CAST(s.tour AS VARCHAR)) || ':' || s.tour, '-'),
+             lower(s.side))), 1, 1) < '8',
                    'COOPERATE', 'DEFECT')
          END AS policy_choice
   FROM seen s
@@ -172,6 +176,29 @@ replay AS (
                      ('random')) AS p(policy)
 )"""
 
+# Own policies: Pavlov repeats its move after like moves, so a replay of it defects after an odd number
+# of defections; tit for two tats defects after two of them in a row.
+OWN_POLICIES = """
+met AS (
+  SELECT *, coalesce(choice = 'DEFECT', false) AS mine, coalesce(opponent_choice = 'DEFECT', false)
+    AS theirs
+  FROM sides
+),
+own_replay AS (
+  SELECT s.run_id, s.strategy, s.choice, s.opponent_choice, p.policy,
+         if(CASE WHEN p.policy = 'tit_for_two_tats' THEN theirs_1 AND theirs_2
+                 WHEN p.sees = 'recorded' THEN mine_1 <> theirs_1
+                 ELSE betrayals % 2 = 1 END, 'DEFECT', 'COOPERATE') AS policy_choice,
+         p.sees
+  FROM (SELECT *, lag(theirs, 1, false) OVER m AS theirs_1, lag(theirs, 2, false) OVER m AS theirs_2,
+               lag(mine, 1, false) OVER m AS mine_1,
+               count(*) FILTER (theirs) OVER (m ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+                 AS betrayals
+        FROM met WINDOW m AS (PARTITION BY run_id, side, strategy, opponent ORDER BY tour)) s
+  CROSS JOIN (VALUES ('pavlov', 'recorded'), ('tit_for_two_tats', 'recorded'), ('pavlov', 'own'),
+                     ('tit_for_two_tats', 'own')) AS p(policy, sees)
+)"""
+
 # Faults that follow from the round number; the names of the clean and the faulty rounds are such
 # that what follows reads the faulty ones.
 FAULTS = """
@@ -203,6 +230,10 @@ _TO_FAULTY = (*_TO_SCORED, _renamed(BRONZE, "recorded"), FAULTS)
 _FAULTY_SIDES = (*_TO_FAULTY, SILVER, SIDES)
 _TO_BROKEN = (*_TO_FAULTY[:-1], _renamed(FAULTS, "faulty"), BROKEN)
 
+def _own(sees: str) -> str:
+    return f"replay AS (SELECT * FROM own_replay WHERE sees = '{sees}')"
+
+
 CONFORMANCE = """
 SELECT run_id, strategy, policy, count(*) AS rounds,
        count(*) FILTER (choice = policy_choice) AS conforming,
@@ -351,6 +382,10 @@ def oracle_sql() -> dict[str, str]:
         ),
         "policy_conformance": _with((*_TO_SIDES, REPLAY), CONFORMANCE),
         "counterfactual_replay": _with((*_TO_SIDES, REPLAY), COUNTERFACTUAL),
+        "own_policy_conformance": _with(
+            (*_TO_SIDES, OWN_POLICIES, _own("recorded")), CONFORMANCE
+        ),
+        "own_policy_replay": _with((*_TO_SIDES, OWN_POLICIES, _own("own")), COUNTERFACTUAL),
         "choice_normalizer": """
 SELECT conv_id, turn,
        CASE WHEN upper(text) LIKE '%QUE%' THEN 'que' ELSE 'COOPERATE' END AS choice
@@ -369,6 +404,10 @@ WINDOW m AS (PARTITION BY run_id, player_a, player_b ORDER BY tour ROWS UNBOUNDE
         "faulty_forgiveness": _with((*_FAULTY_SIDES, FORGIVENESS), "SELECT * FROM forgiveness"),
         "faulty_conformance": _with((*_FAULTY_SIDES, REPLAY), CONFORMANCE),
         "faulty_replay": _with((*_FAULTY_SIDES, REPLAY), COUNTERFACTUAL),
+        "faulty_own_conformance": _with(
+            (*_FAULTY_SIDES, OWN_POLICIES, _own("recorded")), CONFORMANCE
+        ),
+        "faulty_own_replay": _with((*_FAULTY_SIDES, OWN_POLICIES, _own("own")), COUNTERFACTUAL),
         "faulty_prompts": _with(_TO_FAULTY, PROMPTS),
         "faulty_dq_report": "WITH " + ",".join(_TO_BROKEN) + _quality(
             {

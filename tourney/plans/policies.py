@@ -1,19 +1,32 @@
 """What a policy would have played against the recorded opponent moves, and what it would have won.
 
-A policy sees only earlier rounds and the recorded opponent, so every one of them is a column
-expression over the match history.
+A policy sees only earlier rounds and the recorded opponent. The fixed ones are column expressions
+over the match history. Own policies are finite automata, given as data: ``own_policy_conformance``
+and ``own_policy_replay`` fold the rounds of each block to a table over their states.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tourney.functions.rounds import defected, flag, payoff, rate_pct
+from tourney.functions.rounds import (
+    COOPERATED,
+    DEFECTED,
+    defected,
+    flag,
+    move_code,
+    payoff,
+    rate_pct,
+)
+from tourney.operators import automata
+from tourney.operators.automata import Machine, run_machines
 from tourney.operators.history import BLOCK_BITS, over_history
-from tourney.schema import COOPERATE, DEFECT, MATCH
+from tourney.schema import COOPERATE, DEFECT, MATCH, PAYOFF
 
 HISTORY_POLICIES = ("always_cooperate", "always_defect", "tit_for_tat", "grim_trigger")
 REPLAY_POLICIES = (*HISTORY_POLICIES, "random")
@@ -22,9 +35,13 @@ SIDES = (("a", "b"), ("b", "a"))
 
 
 def seeded_move(seed: int, side: str) -> Column:
-    """Repeatable coin toss for one side of one round of one match."""
+    """Repeatable coin toss for one side of one round of one match.
+
+    Names go in with their lengths, and missing ones too, so that no two rounds share a toss.
+    """
     names = [F.col(c).cast("string") for c in (*MATCH, "tour")]
-    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *names, F.lit(side)))
+    told = [F.coalesce(F.concat(F.length(c), F.lit(":"), c), F.lit("-")) for c in names]
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *told, F.lit(side)))
     return F.when(F.substring(digest, 1, 1) < "8", COOPERATE).otherwise(DEFECT)
 
 
@@ -100,8 +117,12 @@ def policy_conformance(
             ],
         )
     )
+    return _conformance(per_match, HISTORY_POLICIES)
+
+
+def _conformance(per_match: DataFrame, names: Sequence[str]) -> DataFrame:
     return (
-        _per_strategy(per_match, HISTORY_POLICIES, {"conforming": "{policy}_{side}"})
+        _per_strategy(per_match, names, {"conforming": "{policy}_{side}"})
         .groupBy("run_id", "strategy", "policy")
         .agg(F.sum("rounds").alias("rounds"), F.sum("conforming").alias("conforming"))
         .withColumn("conformance_pct", rate_pct(F.col("conforming"), F.col("rounds")))
@@ -133,10 +154,14 @@ def counterfactual_replay(
             *[score.alias(name) for name, score in won.items()],
         )
     )
+    return _replay_scores(per_match, REPLAY_POLICIES)
+
+
+def _replay_scores(per_match: DataFrame, names: Sequence[str]) -> DataFrame:
     return (
         _per_strategy(
             per_match,
-            REPLAY_POLICIES,
+            names,
             {"scored": "scored", "recorded": "recorded_{side}", "replayed": "{policy}_{side}"},
         )
         .groupBy("run_id", "strategy", "policy")
@@ -148,3 +173,139 @@ def counterfactual_replay(
         )
         .withColumn("score_change", F.col("replayed_score") - F.col("recorded_score"))
     )
+
+
+@dataclass(frozen=True)
+class Policy:
+    """A policy as a finite automaton; it opens in the first state.
+
+    ``moves`` has the move it plays in each state, ``after`` for each state the next one by what was
+    played there, its own move first: ``CC``, ``CD``, ``DC``, ``DD``. A missing or unknown move counts
+    as ``C``.
+    """
+
+    name: str
+    moves: tuple[str, ...]
+    after: tuple[Mapping[str, int], ...]
+
+    def __post_init__(self) -> None:
+        states = range(len(self.moves))
+        if not states or len(self.after) != len(states):
+            raise ValueError(f"{self.name}: one row of next states for each move")
+        if set(self.moves) - {COOPERATE, DEFECT}:
+            raise ValueError(f"{self.name}: moves are {COOPERATE} and {DEFECT}")
+        for row in self.after:
+            if set(row) != set(_PLAYED) or any(to not in states for to in row.values()):
+                raise ValueError(f"{self.name}: a next state for each of {_PLAYED}")
+
+
+_PLAYED = ("CC", "CD", "DC", "DD")
+
+# Keeps its move after a good round, changes it after a bad one.
+PAVLOV = Policy(
+    "pavlov",
+    (COOPERATE, DEFECT),
+    ({"CC": 0, "CD": 1, "DC": 1, "DD": 0},) * 2,
+)
+# Defects once the opponent has defected twice in a row.
+TIT_FOR_TWO_TATS = Policy(
+    "tit_for_two_tats",
+    (COOPERATE, COOPERATE, DEFECT),
+    (
+        {"CC": 0, "CD": 1, "DC": 0, "DD": 1},
+        {"CC": 0, "CD": 2, "DC": 0, "DD": 2},
+        {"CC": 0, "CD": 2, "DC": 0, "DD": 2},
+    ),
+)
+OWN_POLICIES = (PAVLOV, TIT_FOR_TWO_TATS)
+
+
+def policies_from_json(text: str) -> list[Policy]:
+    """Policies written as ``[{"name": ..., "moves": [...], "after": [{"CC": 0, ...}, ...]}, ...]``."""
+    return [Policy(p["name"], tuple(p["moves"]), tuple(p["after"])) for p in json.loads(text)]
+
+
+# A letter is the pair of codes of both recorded moves.
+_CODES = range(4)
+_MOVE_OF = {COOPERATED: COOPERATE, DEFECTED: DEFECT}
+
+
+def _letter() -> Column:
+    return move_code("choice_a") * len(_CODES) + move_code("choice_b")
+
+
+def _machine(policy: Policy, side: str, replays: bool) -> Machine:
+    """The policy on one side. A replay goes on from its own moves, an audit from the recorded ones."""
+    after, worth = [], []
+    for a in _CODES:
+        for b in _CODES:
+            mine, theirs = (_MOVE_OF.get(c) for c in ((a, b) if side == "a" else (b, a)))
+            recorded = "D" if mine == DEFECT else "C"
+            faced = "D" if theirs == DEFECT else "C"
+            known = (mine, theirs) in PAYOFF
+            nexts, earned = [], []
+            for state, move in enumerate(policy.moves):
+                own = move[0] if replays else recorded
+                nexts.append(policy.after[state][own + faced])
+                won = PAYOFF[move, theirs] if known else 0
+                earned.append(won if replays else int(move == mine))
+            after.append(tuple(nexts))
+            worth.append(tuple(earned))
+    return Machine(0, tuple(after), tuple(worth))
+
+
+def _by_match(
+    rounds: DataFrame,
+    policies: Sequence[Policy],
+    replays: bool,
+    totals: Mapping[str, Column],
+    order: str,
+    block_bits: int,
+) -> DataFrame:
+    """Totals per match, and what every policy has earned on both sides, ``<policy>_<side>``."""
+    names = [policy.name for policy in policies]
+    if not names or len(set(names)) < len(names):
+        raise ValueError(f"policies need names of their own: {names}")
+    machines = [_machine(policy, side, replays) for policy in policies for side, _ in SIDES]
+    matches = run_machines(rounds, machines, _letter(), totals, order, block_bits)
+    columns = [f"{name}_{side}" for name in names for side, _ in SIDES]
+    return matches.select(
+        *MATCH, *totals, *[F.col("worth")[i].alias(c) for i, c in enumerate(columns)]
+    )
+
+
+def own_policy_conformance(
+    rounds: DataFrame,
+    policies: Sequence[Policy] = OWN_POLICIES,
+    order: str = "tour",
+    block_bits: int = automata.BLOCK_BITS,
+) -> DataFrame:
+    """``policy_conformance`` of policies given as automata, which see all recorded moves."""
+    totals = {"rounds": F.lit(1).cast("bigint")}
+    per_match = _by_match(rounds, policies, False, totals, order, block_bits)
+    names = [policy.name for policy in policies]
+    return _conformance(per_match, names)
+
+
+def own_policy_replay(
+    rounds: DataFrame,
+    policies: Sequence[Policy] = OWN_POLICIES,
+    order: str = "tour",
+    block_bits: int = automata.BLOCK_BITS,
+) -> DataFrame:
+    """``counterfactual_replay`` of policies given as automata, which see their own replayed moves."""
+    a, b = F.col("choice_a"), F.col("choice_b")
+    totals = {
+        "rounds": F.lit(1).cast("bigint"),
+        "scored": flag(payoff(a, b).isNotNull()).cast("bigint"),
+        "recorded_a": payoff(a, b),
+        "recorded_b": payoff(b, a),
+    }
+    per_match = _by_match(rounds, policies, True, totals, order, block_bits)
+    for policy in policies:
+        for side, _ in SIDES:
+            # Without a scored round there is no score, as there is no recorded one.
+            column = f"{policy.name}_{side}"
+            scored = F.when(F.col("scored") > 0, F.col(column))
+            per_match = per_match.withColumn(column, scored)
+    return _replay_scores(per_match, [policy.name for policy in policies])
