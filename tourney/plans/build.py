@@ -2,18 +2,45 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from itertools import islice
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tourney.functions.rounds import matchup_id
 from tourney.plans import gold
 from tourney.plans.silver import silver_rounds, silver_select
-from tourney.schema import BRONZE, COLUMN_COMMENTS, GOLD, SILVER, TABLE_COMMENTS, describe
-from tourney.session import scratch_table, store
-from tourney.sources.bronze import BATCH, bronze_in_order, read_bronze, runs_only
-from tourney.sources.files import partition_folder, path_name, remove_table
+from tourney.schema import (
+    BRONZE,
+    COLUMN_COMMENTS,
+    GOLD,
+    MATCH,
+    SILVER,
+    TABLE_COMMENTS,
+    describe,
+)
+from tourney.session import scratch_table
+from tourney.sources.bronze import (
+    BATCH,
+    bronze_in_order,
+    read_batch,
+    read_bronze,
+    rounds_in_blocks,
+    runs_of_batch,
+    runs_only,
+)
+from tourney.sources.files import partition_folder, path_name
+from tourney.sources.versions import (
+    Commit,
+    Draft,
+    join_versions,
+    last_commit,
+    manifest,
+    read_table,
+    remove_unused,
+)
 
 LAYERS = ("silver", "gold")
 
@@ -21,7 +48,7 @@ LAYERS = ("silver", "gold")
 def build(
     bronze: DataFrame, warehouse: str, select: Sequence[str] = LAYERS, order: str = "tour"
 ) -> None:
-    """Rebuild the selected layers: silver as a view, each gold table as one full write.
+    """Rebuild the selected layers: silver as a view, the gold tables in full, published at once.
 
     ``order`` names the column that orders the rounds of a match, ``position`` for a stored
     ``bronze_in_order``.
@@ -32,90 +59,217 @@ def build(
     if "silver" in select:
         describe(silver_rounds(bronze)).createOrReplaceTempView("silver_rounds")
     if "gold" in select:
-        _write_gold_tables(bronze, warehouse, order)
+        _publish(bronze, warehouse, order)
 
 
 def rebuild_runs(
-    spark: SparkSession, bronze: str, runs: DataFrame, warehouse: str, order: str = "tour"
+    spark: SparkSession,
+    bronze: str,
+    runs: DataFrame,
+    warehouse: str,
+    order: str = "tour",
+    applied: Mapping[str, int] | None = None,
 ) -> None:
     """Rebuild the gold rows of ``runs`` (a frame of ``run_id``) and leave other runs alone.
 
     ``order="position"`` numbers the rounds of the runs anew first, for runs with many copies of a
     round or very sparse tours. A run that has no rows in a table any more loses those it had.
     """
-    path = store(runs.select("run_id").distinct(), "named-runs")
-    named = spark.read.schema("run_id string").parquet(path)
-    try:
+    with scratch_table(runs.select("run_id").distinct(), "named-runs") as named:
         if order == "position":
             with scratch_table(bronze_in_order(spark, bronze, named), "in-order") as rounds:
-                _write_gold_tables(rounds, warehouse, order, named)
+                _publish(rounds, warehouse, order, named, applied)
         else:
             rounds = runs_only(read_bronze(spark, bronze), named)
-            _write_gold_tables(rounds, warehouse, order, named)
-    finally:
-        remove_table(spark, path)
+            _publish(rounds, warehouse, order, named, applied)
+
+
+# What the gold tables are made from, stored per run so that a later batch can be merged to it: the
+# totals of each match and hundred rounds, and the forgiveness segment of each match and block.
+TOTALS, ANSWERS = "_state/bucket_totals", "_state/block_answers"
+_WHOLE = {
+    TOTALS: ("tour_bucket", *gold.TOTAL_COLUMNS),
+    ANSWERS: ("block", *gold.SEGMENT),
+}
+STATE = {
+    table: T.StructType(
+        [T.StructField(name, T.StringType()) for name in MATCH]
+        + [T.StructField(name, T.LongType()) for name in columns]
+    )
+    for table, columns in _WHOLE.items()
+}
+STORED = {**GOLD, **STATE}
 
 
-def _write_gold_tables(
-    bronze: DataFrame, warehouse: str, order: str = "tour", named: DataFrame | None = None
+def _publish(
+    bronze: DataFrame,
+    warehouse: str,
+    order: str = "tour",
+    named: DataFrame | None = None,
+    applied: Mapping[str, int] | None = None,
 ) -> None:
-    """Leaderboard, matrix and drift share one stored table of per-bucket totals, so the rounds
-    are folded once for the three of them."""
+    """Write the state and the gold tables of the rounds, and switch readers to them at once."""
+    draft = Draft(bronze.sparkSession, warehouse)
     totals = gold.totals(silver_rounds(bronze), gold.PER_BUCKET)
-    with scratch_table(totals, "bucket-totals") as buckets:
-        matches = gold.roll_up(buckets, gold.PER_MATCH)
-        tables = {
-            "gold_tournament_summary": gold.tournament_summary(matches),
-            "gold_matchup_matrix": gold.matchup_matrix(matches),
-            "gold_behavioral_drift": gold.behavioral_drift(buckets),
-            "gold_forgiveness_index": gold.forgiveness_index(bronze, order),
-        }
-        for name, table in tables.items():
-            if named is None:
-                write_gold(table, warehouse, name)
-            else:
-                _replace_runs(table, warehouse, name, named)
-
-
-def _replace_runs(table: DataFrame, warehouse: str, name: str, named: DataFrame) -> None:
-    """Write the rows of the named runs; runs that are left without rows lose their folder."""
-    spark, path = table.sparkSession, f"{warehouse}/{name}"
-    with scratch_table(table, name) as rows:
-        write_gold(rows, warehouse, name, only_present_runs=True)
-        present = rows.select(F.col("run_id").alias("present")).distinct()
-        same = F.col("run_id").eqNullSafe(F.col("present"))
-        # One folder after the other; the list itself is never held.
-        for row in named.join(present, same, "left_anti").toLocalIterator():
-            remove_table(spark, f"{path}/{partition_folder(spark, 'run_id', row.run_id)}")
-
-
-def write_gold(
-    table: DataFrame, warehouse: str, name: str, only_present_runs: bool = False
+    # Positions are drawn anew each time, so segments by position take no later batch.
+    _publish_state(
+        draft, totals, gold.answers_in_blocks(bronze, order), order == "tour", named, applied
+    )
+
+
+def _publish_state(
+    draft: Draft,
+    totals: DataFrame,
+    answers: DataFrame,
+    mergeable: bool,
+    named: DataFrame | None,
+    applied: Mapping[str, int] | None,
+) -> None:
+    """Leaderboard, matrix and drift share the stored totals, so the rounds are folded once for the
+    three of them."""
+    buckets = draft.write(TOTALS, _typed(totals, STATE[TOTALS]), STATE[TOTALS])
+    blocks = draft.write(ANSWERS, _typed(answers, STATE[ANSWERS]), STATE[ANSWERS])
+    matches = gold.roll_up(buckets, gold.PER_MATCH)
+    matrix = gold.matchup_matrix(matches)
+    matrix = draft.write("gold_matchup_matrix", describe(matrix), GOLD["gold_matchup_matrix"])
+    drift = describe(gold.behavioral_drift(buckets.withColumn("matchup_id", matchup_id())))
+    draft.write("gold_behavioral_drift", drift, GOLD["gold_behavioral_drift"])
+    index = gold.forgiveness_scores(gold.answers_per_match(blocks))
+    for name, scores, ranked in (
+        ("gold_tournament_summary", gold.strategy_scores(matches), gold.spread_summary),
+        ("gold_forgiveness_index", index, gold.spread_index),
+    ):
+        with scratch_table(scores, "scores") as stored:
+            draft.write(name, describe(ranked(stored)), GOLD[name])
+    present = matrix.select("run_id", F.lit(mergeable).alias("mergeable"))
+    draft.publish(present, named, applied)
+
+
+def _typed(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+
+
+def add_batch(
+    spark: SparkSession,
+    bronze: str,
+    batch: str,
+    warehouse: str,
+    applied: Mapping[str, int] | None = None,
 ) -> None:
-    """Store a gold table by run; its read order is applied by readers, not stored."""
-    (
-        describe(table)
-        .hint("rebalance", "run_id")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic" if only_present_runs else "static")
-        .partitionBy("run_id")
-        .parquet(f"{warehouse}/{name}")
+    """Bring the gold rows of a stored batch's runs up to date from its own rounds.
+
+    Totals and segments of the batch are merged to the stored state of its runs. The rounds of other
+    batches are read only for runs that have no state to merge to, and for blocks that the batch
+    puts rounds into the middle of. Runs that the batch does not touch are left alone.
+
+    The batch must not be in the state already, nor repeat rounds that are.
+    """
+    draft = Draft(spark, warehouse)
+    with scratch_table(runs_of_batch(spark, bronze, batch), "batch-runs") as named:
+        known = manifest(spark, warehouse, draft.base).where("mergeable").select("run_id")
+        same = named["run_id"].eqNullSafe(known["run_id"])
+        with (
+            scratch_table(named.join(known, same, "left_semi"), "known-runs") as merged,
+            scratch_table(named.join(known, same, "left_anti"), "new-runs") as new,
+            scratch_table(_new_segments(spark, bronze, batch, merged), "new-segments") as added,
+        ):
+            old = {
+                table: runs_only(read_table(spark, warehouse, table, schema, draft.base), merged)
+                for table, schema in STATE.items()
+            }
+            own = runs_only(read_batch(spark, bronze, batch), merged)
+            fresh = runs_only(read_bronze(spark, bronze), new)
+            totals = _typed(gold.totals(silver_rounds(own), gold.PER_BUCKET), STATE[TOTALS])
+            totals = gold.roll_up(old[TOTALS].unionByName(totals), gold.PER_BUCKET)
+            newly = _typed(gold.totals(silver_rounds(fresh), gold.PER_BUCKET), STATE[TOTALS])
+            totals = _typed(totals, STATE[TOTALS]).unionByName(newly)
+            with scratch_table(_crossed(old[ANSWERS], added), "crossed-blocks") as crossed:
+                answers = _merged_segments(old[ANSWERS], added, crossed).unionByName(
+                    _typed(gold.answers_in_blocks(fresh), STATE[ANSWERS])
+                )
+                if not crossed.isEmpty():
+                    rounds = rounds_in_blocks(spark, bronze, crossed)
+                    again = _typed(gold.answers_in_blocks(rounds), STATE[ANSWERS])
+                    answers = answers.unionByName(again)
+                _publish_state(draft, totals, answers, True, named, applied)
+
+
+def _new_segments(
+    spark: SparkSession, bronze: str, batch: str, runs: DataFrame
+) -> DataFrame:
+    own = runs_only(read_batch(spark, bronze, batch), runs)
+    return _typed(gold.answers_in_blocks(own), STATE[ANSWERS])
+
+
+_BLOCK_KEY = (*MATCH, "block")
+
+
+def _same_block(left: DataFrame, right: DataFrame) -> Column:
+    same = [left[c].eqNullSafe(right[c]) for c in _BLOCK_KEY]
+    return same[0] & same[1] & same[2] & same[3]
+
+
+def _crossed(old: DataFrame, added: DataFrame) -> DataFrame:
+    """The blocks in which rounds of both stand between each other, or without a number."""
+    met = _same_block(old, added) & F.coalesce(
+        (old["first_order"] <= added["last_order"]) & (added["first_order"] <= old["last_order"]),
+        F.lit(True),
     )
+    return old.join(added, met, "left_semi").select(*_BLOCK_KEY)
+
+
+def _merged_segments(old: DataFrame, added: DataFrame, crossed: DataFrame) -> DataFrame:
+    segments = old.unionByName(added)
+    segments = segments.join(crossed, _same_block(segments, crossed), "left_anti")
+    return gold.joined_segments(segments, _BLOCK_KEY, "first_order")
 
 
 def read_gold(spark: SparkSession, warehouse: str, name: str) -> DataFrame:
-    schema = GOLD[name]
-    return spark.read.schema(schema).parquet(f"{warehouse}/{name}").select(*schema.names)
+    """A gold table as last published; its read order is applied by readers, not stored."""
+    return read_table(spark, warehouse, name, GOLD[name])
+
+
+def tidy(spark: SparkSession, warehouse: str, hours: float = 168) -> int:
+    """Join the versions of all runs into one and remove those that are no longer in use.
+
+    Readers see one state throughout. Folders younger than ``hours`` stay.
+    """
+    join_versions(spark, warehouse, STORED)
+    return remove_unused(spark, warehouse, STORED, hours)
 
 
 def register_gold(spark: SparkSession, warehouse: str, database: str | None = None) -> None:
     """Put the stored gold tables, with their descriptions, into ``database`` (or the current one).
 
-    They are external tables: dropping one leaves the files. A table of the same name is replaced
-    only if it is external and of the same folder.
+    They are external tables of the last commit; register them again to show a later one. Dropping
+    one leaves the files. A table of the same name is replaced only if it is external and of the same
+    folder.
     """
+    commit = last_commit(spark, warehouse)
     for name, schema in GOLD.items():
         _register(spark, warehouse, name, schema, database)
+        _add_partitions(spark, warehouse, name, _named(database, name), commit)
+
+
+# Partitions named in one statement.
+_PARTITIONS = 500
+
+
+def _add_partitions(
+    spark: SparkSession, warehouse: str, name: str, table: str, commit: Commit
+) -> None:
+    listed = manifest(spark, warehouse, commit).select("run_id", "version")
+    runs = read_table(spark, warehouse, name, GOLD[name], commit).select("run_id").distinct()
+    same = listed["run_id"].eqNullSafe(runs["run_id"])
+    rows = listed.join(runs, same, "left_semi").toLocalIterator()
+    while chunk := list(islice(rows, _PARTITIONS)):
+        places = []
+        for row in chunk:
+            run = "null" if row.run_id is None else _quoted(row.run_id)
+            folder = partition_folder(spark, "run_id", row.run_id)
+            location = _quoted(f"{warehouse}/{name}/version={row.version}/{folder}")
+            places.append(f"PARTITION (run_id={run}) LOCATION {location}")
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {' '.join(places)}")
 
 
 def register_silver(spark: SparkSession, bronze: str, database: str | None = None) -> None:
@@ -127,6 +281,7 @@ def register_silver(spark: SparkSession, bronze: str, database: str | None = Non
     columns = T.StructType([*columns, BRONZE["run_id"], T.StructField(BATCH, T.StringType())])
     folder, _, table = bronze.rstrip("/").rpartition("/")
     _register(spark, folder, table, columns, database, "tournament_bronze", ("run_id", BATCH))
+    spark.catalog.recoverPartitions(_named(database, "tournament_bronze"))
     view, source = _named(database, "silver_rounds"), _named(database, "tournament_bronze")
     listed = ", ".join(
         f"{c} COMMENT {_quoted(COLUMN_COMMENTS.get(c, ''))}" for c in SILVER.names
@@ -161,7 +316,6 @@ def _register(
         f"CREATE TABLE {table} ({columns}) USING parquet PARTITIONED BY ({', '.join(partitions)}) "
         f"COMMENT {_quoted(TABLE_COMMENTS[name])} LOCATION {_quoted(location)}"
     )
-    spark.catalog.recoverPartitions(table)
 
 
 def _named(database: str | None, name: str) -> str:

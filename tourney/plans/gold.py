@@ -23,7 +23,7 @@ from tourney.functions.rounds import (
 )
 from tourney.operators.blocks import FAN_BITS, block_of, levels_above
 from tourney.operators.history import BLOCK_BITS
-from tourney.operators.ordering import rank_by_window
+from tourney.operators.ordering import rank_by_blocks, rank_by_window
 from tourney.operators.sides import unpivot_sides
 from tourney.schema import GOLD, MATCH
 
@@ -43,6 +43,7 @@ _SUMS = (
     "exploitation_by_b",
 )
 _FINALS = ("cumul_a", "cumul_b")
+TOTAL_COLUMNS = (*_SUMS, *_FINALS)
 
 
 def totals(silver: DataFrame, keys: tuple[str, ...]) -> DataFrame:
@@ -63,6 +64,20 @@ def tournament_summary(match_totals: DataFrame) -> DataFrame:
     return ranked.select(*GOLD["gold_tournament_summary"].names)
 
 
+def spread_summary(scores: DataFrame) -> DataFrame:
+    """The leaderboard from stored ``strategy_scores``, with no task that ranks a whole run."""
+    ranked = rank_by_blocks(scores, "run_id", "total_score", "ranking")
+    return ranked.select(*GOLD["gold_tournament_summary"].names)
+
+
+def spread_index(scores: DataFrame) -> DataFrame:
+    """The index from stored ``forgiveness_scores``; its rates have two decimals."""
+    ranked = rank_by_blocks(
+        scores, "run_id", "forgiveness_index_pct", "forgiveness_rank", scale=100
+    )
+    return ranked.select(*GOLD["gold_forgiveness_index"].names)
+
+
 def strategy_scores(match_totals: DataFrame) -> DataFrame:
     """The leaderboard without ranks."""
     sides = unpivot_sides(

@@ -9,8 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tourney.operators.blocks import block_of
+from tourney.operators.history import BLOCK_BITS
 from tourney.operators.ordering import file_row_columns, place_in_order
 from tourney.schema import BRONZE, MATCH, describe
+from tourney.sources.files import remove_table, table_exists
 
 # Partition column of the bronze table that tells apart what different loads have added to a run.
 BATCH = "batch"
@@ -78,6 +81,68 @@ def read_bronze(spark: SparkSession, path: str) -> DataFrame:
     return _stored(spark, path).select(*BRONZE.names)
 
 
+def read_batch(spark: SparkSession, path: str, batch: str) -> DataFrame:
+    """The rounds of one batch; reads its folders only."""
+    return _stored(spark, path).where(F.col(BATCH) == batch).select(*BRONZE.names)
+
+
+def has_batch(spark: SparkSession, path: str, batch: str) -> bool:
+    return table_exists(spark, path) and not read_batch(spark, path, batch).isEmpty()
+
+
+def rounds_of_runs(
+    spark: SparkSession, path: str, runs: DataFrame, without: str | None = None
+) -> DataFrame:
+    """Rounds of the named runs, of all batches but ``without``."""
+    rows = _stored(spark, path)
+    if without is not None:
+        rows = rows.where(F.col(BATCH) != without)
+    return runs_only(rows.select(*BRONZE.names), runs)
+
+
+def rounds_in_blocks(
+    spark: SparkSession, path: str, blocks: DataFrame, without: str | None = None
+) -> DataFrame:
+    """Rounds of stored blocks (match, block of tours), of all batches but ``without``.
+
+    Folders of other runs are pruned.
+    """
+    wanted = blocks.select(*[F.col(c).alias(f"_{c}") for c in (*MATCH, "block")])
+    rounds = rounds_of_runs(spark, path, blocks.select("run_id").distinct(), without)
+    same = block_of("tour", BLOCK_BITS).eqNullSafe(F.col("_block"))
+    for c in MATCH:
+        same &= F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return rounds.join(wanted, same, "left_semi")
+
+
+def _rejects(path: str) -> str:
+    return f"{path.rstrip('/')}_rejects"
+
+
+def write_rejects(rounds: DataFrame, path: str, batch: str) -> None:
+    """Store what a batch left out (rounds with ``reason`` and ``copies``), if anything."""
+    folder = f"{_rejects(path)}/{BATCH}={batch}"
+    if not rounds.isEmpty():
+        rounds.write.mode("overwrite").parquet(folder)
+    else:
+        remove_table(rounds.sparkSession, folder)
+
+
+def read_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """Rounds that were left out of the bronze table at ``path``, by batch."""
+    schema = T.StructType(
+        [
+            *BRONZE,
+            T.StructField("reason", T.StringType()),
+            T.StructField("copies", T.LongType()),
+            T.StructField(BATCH, T.StringType()),
+        ]
+    )
+    if not table_exists(spark, _rejects(path)):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(_rejects(path))
+
+
 def runs_of_batch(spark: SparkSession, path: str, batch: str) -> DataFrame:
     """The runs that a batch holds rounds of; reads its folders only."""
     return _stored(spark, path).where(F.col(BATCH) == batch).select("run_id").distinct()

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import time
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,6 +60,43 @@ def list_folders(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().toString() for status in file_system.listStatus(location)]
 
 
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    return [folder.rsplit("/", 1)[-1] for folder in list_folders(spark, path)]
+
+
+def age_hours(spark: SparkSession, path: str) -> float:
+    """Hours since the folder itself was last changed."""
+    file_system, location = _locate(spark, path)
+    modified = file_system.getFileStatus(location).getModificationTime()
+    return (time.time() * 1000 - modified) / 3_600_000
+
+
+def write_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file; False if there is one already, which stays as it is."""
+    file_system, location = _locate(spark, path)
+    try:
+        stream = file_system.create(location, False)
+    except Py4JJavaError as error:
+        if file_system.exists(location):
+            return False
+        raise error
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    return True
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file."""
+    file_system, location = _locate(spark, path)
+    stream = file_system.open(location)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def partition_folder(spark: SparkSession, column: str, value: str | None) -> str:
     """Name of the folder that holds one value of a partition column."""
     names = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
