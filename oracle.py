@@ -355,6 +355,16 @@ def oracle_sql() -> dict[str, str]:
         "stored_forgiveness_index": _with(
             (*_TO_SIDES, FORGIVENESS), "SELECT * FROM forgiveness ORDER BY forgiveness_rank"
         ),
+        "ingested_tournament_summary": _with((*_TO_SIDES, SUMMARY), "SELECT * FROM summary"),
+        "ingested_forgiveness_index": _with(
+            (*_TO_SIDES, FORGIVENESS), "SELECT * FROM forgiveness"
+        ),
+        "ingest_rejects": _with(
+            _TO_BRONZE,
+            "SELECT run_id, if(tour = 35, 'clashing', 'repeated') AS reason, count(*) AS rounds "
+            "FROM bronze WHERE tour BETWEEN 31 AND 40 GROUP BY ALL",
+        ),
+        "lasting_silver": _with(_TO_SILVER, "SELECT * FROM silver"),
         "q_final_ranking": _with(
             (*_TO_SIDES, SUMMARY),
             "SELECT strategy, total_score, cooperation_rate_pct, ranking "

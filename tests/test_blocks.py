@@ -43,7 +43,8 @@ def rounds_of(spark, seed):
 
 
 def test_number_of_levels():
-    assert [levels_above(bits) for bits in (63, 47, 46, 17, 6)] == [0, 0, 1, 2, 3]
+    assert [levels_above(bits) for bits in (50, 34, 33, 17, 6)] == [0, 0, 1, 1, 2]
+    assert [levels_above(17, bits) for bits in (14, 34, 35, 64)] == [0, 0, 1, 2]
 
 
 @pytest.mark.parametrize("block_bits", [1, 3, 6])

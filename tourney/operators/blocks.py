@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 # 2**17 = 131,072 blocks of one group: a few MB.
 FAN_BITS = 17
-# Order values are 64-bit numbers.
-ORDER_BITS = 64
+# Order values are expected to have so many bits; larger ones only make the last window longer.
+ORDER_BITS = 51
 
 BLOCK = "_block"
 # Level 0 are the blocks; an item of a higher level is a range of items of the level below.
@@ -30,9 +30,9 @@ def block_of(order: str, block_bits: int) -> Column:
     return F.shiftright(F.col(order).cast("bigint"), block_bits)
 
 
-def levels_above(block_bits: int) -> int:
+def levels_above(block_bits: int, order_bits: int | None = None) -> int:
     """How often blocks are grouped before those left of a sequence fit into one window."""
-    left, levels = ORDER_BITS - block_bits, 0
+    left, levels = (ORDER_BITS if order_bits is None else order_bits) - block_bits, 0
     while left > FAN_BITS:
         left, levels = left - FAN_BITS, levels + 1
     return levels
@@ -44,6 +44,7 @@ def carried(
     last: Sequence[str],
     total: Sequence[str],
     block_bits: int,
+    order_bits: int | None = None,
 ) -> DataFrame:
     """Per block but the first of a sequence: ``last`` of the block before it, ``total`` so far.
 
@@ -51,7 +52,7 @@ def carried(
     It is read once: every row adds to its item of each level, and what precedes the items is found
     from the highest level down, each item then standing in front of the items it consists of.
     """
-    top = levels_above(block_bits)
+    top = levels_above(block_bits, order_bits)
     levels = F.explode(F.sequence(F.lit(0), F.lit(top)))
     end = F.struct(F.coalesce(BLOCK, F.lit(-(1 << 63))).alias("at"), *last)
     items = (

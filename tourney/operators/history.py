@@ -37,6 +37,7 @@ def over_history(
     carry_from: DataFrame | None = None,
     block_bits: int = BLOCK_BITS,
     keys: Sequence[str] = MATCH,
+    order_bits: int | None = None,
 ) -> DataFrame:
     """Add columns computed over each match, or other sequence by ``keys``, in ``order``.
 
@@ -49,7 +50,8 @@ def over_history(
     small blocks, whose summaries are then nearly as many as the rounds; they, and rounds with many
     copies, can be replaced by positions (``place_in_order``). ``rounds`` is read twice, once for
     the block summaries, so it should be a stored table or a narrow view of one; ``carry_from``
-    names a cheaper frame holding the same history, when there is one.
+    names a cheaper frame holding the same history, when there is one. ``order_bits`` is the size that
+    order values are expected to have (``blocks``).
     """
     moves, before, so_far = dict(moves or {}), dict(before or {}), dict(so_far or {})
     last = list(dict.fromkeys(moves.values()))
@@ -60,7 +62,7 @@ def over_history(
     in_blocks = _with_block(rounds, order, block_bits).withColumn(_CARRIED, F.lit(False))
     source = _with_block(rounds if carry_from is None else carry_from, order, block_bits)
     ends = _block_ends(source, order, last, total, keys)
-    before_blocks = carried(ends, keys, [order, *last], total, block_bits)
+    before_blocks = carried(ends, keys, [order, *last], total, block_bits, order_bits)
     before_blocks = before_blocks.withColumn(_CARRIED, F.lit(True))
     window = Window.partitionBy(*keys, BLOCK).orderBy(order)
     earlier = window.rowsBetween(Window.unboundedPreceding, -1)

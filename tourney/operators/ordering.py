@@ -57,6 +57,7 @@ def rank_by_blocks(
     rank: str,
     scale: int = 1,
     block_bits: int = BLOCK_BITS,
+    order_bits: int | None = None,
 ) -> DataFrame:
     """The same ranks without a window over a whole group.
 
@@ -69,7 +70,12 @@ def rank_by_blocks(
     placed = rows.withColumn("_place", place)
     tied = placed.groupBy(group, "_place").agg(F.count(F.lit(1)).alias("_tied"))
     above = over_history(
-        tied, before={"_ahead": "_tied"}, order="_place", block_bits=block_bits, keys=(group,)
+        tied,
+        before={"_ahead": "_tied"},
+        order="_place",
+        block_bits=block_bits,
+        keys=(group,),
+        order_bits=order_bits,
     )
     above = above.select(F.col(group).alias("_of"), F.col("_place").alias("_at"), "_ahead")
     same = F.col(group).eqNullSafe(F.col("_of")) & (F.col("_place") == F.col("_at"))

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from itertools import islice
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -127,24 +129,46 @@ def _publish_state(
 ) -> None:
     """Leaderboard, matrix and drift share the stored totals, so the rounds are folded once for the
     three of them."""
-    buckets = draft.write(TOTALS, _typed(totals, STATE[TOTALS]), STATE[TOTALS])
-    blocks = draft.write(ANSWERS, _typed(answers, STATE[ANSWERS]), STATE[ANSWERS])
+    spark = draft.spark
+    buckets, blocks = _at_once(
+        spark,
+        lambda: draft.write(TOTALS, _typed(totals, STATE[TOTALS]), STATE[TOTALS]),
+        lambda: draft.write(ANSWERS, _typed(answers, STATE[ANSWERS]), STATE[ANSWERS]),
+    )
     matches = gold.roll_up(buckets, gold.PER_MATCH)
-    matrix = gold.matchup_matrix(matches)
-    matrix = draft.write("gold_matchup_matrix", describe(matrix), GOLD["gold_matchup_matrix"])
-    drift = describe(gold.behavioral_drift(buckets.withColumn("matchup_id", matchup_id())))
-    draft.write("gold_behavioral_drift", drift, GOLD["gold_behavioral_drift"])
+    per_bucket = buckets.withColumn("matchup_id", matchup_id())
     index = gold.forgiveness_scores(gold.answers_per_match(blocks))
-    for name, scores, ranked in (
-        ("gold_tournament_summary", gold.strategy_scores(matches), gold.spread_summary),
-        ("gold_forgiveness_index", index, gold.spread_index),
-    ):
-        with scratch_table(scores, "scores") as stored:
-            draft.write(name, describe(ranked(stored)), GOLD[name])
+    matrix, *_ = _at_once(
+        spark,
+        lambda: _write_gold(draft, "gold_matchup_matrix", gold.matchup_matrix(matches)),
+        lambda: _write_gold(draft, "gold_behavioral_drift", gold.behavioral_drift(per_bucket)),
+        lambda: _write_ranked(
+            draft, "gold_tournament_summary", gold.strategy_scores(matches), gold.spread_summary
+        ),
+        lambda: _write_ranked(draft, "gold_forgiveness_index", index, gold.spread_index),
+    )
     present = matrix.select("run_id", F.lit(mergeable).alias("mergeable"))
     draft.publish(present, named, applied)
 
 
+def _at_once(spark: SparkSession, *jobs: Callable[[], DataFrame]) -> list[DataFrame]:
+    """The results of independent jobs, which share the cluster instead of waiting for each other."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        started = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
+        return [job.result() for job in started]
+
+
+def _write_gold(draft: Draft, name: str, rows: DataFrame) -> DataFrame:
+    return draft.write(name, describe(rows), GOLD[name])
+
+
+def _write_ranked(
+    draft: Draft, name: str, scores: DataFrame, ranked: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    with scratch_table(scores, "scores") as stored:
+        return _write_gold(draft, name, ranked(stored))
+
+
 def _typed(rows: DataFrame, schema: T.StructType) -> DataFrame:
     return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
 

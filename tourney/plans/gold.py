@@ -73,7 +73,7 @@ def spread_summary(scores: DataFrame) -> DataFrame:
 def spread_index(scores: DataFrame) -> DataFrame:
     """The index from stored ``forgiveness_scores``; its rates have two decimals."""
     ranked = rank_by_blocks(
-        scores, "run_id", "forgiveness_index_pct", "forgiveness_rank", scale=100
+        scores, "run_id", "forgiveness_index_pct", "forgiveness_rank", scale=100, order_bits=14
     )
     return ranked.select(*GOLD["gold_forgiveness_index"].names)
 

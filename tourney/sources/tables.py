@@ -16,9 +16,9 @@ from tourney.operators.history import BLOCK_BITS, over_history
 from tourney.operators.ordering import POSITION, file_row_columns, place_in_order
 from tourney.operators.scoring import add_gains
 from tourney.schema import BRONZE, COOPERATE, DEFECT, MATCH
-from tourney.plans.build import build, read_gold
+from tourney.plans.build import build, read_gold, register_silver
 from tourney.session import scratch_dir, scratch_table
-from tourney.sources.bronze import append_bronze, read_bronze
+from tourney.sources.bronze import append_bronze, read_bronze, read_rejects
 from tourney.sources.files import (
     broadcast_if_small,
     list_folders,
@@ -27,6 +27,7 @@ from tourney.sources.files import (
     table_exists,
     table_version,
 )
+from tourney.streaming.ingest import ingest_new_runs
 
 # Order of the rounds of a match. The file row at the end only places exact copies of a line item,
 # which would otherwise be one unsplittable key.
@@ -155,12 +156,13 @@ def stored_once(
     return path
 
 
+def _stored_bronze(spark: SparkSession, sf_dir: str) -> str:
+    return stored_once(spark, sf_dir, "bronze", lambda path: build_rounds(spark, sf_dir, path))
+
+
 def stored_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The bronze table of ``sf_dir``, the stored input of every model."""
-    path = stored_once(
-        spark, sf_dir, "bronze", lambda path: build_rounds(spark, sf_dir, path)
-    )
-    return read_bronze(spark, path)
+    return read_bronze(spark, _stored_bronze(spark, sf_dir))
 
 
 def stored_gold(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -172,6 +174,47 @@ def stored_gold(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_gold(spark, stored_once(spark, sf_dir, "gold", write), name)
 
 
+def delivered_rounds(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rounds as two deliveries: the second repeats some rounds of the first, one with another
+    move."""
+    tour = F.col("tour")
+    other = F.when(tour == 35, "MAYBE").otherwise(F.col("choice_a"))
+    return bronze.where(tour <= 40), bronze.where(tour > 30).withColumn("choice_a", other)
+
+
+def _ingested(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of a bronze table and a warehouse that have picked up both deliveries."""
+
+    def write(path: str) -> None:
+        for number, rounds in enumerate(delivered_rounds(stored_rounds(spark, sf_dir))):
+            rounds.write.parquet(f"{path}/landing/delivery-{number}.parquet")
+            ingest_new_runs(
+                spark, f"{path}/landing", f"{path}/bronze", f"{path}/gold", f"{path}/checkpoint"
+            ).awaitTermination()
+
+    return stored_once(spark, sf_dir, "ingested", write)
+
+
+def ingested_gold(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A gold table that two deliveries, picked up one after the other, have brought up to date."""
+    return read_gold(spark, f"{_ingested(spark, sf_dir)}/gold", name)
+
+
+def ingest_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many rounds of each run the second delivery repeated, by reason."""
+    rejects = read_rejects(spark, f"{_ingested(spark, sf_dir)}/bronze")
+    return rejects.groupBy("run_id", "reason").agg(F.sum("copies").alias("rounds"))
+
+
+def lasting_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The silver view in the catalog over the stored rounds, read by name."""
+    path = _stored_bronze(spark, sf_dir)
+    database = f"tourney_{hashlib.sha256(path.encode()).hexdigest()[:16]}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    register_silver(spark, path, database)
+    return spark.table(f"{database}.silver_rounds")
+
+
 def faulty_rounds(bronze: DataFrame) -> DataFrame:
     """Rounds with faults that follow from the round number: missing and unknown moves, gaps.
 
