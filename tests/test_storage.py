@@ -59,6 +59,31 @@ def test_run_files(spark, bronze_of, tmp_path):
     assert comments["tour"].startswith("Counts the rounds of a match")
 
 
+def test_landing_files_are_chosen_by_name(spark, bronze_of, tmp_path):
+    days = [datetime(2025, 3, day, tzinfo=timezone.utc) for day in (1, 2, 3)]
+    rounds = bronze_of(("?", "x", "y", ["CD", "CC"]))
+    paths = [
+        store.write_run(rounds, str(tmp_path), run, day)
+        for run, day in zip(("aaaa0001", "bbbb0002", "aaaa0001"), days)
+    ]
+
+    def found(**limits):
+        rows = store.read_landing(spark, str(tmp_path), **limits).collect()
+        return sorted({r.run_id for r in rows}), len(rows)
+
+    assert found() == (["aaaa0001", "bbbb0002"], 6)
+    # From here on, opening the file in the middle fails.
+    for file in Path(paths[1]).glob("*.parquet"):
+        file.write_bytes(b"spoiled")
+        (file.parent / f".{file.name}.crc").unlink()
+    assert found(run_id="aaaa0001") == (["aaaa0001"], 4)
+    assert found(until=days[0]) == (["aaaa0001"], 2)
+    assert found(since=days[2], until=days[2]) == (["aaaa0001"], 2)
+    assert found(run_id="cccc0003") == ([], 0)
+    with pytest.raises(Exception, match="spoiled|PARQUET|parquet"):
+        found(since=days[1])
+
+
 def test_build_writes_every_gold_table(spark, bronze_of, tmp_path):
     warehouse = str(tmp_path / "gold")
     bronze = bronze_of(*FULL_MATCHES, ("0042", "x", "x", ["CD", "DD"]))

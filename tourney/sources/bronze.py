@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from datetime import datetime, timezone
 
@@ -26,8 +27,11 @@ def new_run_id() -> str:
 
 def run_file_name(run_id: str, when: datetime | None = None) -> str:
     """``tournament_<UTC stamp>_<run id>.parquet``."""
-    moment = when or datetime.now(timezone.utc)
-    return f"tournament_{moment.strftime('%Y%m%d_%H%M%S')}_{run_id}.parquet"
+    return f"tournament_{_stamp(when or datetime.now(timezone.utc))}_{run_id}.parquet"
+
+
+def _stamp(when: datetime) -> str:
+    return when.strftime("%Y%m%d_%H%M%S")
 
 
 def stamp_run(rounds: DataFrame, run_id: str) -> DataFrame:
@@ -163,9 +167,34 @@ def runs_only(bronze: DataFrame, runs: DataFrame) -> DataFrame:
     return named.unionByName(without.drop("wanted"))
 
 
-def read_landing(spark: SparkSession, landing: str) -> DataFrame:
-    """All run files of a landing folder, without loading them into the bronze table first."""
-    return spark.read.schema(BRONZE).option("recursiveFileLookup", "true").parquet(landing)
+_RUN_FILE = r"/tournament_([0-9]{8}_[0-9]{6})_([^/]*)\.parquet(?:/|$)"
+
+
+def read_landing(
+    spark: SparkSession,
+    landing: str,
+    run_id: str | None = None,
+    since: datetime | None = None,
+    until: datetime | None = None,
+) -> DataFrame:
+    """Run files of a landing folder, without loading them into the bronze table first.
+
+    Files of other runs, or written before ``since`` or after ``until`` by the stamp in their names,
+    are not opened. Files named otherwise are read only without such limits.
+    """
+    rounds = spark.read.schema(BRONZE).option("recursiveFileLookup", "true").parquet(landing)
+    path = F.col("_metadata.file_path")
+    stamp = F.regexp_extract(path, _RUN_FILE, 1)
+    if run_id is not None:
+        # Paths spell other characters their own way; such runs are found by their rows.
+        if re.fullmatch(r"[A-Za-z0-9_-]+", run_id):
+            rounds = rounds.where(F.regexp_extract(path, _RUN_FILE, 2) == run_id)
+        rounds = rounds.where(F.col("run_id") == run_id)
+    if since is not None:
+        rounds = rounds.where(stamp >= _stamp(since))
+    if until is not None:
+        rounds = rounds.where((stamp != "") & (stamp <= _stamp(until)))
+    return rounds.select(*BRONZE.names)
 
 
 def bronze_in_order(
