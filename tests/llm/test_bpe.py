@@ -69,3 +69,18 @@ def test_large_vocabulary_files_are_refused(tmp_path, monkeypatch):
 
 def test_empty_table(spark):
     assert bpe.round_trip(frame(spark).limit(0), PATH).count() == 0
+
+
+def test_every_code_point(library):
+    """Between letters, so that its class and its lower case both show."""
+    own = bpe.load_bpe(PATH)
+    points = [p for p in range(0x110000) if not 0xD800 <= p <= 0xDFFF]
+    differing = []
+    for start in range(0, len(points), 20_000):
+        texts = [f"a{chr(p)}B" for p in points[start : start + 20_000]]
+        for text, found in zip(
+            texts, library.encode_batch(texts, add_special_tokens=False), strict=True
+        ):
+            if own.encode(text) != found.ids:
+                differing.append(hex(ord(text[1])))
+    assert differing == []

@@ -14,6 +14,8 @@ import hashlib
 import heapq
 import json
 import os
+import re
+import sys
 import unicodedata
 from collections.abc import Iterator
 
@@ -23,6 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tourney.llm.tasks import giving_back, shipped
+
 # A vocabulary file may be broadcast up to this size.
 MAX_VOCABULARY_BYTES = 64 << 20
 # Words, and pieces between white space, kept with their ids per worker process; beyond that they
@@ -42,6 +46,66 @@ def byte_symbols() -> list[str]:
     return [symbols[b] for b in range(256)]
 
 
+# Letters and numbers that Unicode 16 added to version 15.1, and pairs of letters that it
+# and version 17 added (first capital, last capital, first small one).
+_ADDED_LETTERS = (
+    (0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D4A, 0x10D65),
+    (0x10D6F, 0x10D85), (0x10EC2, 0x10EC4), (0x11380, 0x11389), (0x1138B, 0x1138B),
+    (0x1138E, 0x1138E), (0x11390, 0x113B5), (0x113B7, 0x113B7), (0x113D1, 0x113D1),
+    (0x113D3, 0x113D3), (0x11BC0, 0x11BE0), (0x13460, 0x143FA), (0x16100, 0x1611D),
+    (0x16D40, 0x16D6C), (0x18CFF, 0x18CFF), (0x1E5D0, 0x1E5ED), (0x1E5F0, 0x1E5F0),
+)
+_ADDED_NUMBERS = (
+    (0x10D40, 0x10D49), (0x116D0, 0x116E3), (0x11BF0, 0x11BF9), (0x16130, 0x16139),
+    (0x16D70, 0x16D79), (0x1CCF0, 0x1CCF9), (0x1E5F1, 0x1E5FA),
+)
+_ADDED_CAPITALS = (
+    (0x1C89, 0x1C89, 0x1C8A), (0xA7CB, 0xA7CB, 0x264), (0xA7CC, 0xA7CC, 0xA7CD),
+    (0xA7CE, 0xA7CE, 0xA7CF), (0xA7D2, 0xA7D2, 0xA7D3), (0xA7D4, 0xA7D4, 0xA7D5),
+    (0xA7DA, 0xA7DA, 0xA7DB), (0xA7DC, 0xA7DC, 0x19B), (0x10D50, 0x10D65, 0x10D70),
+    (0x16EA0, 0x16EB8, 0x16EBB),
+)
+
+
+def _before_unicode_16() -> bool:
+    """Whether this Python is older than the Unicode version of the library."""
+    return tuple(map(int, unicodedata.unidata_version.split("."))) < (16,)
+
+
+def plain_classes(pattern: str) -> str:
+    """The pattern with its classes of letters, numbers and white space written out.
+
+    They are those of Unicode 16, as the library has them. The ``regex`` package knows later letters.
+    """
+    space = regex.compile(r"\s")
+    members = {r"\p{L}": [], r"\p{N}": [], r"\s": []}
+    for point in range(sys.maxunicode + 1):
+        character = chr(point)
+        kind = rf"\p{{{unicodedata.category(character)[0]}}}"
+        if kind in members:
+            members[kind].append(point)
+        elif space.match(character):
+            members[r"\s"].append(point)
+    if _before_unicode_16():
+        for kind, added in ((r"\p{L}", _ADDED_LETTERS), (r"\p{N}", _ADDED_NUMBERS)):
+            more = {point for first, last in added for point in range(first, last + 1)}
+            members[kind] = sorted({*members[kind], *more})
+    for kind, points in members.items():
+        ranges, first = [], 0
+        for i in range(1, len(points) + 1):
+            if i == len(points) or points[i] != points[i - 1] + 1:
+                ranges.append(f"\\U{points[first]:08x}-\\U{points[i - 1]:08x}")
+                first = i
+        # Within brackets, the ranges join the others there.
+        written = "".join(ranges)
+        parts = pattern.split(kind)
+        pattern = parts[0]
+        for part in parts[1:]:
+            inside = pattern.rfind("[") > pattern.rfind("]")
+            pattern += (written if inside else f"[{written}]") + part
+    return pattern
+
+
 class Bpe:
     """A vocabulary with its merges, as the JSON file of a word-level byte BPE describes them.
 
@@ -75,7 +139,7 @@ class Bpe:
 
     def _prepare(self) -> None:
         """Compiled patterns and tables, made in the process that uses them."""
-        self._words = regex.compile(self.pattern)
+        self._words = re.compile(plain_classes(self.pattern))
         self._cuts = (
             regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))))
             if self.special
@@ -90,6 +154,12 @@ class Bpe:
         self._byte_ids = [self.vocab.get(s) for s in symbols]
         self._last_ids = [self.vocab.get(s + self.suffix) for s in symbols]
         self._odd = regex.compile(f"[{regex.escape(self.odd_spaces)}]") if self.odd_spaces else None
+        self._capitals = {
+            first + i: small + i
+            for first, last, small in _ADDED_CAPITALS
+            for i in range(last - first + 1)
+            if _before_unicode_16()
+        }
         self._prepared = True
 
     def normalise(self, text: str) -> str:
@@ -105,6 +175,8 @@ class Bpe:
             elif kind == "Lowercase":
                 # Lower case goes letter by letter: a capital sigma has one form everywhere.
                 text = text.replace("Σ", "σ").lower()
+                if self._capitals and not text.isascii():
+                    text = text.translate(self._capitals)
             else:
                 raise ValueError(f"unknown normalizer {kind}")
         return text
@@ -201,12 +273,13 @@ def encode_documents(
 ) -> DataFrame:
     """``docs`` with the token ids of each text in the column ``ids``, which replaces one of that
     name. A null or empty text has no tokens."""
-    shared = docs.sparkSession.sparkContext.broadcast(load_bpe(path))
+    opened = shipped(docs.sparkSession, load_bpe(path))
     plain = docs.drop(ids)
     schema = T.StructType([*plain.schema, T.StructField(ids, T.ArrayType(T.IntegerType()))])
 
+    @giving_back
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = shared.value
+        bpe = opened()
         for batch in batches:
             for part in _slices(batch):
                 found = [bpe.encode(t) for t in part.column(text).to_pylist()]
@@ -222,12 +295,13 @@ def decode_documents(
     docs: DataFrame, path: str, ids: str = "token_ids", text: str = "decoded"
 ) -> DataFrame:
     """``docs`` with the text of each array of ids in the column ``text``; null for a null array."""
-    shared = docs.sparkSession.sparkContext.broadcast(load_bpe(path))
+    opened = shipped(docs.sparkSession, load_bpe(path))
     plain = docs.drop(text)
     schema = T.StructType([*plain.schema, T.StructField(text, T.StringType())])
 
+    @giving_back
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = shared.value
+        bpe = opened()
         for batch in batches:
             for part in _slices(batch):
                 lists = part.column(ids).to_pylist()
@@ -245,7 +319,7 @@ def round_trip(docs: DataFrame, path: str, key: str = "doc_id", text: str = "tex
     Whole texts are encoded, whatever their length. Null and empty texts have no tokens and the
     digests of the empty string; rows with the same key stay separate rows.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(load_bpe(path))
+    opened = shipped(docs.sparkSession, load_bpe(path))
     kept = docs.select(F.col(key).alias(key), F.col(text).alias("text"))
     schema = T.StructType(
         [
@@ -256,8 +330,9 @@ def round_trip(docs: DataFrame, path: str, key: str = "doc_id", text: str = "tex
         ]
     )
 
+    @giving_back
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = shared.value
+        bpe = opened()
         for batch in batches:
             for part in _slices(batch):
                 rows = []

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from tourney.llm.graph import components
 from tourney.llm.scratch import cleaned, materialise
 from tourney.llm.shingles import shingle_sets, sliced, slices
+from tourney.llm.tasks import giving_back
 
 # 32 bands of 5: a pair of similarity 0.8 is missed by all of them once in 300,000 times.
 BANDS, ROWS = 32, 5
@@ -76,6 +77,7 @@ def band_keys(lowest: np.ndarray) -> np.ndarray:
 def signatures(docs: DataFrame, words: int) -> DataFrame:
     """Per row: size and digest of its shingle set, packed digits and band keys (null if empty)."""
 
+    @giving_back
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
             texts = batch.column("text").to_pylist()
@@ -127,6 +129,7 @@ def _sets_of(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
     Other texts under the id of that document have other nodes.
     """
 
+    @giving_back
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
             texts = batch.column("text").to_pylist()
@@ -160,6 +163,7 @@ def _confirm(pairs: DataFrame, reps: DataFrame, sets: DataFrame, percent: int) -
         sets.select(F.col("node").alias("hub"), F.col("hashes").alias("hub_hashes")), "hub"
     )
 
+    @giving_back
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept = []
@@ -247,6 +251,7 @@ def _within_chiefs(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame
         asking.select(*columns, "of", "by", F.lit(True).alias("asks"))
     )
 
+    @giving_back
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, name = [], None
         for batch in sliced(batches):

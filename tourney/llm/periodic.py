@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tourney.llm.shingles import sliced, slices
+from tourney.llm.tasks import giving_back
 
 # Shortest run, in words.
 LEAST_WORDS = 12
@@ -171,6 +172,7 @@ def collapse_runs(docs: DataFrame, rewrite: Rewrite | None = None) -> DataFrame:
     repeated rows each give their row, and further columns are left out.
     """
 
+    @giving_back
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
             keys = batch.column("doc_id").to_pylist()

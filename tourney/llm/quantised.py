@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from tourney.llm.graph import components, local_roots
 from tourney.llm.scratch import cleaned, materialise
 from tourney.llm.vectors import k_means, squared_distances, stacked, usable
+from tourney.llm.tasks import shipped
 
 # Bound of the sample that the quantisers are fitted on.
 TRAINING_VECTORS = 10_000
@@ -204,13 +205,13 @@ def _links_of(distinct: DataFrame, total: int, cosine: float) -> DataFrame:
     sample = distinct.orderBy(F.xxhash64("embedding"), "node").limit(TRAINING_VECTORS).toPandas()
     points = np.stack(sample["embedding"].to_numpy()).astype(np.float64)
     quantiser = fit(_units(points), total)
-    shared = distinct.sparkSession.sparkContext.broadcast(quantiser)
+    opened = shipped(distinct.sparkSession, quantiser)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            lists, codes, error = shared.value.encode(_units(stacked(batch.column("embedding"))))
+            lists, codes, error = opened().encode(_units(stacked(batch.column("embedding"))))
             packed = pa.array([c.tobytes() for c in codes], pa.binary())
             yield pa.RecordBatch.from_arrays(
                 [
@@ -256,7 +257,7 @@ def _links_of(distinct: DataFrame, total: int, cosine: float) -> DataFrame:
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Which blocks of members each query goes to."""
-        q, reach = shared.value, np.sqrt(2 - 2 * cosine)
+        q, reach = opened(), np.sqrt(2 - 2 * cosine)
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -289,7 +290,7 @@ def _links_of(distinct: DataFrame, total: int, cosine: float) -> DataFrame:
         asks = group["asks"].to_numpy()
         if asks.all() or not asks.any():
             return pd.DataFrame({"node": [], "links": [], "root": []}).astype("int64")
-        return _compare(shared.value, group[asks], group[~asks], cosine)
+        return _compare(opened(), group[asks], group[~asks], cosine)
 
     found = members.unionByName(queries).groupBy("block", "lane").applyInPandas(
         meet, "node bigint, links bigint, root bigint"

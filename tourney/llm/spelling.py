@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from tourney.llm.scratch import cleaned, materialise
 from tourney.llm.shingles import mix, powers, sliced, slices
+from tourney.llm.tasks import giving_back
 
 # Code points of a piece, and so levels of the search.
 STEPS = 4
@@ -66,6 +67,7 @@ def word_counts(
     shortest = least_length if rewrite is None else max(1, least_length - 1)
     runs = re.compile(f"[{_LETTERS}]{{{shortest},}}")
 
+    @giving_back
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: Counter[str] = Counter()
 
@@ -219,6 +221,7 @@ _TABLES = {
 def _table(words: DataFrame, name: str) -> DataFrame:
     make, schema = _TABLES[name]
 
+    @giving_back
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, texts = (batch.column(c).to_pylist() for c in ("word_id", "word"))

@@ -26,6 +26,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tourney.llm.tasks import giving_back, shipped
+
 # Bounds of the sample of labelled documents that the driver fits the model on: rows, and characters
 # of all of them together. Texts are taken whole or not at all.
 MAX_TRAINING_ROWS = 5_000
@@ -246,15 +248,16 @@ def score_documents(docs: DataFrame, model: SentenceModel, text: str = "text") -
 
     Whole texts are read. Null, empty and wordless texts score 0 and have no offending sentence.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    opened = shipped(docs.sparkSession, model)
     plain = docs.drop("score", "offending")
     spans = "array<struct<start:int,end:int,score:double>>"
     schema = T.StructType(
         [*plain.schema, *T.StructType.fromDDL(f"score double, offending {spans}")]
     )
 
+    @giving_back
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, found in _scored(batches, shared.value, text):
+        for part, found in _scored(batches, opened(), text):
             columns = [pa.array([f[0] for f in found], pa.float64())]
             columns.append(pa.array([f[1] for f in found], _OFFENDING))
             names = [*part.schema.names, "score", "offending"]
@@ -277,12 +280,17 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not rejected, with their columns unchanged."""
-    shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels))
+    opened = shipped(docs.sparkSession, train(docs, labels))
 
     @F.pandas_udf("boolean")
     def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        model = shared.value
-        for texts in batches:
-            yield pd.Series([model.score(text)[0] < THRESHOLD for text in texts], dtype=bool)
+        model = opened()
+
+        @giving_back
+        def kept(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            for texts in batches:
+                yield pd.Series([model.score(text)[0] < THRESHOLD for text in texts], dtype=bool)
+
+        yield from kept(batches)
 
     return docs.where(clean("text"))
