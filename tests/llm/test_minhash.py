@@ -58,7 +58,6 @@ def corpus(seed):
 
 @pytest.mark.parametrize(("seed", "words"), [(1, 4), (2, 5)])
 def test_components_of_brute_force(spark, monkeypatch, seed, words):
-    monkeypatch.setattr(minhash, "HUBS", 2)
     monkeypatch.setattr(minhash, "BLOCK", 3)
     rows = corpus(seed)
     frame = spark.createDataFrame([(*r, 1, "x") for r in rows], SCHEMA).repartition(4)
@@ -156,3 +155,39 @@ def test_two_texts_under_one_id(spark):
     found = minhash.near_duplicates(frame, words=5, percent=80).collect()
     got = sorted((r.doc_id, r.component_id, r.kept) for r in found)
     assert got == [(1, 1, True)] * 4 + [(10 + i, 1, False) for i in range(4)] + [(20, 20, True)]
+
+
+def alike(count):
+    """Texts of 400 words that share most of them, with less than 0.8 of their shingles in common."""
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(400)]
+    rows = []
+    for i in range(count):
+        words = list(base)
+        for _ in range(12):
+            words[rng.randrange(400)] = f"own{i}-{rng.random()}"
+        rows.append((i, " ".join(words)))
+    return rows
+
+
+def test_a_group_of_texts_alike_below_the_limit_makes_no_rows_of_pairs(spark, monkeypatch):
+    """No table has more rows than a text has bands, and those that meet its chief."""
+    stored = minhash.materialise
+    rows = {}
+
+    def counted(df, name):
+        table = stored(df, name)
+        rows[name] = rows.get(name, 0) + table.count()
+        return table
+
+    monkeypatch.setattr(minhash, "materialise", counted)
+    count = 240
+    frame = spark.createDataFrame(alike(count), "doc_id long, text string")
+    found = minhash.near_duplicates(frame, words=4, percent=80).collect()
+    assert {r.doc_id: r.component_id for r in found} == {
+        i: component for i, (_, component, _) in brute(alike(count), 4).items()
+    }
+    assert rows["groups"] > 2 * count
+    # All pairs would be 119 rows a text.
+    for name, made in rows.items():
+        assert made <= (minhash.BANDS + 1) * count, (name, made)

@@ -7,9 +7,9 @@ full sets decide.
 
 Texts with equal sets are one node. Within a bucket of candidates not everybody meets everybody: all
 members meet one hub first, and what it links is one component already. Only members that are
-still apart meet the others, in blocks, so a large group of near copies costs its size times those
-that are no copies of its hub, and no pair that a bucket suggests is left out that could join two
-components.
+still apart meet the others, in blocks whose full sets meet in one task, so a large group of near copies
+costs its size times those that are no copies of its hub, pairs are never rows of a table, and no pair
+that a bucket suggests is left out that could join two components.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tourney.llm.graph import components
@@ -35,10 +35,8 @@ PER_WORD = 64 // BITS
 WORDS_PER_SIGNATURE = HASHES // PER_WORD
 # Estimates this far below the threshold (six standard deviations) rule a pair out.
 MARGIN = 0.2
-# Nodes of one chief that meet in a task, on either side.
+# Nodes of one group that meet in a task, on either side.
 BLOCK = 512
-# Hubs per bucket in the last rounds.
-HUBS, MORE_HUBS = 64, 8
 
 _RANDOM = np.random.default_rng(7)
 _FACTOR = _RANDOM.integers(1, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -143,8 +141,7 @@ def _sets_of(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("bigint").alias("first_doc"), "text")
     rows = rows.join(nodes.select("first_doc"), "first_doc", "left_semi")
     sets = rows.mapInArrow(pick, "set_id binary, hashes binary")
-    sets = sets.select(F.xxhash64("set_id").alias("node"), "hashes")
-    return sets.join(nodes.select("node"), "node", "left_semi")
+    return sets.join(nodes.select("set_id", "node"), "set_id").select("node", "hashes")
 
 
 def _confirm(pairs: DataFrame, reps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -183,11 +180,12 @@ def _confirm(pairs: DataFrame, reps: DataFrame, sets: DataFrame, percent: int) -
 def similar_roots(docs: DataFrame, reps: DataFrame, words: int, percent: int) -> DataFrame:
     """``node`` and ``root`` of its component for every node with a confirmed link.
 
-    A node stands for one shingle set; its number is a digest of the set, not the id of a document.
+    A node stands for one shingle set, under a number of its own.
 
     First every member of a bucket meets the bucket's hub, its smallest node. Then members that are
     still apart from the rest meet the members that have the same chief, the smallest of all hubs a
-    node has met; copies of one text mostly share one. Last come pairs of different chiefs.
+    node has met; copies of one text mostly share one. Last, members that are still apart from their hub
+    meet all others of their bucket.
     """
     exploded = reps.select("node", F.explode("bands").alias("bucket"))
     hubs = exploded.groupBy("bucket").agg(
@@ -196,17 +194,32 @@ def similar_roots(docs: DataFrame, reps: DataFrame, words: int, percent: int) ->
     hubs = hubs.where("hub != largest").select("bucket", "hub")
     members = materialise(exploded.join(hubs, "bucket"), "buckets")
     chiefs = materialise(members.groupBy("node").agg(F.min("hub").alias("chief")), "chiefs")
-    named = chiefs.select("node").join(reps.select("node", "first_doc"), "node")
+    named = chiefs.select("node").join(reps.select("node", "first_doc", "set_id"), "node")
     sets = materialise(_sets_of(docs, named, words).dropDuplicates(["node"]), "sets")
     pairs = members.where("node != hub").select("node", "hub").distinct()
     found = materialise(_confirm(pairs, reps, sets, percent), "links")
 
     roots = materialise(components(found, "node", "hub"), "roots")
-    more = _within_chiefs(_rooted(chiefs, roots), sets, percent)
+    by_chief = _rooted(_rooted(chiefs, roots), roots, "chief", "hub_root")
+    by_chief = by_chief.select(F.col("chief").alias("group"), "node", "root", "hub_root")
+    more = _linked_in_groups(by_chief, sets, percent)
     roots = _joined(roots, materialise(more, "links"))
+
     members = members.join(chiefs, "node").where("node != hub")
-    members = materialise(members.select("bucket", "node", "hub", "chief"), "members")
-    return _across_chiefs(members, roots, reps, sets, percent)
+    by_bucket = _rooted(_rooted(members, roots), roots, "hub", "hub_root")
+    by_bucket = materialise(by_bucket.drop("hub"), "members")
+    mixed = by_bucket.groupBy("bucket").agg(
+        F.min("root").alias("low"),
+        F.max("root").alias("high"),
+        F.min("chief").alias("first"),
+        F.max("chief").alias("last"),
+    )
+    mixed = mixed.where("low != high AND first != last").select("bucket")
+    mixed = materialise(mixed, "mixed-buckets")
+    by_bucket = by_bucket.join(mixed, "bucket")
+    by_bucket = by_bucket.select(F.col("bucket").alias("group"), "node", "root", "hub_root")
+    more = _linked_in_groups(by_bucket, sets, percent)
+    return _joined(roots, materialise(more, "links"))
 
 
 def _joined(roots: DataFrame, more: DataFrame) -> DataFrame:
@@ -223,28 +236,29 @@ def _rooted(nodes: DataFrame, roots: DataFrame, node: str = "node", root: str =
     return joined.withColumn(root, F.coalesce("_root", node)).drop("_node", "_root")
 
 
-def _within_chiefs(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links that join those apart from their chief to nodes of the same chief.
+def _linked_in_groups(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links that join nodes of a group, of which at least one is apart from the group's hub.
 
+    ``nodes`` has ``group``, ``node``, the ``root`` of its component and that of its hub, ``hub_root``.
     A group is compared in blocks of at most ``BLOCK`` by ``BLOCK`` nodes, whose full sets meet in
     one task; what comes back is a forest of each block's links, never its pairs.
     """
-    nodes = _rooted(nodes, nodes.select("node", "root"), "chief", "chief_root")
-    nodes = nodes.withColumn("apart", F.col("root") != F.col("chief_root"))
-    sizes = nodes.groupBy(F.col("chief").alias("_chief")).agg(
+    nodes = nodes.withColumn("apart", F.col("root") != F.col("hub_root"))
+    sizes = nodes.groupBy(F.col("group").alias("_group")).agg(
         F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("all_blocks"),
         F.ceil(F.count_if("apart") / BLOCK).cast("int").alias("apart_blocks"),
     )
-    sizes = sizes.where("apart_blocks > 0")
+    # Stored, so that the join with a hot group can be split.
+    sizes = materialise(sizes.where("apart_blocks > 0"), "group-sizes")
     known = materialise(
-        nodes.join(sizes, F.col("chief") == F.col("_chief")).join(sets, "node"), "chief-groups"
+        nodes.join(sizes, F.col("group") == F.col("_group")).join(sets, "node"), "groups"
     )
     salt = F.xxhash64("node")
     every = {
         b: F.explode(F.sequence(F.lit(0), F.col(f"{b}_blocks") - 1)) for b in ("all", "apart")
     }
     own = {b: F.pmod(salt, F.col(f"{b}_blocks")).cast("int") for b in ("all", "apart")}
-    columns = ("chief", "node", "root", "hashes")
+    columns = ("group", "node", "root", "hashes")
     asked = known.withColumn("of", own["all"]).withColumn("by", every["apart"])
     asking = known.where("apart").withColumn("by", own["apart"]).withColumn("of", every["all"])
     rows = asked.select(*columns, "of", "by", F.lit(False).alias("asks")).unionByName(
@@ -256,7 +270,7 @@ def _within_chiefs(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame
         block, name = [], None
         for batch in sliced(batches):
             for row in batch.to_pylist():
-                key = (row["chief"], row["of"], row["by"])
+                key = (row["group"], row["of"], row["by"])
                 if key != name and block:
                     yield _block_links(block, percent)
                     block = []
@@ -265,7 +279,7 @@ def _within_chiefs(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame
         if block:
             yield _block_links(block, percent)
 
-    keys = ("chief", "of", "by")
+    keys = ("group", "of", "by")
     return (
         rows.repartition(*keys)
         .sortWithinPartitions(*keys)
@@ -302,51 +316,6 @@ def _block_links(block: list[dict], percent: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(found), pa.array(roots)], ["node", "hub"])
 
 
-def _across_chiefs(
-    members: DataFrame, roots: DataFrame, reps: DataFrame, sets: DataFrame, percent: int
-) -> DataFrame:
-    """The roots with the links between members of a bucket of different chiefs.
-
-    Only members apart from their hub become hubs in turn, a few per bucket and round, and only of
-    buckets with several components and several chiefs.
-    """
-    limit = HUBS
-    while True:
-        labelled = _rooted(_rooted(members, roots), roots, "hub", "hub_root")
-        labelled = materialise(labelled, "labelled-members")
-        mixed = labelled.groupBy("bucket").agg(
-            F.min("root").alias("low"),
-            F.max("root").alias("high"),
-            F.min("chief").alias("first"),
-            F.max("chief").alias("last"),
-        )
-        mixed = mixed.where("low != high AND first != last").select("bucket")
-        open_members = materialise(labelled.join(mixed, "bucket"), "open-members")
-        outside = open_members.where("root != hub_root").select(
-            "bucket",
-            F.col("node").alias("next"),
-            F.col("root").alias("next_root"),
-            F.col("chief").alias("next_chief"),
-        )
-        rank = F.row_number().over(Window.partitionBy("bucket").orderBy("next"))
-        chosen = outside.withColumn("rank", rank).where(F.col("rank") <= limit).drop("rank")
-        chosen = materialise(chosen, "hubs")
-        if chosen.isEmpty():
-            return roots
-        pairs = (
-            open_members.join(chosen, "bucket")
-            .where("root != next_root AND chief != next_chief")
-            .select(F.greatest("node", "next").alias("node"), F.least("node", "next").alias("hub"))
-            .distinct()
-        )
-        roots = _joined(roots, materialise(_confirm(pairs, reps, sets, percent), "links"))
-        # A hub has met its whole bucket and needs no other hub there.
-        met = chosen.select("bucket", F.col("next").alias("node"))
-        left = open_members.select("bucket", "node", "hub", "chief")
-        members = left.join(met, ["bucket", "node"], "left_anti")
-        limit *= MORE_HUBS
-
-
 @cleaned
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """Per row of ``docs`` (``doc_id``, ``text``): ``doc_id``, ``n_shingles``, ``component_id`` and
@@ -366,7 +335,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         F.first("digits").alias("digits"),
         F.first("bands").alias("bands"),
     )
-    reps = materialise(reps.withColumn("node", F.xxhash64("set_id")), "representatives")
+    # Numbers that no two sets share; they stay once stored.
+    reps = reps.withColumn("node", F.monotonically_increasing_id())
+    reps = materialise(reps, "representatives")
     roots = similar_roots(docs, reps, words, percent)
     linked = reps.select("node", "first_doc").join(roots, "node")
     first = linked.groupBy("root").agg(F.min("first_doc").alias("first_of_root"))
