@@ -1,4 +1,4 @@
-"""Command line: ``python -m tourney run|test|ingest`` (or through ``spark-submit``)."""
+"""Command line: ``python -m tourney run|test|ingest|tidy`` (or through ``spark-submit``)."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
-from tourney.plans.build import LAYERS, build, register_gold, register_silver
+from tourney.plans.build import LAYERS, build, register_gold, register_silver, tidy
 from tourney.plans.quality import dq_report
 from tourney.session import scratch_table
 from tourney.sources.bronze import bronze_in_order, read_bronze
@@ -33,6 +33,10 @@ def _arguments(args: Sequence[str] | None) -> argparse.Namespace:
     for name in ("--landing", "--bronze", "--warehouse", "--checkpoint"):
         ingest.add_argument(name, required=True)
     _add_order(ingest)
+    joined = commands.add_parser("tidy", help="join small batches and versions, remove unused ones")
+    joined.add_argument("--bronze")
+    joined.add_argument("--warehouse", required=True)
+    joined.add_argument("--hours", type=float, default=168, help="younger folders stay")
     return parser.parse_args(args)
 
 
@@ -70,6 +74,8 @@ def main(args: Sequence[str] | None = None) -> int:
         for row in rows:
             print(f"{row.rule}: {row.violations} of {row.checked}")
         return int(any(row.violations for row in rows))
+    elif given.command == "tidy":
+        tidy(spark, given.warehouse, given.hours, given.bronze)
     else:
         ingest_new_runs(
             spark, given.landing, given.bronze, given.warehouse, given.checkpoint, given.order

@@ -33,6 +33,7 @@ from tourney.sources.bronze import (
     runs_of_batch,
     runs_only,
 )
+from tourney.sources.compaction import join_batches, remove_joined, unused_folders
 from tourney.sources.files import partition_folder, path_name
 from tourney.sources.versions import (
     Commit,
@@ -253,13 +254,20 @@ def read_gold(spark: SparkSession, warehouse: str, name: str) -> DataFrame:
     return read_table(spark, warehouse, name, GOLD[name])
 
 
-def tidy(spark: SparkSession, warehouse: str, hours: float = 168) -> int:
+def tidy(
+    spark: SparkSession, warehouse: str, hours: float = 168, bronze: str | None = None
+) -> int:
     """Join the versions of all runs into one and remove those that are no longer in use.
 
-    Readers see one state throughout. Folders younger than ``hours`` stay.
+    Readers see one state throughout. Folders younger than ``hours`` stay. With ``bronze``, small
+    batches of its runs are joined as well, those that the tables of the warehouse hold.
     """
+    removed = 0
+    if bronze is not None:
+        join_batches(spark, bronze, hours, last_commit(spark, warehouse).applied)
+        removed = remove_joined(spark, bronze, hours)
     join_versions(spark, warehouse, STORED)
-    return remove_unused(spark, warehouse, STORED, hours)
+    return removed + remove_unused(spark, warehouse, STORED, hours)
 
 
 def register_gold(spark: SparkSession, warehouse: str, database: str | None = None) -> None:
@@ -299,13 +307,22 @@ def _add_partitions(
 def register_silver(spark: SparkSession, bronze: str, database: str | None = None) -> None:
     """A lasting view of the silver layer over the stored bronze table.
 
-    It stays in the catalog after the session ends, as far as the catalog itself does.
+    It stays in the catalog after the session ends, as far as the catalog itself does. Register it
+    again after batches have been added or joined.
     """
     columns = T.StructType([f for f in BRONZE if f.name != "run_id"])
     columns = T.StructType([*columns, BRONZE["run_id"], T.StructField(BATCH, T.StringType())])
     folder, _, table = bronze.rstrip("/").rpartition("/")
     _register(spark, folder, table, columns, database, "tournament_bronze", ("run_id", BATCH))
     spark.catalog.recoverPartitions(_named(database, "tournament_bronze"))
+    rows = unused_folders(spark, bronze).toLocalIterator()
+    while chunk := list(islice(rows, _PARTITIONS)):
+        places = []
+        for row in chunk:
+            run = _quoted(row.run_id) if row.run_id else "null"
+            places.append(f"PARTITION (run_id={run}, {BATCH}={_quoted(row[BATCH])})")
+        table = _named(database, "tournament_bronze")
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(places)}")
     view, source = _named(database, "silver_rounds"), _named(database, "tournament_bronze")
     listed = ", ".join(
         f"{c} COMMENT {_quoted(COLUMN_COMMENTS.get(c, ''))}" for c in SILVER.names

@@ -15,9 +15,7 @@ from tourney.operators.history import BLOCK_BITS
 from tourney.operators.ordering import file_row_columns, place_in_order
 from tourney.schema import BRONZE, MATCH, describe
 from tourney.sources.files import remove_table, table_exists
-
-# Partition column of the bronze table that tells apart what different loads have added to a run.
-BATCH = "batch"
+from tourney.sources.joined import BATCH, in_use, last_joins
 
 
 def new_run_id() -> str:
@@ -73,21 +71,21 @@ def write_by_run(rounds: DataFrame, path: str, batch: str) -> None:
     )
 
 
-def _stored(spark: SparkSession, path: str) -> DataFrame:
+def stored_rounds(spark: SparkSession, path: str) -> DataFrame:
+    """All runs with the batch of each round; folders that have been joined are pruned."""
     # The explicit schema keeps run ids such as ``1995`` strings.
-    return spark.read.schema(T.StructType([*BRONZE, T.StructField(BATCH, T.StringType())])).parquet(
-        path
-    )
+    schema = T.StructType([*BRONZE, T.StructField(BATCH, T.StringType())])
+    return spark.read.schema(schema).parquet(path).where(in_use(last_joins(spark, path)))
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
     """All runs of a bronze table."""
-    return _stored(spark, path).select(*BRONZE.names)
+    return stored_rounds(spark, path).select(*BRONZE.names)
 
 
 def read_batch(spark: SparkSession, path: str, batch: str) -> DataFrame:
     """The rounds of one batch; reads its folders only."""
-    return _stored(spark, path).where(F.col(BATCH) == batch).select(*BRONZE.names)
+    return stored_rounds(spark, path).where(F.col(BATCH) == batch).select(*BRONZE.names)
 
 
 def has_batch(spark: SparkSession, path: str, batch: str) -> bool:
@@ -98,7 +96,7 @@ def rounds_of_runs(
     spark: SparkSession, path: str, runs: DataFrame, without: str | None = None
 ) -> DataFrame:
     """Rounds of the named runs, of all batches but ``without``."""
-    rows = _stored(spark, path)
+    rows = stored_rounds(spark, path)
     if without is not None:
         rows = rows.where(F.col(BATCH) != without)
     return runs_only(rows.select(*BRONZE.names), runs)
@@ -149,7 +147,7 @@ def read_rejects(spark: SparkSession, path: str) -> DataFrame:
 
 def runs_of_batch(spark: SparkSession, path: str, batch: str) -> DataFrame:
     """The runs that a batch holds rounds of; reads its folders only."""
-    return _stored(spark, path).where(F.col(BATCH) == batch).select("run_id").distinct()
+    return stored_rounds(spark, path).where(F.col(BATCH) == batch).select("run_id").distinct()
 
 
 def runs_only(bronze: DataFrame, runs: DataFrame) -> DataFrame:
@@ -207,7 +205,7 @@ def bronze_in_order(
     stand among each other follows their place in the files. ``runs`` limits it to some runs.
     """
     by_file = file_row_columns()
-    rows = _stored(spark, path).select(*BRONZE.names, *[c.alias(n) for n, c in by_file.items()])
+    rows = stored_rounds(spark, path).select(*BRONZE.names, *[c.alias(n) for n, c in by_file.items()])
     return place_in_order(
         rows if runs is None else runs_only(rows, runs),
         order=(*MATCH, "tour", *by_file),

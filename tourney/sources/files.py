@@ -97,6 +97,18 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def last_entry(spark: SparkSession, folder: str) -> tuple[int, str]:
+    """Number and text of the last whole file of a log ``<folder>/<number>.json``; 0 without one."""
+    for name in sorted(file_names(spark, folder), reverse=True):
+        if not name.endswith(".json"):
+            continue
+        text = read_text(spark, f"{folder}/{name}")
+        # A file without its last line is still being written, so the one before it counts.
+        if text.endswith("\n"):
+            return int(name.removesuffix(".json")), text
+    return 0, ""
+
+
 def partition_folder(spark: SparkSession, column: str, value: str | None) -> str:
     """Name of the folder that holds one value of a partition column."""
     names = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from tourney.sources.files import (
     age_hours,
     file_names,
-    read_text,
+    last_entry,
     remove_table,
     table_exists,
     write_new,
@@ -48,15 +48,8 @@ class Commit:
 
 
 def last_commit(spark: SparkSession, warehouse: str) -> Commit:
-    folder = f"{warehouse}/{_COMMITS}"
-    for name in sorted(file_names(spark, folder), reverse=True):
-        if not name.endswith(".json"):
-            continue
-        text = read_text(spark, f"{folder}/{name}")
-        # A file without its last line is still being written, so the one before it counts.
-        if text.endswith("\n"):
-            return Commit(number=int(name.removesuffix(".json")), **json.loads(text))
-    return Commit()
+    number, text = last_entry(spark, f"{warehouse}/{_COMMITS}")
+    return Commit(number=number, **json.loads(text)) if number else Commit()
 
 
 def manifest(spark: SparkSession, warehouse: str, commit: Commit) -> DataFrame:
