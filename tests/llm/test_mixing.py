@@ -1,6 +1,8 @@
 import math
+import random
 from collections import defaultdict
 
+import duckdb
 import pytest
 
 from tourney.llm import mixing
@@ -19,10 +21,22 @@ def corpus():
     return [(*r, "?", 0) for r in rows]
 
 
-def rake(cells, targets, rounds):
+def margin_errors(share, targets):
+    """How far each value of each margin is from its target."""
+    errors = {}
+    for place, target in enumerate(targets):
+        reached = defaultdict(float)
+        for c, s in share.items():
+            reached[c[place]] += s
+        errors |= {(place, v): abs(reached[v] / t - 1) for v, t in target.items() if t}
+    return errors
+
+
+def rake(cells, targets):
     total = sum(cells.values())
     share = {c: t / total for c, t in cells.items()}
-    for _ in range(rounds):
+    before = math.inf
+    for done in range(1, mixing.MOST_ROUNDS + 1):
         for place, target in enumerate(targets):
             reached = defaultdict(float)
             for c, s in share.items():
@@ -31,6 +45,11 @@ def rake(cells, targets, rounds):
                 c: s * target[c[place]] / reached[c[place]] if reached[c[place]] else 0.0
                 for c, s in share.items()
             }
+        if done % mixing.ROUNDS_AT_ONCE == 0:
+            worst = max(margin_errors(share, targets).values())
+            if worst <= mixing.TOLERANCE or worst > mixing.STALLED * before:
+                break
+            before = worst
     return share
 
 
@@ -61,11 +80,12 @@ def test_raked_shares_and_probabilities(frame):
             for v, t in tokens.items()
         }
         targets.append({v: w / sum(weight.values()) for v, w in weight.items()})
-    share = rake(cells, targets, mixing.ROUNDS)
-    reached = defaultdict(float)
-    for c, s in share.items():
-        reached[c[1]] += s
-    assert all(math.isclose(reached[v], t, rel_tol=1e-3) for v, t in targets[1].items())
+    share = rake(cells, targets)
+    errors = margin_errors(share, targets)
+    for r in rows:
+        own = [errors.get((p, v), 0.0) for p, v in enumerate((r.source, r.lang, r.topic))]
+        assert math.isclose(r.margin_error, max(own), rel_tol=1e-6, abs_tol=1e-9)
+    assert max(e for (place, _), e in errors.items() if place == 2) < 1e-9  # scaled last
 
     probability = {(r.source, r.lang, r.topic): r.probability for r in rows if r.tokens}
     expected = sum(p * cells[c] for c, p in probability.items())
@@ -76,6 +96,79 @@ def test_raked_shares_and_probabilities(frame):
     assert all(r.probability == 1 and r.sampled for r in rows if not r.tokens)
 
 
+def sparse_cells(seed, filled):
+    """Cells of which only some exist, and margins that a weighting of them meets."""
+    draw = random.Random(seed)
+    cells = {(f"s{i}", f"l{i % 8}", f"t{i % 5}") for i in range(40)}
+    for s in range(40):
+        for lang in range(8):
+            for t in range(5):
+                if draw.random() < filled:
+                    cells.add((f"s{s}", f"l{lang}", f"t{t}"))
+    met = {c: draw.random() + 0.1 for c in sorted(cells)}
+    margins = []
+    for place, column in enumerate(("source", "lang", "topic")):
+        weights = defaultdict(float)
+        for c, w in met.items():
+            weights[c[place]] += w / sum(met.values())
+        margins.append(Margin(column, weights=weights))
+    rows = [(*c, draw.randrange(1, 100_000)) for c in sorted(cells)]
+    return rows, tuple(margins)
+
+
+CELLS = "source string, lang string, topic string, tokens long"
+
+
+def test_sparse_cells_meet_their_targets(spark):
+    rows, margins = sparse_cells(1, 0.04)
+    raked = mixing.rake(spark.createDataFrame(rows, CELLS), margins).collect()
+    share = {(r.source, r.lang, r.topic): r.share for r in raked}
+    targets = [m.weights for m in margins]
+    assert max(margin_errors(share, targets).values()) <= mixing.TOLERANCE
+    assert max(r.margin_error for r in raked) <= mixing.TOLERANCE
+    # Ten rounds would not do.
+    early = mixing.rake(spark.createDataFrame(rows, CELLS), margins, most_rounds=10)
+    assert max(r.margin_error for r in early.collect()) > 1e-3
+
+
+def test_targets_that_cannot_be_met_are_reported(spark):
+    rows = [("a", "en", "x", 50), ("b", "de", "x", 30), ("b", "fr", "x", 20)]
+    margins = (
+        Margin("source", weights={"a": 0.5, "b": 0.5}),
+        Margin("lang", weights={"en": 0.8, "de": 0.1, "fr": 0.1}),
+        Margin("topic"),
+    )
+    raked = mixing.rake(spark.createDataFrame(rows, CELLS), margins, most_rounds=20).collect()
+    assert math.isclose(sum(r.share for r in raked), 1, rel_tol=1e-9)
+    assert all(r.margin_error > 0.3 for r in raked)
+
+
+def test_exhausted_cells_hand_on_their_tokens_to_the_end(spark):
+    """Each step exhausts one cell more, for more steps than six."""
+    rows = [(f"s{i}", "en", "x", 2**i) for i in range(14)]
+    cells = spark.createDataFrame(rows, CELLS)
+    raked = cells.selectExpr("*", "pow(3, 13 - CAST(substr(source, 2) AS INT)) AS weight")
+    total = sum(3.0**i for i in range(14))
+    raked = raked.selectExpr("source", "lang", "topic", "tokens", f"weight / {total} AS share")
+    found = mixing.probabilities(cells, raked, 0.5).collect()
+    assert math.isclose(sum(r.tokens * r.probability for r in found), 0.5 * (2**14 - 1))
+
+
+def test_sql_states_the_same(spark, frame, tmp_path):
+    """Also with sources that have a single language and topic each."""
+    path = str(tmp_path / "documents.parquet")
+    extra = [(10_000 + i, "word " * (7 * i), f"l{i}", f"only{i}", "?", 0) for i in range(1, 9)]
+    docs = frame.unionByName(spark.createDataFrame(extra, SCHEMA)).drop("tokens", "probability")
+    docs.coalesce(1).write.parquet(path)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{path}/*.parquet'")
+    result = con.execute(mixing.ORACLE_SQL)
+    names = [d[0] for d in result.description]
+    expected = sorted(map(repr, (dict(zip(names, row)) for row in result.fetchall())))
+    found = mixing.mixture(docs).select(*names)
+    assert sorted(repr(r.asDict()) for r in found.collect()) == expected
+
+
 def test_drawn_tokens_follow_the_probabilities(frame):
     rows = mixing.mix(frame, token_share=0.5).collect()
     drawn = sum(r.tokens for r in rows if r.sampled)
