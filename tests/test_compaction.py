@@ -98,6 +98,7 @@ def test_large_folders_and_single_batches_stay(spark, tmp_path):
 def test_a_join_that_fails_changes_nothing(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "bronze")
     expected = write_batches(spark, path, 4)
+    joined.publish_joins(spark, path, joined.Joins(1))
     with monkeypatch.context() as patch:
         patch.setattr(joined, "write_new", lambda *_: False)
         with pytest.raises(Conflict):

@@ -75,7 +75,8 @@ def stored_rounds(spark: SparkSession, path: str) -> DataFrame:
     """All runs with the batch of each round; folders that have been joined are pruned."""
     # The explicit schema keeps run ids such as ``1995`` strings.
     schema = T.StructType([*BRONZE, T.StructField(BATCH, T.StringType())])
-    return spark.read.schema(schema).parquet(path).where(in_use(last_joins(spark, path)))
+    rows, joins = spark.read.schema(schema).parquet(path), last_joins(spark, path)
+    return rows.where(in_use(joins)) if joins.number else rows
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:

@@ -120,6 +120,10 @@ def join_batches(
     chosen = {folder for folders in by_run.values() if len(folders) > 1 for folder in folders}
     if not chosen:
         return 0
+    if not before.number:
+        # From the first entry on, readers tell apart what a join has not finished.
+        before = Joins(1)
+        publish_joins(spark, path, before)
     batch = new_joined_batch()
     write_by_run(stored_rounds(spark, path).where(is_one_of(chosen)), path, batch)
     known = is_one_of(before.replaced) | F.col(BATCH).isin(sorted(before.joined))
