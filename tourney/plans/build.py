@@ -35,6 +35,7 @@ from tourney.sources.bronze import (
 )
 from tourney.sources.compaction import join_batches, remove_joined, unused_folders
 from tourney.sources.files import partition_folder, path_name
+from tourney.sources.joined import last_joins
 from tourney.sources.versions import (
     Commit,
     Draft,
@@ -315,7 +316,10 @@ def register_silver(spark: SparkSession, bronze: str, database: str | None = Non
     folder, _, table = bronze.rstrip("/").rpartition("/")
     _register(spark, folder, table, columns, database, "tournament_bronze", ("run_id", BATCH))
     spark.catalog.recoverPartitions(_named(database, "tournament_bronze"))
-    rows = unused_folders(spark, bronze).toLocalIterator()
+    # Before a first join every folder counts, and there may be none yet.
+    rows = iter(())
+    if last_joins(spark, bronze).number:
+        rows = unused_folders(spark, bronze).toLocalIterator()
     while chunk := list(islice(rows, _PARTITIONS)):
         places = []
         for row in chunk:
