@@ -1,6 +1,7 @@
 """Batches merged to stored state, published at once; repeated rounds; versions joined."""
 
 import random
+import re
 from datetime import datetime, timedelta, timezone
 from pathlib import Path
 
@@ -8,10 +9,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.rounds import match_rows
+from tests.test_plans import plan_of
 from tourney.plans import gold
 from tourney.plans.build import STORED, build, read_gold, tidy
 from tourney.plans.silver import silver_rounds
 from tourney.schema import BRONZE, GOLD
+from tourney.session import materialise
 from tourney.sources import bronze as store
 from tourney.sources import versions
 from tourney.streaming import ingest
@@ -166,6 +169,15 @@ def test_repeated_and_clashing_rounds_are_rejected(spark, folders):
     assert gold_rows(spark, folders["gold"]) == full_rows(spark, folders["bronze"])
 
 
+def test_a_batch_is_judged_in_one_shuffle(spark):
+    rows = match_rows("r", "x", "y", ["CD", "DD", "DC"])
+    incoming = materialise(frame(spark, rows), "judged-incoming")
+    stored = materialise(frame(spark, rows[:1]), "judged-stored")
+    plan = plan_of(ingest._judged(incoming, stored))
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert not re.search("Join|Aggregate", plan)
+
+
 def test_ingest_after_a_restart(spark, folders, bronze_of):
     def pick_up():
         arguments = (folders[n] for n in ("landing", "bronze", "gold", "checkpoint"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from contextlib import ExitStack
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -31,6 +31,9 @@ _QUERY_ID = "sql.streaming.queryId"
 ROUND = (*MATCH, "tour")
 _SAID = tuple(c for c in BRONZE.names if c not in ROUND)
 
+# Rounds of 2**10 neighbouring numbers are judged in one task.
+NEIGHBOUR_BITS = 10
+
 # Reasons for leaving out a round.
 REPEATED, CLASHING = "repeated", "clashing"
 
@@ -93,7 +96,7 @@ def load_batch(
         judged = held.enter_context(scratch_table(_judged(incoming, stored), "judged"))
         accepted = judged.where("reason IS NULL")
         append_bronze(accepted, bronze, batch)
-        write_rejects(judged.where("reason IS NOT NULL"), bronze, batch)
+        write_rejects(_counted(judged.where("reason IS NOT NULL")), bronze, batch)
         if accepted.isEmpty():
             Draft(spark, warehouse).mark_applied(applied or {})
         elif repeats or order != "tour":
@@ -104,34 +107,31 @@ def load_batch(
 
 
 def _judged(incoming: DataFrame, stored: DataFrame) -> DataFrame:
-    """The distinct rows of a batch: to be kept (``reason`` null), or why not and in how many copies."""
+    """The rows of a batch, each with the reason for leaving it out, null for those to be kept.
+
+    All are shuffled and sorted once, by match and a block of tours, so that neighbours stay together.
+    In a round stored rows come first, then the smallest by its columns, which the others are
+    compared with.
+    """
+    rows = incoming.select(*BRONZE.names, F.lit(0).alias("_age")).unionByName(
+        stored.select(*BRONZE.names, F.lit(1).alias("_age"))
+    )
+    block = block_of("tour", NEIGHBOUR_BITS).alias("_block")
+    spread = rows.select("*", block).repartition(*MATCH, "_block")
+    in_round = Window.partitionBy(*MATCH, "_block", "tour").orderBy(F.desc("_age"), *_SAID)
     said = F.struct(*_SAID)
-    copies = incoming.groupBy(*ROUND, *_SAID).agg(F.count(F.lit(1)).alias("copies"))
-    first = incoming.groupBy(*ROUND).agg(F.min(said).alias("_kept"))
-    known = stored.groupBy(*ROUND).agg(F.min(said).alias("_stored"))
-    rows = _beside(_beside(copies, first, "_kept"), known, "_stored")
-    is_kept = F.col("_stored").isNull() & said.eqNullSafe(F.col("_kept"))
-    same = said.eqNullSafe(F.coalesce("_stored", "_kept"))
-    reason = F.when(same, REPEATED).otherwise(CLASHING)
-    options = F.when(
-        is_kept,
-        F.filter(
-            F.array(
-                F.struct(F.lit(None).cast("string").alias("reason"), F.lit(1).cast("bigint").alias("copies")),
-                F.struct(reason.alias("reason"), (F.col("copies") - 1).alias("copies")),
-            ),
-            lambda option: option["copies"] > 0,
-        ),
-    ).otherwise(F.array(F.struct(reason.alias("reason"), F.col("copies").alias("copies"))))
-    return rows.select(*BRONZE.names, F.inline(options))
-
-
-def _beside(rows: DataFrame, facts: DataFrame, name: str) -> DataFrame:
-    named = facts.select(*[F.col(c).alias(f"_of_{c}") for c in ROUND], name)
-    same: Column = F.lit(True)
-    for c in ROUND:
-        same &= F.col(c).eqNullSafe(F.col(f"_of_{c}"))
-    return rows.join(named, same, "left").drop(*[f"_of_{c}" for c in ROUND])
+    judged = spread.select(
+        "*",
+        F.row_number().over(in_round).alias("_place"),
+        said.eqNullSafe(F.first(said).over(in_round)).alias("_same"),
+    )
+    reason = F.when(F.col("_place") > 1, F.when(F.col("_same"), REPEATED).otherwise(CLASHING))
+    return judged.where("_age = 0").select(*BRONZE.names, reason.alias("reason"))
+
+
+def _counted(rejects: DataFrame) -> DataFrame:
+    """Distinct rows that are left out, with their copies."""
+    return rejects.groupBy(*BRONZE.names, "reason").agg(F.count(F.lit(1)).alias("copies"))
 
 
 def _stored_rounds(
