@@ -118,6 +118,25 @@ def test_rounds_are_read_and_shuffled_once(spark):
         assert "_groupingexpression" in re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)[-1]
 
 
+def test_rounds_travel_as_one_number(spark):
+    rounds = materialise(spark.createDataFrame(rounds_of(1), BRONZE), "automata")
+    for df in (own_policy_conformance(rounds), own_policy_replay(rounds)):
+        # From the scan up to the first shuffle there is no table over the states.
+        before_shuffle = plan_of(df).rsplit("Exchange hashpartitioning", 1)[1]
+        assert "collect_list(step" in before_shuffle
+        assert not re.search("worth|array", before_shuffle)
+
+
+def test_copies_of_a_round_in_any_file_order(spark):
+    rows = match_rows("r", "x", "y", ["CD", "DD", "CC"]) + match_rows("r", "x", "y", ["DC", "CC", "CD"])
+    rows += [("r", None, "x", "y", *row[4:]) for row in rows]
+    found = [
+        sorted(map(repr, own_policy_replay(spark.createDataFrame(given, BRONZE)).collect()))
+        for given in (rows, rows[::-1])
+    ]
+    assert found[0] == found[1]
+
+
 def test_policies_as_data():
     text = json.dumps([{"name": p.name, "moves": p.moves, "after": p.after} for p in OWN_POLICIES])
     assert policies_from_json(text) == list(OWN_POLICIES)

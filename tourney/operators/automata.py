@@ -24,6 +24,8 @@ from tourney.schema import MATCH
 # Rounds of a block, and blocks or groups of a group.
 BLOCK_BITS = 9
 FAN_BITS = 14
+# Larger blocks are cut to this size: a place and a letter go into one number.
+MOST_BITS = 40
 
 
 @dataclass(frozen=True)
@@ -64,19 +66,37 @@ def run_machines(
         for number in range(len(machines[0].after))
     ]
     worth = [[w for m in machines for w in m.worth[number]] for number in range(len(after))]
-    row = letter.cast("int") + 1
-    steps = rounds.select(
-        *MATCH,
-        F.col(order).cast("bigint").alias("place"),
-        F.element_at(F.array(*[_numbers(states, "int") for states in after]), row).alias("to"),
-        F.element_at(F.array(*[_numbers(w, "bigint") for w in worth]), row).alias("worth"),
-        *[column.alias(name) for name, column in totals.items()],
+    # Rounds travel as numbers, place in the block and letter; letters are numbered in the order of
+    # their tables, in which copies of a round are read. 0 is a missing letter.
+    rows = list(zip(map(tuple, after), map(tuple, worth), strict=True))
+    read = sorted(set(rows))
+    number = F.element_at(_numbers([read.index(row) + 1 for row in rows], "int"), letter.cast("int") + 1)
+    table = "struct<to:array<int>,worth:array<bigint>>"
+    tables = F.array(
+        F.lit(None).cast(table),
+        *[
+            F.struct(_numbers(to, "int").alias("to"), _numbers(w, "bigint").alias("worth"))
+            for to, w in read
+        ],
     )
     nothing = F.struct(
         _numbers(range(1, sum(sizes) + 1), "int").alias("to"),
         _numbers([0] * sum(sizes), "bigint").alias("worth"),
     )
-    bits, left = block_bits, blocks.ORDER_BITS
+    bits, left = min(block_bits, MOST_BITS), blocks.ORDER_BITS
+    place = F.coalesce(F.col(order).cast("bigint").bitwiseAND((1 << bits) - 1), F.lit(0))
+    packed = place * (len(read) + 1) + F.coalesce(number, F.lit(0))
+    letters = rounds.select(
+        *MATCH,
+        F.col(order).cast("bigint").alias("place"),
+        packed.alias("step"),
+        *[column.alias(name) for name, column in totals.items()],
+    )
+    of_letter = F.transform(
+        "steps", lambda step: F.element_at(tables, (step % (len(read) + 1)).cast("int") + 1)
+    )
+    steps = _composed(letters, block_of("place", bits), F.col("step"), of_letter, nothing, totals)
+    bits, left = FAN_BITS, left - bits
     while bits < left:
         steps = _folded(steps, block_of("place", bits), totals, nothing)
         bits, left = FAN_BITS, left - bits
@@ -88,6 +108,19 @@ def run_machines(
 
 def _folded(steps: DataFrame, group: Column, totals: Mapping[str, Column], nothing: Column):
     """The tables of each group of a match composed in order."""
+    step = F.struct("place", "to", "worth")
+    return _composed(steps, group, step, F.col("steps"), nothing, totals)
+
+
+def _composed(
+    rows: DataFrame,
+    group: Column,
+    step: Column,
+    tables: Column,
+    nothing: Column,
+    totals: Mapping[str, Column],
+) -> DataFrame:
+    """One table per group of a match, of the ``tables`` made from its sorted ``steps``."""
 
     def then(done: Column, step: Column) -> Column:
         return F.struct(
@@ -99,11 +132,11 @@ def _folded(steps: DataFrame, group: Column, totals: Mapping[str, Column], nothi
             ).alias("worth"),
         )
 
-    grouped = steps.groupBy(*MATCH, group.alias("place_group")).agg(
-        F.array_sort(F.collect_list(F.struct("place", "to", "worth"))).alias("steps"),
+    grouped = rows.groupBy(*MATCH, group.alias("place_group")).agg(
+        F.array_sort(F.collect_list(step)).alias("steps"),
         *[F.sum(name).alias(name) for name in totals],
     )
-    done = F.aggregate("steps", nothing, then).alias("done")
+    done = F.aggregate(tables, nothing, then).alias("done")
     return grouped.select(
         *MATCH, F.col("place_group").alias("place"), done, *totals
     ).select(*MATCH, "place", "done.to", "done.worth", *totals)
