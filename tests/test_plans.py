@@ -4,10 +4,12 @@ import re
 
 import pytest
 
+from tests.rounds import match_rows
 from tourney.operators.scoring import add_gains
 from tourney.plans import gold, policies, quality, replies, saved
 from tourney.plans.build import build, read_gold
 from tourney.plans.silver import silver_rounds
+from tourney.schema import BRONZE
 from tourney.session import materialise
 from tourney.sources.bronze import append_bronze, read_bronze, runs_only
 
@@ -81,6 +83,28 @@ def test_quality_report_shuffles_rounds_once(bronze):
     assert not any("tour" in keys for keys in by_tour)
 
 
+def test_quality_report_holds_no_table_of_rounds(bronze):
+    """What a block inherits is a row of the same shuffle; no aggregate is kept per round."""
+    plan = plan_of(quality.dq_report(bronze))
+    assert "Join" not in plan
+    assert not re.search(r"Aggregate\(keys=\[[^]]*tour#", plan)
+
+
+def test_quality_report_with_missing_and_negative_numbers(spark):
+    rows = match_rows("r", "x", "y", ["CD"] * 7, [-9, -2, -1, 1, 2, 3, 5])
+    rows += [rows[3], (*rows[4][:9], 99), ("r", None, *rows[0][2:]), ("r", None, *rows[5][2:])]
+    report = quality.dq_report(spark.createDataFrame(rows, BRONZE), block_bits=1)
+    assert {r.rule: (r.checked, r.violations) for r in report.collect()} == {
+        "choice_domain": (11, 0),
+        "gain_domain": (11, 0),
+        "gain_is_payoff": (11, 0),
+        "key_not_null": (11, 2),
+        "cumul_is_running_sum": (8, 7),
+        "unique_round": (8, 3),
+        "dense_tours": (8, 5),
+    }
+
+
 def test_saved_queries_filter_in_the_scan(spark, bronze, tmp_path):
     build(bronze, str(tmp_path), select=("gold",))
     drift = read_gold(spark, str(tmp_path), "gold_behavioral_drift")

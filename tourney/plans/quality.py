@@ -14,6 +14,7 @@ from tourney.schema import CHOICES, GAINS, MATCH
 RUN_ID_CHARS = 8
 
 _SCORES = ("cumul_a", "cumul_b")
+_INHERITED = "_inherited"
 
 
 def _fails(condition: Column) -> Column:
@@ -50,56 +51,52 @@ def dq_report(
     Rules on single rows count rows, rules on the sequence of a match count round numbers: copies of
     a round are one. ``last_tour`` and ``run_id_chars`` add rules on the stated domains.
 
-    The rounds are shuffled once, by match and block. In that partitioning copies are folded and the
-    blocks are walked through; what a block inherits from those before comes from a map-side fold.
-    Tours should be fairly dense, as for all jobs over the history of a match.
+    The rounds are shuffled and sorted once, by match and block, and walked through, copies side by
+    side; what a block inherits from those before comes from a map-side fold and stands in front of
+    it as one more row. Tours should be fairly dense, as for all jobs over the history of a match.
     """
     row_rules = _row_rules(last_tour, run_id_chars)
+    # The rules that a row breaks, one bit each.
+    bits = {name: 1 << i for i, name in enumerate(row_rules)}
+    broken = sum((_fails(rule) * bits[name] for name, rule in row_rules.items()), F.lit(0))
     # A missing round number belongs to no block; such rows stay together, as one round.
     block = F.coalesce(block_of("tour", block_bits), F.lit(-1))
-    rows = bronze.select(
-        *MATCH,
-        "tour",
-        "gain_a",
-        "gain_b",
-        *_SCORES,
-        block.alias("block"),
-        *[_fails(rule).alias(name) for name, rule in row_rules.items()],
+    rounds = bronze.select(
+        *MATCH, "tour", "gain_a", "gain_b", *_SCORES, block.alias(BLOCK), broken.alias("broken")
     )
-    keys = (*MATCH, "block")
-    per_tour = (
-        rows.repartition(*keys)
-        .groupBy(*keys, "tour")
-        .agg(
-            F.count(F.lit(1)).alias("copies"),
-            F.sum("gain_a").alias("gain_a"),
-            F.sum("gain_b").alias("gain_b"),
-            *[F.count(c).alias(f"{c}_known") for c in _SCORES],
-            *[F.min(c).alias(f"{c}_low") for c in _SCORES],
-            *[F.max(c).alias(f"{c}_high") for c in _SCORES],
-            *[F.sum(name).alias(name) for name in row_rules],
-        )
+    ends = rounds.groupBy(*MATCH, BLOCK).agg(
+        F.max("tour").alias("tour"),
+        F.sum("gain_a").alias("gain_a"),
+        F.sum("gain_b").alias("gain_b"),
     )
-    ends = rows.groupBy(*MATCH, F.col("block").alias(BLOCK)).agg(
-        F.max("tour").alias("tour_before"),
-        F.sum("gain_a").alias("before_a"),
-        F.sum("gain_b").alias("before_b"),
+    inherited = carried(ends, MATCH, ["tour"], ["gain_a", "gain_b"], block_bits)
+    rows = rounds.withColumn(_INHERITED, F.lit(False)).unionByName(
+        inherited.withColumn(_INHERITED, F.lit(True)), allowMissingColumns=True
     )
-    inherited = carried(ends, MATCH, ["tour_before"], ["before_a", "before_b"], block_bits)
-    inherited = inherited.withColumnsRenamed({BLOCK: "_block", **{c: f"_{c}" for c in MATCH}})
-    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys]
-    walk = Window.partitionBy(*keys).orderBy("tour")
-    so_far = walk.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    walked = per_tour.select(
-        "*",
+    rows = rows.repartition(*MATCH, BLOCK)
+    walk = Window.partitionBy(*MATCH, BLOCK).orderBy(F.desc(_INHERITED), "tour")
+    so_far = walk.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    copies = walk.rangeBetween(Window.currentRow, Window.currentRow)
+    last_is_round = F.lag(~F.col(_INHERITED), 1, False).over(walk)
+    walked = rows.select(
+        "tour",
+        "broken",
+        _INHERITED,
+        (last_is_round & F.lag("tour").over(walk).eqNullSafe(F.col("tour"))).alias("is_copy"),
         F.lag("tour").over(walk).alias("previous"),
-        F.sum("gain_a").over(so_far).alias("run_a"),
-        F.sum("gain_b").over(so_far).alias("run_b"),
-    ).join(inherited, same, "left")
+        F.max(F.when(F.col(_INHERITED), F.col("tour"))).over(so_far).alias("tour_before"),
+        F.count(F.lit(1)).over(copies).alias("copies"),
+        *[F.sum(f"gain_{s}").over(so_far).alias(f"run_{s}") for s in "ab"],
+        *[F.count(c).over(copies).alias(f"{c}_known") for c in _SCORES],
+        *[F.min(c).over(copies).alias(f"{c}_low") for c in _SCORES],
+        *[F.max(c).over(copies).alias(f"{c}_high") for c in _SCORES],
+    )
+    is_row = ~F.col(_INHERITED)
+    is_tour = is_row & ~F.col("is_copy")
 
     running = F.lit(True)
-    for score, run, before in (("cumul_a", "run_a", "before_a"), ("cumul_b", "run_b", "before_b")):
-        expected = F.coalesce(F.col(run), F.lit(0)) + F.coalesce(F.col(before), F.lit(0))
+    for score, run in (("cumul_a", "run_a"), ("cumul_b", "run_b")):
+        expected = F.coalesce(F.col(run), F.lit(0))
         running &= (
             (F.col(f"{score}_known") == F.col("copies"))
             & (F.col(f"{score}_low") == expected)
@@ -112,10 +109,10 @@ def dq_report(
         "dense_tours": F.col("tour") == previous + 1,
     }
     counts = walked.agg(
-        F.coalesce(F.sum("copies"), F.lit(0)).alias("rows"),
-        F.count(F.lit(1)).alias("tours"),
-        *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in row_rules],
-        *[F.coalesce(F.sum(_fails(c)), F.lit(0)).alias(name) for name, c in tour_rules.items()],
+        F.count_if(is_row).alias("rows"),
+        F.count_if(is_tour).alias("tours"),
+        *[F.count_if(F.col("broken").bitwiseAND(bit) != 0).alias(name) for name, bit in bits.items()],
+        *[F.count_if(is_tour & (_fails(c) == 1)).alias(name) for name, c in tour_rules.items()],
     )
     lines = [(name, "rows") for name in row_rules] + [(name, "tours") for name in tour_rules]
     return counts.select(
