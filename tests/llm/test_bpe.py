@@ -61,6 +61,18 @@ def test_stale_queue_entries_are_skipped(library):
         assert own.encode(word) == library.encode(word, add_special_tokens=False).ids
 
 
+def test_short_words_need_no_queue(library, monkeypatch):
+    ours = bpe.load_bpe(PATH)
+    words = ["tests", "aaaaaaa", "naïvely", "x", "b" * bpe.SHORT_WORD]
+    queued = bpe.load_bpe(PATH)
+    monkeypatch.setattr(bpe, "SHORT_WORD", 0)
+    by_queue = [queued.encode(word) for word in words]
+    monkeypatch.undo()
+    monkeypatch.delattr(bpe.heapq, "heapify")
+    assert [ours.encode(word) for word in words] == by_queue
+    assert by_queue == [library.encode(word, add_special_tokens=False).ids for word in words]
+
+
 def test_large_vocabulary_files_are_refused(tmp_path, monkeypatch):
     monkeypatch.setattr(bpe, "MAX_VOCABULARY_BYTES", 10)
     with pytest.raises(ValueError):

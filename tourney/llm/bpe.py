@@ -3,6 +3,7 @@
 Each word starts as a doubly linked list of symbols. A priority queue holds the rank of every
 adjacent pair that the vocabulary can merge; the lowest rank is merged first, the leftmost among
 equal ranks. Entries whose symbols have changed since are stale and skipped when they come up.
+Short words look for the lowest rank among all their pairs instead.
 Decoding concatenates vocabulary strings.
 
 The vocabulary is read on the driver and broadcast; its file size is checked first.
@@ -34,6 +35,9 @@ MAX_VOCABULARY_BYTES = 64 << 20
 CACHED_WORDS = 150_000
 CACHED_PIECES = 300_000
 CACHED_CHARS = 64
+# Bytes of a word up to which looking at all its pairs is cheaper than a queue.
+SHORT_WORD = 24
+_NO_MERGE = (1 << 62, -1)
 # Rows turned into Python objects at a time.
 SLICE_ROWS = 200
 
@@ -186,6 +190,29 @@ class Bpe:
         data = word.encode()
         ids = [self._byte_ids[b] for b in data]
         ids[-1] = self._last_ids[data[-1]]
+        return self._merge_short(ids) if len(ids) <= SHORT_WORD else self._merge_queued(ids)
+
+    def _merge_short(self, ids: list[int]) -> list[int]:
+        """The same merges, the lowest rank found by a look at all pairs: no queue to keep."""
+        merges = self.merges
+        found = [merges.get(pair, _NO_MERGE) for pair in zip(ids, ids[1:])]
+        ranks = [merge[0] for merge in found]
+        while ranks:
+            rank = min(ranks)
+            if rank == _NO_MERGE[0]:
+                break
+            at = ranks.index(rank)
+            ids[at : at + 2] = (found[at][1],)
+            del ranks[at], found[at]
+            if at:
+                found[at - 1] = merge = merges.get((ids[at - 1], ids[at]), _NO_MERGE)
+                ranks[at - 1] = merge[0]
+            if at < len(ranks):
+                found[at] = merge = merges.get((ids[at], ids[at + 1]), _NO_MERGE)
+                ranks[at] = merge[0]
+        return ids
+
+    def _merge_queued(self, ids: list[int]) -> list[int]:
         n = len(ids)
         before, after = list(range(-1, n - 1)), [*range(1, n), -1]
         merges, queue = self.merges, []
